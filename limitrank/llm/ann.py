@@ -87,7 +87,7 @@ def _top(scores: np.ndarray, ids: np.ndarray, q: np.ndarray, x: np.ndarray, k: i
 
 def search(
     table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", dims: int = 64, every: int = 20, k: int = 20,
-    centroids: int = 32, least: int = 2000, portion: float = 0.25,
+    centroids: int = 64, least: int = 2000, portion: float = 0.5,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for ids divisible by ``every``, the ``k`` found with largest inner product.
 
