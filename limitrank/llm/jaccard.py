@@ -16,11 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components_of_matrix, connected_components, drop_stored, group_starts, stored, tile_keys, whole_groups
+from .common import components_of_matrix, connected_components, drop_stored, group_starts, stored, tile_keys, values, whole_groups
 
 #: An n-gram is frequent if it is in more than one of this many documents. Frequent ones are ordered last; there are at
 #: most FREQUENT_PART times the mean set size of them, whatever the input. Which ones are frequent changes speed only.
 FREQUENT_PART = 2000
+#: N-grams that a counting task holds at most, twice over.
+HELD = 1_000_000
 #: Sets of one tile when a group is too large for one task.
 TILE = 1024
 
@@ -230,14 +232,14 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             return u, np.bincount(at, weights=np.concatenate([df, np.ones(len(at) - len(names))]), minlength=len(u)).astype(np.int64)
 
         for b in batches:
-            for text in b.column(0).to_pylist():
+            for text in values(b.column(0)):
                 s = shingles(text, words)
                 total += 1
                 waiting.append(s)
                 held += len(s)
-                if held > 4_000_000:
+                if held > HELD:
                     names, df = merged()
-                    if len(names) > 4_000_000:  # bounded memory: what is rare so far starts again from zero
+                    if len(names) > HELD:  # bounded memory: what is rare so far starts again from zero
                         names, df = names[df > 1], df[df > 1]
                     waiting, held = [], 0
         if waiting:
@@ -266,8 +268,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     with nothing. N-grams are compared by 64-bit hashes and whole sets by 128 bits. A null id is left out; a repeated id is
     one document with the links of all its rows. Empty docs give an empty result. Extra columns are ignored.
 
-    Equal sets are joined to one class first. A prefix element held by one class is dropped; the others
-    bring classes together, and of each such group only a forest of the pairs that share enough of their prefixes is kept (a pair
+    Equal sets are joined to one class first. A prefix element held by one class is dropped; those
+    with the same holders are counted as one mark. Marks bring classes together (``_likely_pairs`` connects the plain cases before), and of each such group only a forest of the pairs that share enough of their prefixes is kept (a pair
     that is similar shares at least that many). Classes connected that way are read once more, whole, and joined in
     prefix trees. Groups above ``TILE`` are cut into tiles that meet pairwise. Work tables are written to the shared folder.
     """
@@ -279,7 +281,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         frequent, df = common.value
         for b in batches:
             n, one, two, prefix = [], [], [], []
-            for text in b.column(1).to_pylist():
+            for text in values(b.column(1)):
                 s = shingles(text, words)
                 n.append(len(s))
                 one.append(int(s.sum(dtype=np.uint64)))
@@ -299,14 +301,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     firsts = known.where("n > 0").join(class_of.withColumnRenamed("class_id", "doc_id"), [*same, "doc_id"], "left_semi")
     posts = firsts.select(F.col("doc_id").alias("id"), "n", F.explode("prefix").alias("gram"))
     holders = Window.partitionBy("gram")
-    together = posts.withColumns({"first": F.min("id").over(holders), "last": F.max("id").over(holders)}).where("first <> last")
-    together, _ = stored(together.select("id", "n", "gram"), "shared")
-    # what a class may share with others: at most as many elements as its prefix has
-    own = together.groupBy("id", "n").agg(F.collect_set("gram").alias("grams"))
-    entries = own.select("id", "n", "grams", F.explode("grams").alias("gram"))
-    hot = tile_keys(together.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), ["gram"], TILE)
-    pairs = _grouped(entries, hot, "gram").mapInArrow(_prefix_forest(percent), "a long, b long")
-    forest, _ = stored(pairs.distinct(), "forest")
+    # elements with the same holders bring the same classes together, so they are one mark that counts as many
+    holders = Window.partitionBy("gram")
+    held = posts.withColumns({"first": F.min("id").over(holders), "last": F.max("id").over(holders), "n_ids": F.count(F.lit(1)).over(holders), "all": F.bit_xor(F.xxhash64("id")).over(holders)})
+    marks = held.where("first <> last").groupBy("id", "n", F.xxhash64("first", "last", "n_ids", "all").alias("mark")).agg(F.count(F.lit(1)).cast("int").alias("times"))
+    marks, _ = stored(marks, "marks")
+    first, _ = stored(_likely_pairs(marks, percent), "likely")
+    grouped = connected_components(first).withColumnRenamed("node", "id")
+    # a mark whose holders are all connected already adds nothing; the others are all looked at
+    over = Window.partitionBy("mark")
+    marks = marks.join(grouped, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    marks = marks.withColumns({"first": F.min("component").over(over), "last": F.max("component").over(over)}).where("first <> last")
+    marks, _ = stored(marks.select("id", "n", "mark", "times"), "marks")
+    own = marks.groupBy("id", "n").agg(F.collect_list("mark").alias("marks"), F.collect_list("times").alias("times"))
+    entries = own.select("id", "n", "marks", "times", F.explode("marks").alias("mark"))
+    hot = tile_keys(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")), ["mark"], TILE)
+    pairs = _grouped(entries, hot, "mark").mapInArrow(_prefix_forest(percent), "a long, b long")
+    forest, _ = stored(pairs.unionByName(first).distinct(), "forest")
     groups = connected_components(forest).withColumnRenamed("node", "doc_id")
     members = docs.join(groups, "doc_id").select("component", F.col("doc_id").alias("id"), "text")
     large = tile_keys(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), ["component"], TILE)
@@ -320,6 +331,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _likely_pairs(marks: DataFrame, percent: int, sketch: int = 8) -> DataFrame:
+    """Pairs (a, b) that are worth connecting before any pair is compared: each class with the smallest one that shares half of a
+    sketch of its marks. Only classes take part that share enough of their prefixes for similarity to one of their own size.
+
+    This spares later work in large families of copies. It decides nothing: all pairs that it leaves apart are still
+    compared, and what it connects is verified with the rest.
+    """
+    by_id = Window.partitionBy("id")
+    enough = F.lit(100) * F.sum("times").over(by_id) >= F.lit(40) * (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    some = marks.withColumns({"enough": enough, "i": F.row_number().over(by_id.orderBy("mark"))}).where(F.col("enough") & (F.col("i") <= sketch))
+    some = some.withColumn("k", F.count(F.lit(1)).over(by_id)).select("id", "mark", "k")
+    hubs = some.groupBy("mark").agg(F.min("id").alias("hub"))
+    met = some.join(hubs, "mark").where("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("n"), F.first("k").alias("k"))
+    return met.where("2 * n >= k").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+
+
 def _grouped(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """Rows dealt by ``key`` and, where a key is hot, by pairs of tiles; sorted so that groups are contiguous."""
     d = rows.join(hot, key, "left").withColumn("n_tiles", F.coalesce("n_tiles", F.lit(1)))
@@ -333,36 +360,32 @@ KEYS = ["key", "ti", "tj"]
 
 
 def _prefix_forest(percent: int):
-    """For classes that share one prefix element: a forest of the pairs that share as many elements as similarity asks for."""
+    """For classes that share a mark: a forest of the pairs that share as many prefix elements as similarity asks for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in whole_groups(batches, KEYS):
             starts = group_starts(t, KEYS)
             ids, n = t.column("id").to_numpy(), t.column("n").to_numpy().astype(np.int64)
-            grams = t.column("grams").combine_chunks()
-            offsets, values = grams.offsets.to_numpy(), grams.values.to_numpy()
+            marks = t.column("marks").combine_chunks()
+            offsets, named = marks.offsets.to_numpy(), marks.values.to_numpy()
+            times = t.column("times").combine_chunks().values.to_numpy()
             out_a, out_b = [], []
             for lo, hi in zip(starts[:-1], starts[1:], strict=True):
                 m = hi - lo
+                size = n[lo:hi]
                 if m < 2:
                     continue
-                if m == 2:
-                    a, b = lo, hi - 1
-                    need = _shared_least(n[a], n[b], percent)
-                    if min(n[a], n[b]) < least_overlap(n[a], n[b], percent) or min(offsets[a + 1] - offsets[a], offsets[b + 1] - offsets[b]) < need:
-                        continue
-                    if len(np.intersect1d(values[offsets[a] : offsets[a + 1]], values[offsets[b] : offsets[b + 1]], assume_unique=True)) >= need:
-                        out_a.append(ids[a : a + 1])
-                        out_b.append(ids[b : b + 1])
-                    continue
-                own, size = values[offsets[lo] : offsets[hi]], n[lo:hi]
+                of = slice(offsets[lo], offsets[hi])
                 row = np.repeat(np.arange(m), np.diff(offsets[lo : hi + 1]))
-                _, col, df = np.unique(own, return_inverse=True, return_counts=True)
+                names, col, df = np.unique(named[of], return_inverse=True, return_counts=True)
                 both = df[col] > 1  # the others are shared with classes elsewhere
-                kept, col = np.unique(col[both], return_inverse=True)
-                held = np.zeros((m, len(kept)), dtype=np.float32)
-                held[row[both], col] = 1
-                shared = held @ held.T
+                weight = np.zeros(len(names), dtype=np.float32)
+                np.maximum.at(weight, col, times[of])
+                place = np.cumsum(df > 1) - 1
+                held = np.zeros((m, int(place[-1]) + 1), dtype=np.float32)
+                held[row[both], place[col[both]]] = 1
+                weight = weight[df > 1]
+                shared = (held * weight) @ held.T
                 linked = (shared >= _shared_least(size[:, None], size[None, :], percent)) & (np.minimum.outer(size, size) >= least_overlap(size[:, None], size[None, :], percent))
                 np.fill_diagonal(linked, False)
                 if linked.any():
