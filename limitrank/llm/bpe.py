@@ -21,12 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers.pre_tokenizers import ByteLevel
 
+from .common import values
+
 #: How the byte-level pre-tokenizer splits text before merges (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters that every Unicode version of the last decade classes alike; texts with others are split by the library itself (fixed value).
 COMMON = r"[^\x00-\u0557\u2010-\u205e\u3001-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uffbe]"
 #: Encoded words, ends of words and arcs that a worker remembers at most; each is cleared when full, which changes speed only.
-MEMO = 1 << 19
+MEMO = 1 << 18
 
 
 def byte_characters() -> dict[str, int]:
@@ -239,7 +241,7 @@ def _column(docs: DataFrame, tokenizer_path: str, source: str, name: str, kind:
         codec = _codec(model)
         arrow = pa.binary() if isinstance(kind, T.BinaryType) else pa.string()
         for batch in batches:
-            made = pa.array([apply(codec, x) for x in batch.column(at).to_pylist()], type=arrow)
+            made = pa.array([apply(codec, x) for x in values(batch.column(at))], type=arrow)
             kept = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != name]
             yield pa.RecordBatch.from_arrays([*[c for _, c in kept], made], names=[*[n for n, _ in kept], name])
 

@@ -114,6 +114,12 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield pa.concat_tables(held)
 
 
+def values(column: pa.Array, step: int = 256) -> Iterator:
+    """Python values of a column, a few at a time, so that a batch of long texts is not held twice."""
+    for i in range(0, len(column), step):
+        yield from column.slice(i, step).to_pylist()
+
+
 def group_starts(table: pa.Table, keys: list[str]) -> np.ndarray:
     """Row numbers at which groups of equal ``keys`` begin, with the number of rows at the end."""
     n = table.num_rows

@@ -11,6 +11,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import values
+
 #: Buckets of hashed n-grams, longest n-gram in bytes, and training rows per language at most (the fit is on a bounded sample).
 DIMS, LONGEST, ROWS_PER_LANGUAGE = 4096, 3, 600
 #: Languages that are learned at most: those with most labelled rows.
@@ -138,7 +140,7 @@ def classify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [shared.value.predict(x) for x in b.column(at).to_pylist()]
+            found = [shared.value.predict(x) for x in values(b.column(at))]
             new = [pa.array([f[i] for f in found], type=t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in keep_at], *new], names=[*kept, *made])
 
