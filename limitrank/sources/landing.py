@@ -7,12 +7,13 @@ import json
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.parsing import iso_to_date, parse_decimal, parse_int, roc_to_date
 from ..functions.ticks import data_quality_ok
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json(payload: pd.Series) -> pd.Series:
     """Key-sorted compact JSON; text that is no JSON stays as it is."""
     def one(x):
