@@ -319,7 +319,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     pairs = _grouped(entries, hot, "mark").mapInArrow(_prefix_forest(percent), "a long, b long")
     forest, _ = stored(pairs.unionByName(first).distinct(), "forest")
     groups = connected_components(forest).withColumnRenamed("node", "doc_id")
-    members = docs.join(groups, "doc_id").select("component", F.col("doc_id").alias("id"), "text")
+    # the groups grow with the documents, so they are never broadcast, at any size
+    members = docs.join(groups.hint("merge"), "doc_id").select("component", F.col("doc_id").alias("id"), "text")
     large = tile_keys(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), ["component"], TILE)
     links = _grouped(members, large, "component").mapInArrow(_exact_links(words, percent), "a long, b long")
     found, _ = stored(links.distinct(), "links")
