@@ -83,7 +83,7 @@ def percentile_score(value: str, cross: list[str], lower_is_better: bool = False
 
 
 def score(rows: DataFrame, s: Strategy, cross: list[str]) -> DataFrame:
-    """rows with one ``score_<factor>`` each, total_score (2 digits, of a value cut to 8 so that sums in any order agree) and completeness (4 digits); rows without any factor are dropped."""
+    """rows with one ``score_<factor>`` each, total_score (2 digits, halves up, with a ten-millionth added so that sums in any order agree) and completeness (4 digits); rows without any factor are dropped."""
     part = Window.partitionBy(*cross)
     ranked = [f for f in s.weights if f != "return_5d"]
     d = rows
@@ -98,7 +98,7 @@ def score(rows: DataFrame, s: Strategy, cross: list[str]) -> DataFrame:
         had = had + F.when(F.col(f"score_{f}").isNotNull(), F.lit(float(w))).otherwise(0.0)
     whole = float(sum(s.weights.values()))
     d = d.withColumns({"__total": total, "__had": had}).where("__had > 0")
-    d = d.withColumns({"total_score": F.round(F.round(F.col("__total") / F.col("__had"), 8), 2), "completeness": F.round(F.col("__had") / whole, 4)})
+    d = d.withColumns({"total_score": F.round(F.col("__total") / F.col("__had") + 1e-7, 2), "completeness": F.round(F.col("__had") / whole, 4)})
     return d.drop("__total", "__had")
 
 

@@ -242,7 +242,7 @@ def _score_sql(rows: str, name: str) -> str:
     had = " + ".join(f"CASE WHEN s_{f} IS NOT NULL THEN {w}::DOUBLE ELSE 0 END" for f, w in ranking.WEIGHTS.items())
     return f"""{name}_b AS (SELECT *, {bounds} FROM {rows} WINDOW p AS (PARTITION BY trading_date)), {name}_c AS (SELECT *, {clip} FROM {name}_b),
 {name}_d AS (SELECT *, {pct}, {mom} AS s_return_5d FROM {name}_c WINDOW p AS (PARTITION BY trading_date)),
-{name} AS (SELECT *, round(round(({total}) / nullif({had}, 0), 8), 2) AS total_score, round({had}, 4) AS completeness FROM {name}_d WHERE {had} > 0)"""
+{name} AS (SELECT *, round(({total}) / nullif({had}, 0) + 1e-7, 2) AS total_score, round({had}, 4) AS completeness FROM {name}_d WHERE {had} > 0)"""
 
 
 @query("factor_scores", f"WITH {FEATURES}, {_score_sql('feat', 'scored')} SELECT stock_id, trading_date, {', '.join(f'round(s_{f}, 4) AS score_{f}' for f in ranking.WEIGHTS)}, completeness FROM scored")
