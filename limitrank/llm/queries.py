@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, embed_dedup, jaccard, langid, lm_score, mixing, url_filter, warc
+from . import ann, bpe, chat, embed_dedup, jaccard, langid, lm_score, mixing, oracles, url_filter, warc
 
 RULES = (
     url_filter.Rule("allow", "org", "/"),
@@ -109,4 +109,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_chat_formatting": oracles.CHAT, "op6_source_mixing": oracles.MIXING, "op9_url_filters": oracles.url_verdicts(RULES)}

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,17 @@ def union(pairs, nodes):
     return {n: find(n) for n in nodes}
 
 
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_matches_sql(spark, data, name):
+    got = queries.queries()[name](spark, data)
+    cols = sorted(got.columns)
+    con = duckdb.connect()
+    for t in ("conversations", "documents", "pages"):
+        con.execute(f"create view {t} as select * from '{data}/{t}.parquet'")
+    want = con.execute(f"select {', '.join(cols)} from ({queries.oracle_sql()[name]})").fetchall()
+    assert want and sorted(map(repr, (tuple(r) for r in got.select(*cols).collect()))) == sorted(map(repr, want))
+
+
 # 1
 def test_chat_round_trip(spark, data):
     out = {r.conv_id: r for r in queries.chat_formatting(spark, data).collect()}
