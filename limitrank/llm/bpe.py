@@ -38,14 +38,34 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def labels(vocabulary: dict[str, int], specials: dict[str, int]) -> dict[int, bytes]:
+    """The bytes of every token."""
+    as_byte = byte_characters()
+    return {i: bytes(as_byte[c] for c in t) for t, i in vocabulary.items()} | {i: t.encode() for t, i in specials.items()}
+
+
+def tokens_of(model: dict) -> tuple[dict[str, int], dict[str, int]]:
+    """Vocabulary and special tokens of a parsed vocabulary file."""
+    specials = {x["content"]: x["id"] for x in model.get("added_tokens", ())}
+    return {k: v for k, v in model["model"]["vocab"].items() if k not in specials}, specials
+
+
+class Decoder:
+    """Packed ids to text: emits the labels of arcs, for which no merge has to be compiled."""
+
+    def __init__(self, tokenizer_json: bytes):
+        self.label = labels(*tokens_of(json.loads(tokenizer_json)))
+
+    def decode(self, ids: bytes) -> str:
+        return b"".join(map(self.label.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
 class TokenAutomaton:
     """Compiled merges: ``encode_word`` runs bytes through the arcs, ``label`` has each arc's bytes."""
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], specials: dict[str, int]):
-        as_byte = byte_characters()
-        self.label: dict[int, bytes] = {i: bytes(as_byte[c] for c in t) for t, i in vocabulary.items()}
+        self.label = labels(vocabulary, specials)
         self.specials = specials
-        self.label.update({i: t.encode() for t, i in specials.items()})
         steps = [(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in merges]
         if len({w for _, _, w in steps}) != len(steps):
             raise ValueError("two merges make one token")
@@ -169,15 +189,15 @@ class _Spelled(dict):
         return found
 
 
-class Codec:
+class Codec(Decoder):
     """Whole texts to packed little-endian unsigned 32-bit ids and back."""
 
     def __init__(self, tokenizer_json: bytes):
         t = json.loads(tokenizer_json)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in t["model"]["merges"]]
-        specials = {x["content"]: x["id"] for x in t.get("added_tokens", ())}
-        vocabulary = {k: v for k, v in t["model"]["vocab"].items() if k not in specials}
+        vocabulary, specials = tokens_of(t)
         self.automaton = TokenAutomaton(vocabulary, merges, specials)
+        self.label = self.automaton.label
         self.words = regex.compile(PATTERN)
         self.odd = re.compile(COMMON)
         self.library = ByteLevel(add_prefix_space=False)
@@ -201,9 +221,6 @@ class Codec:
         out += map(self.memo.__getitem__, self.split(text[at:]))
         return b"".join(out)
 
-    def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.automaton.label.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
-
 
 class _Words(dict):
     def __init__(self, automaton: TokenAutomaton):
@@ -219,26 +236,27 @@ class _Words(dict):
         return packed
 
 
-_CODECS: dict[int, Codec] = {}
+_CODECS: dict[tuple[type, int], Decoder] = {}
 
 
-def _codec(broadcast) -> Codec:
-    """The worker's compiled codec; one for each vocabulary."""
-    key = hash(broadcast.value)
+def _codec(broadcast, kind: type[Decoder]) -> Decoder:
+    """The worker's codec of this kind, built once for each vocabulary."""
+    key = (kind, hash(broadcast.value))
     if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(broadcast.value)
+        if len(_CODECS) >= 4:
+            _CODECS.clear()
+        _CODECS[key] = kind(broadcast.value)
     return _CODECS[key]
 
 
-def _column(docs: DataFrame, tokenizer_path: str, source: str, name: str, kind: T.DataType, apply) -> DataFrame:
+def _column(docs: DataFrame, tokenizer_path: str, source: str, name: str, kind: T.DataType, codec_kind: type[Decoder], apply) -> DataFrame:
     with open(tokenizer_path, "rb") as f:
         model = docs.sparkSession.sparkContext.broadcast(f.read())
     schema = T.StructType([*[x for x in docs.schema.fields if x.name != name], T.StructField(name, kind)])
     at = docs.columns.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model)
+        codec = _codec(model, codec_kind)
         arrow = pa.binary() if isinstance(kind, T.BinaryType) else pa.string()
         for batch in batches:
             made = pa.array([apply(codec, x) for x in values(batch.column(at))], type=arrow)
@@ -255,12 +273,12 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", ids: str =
     replaced; all others pass through. Rows are independent, so nothing is shuffled; memory is bounded by the memo and
     the longest text. The vocabulary file (about a megabyte) is read by the driver and broadcast.
     """
-    return _column(docs, tokenizer_path, text, ids, T.BinaryType(), lambda c, x: c.encode(x or ""))
+    return _column(docs, tokenizer_path, text, ids, T.BinaryType(), Codec, lambda c, x: c.encode(x or ""))
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``encoded`` with the text of its packed ids; invalid UTF-8 becomes U+FFFD, null ids the empty text."""
-    return _column(encoded, tokenizer_path, ids, text, T.StringType(), lambda c, x: c.decode(x or b""))
+    return _column(encoded, tokenizer_path, ids, text, T.StringType(), Decoder, lambda c, x: c.decode(x or b""))
 
 
 def digests(decoded: DataFrame) -> DataFrame:
