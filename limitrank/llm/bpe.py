@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,11 +24,12 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from .common import values
 
-#: How the byte-level pre-tokenizer splits text before merges (fixed value).
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Characters that every Unicode version of the last decade classes alike; texts with others are split by the library itself (fixed value).
-COMMON = r"[^\x00-\u0557\u2010-\u205e\u3001-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uffbe]"
-#: Encoded words, ends of words and arcs that a worker remembers at most; each is cleared when full, which changes speed only.
+_NUMERALS = "".join(chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) in ("No", "Nl"))
+#: How the byte-level pre-tokenizer splits text before merges (fixed value); letters are word characters that are no digits, numerals or "_".
+PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_{_NUMERALS}]+| ?[\d{_NUMERALS}]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+#: Characters but those that every Unicode version of the last decade, and Python, class alike; texts with others are split by the library itself (fixed value).
+COMMON = r"[^\x00-\x1b\x20-\u0557\u2010-\u205e\u3001-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uffbe]"
+#: Encoded words that a worker remembers before the older half makes room; this changes speed only.
 MEMO = 1 << 18
 
 
@@ -77,9 +79,7 @@ class TokenAutomaton:
             for k in range(1, len(b)):
                 self.starts.setdefault(b[:k], -1)
             self.starts[b] = t
-        self.longest = max(map(len, self.starts))
-        self.spelled = _Spelled(self)
-        self._arcs: dict[tuple[int, int], bool] = {}
+        self.closed = _Closed(self.missing)
 
     def _place(self, vocabulary: dict[str, int], steps: list[tuple[int, int, int]]) -> None:
         """Number tokens so that a token and those grown from it on the left, youngest first, are neighbours."""
@@ -115,17 +115,7 @@ class TokenAutomaton:
 
     def arc(self, state: int, token: int) -> bool:
         """Whether ``token`` may be read in the state after ``state``."""
-        key = (state, token)
-        known = self._arcs.get(key)
-        if known is None:
-            r, chain = self.rank[token], self.missing.get(state)
-            while chain is not None and not chain[0] <= r < chain[1]:
-                chain = chain[2]
-            known = chain is None
-            if len(self._arcs) >= MEMO:
-                self._arcs.clear()
-            self._arcs[key] = known
-        return known
+        return not bisect_right(self.closed[state], self.rank[token]) & 1
 
     def encode_word(self, word: bytes) -> list[int]:
         """Token ids of one pre-split word.
@@ -133,60 +123,64 @@ class TokenAutomaton:
         Longest arcs are tried first. A place reached twice is reached in the same state, as a prefix has one encoding
         only, so a place that once led nowhere is not entered again and the run is linear in the word.
         """
-        arc, spelled, n = self.arc, self.spelled, len(word)
+        rank, closed, n = self.rank, self.closed, len(word)
         dead: set[int] = set()
         path: list[int] = []
-        ends = [0]
-        open_ = [iter(spelled[word])]
-        prev = -1
+        ends, open_ = [0], [self.arcs(word, 0)]
+        bounds: list[int] = []  # every arc leaves the start
         while True:
-            at = ends[-1]
-            for t, k in open_[-1]:
-                j = at + k
-                if (prev < 0 or arc(prev, t)) and j not in dead:
-                    path.append(t)
-                    if j == n:
-                        return path
-                    ends.append(j)
-                    open_.append(iter(spelled[word[j:]] if n - j <= 32 else self.arcs(word[j : j + self.longest])))
-                    prev = t
-                    break
+            arcs = open_[-1]
+            while arcs:
+                t, end = arcs.pop()
+                if bisect_right(bounds, rank[t]) & 1 or end in dead:
+                    continue
+                path.append(t)
+                if end == n:
+                    return path
+                ends.append(end)
+                open_.append(self.arcs(word, end))
+                bounds = closed[t]
+                break
             else:
                 if not path:
                     raise ValueError("a byte of the word has no token")
                 dead.add(ends.pop())
                 open_.pop()
                 path.pop()
-                prev = path[-1] if path else -1
-
-    def arcs(self, rest: bytes) -> tuple[tuple[int, int], ...]:
-        """Tokens that begin ``rest``, with their lengths, longest first."""
-        starts, out, j = self.starts, [], 1
-        t = starts.get(rest[:1])
-        while t is not None:
-            if t >= 0:
-                out.append((t, j))
-            if j == len(rest):
+                bounds = closed[path[-1]] if path else []
+
+    def arcs(self, word: bytes, at: int) -> list[tuple[int, int]]:
+        """Tokens that begin at ``at``, with the places where they end, longest last."""
+        get, out = self.starts.get, []
+        for end in range(at + 1, len(word) + 1):
+            t = get(word[at:end])
+            if t is None:
                 break
-            j += 1
-            t = starts.get(rest[:j])
-        return tuple(out[::-1])
+            if t >= 0:
+                out.append((t, end))
+        return out
 
 
-class _Spelled(dict):
-    """Arcs by the bytes that follow, remembered for short ends of words."""
+class _Closed(dict):
+    """For each state, made when first asked for: where its ranges of missing arcs begin and end, in order and disjoint."""
 
-    def __init__(self, automaton: TokenAutomaton):
+    def __init__(self, missing: dict[int, tuple | None]):
         super().__init__()
-        self.automaton = automaton
-
-    def __missing__(self, rest: bytes) -> tuple[tuple[int, int], ...]:
-        if len(self) >= MEMO:
-            self.clear()
-        found = self.automaton.arcs(rest[: self.automaton.longest])
-        if len(rest) <= 32:
-            self[rest] = found
-        return found
+        self.missing = missing
+
+    def __missing__(self, state: int) -> list[int]:
+        ranges, chain = [], self.missing.get(state)
+        while chain is not None:
+            ranges.append(chain[:2])
+            chain = chain[2]
+        bounds: list[int] = []
+        for start, stop in sorted(ranges):
+            if bounds and start <= bounds[-1]:
+                bounds[-1] = max(bounds[-1], stop)
+            elif start < stop:
+                bounds += (start, stop)
+        self[state] = bounds
+        return bounds
 
 
 class Codec(Decoder):
@@ -198,10 +192,10 @@ class Codec(Decoder):
         vocabulary, specials = tokens_of(t)
         self.automaton = TokenAutomaton(vocabulary, merges, specials)
         self.label = self.automaton.label
-        self.words = regex.compile(PATTERN)
+        self.words = re.compile(PATTERN)
         self.odd = re.compile(COMMON)
         self.library = ByteLevel(add_prefix_space=False)
-        self.cut = regex.compile("|".join(regex.escape(s) for s in sorted(specials, key=len, reverse=True))) if specials else None
+        self.cut = re.compile("|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))) if specials else None
         self.memo = _Words(self.automaton)
 
     def split(self, text: str) -> list[str]:
@@ -223,15 +217,21 @@ class Codec(Decoder):
 
 
 class _Words(dict):
+    """Packed ids by word. When full, the words met since the last time stay within reach, so that common ones are kept."""
+
     def __init__(self, automaton: TokenAutomaton):
         super().__init__()
         self.automaton = automaton
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMO:
-            self.clear()
-        packed = np.asarray(self.automaton.encode_word(word.encode()), dtype="<u4").tobytes()
+        packed = self.older.get(word)
+        if packed is None:
+            packed = np.array(self.automaton.encode_word(word.encode()), dtype="<u4").tobytes()
         if len(word) <= 64:
+            if len(self) >= MEMO:
+                self.older = dict(self)
+                self.clear()
             self[word] = packed
         return packed
 
