@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, embed_dedup, jaccard, langid, lm_score, mixing, oracles, url_filter, warc
+from . import ann, bpe, chat, embed_dedup, jaccard, langid, mixing, oracles, url_filter, warc, word_lm
 
 RULES = (
     url_filter.Rule("allow", "org", "/"),
@@ -79,7 +79,7 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = _table(spark, sf_dir, "labels").where("quality = 1")
-    return lm_score.cross_entropy_difference(_table(spark, sf_dir, "documents"), good)
+    return word_lm.cross_entropy_difference(_table(spark, sf_dir, "documents"), good)
 
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
