@@ -15,8 +15,6 @@ from .common import values
 
 #: Buckets of hashed n-grams, longest n-gram in bytes, and training rows per language at most (the fit is on a bounded sample).
 DIMS, LONGEST, ROWS_PER_LANGUAGE = 4096, 3, 600
-#: Languages that are learned at most: those with most labelled rows.
-MAX_LANGUAGES = 400
 UNKNOWN = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -85,16 +83,16 @@ def _clusters(x: np.ndarray, k: int, seed: int, rounds: int = 12) -> np.ndarray:
 def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, per_language: int = 4, margin: float = 0.5) -> LanguageModel:
     """Learn from the rows of ``docs`` (text, lang) with a language and a letter in the text.
 
-    The sample is the same on every run: the ``rows_per_language`` texts of a language with the smallest hashes. Rows
-    above a hash bound that keeps about twice as many are left out before they are sorted, so a language may hold any
-    share of the table. At most ``MAX_LANGUAGES`` languages are learned. ``reject_below`` is ``margin`` times the cosine that all but
+    The sample is the same on every run: the ``rows_per_language`` different texts of a language with the smallest hashes. Rows
+    above a hash bound that keeps about twice as many different texts are left out before they are sorted, so a language may
+    hold any share of the table and any number of copies. Every labelled language is learned. ``reject_below`` is ``margin`` times the cosine that all but
     one in a hundred sampled texts of 20 letters or more reach. No usable row: a model that rejects everything.
     """
-    known = docs.where(F.col("lang").isNotNull()).select("lang", "text", F.xxhash64("text").alias("h"))
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("h"))
+    sizes = known.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     share = F.least(F.lit(1.0), F.lit(2.0 * rows_per_language + 200) / F.col("n"))
     bound = (F.lit(float(-(2**63))) + share * float(2**64)).alias("bound")
-    near = known.join(F.broadcast(sizes.select("lang", bound)), "lang").where((F.col("h") <= F.col("bound")) & F.col("text").rlike(r"\p{L}"))
+    near = known.join(F.broadcast(sizes.select("lang", bound)), "lang").where(F.col("h") <= F.col("bound")).groupBy("lang", "h").agg(F.min("text").alias("text"))
     top = near.withColumn("i", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("i") <= rows_per_language)
 
     def to_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

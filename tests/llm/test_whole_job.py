@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from limitrank.llm import queries, word_lm
+from limitrank.llm import langid, queries, word_lm
 
 
 # 8
@@ -56,3 +56,17 @@ def test_query_scores_words(spark, tmp_path):
     spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r.doc_id: r.score for r in queries.lm_scores(spark, str(tmp_path)).collect()}
     assert got[1] < 0 < got[2] and got[3] is None
+
+
+# 10
+def test_language_made_of_copies(spark):
+    """Every language is learned from its different texts, however often each occurs."""
+    few = spark.range(30_000).select(F.concat(F.lit("zwq xyq "), (F.col("id") % 3).cast("string")).alias("text"), F.lit("qq").alias("lang"))
+    # a text below the bound on rows, with many copies, does not displace the others
+    some = spark.range(40).select(F.concat(F.lit("the of and "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    hot = some.orderBy(F.xxhash64("text")).limit(1).crossJoin(spark.range(700)).select("text", "lang")
+    many = spark.range(401).select(F.lit("abc").alias("text"), F.format_string("x%03d", "id").alias("lang")).crossJoin(spark.range(4)).select("text", "lang")
+    model = langid.fit(few.unionByName(some).unionByName(hot).unionByName(many), rows_per_language=20)
+    assert {"qq", "en"} <= set(model.languages) and len(model.languages) == 403
+    assert model.predict("zwq xyq 1")[0] == "qq"
+    assert (model.owner == model.languages.index("en")).sum() > 1
