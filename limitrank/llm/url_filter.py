@@ -67,22 +67,42 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return out
 
 
+def absolute_url(target: Column, url: Column) -> Column:
+    """A link's target as an address: resolved against the page's ``url`` by scheme, host, path or query, dot segments removed."""
+    root = F.concat(F.lit("https://"), url_host(url))
+    rest = F.regexp_extract(target, r"(?s)\A[^?#]*(.*)\z", 1)
+    own = F.regexp_extract(target, r"(?s)\A([^?#]*)", 1)
+    folder = F.regexp_replace(url_path(url), r"[^/]*\z", "")
+    joined = F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), own))
+    steps = F.aggregate(
+        F.split(joined, "/"), F.array().cast("array<string>"),
+        lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(x))),
+    )
+    return (
+        F.when(target.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:"), target)
+        .when(target.startswith("//"), F.concat(F.lit("https:"), target))
+        .when(target.startswith("#"), url)
+        .when(target.startswith("?"), F.concat(root, url_path(url), target))
+        .otherwise(F.concat(root, F.array_join(steps, "/"), rest))
+    )
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """Edges (a, b) between url nodes: canonical links and refresh redirects in the whole html of pages.
+    """Edges (a, b) between url nodes: all canonical links and refresh redirects in the whole html of pages.
 
-    Relative targets are resolved against the page's host. Null url or html, and links to nowhere, give no edge.
+    Relative targets are resolved against the page's address and ``&amp;`` is read as ``&``. Null url or html, and links to nowhere,
+    give no edge.
     """
     url, html = F.col("url"), F.col("html")
-    tag = F.regexp_extract(html, r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*>", 0)
-    canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    tag = F.regexp_extract(html, r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*>", 0)
-    refresh = F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*[\"'][^\"'>]*?url\s*=\s*([^\"'\s>]+)", 1)
 
-    def absolute(t: Column) -> Column:
-        return F.when(t.startswith("//"), F.concat(F.lit("https:"), t)).when(t.startswith("/"), F.concat(F.lit("https://"), url_host(url), t)).otherwise(t)
+    def targets_of(tag: str, target: str) -> Column:
+        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, target, 1))
 
-    targets = pages.select(url.alias("url"), F.explode(F.array(canonical, refresh)).alias("to")).where(F.col("to") != "")
-    edges = targets.select(url_node(F.col("url")).alias("a"), url_node(absolute(F.col("to"))).alias("b"))
+    canonical = targets_of(r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*>", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)")
+    refresh = targets_of(r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*>", r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?\s*([^\"'\s>]+)")
+    targets = pages.select("url", F.explode(F.concat(canonical, refresh)).alias("to")).where((F.col("to") != "") & url.isNotNull())
+    to = F.regexp_replace("to", r"(?i)&amp;", "&")
+    edges = targets.select(url_node(url).alias("a"), url_node(absolute_url(to, url)).alias("b"))
     return edges.where("a is not null and b is not null and a <> b").distinct()
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from limitrank.llm import langid, queries, word_lm
+from limitrank.llm import langid, queries, url_filter, word_lm
 
 
 # 8
@@ -70,3 +70,18 @@ def test_language_made_of_copies(spark):
     assert {"qq", "en"} <= set(model.languages) and len(model.languages) == 403
     assert model.predict("zwq xyq 1")[0] == "qq"
     assert (model.owner == model.languages.index("en")).sum() > 1
+
+
+# 9
+def test_page_links_of_every_form(spark):
+    base, link, meta = "http://a.org/x/y.html?q=1", '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content={}>'
+    forms = {
+        link.format("http://b.org/1") + link.format("http://b.org/2"): {"b.org/1", "b.org/2"}, link.format("page.html"): {"a.org/x/page"}, link.format("../z"): {"a.org/z"},
+        link.format("../../../z"): {"a.org/z"}, link.format("./w/./v?k=1"): {"a.org/x/w/v?k=1"}, link.format("?p=2"): {"a.org/x/y?p=2"}, link.format("/a/../b"): {"a.org/b"},
+        link.format("//c.org/p"): {"c.org/p"}, link.format("http://a.org/s?b=2&amp;a=1"): {"a.org/s?a=1&b=2"}, link.format("#top"): set(), link.format("mailto:x"): set(),
+        meta.format("\"0; url='http://d.org/q'\""): {"d.org/q"}, meta.format("'0; url=\"http://d.org/q\"'"): {"d.org/q"}, meta.format('"0;URL=n.html"') + meta.format('"1; url=/m"'): {"a.org/x/n", "a.org/m"},
+        meta.format("0;url=/u"): {"a.org/u"}, "": set(),
+    }
+    for html, want in forms.items():
+        got = url_filter.page_links(spark.createDataFrame([(1, base, html), (2, None, html), (3, base, None)], "page_id long, url string, html string")).collect()
+        assert {r.b for r in got} == want and {r.a for r in got} <= {"a.org/x/y?q=1"}, html
