@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limitrank.llm import bpe, jaccard, langid, mixing
+from limitrank.llm.common import stored
 from limitrank.llm.queries import tokenizer_path
 
 
@@ -20,10 +21,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates (five words, 0.8)."""
-    groups = jaccard.near_duplicates(docs)
-    keep = groups.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(*docs.columns)
+    """One row of each group of near-duplicates (five words, 0.8): that with the smallest id, null ids last.
+
+    Rows are compared as rows, each under a key of its own, whatever their ids: of repeated rows one stays, rows of one id with
+    different texts stand for themselves, and rows with a null id take part. A row without a word is its own group and stays.
+    """
+    keyed, _ = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
+    # the groups grow with the documents, so they are never broadcast
+    keep = keyed.select("_row", "doc_id").join(groups.hint("merge"), "_row").groupBy("component_id").agg(first["_row"].alias("_row"))
+    return keyed.join(keep.select("_row").hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

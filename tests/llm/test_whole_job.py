@@ -2,6 +2,7 @@
 
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +86,15 @@ def test_page_links_of_every_form(spark):
     for html, want in forms.items():
         got = url_filter.page_links(spark.createDataFrame([(1, base, html), (2, None, html), (3, base, None)], "page_id long, url string, html string")).collect()
         assert {r.b for r in got} == want and {r.a for r in got} <= {"a.org/x/y?q=1"}, html
+
+
+# pipeline
+def test_one_row_of_each_group(spark, data):
+    copy = "one two three four five six seven eight nine ten"
+    rows = [
+        (None, "a clean text without any id at all"), (None, copy), (1, copy), (1, copy), (2, "quite another text under an id that is used twice"), (2, copy),
+        (3, "twice the same row and nothing else here"), (3, "twice the same row and nothing else here"), (4, ""), (4, ""), (5, None), (None, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s")).repartition(3)
+    got = Counter((r.doc_id, r.text) for r in corpus_pipeline.one_of_each_group(spark, docs, data).collect())
+    assert got == Counter([rows[0], (1, copy), rows[4], rows[6], (4, ""), (4, ""), (5, None), (None, None)])
