@@ -1,5 +1,6 @@
 """Cases in which an operator once did less than its whole job, against brute force or independent expectations."""
 
+import hashlib
 from collections import Counter, defaultdict
 
 import corpus_pipeline
@@ -98,3 +99,30 @@ def test_one_row_of_each_group(spark, data):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s")).repartition(3)
     got = Counter((r.doc_id, r.text) for r in corpus_pipeline.one_of_each_group(spark, docs, data).collect())
     assert got == Counter([rows[0], (1, copy), rows[4], rows[6], (4, ""), (4, ""), (5, None), (None, None)])
+
+
+def test_stages_against_brute_force(spark, data):
+    import public_tokenizers
+    import tokenizers
+
+    tok = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rnd = np.random.default_rng(1)
+    texts = [" ".join(rnd.choice("the of and to in a house river stone light".split(), 30)) for _ in range(12)]
+    rows = [(i, t, "en", "ab"[i % 2]) for i, t in enumerate([*texts, texts[3], texts[4] + " end", None, "123 456"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["language_id", "ngram_jaccard_join", "source_mixing", "bpe_tokens"]
+    known = stages["language_id"](spark, docs, data).localCheckpoint()
+    assert {r.doc_id for r in known.collect()} == set(range(14))
+    unique = stages["ngram_jaccard_join"](spark, known, data).localCheckpoint()
+    assert sorted(r.doc_id for r in unique.collect()) == list(range(12))
+    mixed = stages["source_mixing"](spark, unique, data).localCheckpoint()
+    left, sizes = Counter(r.source for r in mixed.collect()), Counter("ab"[i % 2] for i in range(12))
+    # all texts are 30 words: 1.5 times the words, 5 to 2, at most twice each
+    assert sizes == {"a": 6, "b": 6} and left["a"] == 12 and left["b"] == 6
+    got = stages["bpe_tokens"](spark, mixed, data).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in mixed.collect())
+    for r in got:
+        ids = np.array(tok.encode(texts[r.doc_id], add_special_tokens=False).ids, "<u4").tobytes()
+        assert (r.n_tokens, bytes(r.ids), r.ids_sha256) == (len(ids) // 4, ids, hashlib.sha256(ids).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
