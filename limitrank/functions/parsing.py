@@ -21,20 +21,20 @@ def iso_to_date(text: Column) -> Column:
     return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
 
 
-def parse_decimal(text: Column, commas: bool = True, zero_is_null: bool = False, missing: tuple[str, ...] = ()) -> Column:
-    """DECIMAL(18,4) of a trimmed number; empty, unreadable or not finite: null."""
+def parse_decimal(text: Column, commas: bool = True, zero_is_null: bool = False, missing: tuple[str, ...] = (), kind: str = "decimal(18,4)") -> Column:
+    """A trimmed number as ``kind``; empty, unreadable or not finite: null."""
     t = F.trim(text)
     if missing:
         t = F.when(~F.lower(t).isin(*missing), t)
     if commas:
         t = F.replace(t, F.lit(","), F.lit(""))
-    d = t.try_cast("decimal(18,4)")
-    return F.nullif(d, F.lit(0).cast("decimal(18,4)")) if zero_is_null else d
+    d = t.try_cast(kind)
+    return F.nullif(d, F.lit(0).cast(kind)) if zero_is_null else d
 
 
 def parse_int(text: Column, commas: bool = True) -> Column:
     """BIGINT of a whole number; fractions and all that ``parse_decimal`` refuses: null."""
-    d = parse_decimal(text, commas)
+    d = parse_decimal(text, commas, kind="decimal(24,4)")
     return F.when(d == F.floor(d), d.cast("bigint"))
 
 
@@ -44,8 +44,8 @@ def market_of(text: Column) -> Column:
 
 
 def classify_security(stock_id: Column, name: Column, category: Column) -> Column:
-    """ETF, ETN, WARRANT, DR, COMMON_STOCK or UNKNOWN; the first that fits, in this order."""
-    c, n = F.upper(F.coalesce(category, F.lit(""))), F.upper(F.coalesce(name, F.lit("")))
+    """ETF, ETN, WARRANT, DR, COMMON_STOCK or UNKNOWN; the first that fits, in this order (the words are fixed values)."""
+    c, n = F.upper(F.trim(F.coalesce(category, F.lit("")))), F.upper(F.trim(F.coalesce(name, F.lit(""))))
 
     def named(*words: str) -> Column:
         found = F.lit(False)
@@ -54,8 +54,8 @@ def classify_security(stock_id: Column, name: Column, category: Column) -> Colum
         return found
 
     return (
-        F.when(named("ETF"), "ETF").when(named("ETN"), "ETN").when(named("WARRANT", "權證", "認購", "認售"), "WARRANT")
-        .when((F.trim(c) == "DR") | named("TDR", "存託憑證"), "DR")
+        F.when(named("ETF"), "ETF").when(named("ETN"), "ETN").when(named("權證"), "WARRANT")
+        .when((c == "DR") | named("TDR", "存託憑證"), "DR")
         .when(stock_id.rlike("^[0-9]{4}$"), "COMMON_STOCK").otherwise("UNKNOWN")
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,26 +16,39 @@ def _price(x: str) -> Column:
     return F.lit(x).cast(PRICE)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used; else plans grow with every use."""
+    return F.transform(F.array(value), body)[0]
+
+
 def tick_size(price: Column) -> Column:
     """Tick of a price's band; null outside [0, 999999999)."""
-    p, out = price.cast(PRICE), None
-    for top, tick in BANDS:
-        fits = (p >= 0) & (p < _price(top))
-        out = F.when(fits, _price(tick)) if out is None else out.when(fits, _price(tick))
-    return out
+    def band(p: Column) -> Column:
+        out = F.when(p < 0, F.lit(None).cast(PRICE))
+        for top, tick in BANDS:
+            out = out.when(p < _price(top), _price(tick))
+        return out
+
+    return _let(price.cast(PRICE), band)
 
 
 def round_to_tick(price: Column, tick: Column, down: bool = True) -> Column:
     """Whole ticks toward zero, or to the nearest (halves away from zero)."""
-    steps = price.cast(PRICE) / tick
-    whole = F.when(steps < 0, F.ceil(steps)).otherwise(F.floor(steps)) if down else F.round(steps)
-    return (whole.cast("decimal(18,0)") * tick).cast(PRICE)
+    def rounded(x: Column) -> Column:
+        steps = x["p"] / x["t"]
+        whole = F.when(x["p"] < 0, F.ceil(steps)).otherwise(F.floor(steps)) if down else F.round(steps)
+        return (whole.cast("decimal(18,0)") * x["t"]).cast(PRICE)
+
+    return _let(F.struct(price.cast(PRICE).alias("p"), tick.cast(PRICE).alias("t")), rounded)
 
 
 def limit_up_price(reference: Column) -> Column:
     """Highest legal price of a session: a tenth above the reference, down to the tick of that price's band; null unless positive."""
-    raw = (reference.cast(PRICE) * F.lit("1.10").cast("decimal(3,2)")).cast(PRICE)
-    return F.when(reference > 0, round_to_tick(raw, tick_size(raw)))
+    def limit(r: Column) -> Column:
+        raw = (r * F.lit("1.10").cast("decimal(3,2)")).cast(PRICE)
+        return F.when(r > 0, _let(raw, lambda x: round_to_tick(x, tick_size(x))))
+
+    return _let(reference.cast(PRICE), limit)
 
 
 def resolve_limit_up(limited: Column, given: Column, reference: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .asof import asof_join
 
+MARKETS = ("TWSE", "TPEX")
+
 
 def last_wins(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """The row of each key that comes last in ``order``, which must be unique within a key."""
@@ -14,37 +16,6 @@ def last_wins(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
-def valid_history(bars: DataFrame) -> DataFrame:
-    return bars.where("close > 0 and volume >= 0 and turnover >= 0")
-
-
-def trailing_prices(bars: DataFrame) -> DataFrame:
-    """Trailing columns at each valid session of a stock, counting that session: 20-session means, and closes 5 and 20 back."""
-    order = Window.partitionBy("stock_id").orderBy("trading_date")
-    w = order.rowsBetween(-19, 0)
-    full = F.count(F.lit(1)).over(w) == 20
-    return valid_history(bars).select(
-        "stock_id", "trading_date",
-        F.when(full, F.avg("turnover").over(w)).alias("average_turnover_20d"), F.when(full, F.avg("volume").over(w)).alias("average_volume_20d"),
-        F.lag("close", 4).over(order).alias("close_5"), F.lag("close", 19).over(order).alias("close_20"),
-    )
-
-
-def price_features(targets: DataFrame, bars: DataFrame) -> DataFrame:
-    """targets (stock_id, trading_date, close, volume) with average_turnover_20d, volume_ratio_20d, return_5d, return_20d.
-
-    Only sessions strictly before the target count; too short a history gives null.
-    """
-    j = asof_join(targets, trailing_prices(bars), ["stock_id"], "trading_date", strict=True)
-    m = F.col("match")
-    return j.select(
-        *targets.columns, m["average_turnover_20d"].alias("average_turnover_20d"),
-        F.when(m["average_volume_20d"] > 0, F.col("volume") / m["average_volume_20d"]).alias("volume_ratio_20d"),
-        F.when(m["close_5"] > 0, F.col("close") / m["close_5"] - 1).alias("return_5d"),
-        F.when(m["close_20"] > 0, F.col("close") / m["close_20"] - 1).alias("return_20d"),
-    )
-
-
 def institutional_flows(rows: DataFrame) -> DataFrame:
     """Net shares by (stock_id, trading_date) over investor categories; one row with a null side leaves out its whole date."""
     g = rows.groupBy("stock_id", "trading_date").agg(
@@ -53,56 +24,145 @@ def institutional_flows(rows: DataFrame) -> DataFrame:
     return g.where(~F.col("bad")).drop("bad")
 
 
-def flow_ratio(targets: DataFrame, bars: DataFrame, flows: DataFrame, sessions: int = 5) -> DataFrame:
-    """targets with net_buy_ratio: net shares over volume of the last ``sessions`` sessions with volume, strictly before; null if a flow is absent."""
+def monthly_revenue(rows: DataFrame) -> DataFrame:
+    """Usable revenue rows: a year, a month of 1 to 12 and revenue that is whole and not negative."""
+    return rows.where("revenue_year > 0 and revenue_month between 1 and 12 and revenue >= 0 and revenue = floor(revenue)")
+
+
+def revenue_growth(revenue: DataFrame) -> DataFrame:
+    """stock_id, trading_date, yoy: growth of the newest known period from each date on which a row became available.
+
+    The period is the greatest (year, month, available_at); the year before is looked up in its latest revision, known or not, rows
+    without a date last. Of equal revisions the first row counts (``ordinal``, where the rows have one). Null if the year before is not positive.
+    """
+    place = -F.col("ordinal").cast("long") if "ordinal" in revenue.columns else -F.col("revenue")
+    r = revenue.withColumn("place", place)
+    w = Window.partitionBy("stock_id").orderBy("available_at").rangeBetween(Window.unboundedPreceding, 0)
+    best = F.max(F.struct("revenue_year", "revenue_month", "available_at", "place", "revenue")).over(w)
+    newest = r.where(F.col("available_at").isNotNull()).select("stock_id", F.col("available_at").alias("trading_date"), best.alias("b")).distinct()
+    prior = r.groupBy("stock_id", (F.col("revenue_year") + 1).alias("y"), F.col("revenue_month").alias("m")).agg(
+        F.max_by("revenue", F.struct(F.coalesce("available_at", F.lit("0001-01-01").cast("date")), "place")).alias("prior"))
+    n = newest.select("stock_id", "trading_date", F.col("b.revenue_year").alias("y"), F.col("b.revenue_month").alias("m"), F.col("b.revenue").alias("now"))
+    return n.join(prior, ["stock_id", "y", "m"], "left").select("stock_id", "trading_date", F.when(F.col("prior") > 0, F.col("now") / F.col("prior") - 1).alias("yoy"))
+
+
+def point_in_time(
+    targets: DataFrame, bars: DataFrame | None = None, flows: DataFrame | None = None, revenue: DataFrame | None = None,
+    sessions: int = 5, lookback_days: int | None = None,
+) -> DataFrame:
+    """targets (stock_id, trading_date, close, volume, ...) with average_turnover_20d, volume_ratio_20d, return_5d, return_20d,
+    net_buy_ratio, revenue_yoy and has_history.
+
+    Prices: the last 20 sessions with close > 0, volume >= 0 and turnover >= 0 strictly before the date; fewer give null. Flows: net
+    shares over volume of the last ``sessions`` sessions with volume, strictly before; null if a flow is absent, or if the stock has two
+    flows on any earlier date. Revenue: growth as known on the date itself. ``lookback_days`` makes a factor null whose oldest
+    session is further back (None: no bound). Of several bars on one date the last by ``ordinal`` counts, where bars have one. A source
+    that is None or lacks a stock leaves nulls and never drops a target; repeated targets repeat.
+
+    All sources are merged into one stream per stock and dealt once, by stock_id; every window and look-up runs in that order.
+    """
     if sessions <= 0:
         raise ValueError("sessions must be positive")
-    w = Window.partitionBy("stock_id").orderBy("trading_date").rowsBetween(1 - sessions, 0)
-    s = bars.where("volume > 0").select("stock_id", "trading_date", "volume").join(flows, ["stock_id", "trading_date"], "left")
-    s = s.select("stock_id", "trading_date", F.when(F.count("net_shares").over(w) == sessions, F.sum("net_shares").over(w) / F.sum("volume").over(w)).alias("ratio"))
-    j = asof_join(targets, s, ["stock_id"], "trading_date", strict=True)
-    return j.select(*targets.columns, F.col("match")["ratio"].alias("net_buy_ratio"))
+    kinds = {"target": targets.select(F.struct("*").alias("x")).schema["x"].dataType.simpleString(), "bar": "struct<o:bigint,close:double,volume:double,turnover:double>", "net": "bigint", "rev": "struct<yoy:double>"}
+    # targets may clash with these names; they travel as one struct
+    def part(df: DataFrame, **made: Column) -> DataFrame:
+        return df.select("stock_id", "trading_date", *[made.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()])
+
+    all_ = part(targets, target=F.struct("*"))
+    if bars is not None:
+        o = F.col("ordinal").cast("long") if "ordinal" in bars.columns else F.lit(0).cast("long")
+        all_ = all_.unionByName(part(bars, bar=F.struct(o.alias("o"), *[F.col(c).cast("double").alias(c) for c in ("close", "volume", "turnover")])))
+    if flows is not None:
+        all_ = all_.unionByName(part(flows, net=F.col("net_shares")))
+    if revenue is not None:
+        all_ = all_.unionByName(part(revenue_growth(revenue), rev=F.struct("yoy")))
+    d = all_.repartition("stock_id").groupBy("stock_id", "trading_date").agg(
+        F.collect_list("target").alias("targets"), F.max("bar").alias("bar"), F.sum("net").alias("net"), F.count("net").alias("n_net"), F.first("rev", ignorenulls=True).alias("rev"))
+    b, day = F.col("bar"), F.col("trading_date")
+    usable = F.coalesce((b["close"] > 0) & (b["volume"] >= 0) & (b["turnover"] >= 0), F.lit(False))
+    traded = F.coalesce(b["volume"] > 0, F.lit(False))
+    d = d.withColumns({"usable": usable, "traded": traded})
+    order = Window.partitionBy("stock_id", "usable").orderBy("trading_date")
+    w20, w5 = order.rowsBetween(-19, 0), Window.partitionBy("stock_id", "traded").orderBy("trading_date").rowsBetween(1 - sessions, 0)
+    full = F.count(F.lit(1)).over(w20) == 20
+    flow = F.when(F.count("net").over(w5) == sessions, F.sum("net").over(w5) / F.sum("bar.volume").over(w5))
+    d = d.withColumns({
+        "p": F.when(F.col("usable"), F.struct(
+            F.when(full, F.avg("bar.turnover").over(w20)).alias("t20"), F.when(full, F.avg("bar.volume").over(w20)).alias("v20"),
+            F.lag("bar.close", 4).over(order).alias("c5"), F.lag("trading_date", 4).over(order).alias("d5"),
+            F.lag("bar.close", 19).over(order).alias("c20"), F.lag("trading_date", 19).over(order).alias("d20"),
+        )),
+        "f": F.when(F.col("traded"), F.struct(flow.alias("ratio"), F.min("trading_date").over(w5).alias("since"))),
+    })
+    before = Window.partitionBy("stock_id").orderBy("trading_date").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("stock_id").orderBy("trading_date").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.select(
+        "trading_date", "targets", F.last("p", ignorenulls=True).over(before).alias("p"), F.last("f", ignorenulls=True).over(before).alias("f"),
+        F.last("rev", ignorenulls=True).over(upto)["yoy"].alias("yoy"), F.coalesce(F.max(F.col("n_net") > 1).over(before), F.lit(False)).alias("twice"),
+        (F.count("bar").over(before) > 0).alias("has_history"),
+    ).where(F.size("targets") > 0).withColumn("target", F.explode("targets"))
+
+    def near(c: Column, since: Column) -> Column:
+        return c if lookback_days is None else F.when(F.datediff(day, since) <= lookback_days, c)
+
+    t, p = F.col("target"), F.col("p")
+    made = {
+        "average_turnover_20d": near(p["t20"], p["d20"]),
+        "volume_ratio_20d": near(F.when(p["v20"] > 0, t["volume"].cast("double") / p["v20"]), p["d20"]) if "volume" in targets.columns else None,
+        "return_5d": near(F.when(p["c5"] > 0, t["close"].cast("double") / p["c5"] - 1), p["d5"]) if "close" in targets.columns else None,
+        "return_20d": near(F.when(p["c20"] > 0, t["close"].cast("double") / p["c20"] - 1), p["d20"]) if "close" in targets.columns else None,
+        "net_buy_ratio": near(F.when(~F.col("twice"), F.col("f.ratio")), F.col("f.since")),
+        "revenue_yoy": F.col("yoy"), "has_history": F.col("has_history"),
+    }
+    made = {k: v for k, v in made.items() if v is not None}
+    return d.select(*[t[c].alias(c) for c in targets.columns if c not in made], *[v.alias(k) for k, v in made.items()])
 
 
-def monthly_revenue(rows: DataFrame) -> DataFrame:
-    """Usable revenue rows: a year, a month of 1 to 12 and revenue that is whole and not negative."""
-    return rows.where("revenue_year > 0 and revenue_month between 1 and 12 and revenue >= 0 and revenue = floor(revenue)")
+def price_features(targets: DataFrame, bars: DataFrame) -> DataFrame:
+    """targets (stock_id, trading_date, close, volume) with the four trailing price columns of ``point_in_time``."""
+    return point_in_time(targets, bars).drop("net_buy_ratio", "revenue_yoy", "has_history")
+
+
+def flow_ratio(targets: DataFrame, bars: DataFrame, flows: DataFrame, sessions: int = 5) -> DataFrame:
+    """targets (stock_id, trading_date) with net_buy_ratio of ``point_in_time``."""
+    return point_in_time(targets, bars, flows, sessions=sessions).select(*targets.columns, "net_buy_ratio")
 
 
 def revenue_yoy(targets: DataFrame, revenue: DataFrame) -> DataFrame:
-    """targets (stock_id, trading_date) with revenue_yoy of the newest period known on the date.
+    """targets (stock_id, trading_date) with revenue_yoy of ``point_in_time``."""
+    return point_in_time(targets, revenue=revenue).select(*targets.columns, "revenue_yoy")
+
 
-    The period is the greatest (year, month, available_at) with available_at on or before the date; the year before is looked up
-    in its latest revision, known or not, rows without a date last. Null if that is not positive.
+def snapshot_ages(dates: DataFrame, valuations: DataFrame) -> DataFrame:
+    """trading_date, market, snapshot_date (newest on or before the date, or null), age in days, for both markets of each date.
+
+    A row for each date and market, so small at any number of stocks.
     """
-    known = revenue.where(F.col("available_at").isNotNull())
-    w = Window.partitionBy("stock_id").orderBy("available_at").rangeBetween(Window.unboundedPreceding, 0)
-    best = F.max(F.struct("revenue_year", "revenue_month", "available_at", "revenue")).over(w)
-    newest = known.select("stock_id", F.col("available_at").alias("trading_date"), best.alias("b")).distinct()
-    prior = last_wins(revenue, ["stock_id", "revenue_year", "revenue_month"], F.struct(F.coalesce("available_at", F.lit("1000-01-01").cast("date")), -F.col("revenue")))
-    prior = prior.select("stock_id", (F.col("revenue_year") + 1).alias("y"), F.col("revenue_month").alias("m"), F.col("revenue").alias("prior"))
-    n = newest.join(prior, (newest.stock_id == prior.stock_id) & (F.col("b.revenue_year") == F.col("y")) & (F.col("b.revenue_month") == F.col("m")), "left")
-    n = n.select(newest.stock_id, "trading_date", F.when(F.col("prior") > 0, F.col("b.revenue") / F.col("prior") - 1).alias("yoy"))
-    return asof_join(targets, n, ["stock_id"], "trading_date").select(*targets.columns, F.col("match")["yoy"].alias("revenue_yoy"))
+    snaps = valuations.select("market", "snapshot_date").distinct().withColumn("trading_date", F.col("snapshot_date"))
+    want = dates.select("trading_date").distinct().withColumn("market", F.explode(F.array(*map(F.lit, MARKETS))))
+    j = asof_join(want, snaps, ["market"], "trading_date").select("trading_date", "market", F.col("match")["snapshot_date"].alias("snapshot_date"))
+    return j.withColumn("age", F.datediff("trading_date", "snapshot_date"))
 
 
 def valuation_snapshots(dates: DataFrame, valuations: DataFrame, max_age_days: int = 5) -> DataFrame:
     """Valuation rows that count on each date: all rows of a market's newest snapshot on or before it.
 
-    A date counts only if both markets have a snapshot no older than ``max_age_days``. Of one stock in both, TPEX stands.
+    A date counts only if both markets have a snapshot no older than ``max_age_days``. Of one stock in both, TPEX stands, and of
+    several rows in one the last by ``ordinal``, where rows have one.
     """
-    markets = valuations.select("market").distinct()
-    snaps = valuations.select("market", "snapshot_date").distinct().withColumn("trading_date", F.col("snapshot_date"))
-    want = dates.select("trading_date").distinct().crossJoin(F.broadcast(markets))
-    j = asof_join(want, snaps, ["market"], "trading_date", tolerance_days=max_age_days).select("trading_date", "market", F.col("match")["snapshot_date"].alias("snapshot_date"))
-    usable = j.groupBy("trading_date").agg(F.count("snapshot_date").alias("n")).where("n = 2").select("trading_date")
-    rows = j.join(usable, "trading_date").join(valuations, ["market", "snapshot_date"])
-    return last_wins(rows, ["trading_date", "stock_id"], F.when(F.col("market") == "TPEX", 1).otherwise(0))
+    near = snapshot_ages(dates, valuations).where(F.col("age") <= max_age_days)
+    both = Window.partitionBy("trading_date")
+    near = near.withColumn("n", F.count(F.lit(1)).over(both)).where(F.col("n") == len(MARKETS)).select("trading_date", "market", "snapshot_date")
+    place = F.struct((F.col("market") == "TPEX").alias("second"), (F.col("ordinal").cast("long") if "ordinal" in valuations.columns else F.lit(0)).alias("o"), "pe_ratio")
+    rows = near.join(valuations, ["market", "snapshot_date"])
+    return rows.groupBy("trading_date", "stock_id").agg(F.max_by(F.struct("market", "snapshot_date", "pe_ratio"), place).alias("r")).select("trading_date", "stock_id", "r.*")
 
 
-def filter_by_pe(rows: DataFrame, valuations: DataFrame, most: float) -> DataFrame:
+def filter_by_pe(rows: DataFrame, valuations: DataFrame, most: float | Column) -> DataFrame:
     """Rows whose stock has 0 < P/E <= ``most`` on the date; no record or no P/E: out."""
-    if most <= 0:
-        raise ValueError("the largest P/E must be positive")
-    ok = valuations.where((F.col("pe_ratio") > 0) & (F.col("pe_ratio") <= most)).select("trading_date", "stock_id")
-    return rows.join(ok, ["trading_date", "stock_id"], "left_semi")
+    if not isinstance(most, Column):
+        if most <= 0:
+            raise ValueError("the largest P/E must be positive")
+        most = F.lit(float(most))
+    ok = valuations.where(F.col("pe_ratio") > 0).select("trading_date", "stock_id", F.col("pe_ratio").cast("double").alias("__pe"))
+    return rows.join(ok, ["trading_date", "stock_id"]).where(F.col("__pe") <= most).drop("__pe")

@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .factors import MARKETS, snapshot_ages
+
 
 def merge_sources(primary: DataFrame, fallback: DataFrame, fields: list[str]) -> DataFrame:
-    """Primary rows; a field that is null or 0 is taken from the fallback's row of the same stock and date. Quality is that of both."""
-    f = fallback.select("trading_date", "stock_id", F.col("quality").alias("__q"), *[F.col(c).alias(f"__{c}") for c in fields])
-    d = primary.join(f, ["trading_date", "stock_id"], "left")
-    made = {c: F.coalesce(F.when(F.col(c) != 0, F.col(c)), F.col(f"__{c}"), F.col(c)) for c in fields}
-    return d.select("trading_date", "stock_id", *[made[c].alias(c) for c in fields], (F.col("quality") & F.coalesce("__q", F.lit(True))).alias("quality"))
+    """One row per stock and date of ``primary``; a field that is null or 0 is taken from the fallback's row.
+
+    ``has_price_limit`` stays the primary's, ``quality`` is that of both. Of several rows of a stock and date the last by
+    ``ordinal`` counts on either side (without that column, the one that compares greatest).
+    """
+    keys = ["trading_date", "stock_id"]
+
+    def one(df: DataFrame) -> DataFrame:
+        order = F.struct("ordinal", *fields) if "ordinal" in df.columns else F.struct(*fields)
+        kept = [c for c in (*fields, "has_price_limit", "quality") if c in df.columns]
+        return df.groupBy(*keys).agg(F.max_by(F.struct(*kept), order).alias("r")).select(*keys, "r.*")
+
+    p, f = one(primary), one(fallback)
+    f = f.select(*keys, F.col("quality").alias("__q"), *[F.col(c).alias(f"__{c}") for c in fields])
+    made = [F.coalesce(F.when(F.col(c) != 0, F.col(c)), F.col(f"__{c}"), F.col(c)).alias(c) for c in fields]
+    limit = ["has_price_limit"] if "has_price_limit" in p.columns else []
+    return p.join(f, keys, "left").select(*keys, *made, *limit, (F.col("quality") & F.coalesce("__q", F.lit(True))).alias("quality"))
 
 
 def is_trading_day(day: Column, holiday: Column) -> Column:
@@ -19,41 +33,72 @@ def is_trading_day(day: Column, holiday: Column) -> Column:
     return (F.weekday(day) < 5) & ~F.coalesce(holiday, F.lit(False))
 
 
-def source_readiness(spine: DataFrame, prices: DataFrame, snapshots: DataFrame, max_age_days: int = 5) -> DataFrame:
-    """spine (trading_date, holiday) with n_twse, n_tpex and status: SKIPPED_NON_TRADING_DAY, WAITING_FOR_DATA, FAILED or READY.
+def source_readiness(spine: DataFrame, payloads: DataFrame, rows: DataFrame, valuations: DataFrame, master: DataFrame, max_age_days: int = 5) -> DataFrame:
+    """spine (trading_date, holiday) with n_twse, n_tpex (rows that report the date) and status.
 
-    Both markets must report the date (else waiting) with a usable row each, and have a valuation snapshot (trading_date,
-    market, age) of at most ``max_age_days`` (else failed).
+    ``payloads``: target_date, market, well_formed. ``rows``: target_date, market, on_date, mapped (see ``mappers.reported``).
+    Gates in order: no trading day (SKIPPED_NON_TRADING_DAY); for each market a payload of the wrong form (FAILED) or none that
+    reports the date (WAITING_FOR_DATA); for each market no valuation snapshot on or before the date, or one older than
+    ``max_age_days`` (WAITING_FOR_DATA); an empty ``master`` (FAILED); a market without a mapped row (WAITING_FOR_DATA); else READY.
     """
-    n = prices.groupBy("trading_date").agg(
-        *[F.count_if((F.col("market") == m)).alias(f"n_{m.lower()}") for m in ("TWSE", "TPEX")],
-        *[F.count_if((F.col("market") == m) & F.col("quality")).alias(f"ok_{m.lower()}") for m in ("TWSE", "TPEX")],
-    )
-    fresh = snapshots.where(F.col("age") <= max_age_days).groupBy("trading_date").agg(F.count_distinct("market").alias("fresh"))
-    d = spine.join(n, "trading_date", "left").join(fresh, "trading_date", "left").na.fill(0, ["n_twse", "n_tpex", "ok_twse", "ok_tpex", "fresh"])
-    status = (
-        F.when(~is_trading_day(F.col("trading_date"), F.col("holiday")), "SKIPPED_NON_TRADING_DAY").when(F.least("n_twse", "n_tpex") == 0, "WAITING_FOR_DATA")
-        .when((F.least("ok_twse", "ok_tpex") == 0) | (F.col("fresh") < 2), "FAILED").otherwise("READY")
-    )
-    return d.select("trading_date", "n_twse", "n_tpex", status.alias("status"))
-
-
-def funnel(stages: dict[str, DataFrame]) -> DataFrame:
-    """Rows per trading_date that reached each stage."""
+    def by_market(df: DataFrame, key: str, **made: Column) -> DataFrame:
+        return df.groupBy(F.col(key).alias("trading_date")).agg(*[
+            agg(F.when(F.col("market") == m, c)).alias(f"{k}_{m.lower()}") for m in MARKETS for k, (agg, c) in made.items()
+        ])
+
+    bad = by_market(payloads, "target_date", bad=(F.bool_or, ~F.col("well_formed")))
+    n = by_market(rows, "target_date", n=(F.sum, F.col("on_date")), ok=(F.sum, F.col("mapped")))
+    age = by_market(snapshot_ages(spine, valuations), "trading_date", age=(F.max, F.col("age")))
+    d = spine.join(bad, "trading_date", "left").join(n, "trading_date", "left").join(age, "trading_date", "left")
+    names = [m.lower() for m in MARKETS]
+    d = d.na.fill(0, [f"{k}_{m}" for m in names for k in ("n", "ok")]).na.fill(False, [f"bad_{m}" for m in names])
+    # one row, looked up by the plan itself
+    d = d.withColumn("n_master", master.select(F.count(F.lit(1))).scalar())
+    status = F.when(~is_trading_day(F.col("trading_date"), F.col("holiday")), "SKIPPED_NON_TRADING_DAY")
+    for m in names:
+        status = status.when(F.col(f"bad_{m}"), "FAILED").when(F.col(f"n_{m}") == 0, "WAITING_FOR_DATA")
+    for m in names:
+        status = status.when(F.coalesce(F.col(f"age_{m}") > max_age_days, F.lit(True)), "WAITING_FOR_DATA")
+    status = status.when(F.col("n_master") == 0, "FAILED").when(F.least(*[f"ok_{m}" for m in names]) == 0, "WAITING_FOR_DATA").otherwise("READY")
+    return d.select("trading_date", *[f"n_{m}" for m in names], status.alias("status"))
+
+
+def funnel(stages: dict[str, DataFrame], by: tuple[str, ...] = ("trading_date",)) -> DataFrame:
+    """Rows per ``by`` that reached each stage."""
     tagged = None
     for name, df in stages.items():
-        part = df.select("trading_date", F.lit(name).alias("stage"))
+        part = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).withColumn("stage", F.lit(name))
         tagged = part if tagged is None else tagged.unionByName(part)
-    return tagged.groupBy("trading_date").agg(*[F.count_if(F.col("stage") == s).alias(s) for s in stages])
+    return tagged.groupBy(*by).agg(*[F.coalesce(F.sum(F.when(F.col("stage") == s, F.col("n"))), F.lit(0)).alias(s) for s in stages])
 
 
-def enrichment_coverage(rows: DataFrame) -> DataFrame:
-    """Per date: rows with each enrichment, and risk outcomes (incomplete counts before flagged)."""
+def enrichment_states(rows: DataFrame, failures: DataFrame | None = None) -> DataFrame:
+    """rows with price_state, flow_state and revenue_state: success, failed, and empty (prices) or none (the others).
+
+    Prices succeed when the stock has any history before the date, the others when their factor is known. ``failures`` (stock_id,
+    trading_date, source of price, flow or revenue) names requests that failed; without it none did.
+    """
+    d = rows
+    if failures is not None:
+        f = failures.groupBy("stock_id", "trading_date").agg(F.collect_set("source").alias("__failed"))
+        d = d.join(f, ["stock_id", "trading_date"], "left")
+    failed = (lambda s: F.coalesce(F.array_contains("__failed", s), F.lit(False))) if failures is not None else (lambda _: F.lit(False))
+    d = d.withColumns({
+        "price_state": F.when(failed("price"), "failed").when(F.col("has_history"), "success").otherwise("empty"),
+        "flow_state": F.when(failed("flow"), "failed").when(F.col("net_buy_ratio").isNotNull(), "success").otherwise("none"),
+        "revenue_state": F.when(failed("revenue"), "failed").when(F.col("revenue_yoy").isNotNull(), "success").otherwise("none"),
+    })
+    return d.drop("__failed")
+
+
+def enrichment_coverage(rows: DataFrame, by: tuple[str, ...] = ("trading_date",)) -> DataFrame:
+    """Counts of ``enrichment_states`` and of risk outcomes (incomplete counts before flagged) per ``by``."""
     excluded = F.col("exclusion").isNotNull()
     incomplete = ~excluded & (F.size("missing_inputs") > 0)
     flagged = ~excluded & ~incomplete & (F.size("risk_flags") > 0)
-    return rows.groupBy("trading_date").agg(
-        *[F.count_if(F.col(c).isNotNull()).alias(f"with_{c}") for c in ("volume_ratio_20d", "net_buy_ratio", "revenue_yoy")],
+    states = [(f"{s}_state", x) for s, none in (("price", "empty"), ("flow", "none"), ("revenue", "none")) for x in ("success", none, "failed")]
+    return rows.groupBy(*by).agg(
+        *[F.count_if(F.col(c) == x).alias(f"{c.removesuffix('_state')}_{x}") for c, x in states],
         F.count_if(excluded).alias("excluded"), F.count_if(incomplete).alias("incomplete"), F.count_if(flagged).alias("flagged"),
         F.count_if(~excluded & ~incomplete & ~flagged).alias("clean"),
     )

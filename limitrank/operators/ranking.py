@@ -1,125 +1,133 @@
-"""Candidates, risk rules, cross-sectional scores and the daily list."""
+"""Candidates, risk rules, cross-sectional scores and the daily list, for all strategies at once.
+
+Rows carry the struct ``strategy`` and strategy_version (see ``sources.strategies``); thresholds, penalties and weights are read from there.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ticks import bounded_momentum_score, evaluate_limit_up, is_ky, is_one_price, resolve_limit_up
+from ..sources.strategies import Strategy, for_each_strategy
+
+#: Factors in declared order and the column that each is scored from (fixed values).
+FACTORS = {"liquidity": "turnover", "volume_price": "volume_ratio_20d", "momentum": "return_5d", "institutional": "net_buy_ratio", "fundamental": "revenue_yoy", "risk_quality": "risk_quality"}
+CROSS = ["strategy_version", "trading_date"]
+
 
-#: Factor columns with their weights, in declared order (fixed values).
-WEIGHTS = {"turnover": 0.20, "volume_ratio_20d": 0.20, "return_5d": 0.15, "net_buy_ratio": 0.20, "revenue_yoy": 0.15, "risk_quality": 0.10}
-#: Deduction of each soft flag (fixed values; together 1).
-PENALTIES = {"attention": 0.30, "ky": 0.10, "one_price": 0.20, "streak": 0.20, "hot_return": 0.20}
-
-
-@dataclass(frozen=True)
-class Strategy:
-    version: str = "v1"
-    least_turnover: float = 0.0
-    candidates: int = 50
-    published: int = 10
-    most_pe: float = 30.0
-    least_completeness: float = 0.80
-    most_streak: int = 3
-    hot_return: float = 0.35
-    allow_attention: bool = True
-    allow_ky: bool = True
-    allow_one_price: bool = True
-    weights: dict = field(default_factory=lambda: dict(WEIGHTS))
-    penalties: dict = field(default_factory=lambda: dict(PENALTIES))
-
-
-def build_candidates(prices: DataFrame, master: DataFrame, s: Strategy) -> DataFrame:
-    """Active common stocks that closed at their limit, at most ``s.candidates`` a date by turnover, then volume."""
-    d = prices.join(master.select("stock_id", "stock_name", "security_type", "is_active"), "stock_id").where("is_active")
+def limit_up_stocks(prices: DataFrame, master: DataFrame) -> DataFrame:
+    """Active common stocks that closed at their limit, with limit_price, limit_source and one_price."""
     limit = resolve_limit_up(F.col("has_price_limit"), F.col("limit_up_price"), F.col("reference"))
-    d = d.withColumn("limit", limit).withColumns({"limit_price": F.col("limit.price"), "limit_source": F.col("limit.source")}).drop("limit", "limit_up_price")
-    d = d.withColumn("e", evaluate_limit_up(F.col("security_type"), F.col("quality"), F.col("close"), F.col("high"), F.col("limit_price")))
-    d = d.where(F.col("e.closed") & (F.col("turnover") >= s.least_turnover)).drop("e")
-    w = Window.partitionBy("trading_date").orderBy(F.desc("turnover"), F.coalesce("volume", F.lit(0)).desc(), "stock_id")
-    return d.withColumn("place", F.row_number().over(w)).where(F.col("place") <= s.candidates)
+    d = prices.withColumn("limit", limit).withColumns({"limit_price": F.col("limit.price"), "limit_source": F.col("limit.source")}).drop("limit", "limit_up_price")
+    # few prices are at their limit, so these are what the join with the master moves
+    d = d.where((F.col("close") == F.col("limit_price")) & F.col("quality"))
+    d = d.join(master.drop("market"), "stock_id").where("is_active")
+    d = d.where(evaluate_limit_up(F.col("security_type"), F.col("quality"), F.col("close"), F.col("high"), F.col("limit_price"))["closed"])
+    return d.withColumn("one_price", is_one_price(F.col("open"), F.col("high"), F.col("low"), F.col("close"), F.col("limit_price")))
+
+
+def cut_candidates(rows: DataFrame) -> DataFrame:
+    """Rows with enough turnover, at most ``strategy.candidates`` of a date by turnover, then volume, with their place."""
+    w = Window.partitionBy(*CROSS).orderBy(F.desc("turnover"), F.coalesce("volume", F.lit(0)).desc(), "stock_id")
+    d = rows.where(F.col("turnover") >= F.col("strategy.least_turnover"))
+    return d.withColumn("place", F.row_number().over(w)).where(F.col("place") <= F.col("strategy.candidates"))
+
 
+def build_candidates(prices: DataFrame, master: DataFrame, strategies: Sequence[Strategy]) -> DataFrame:
+    return cut_candidates(for_each_strategy(limit_up_stocks(prices, master), strategies))
 
-def assess_risk(rows: DataFrame, s: Strategy) -> DataFrame:
+
+def assess_risk(rows: DataFrame) -> DataFrame:
     """rows with exclusion (reason or null), risk_flags, missing_inputs and risk_quality.
 
-    Needs attention, disposition, managed (true, false or unknown), streak, return_5d, stock_name and one_price. Unknown never
-    excludes or flags. An excluded row has no flags and no missing inputs.
+    Needs attention, disposition, managed (true, false or unknown), streak, return_5d, stock_name, one_price and strategy. Unknown never
+    excludes or flags. An excluded row has no flags and no missing inputs. A flag without a penalty costs nothing.
     """
     def yes(c: str | Column) -> Column:
         return (F.col(c) if isinstance(c, str) else c).eqNullSafe(F.lit(True))
 
-    ky = is_ky(F.col("stock_name"))
-    out = F.when(yes("disposition"), "disposition").when(yes("managed"), "managed")
-    for allowed, hit, name in ((s.allow_attention, yes("attention"), "attention"), (s.allow_ky, ky, "ky"), (s.allow_one_price, yes("one_price"), "one_price")):
-        if not allowed:
-            out = out.when(hit, name)
-    flags = [("attention", yes("attention")), ("ky", ky), ("one_price", yes("one_price")), ("streak", yes(F.col("streak") > s.most_streak)), ("hot_return", yes(F.col("return_5d") >= s.hot_return))]
+    s, ky = F.col("strategy"), is_ky(F.col("stock_name"))
+    out = (
+        F.when(yes("disposition"), "disposition").when(yes("managed"), "managed").when(~s["allow_attention"] & yes("attention"), "attention")
+        .when(~s["allow_ky"] & ky, "ky").when(~s["allow_one_price"] & yes("one_price"), "one_price")
+    )
+    flags = [
+        ("ATTENTION_STOCK", yes("attention")), ("KY_STOCK", ky), ("ONE_PRICE_LIMIT_UP", yes("one_price")),
+        ("EXCESSIVE_CONSECUTIVE_LIMIT_UP", yes(F.col("streak") > s["most_streak"])), ("HIGH_FIVE_DAY_RETURN", yes(F.col("return_5d") >= s["hot_return"])),
+    ]
+    inputs = {"attention": "is_attention", "disposition": "is_disposition", "managed": "is_managed", "streak": "consecutive_limit_up_days"}
     known = lambda x: x.isNotNull()
     empty = F.array().cast("array<string>")
     d = rows.withColumn("exclusion", out)
     free = F.col("exclusion").isNull()
     d = d.withColumn("risk_flags", F.when(free, F.filter(F.array(*[F.when(hit, n) for n, hit in flags]), known)).otherwise(empty))
-    d = d.withColumn("missing_inputs", F.when(free, F.filter(F.array(*[F.when(F.col(n).isNull(), n) for n in ("attention", "disposition", "managed", "streak")]), known)).otherwise(empty))
-    cost = F.create_map(*[x for k, v in s.penalties.items() for x in (F.lit(k), F.lit(float(v)))])
-    left = F.aggregate("risk_flags", F.lit(0.0), lambda acc, f: acc + F.coalesce(cost[f], F.lit(0.0)))
+    d = d.withColumn("missing_inputs", F.when(free, F.filter(F.array(*[F.when(F.col(c).isNull(), n) for c, n in inputs.items()]), known)).otherwise(empty))
+    left = F.aggregate("risk_flags", F.lit(0.0), lambda acc, f: acc + F.coalesce(F.col("strategy.penalties")[f], F.lit(0.0)))
     return d.withColumn("risk_quality", F.when(F.size("missing_inputs") == 0, F.greatest(F.lit(0.0), 1 - left)))
 
 
-def percentile_score(value: str, cross: list[str], lower_is_better: bool = False) -> Column:
-    """Winsorized percentile rank from 0 to 100 within ``cross``; all equal: 50; null stays null.
+def percentile_scores(rows: DataFrame, values: dict[str, str], cross: list[str], lower_is_better: Sequence[str] = ()) -> DataFrame:
+    """rows with one column for each item of ``values`` (made name: value column): the percentile rank, 0 to 100, within ``cross``.
 
-    Needs the columns ``<value>_w`` (clipped), as ``score`` makes them; ties share their mean rank.
+    Values are first drawn in to the 5th and 95th percentiles (interpolated); ties share their mean rank. If all values of a
+    cross-section are equal before that, they score 50; null stays null. Bounds come from one aggregation, joined back; ranks are one
+    pass per value over rows dealt once by ``cross``.
     """
-    v = F.col(value)
-    part = Window.partitionBy(*cross, v.isNull())
-    rank = F.rank().over(part.orderBy(v)) + (F.count(F.lit(1)).over(Window.partitionBy(*cross, v)) - 1) / 2
-    pct = rank / F.count(F.lit(1)).over(part) * 100
-    pct = F.when(F.min(v).over(part) == F.max(v).over(part), F.lit(50.0)).otherwise(pct)
-    return F.when(v.isNotNull(), 100 - pct if lower_is_better else pct)
-
-
-def score(rows: DataFrame, s: Strategy, cross: list[str]) -> DataFrame:
-    """rows with one ``score_<factor>`` each, total_score (2 digits, halves up, with a ten-millionth added so that sums in any order agree) and completeness (4 digits); rows without any factor are dropped."""
+    def double(c: str) -> Column:
+        return F.col(c).cast("double")
+
+    at = F.array(F.lit(0.05), F.lit(0.95))
+    bounds = rows.groupBy(*cross).agg(*[
+        F.struct(F.percentile(double(c), at).alias("q"), F.min(double(c)).alias("least"), F.max(double(c)).alias("most"), F.count(c).alias("n")).alias(f"__{k}") for k, c in values.items()
+    ])
+    d = rows.join(bounds, cross)
     part = Window.partitionBy(*cross)
-    ranked = [f for f in s.weights if f != "return_5d"]
-    d = rows
-    for f in ranked:
-        d = d.withColumn("__q", F.percentile(F.col(f).cast("double"), F.array(F.lit(0.05), F.lit(0.95))).over(part))
-        d = d.withColumn(f"{f}_w", F.when(F.col(f).isNotNull(), F.greatest(F.least(F.col(f).cast("double"), F.col("__q")[1]), F.col("__q")[0]))).drop("__q")
-        d = d.withColumn(f"score_{f}", percentile_score(f"{f}_w", cross)).drop(f"{f}_w")
-    d = d.withColumn("score_return_5d", bounded_momentum_score(F.col("return_5d")))
-    total, had = F.lit(0.0), F.lit(0.0)
-    for f, w in s.weights.items():
-        total = total + F.coalesce(F.col(f"score_{f}") * w, F.lit(0.0))
-        had = had + F.when(F.col(f"score_{f}").isNotNull(), F.lit(float(w))).otherwise(0.0)
-    whole = float(sum(s.weights.values()))
-    d = d.withColumns({"__total": total, "__had": had}).where("__had > 0")
-    d = d.withColumns({"total_score": F.round(F.col("__total") / F.col("__had") + 1e-7, 2), "completeness": F.round(F.col("__had") / whole, 4)})
-    return d.drop("__total", "__had")
-
-
-def factor_lists(rows: DataFrame, s: Strategy, best: int = 2) -> DataFrame:
+    for k, c in values.items():
+        b, v = F.col(f"__{k}"), double(c)
+        drawn = f"__v_{k}"
+        d = d.withColumn(drawn, F.when(v.isNotNull(), F.greatest(F.least(v, b["q"][1]), b["q"][0])))
+        order = part.orderBy(F.col(drawn).asc_nulls_last())
+        peers = F.count(F.lit(1)).over(order.rangeBetween(Window.currentRow, Window.currentRow))
+        pct = (F.rank().over(order) + (peers - 1) / 2) / b["n"] * 100
+        pct = F.when(b["least"] == b["most"], F.lit(50.0)).otherwise(100 - pct if k in lower_is_better else pct)
+        d = d.withColumn(k, F.when(v.isNotNull(), pct))
+    return d.drop(*[f"__{k}" for k in values], *[f"__v_{k}" for k in values])
+
+
+def score(rows: DataFrame, cross: list[str] = CROSS) -> DataFrame:
+    """rows with one ``score_<factor>`` each, total_score (2 digits, halves up, with a ten-millionth added so that sums in any order
+    agree) and completeness (4 digits); rows without any factor are dropped."""
+    d = percentile_scores(rows, {f"score_{f}": c for f, c in FACTORS.items() if f != "momentum"}, cross)
+    d = d.withColumn("score_momentum", bounded_momentum_score(F.col(FACTORS["momentum"])))
+    w = F.col("strategy.weights")
+    total, had, whole = F.lit(0.0), F.lit(0.0), F.lit(0.0)
+    for f in FACTORS:
+        total = total + F.coalesce(F.col(f"score_{f}") * w[f], F.lit(0.0))
+        had = had + F.when(F.col(f"score_{f}").isNotNull(), w[f]).otherwise(0.0)
+        whole = whole + w[f]
+    d = d.withColumns({"__total": total, "__had": had, "__whole": whole}).where("__had > 0")
+    d = d.withColumns({"total_score": F.round(F.col("__total") / F.col("__had") + 1e-7, 2), "completeness": F.round(F.col("__had") / F.col("__whole"), 4)})
+    return d.drop("__total", "__had", "__whole")
+
+
+def factor_lists(rows: DataFrame, best: int = 2) -> DataFrame:
     """rows with factor_scores (map), top_factors (highest first, ties in declared order) and missing_factors (declared order)."""
-    names = list(s.weights)
-    made = F.array(*[F.when(F.col(f"score_{f}").isNotNull(), F.struct((-F.col(f"score_{f}")).alias("s"), F.lit(i).alias("i"), F.lit(f).alias("f"))) for i, f in enumerate(names)])
+    made = F.array(*[F.when(F.col(f"score_{f}").isNotNull(), F.struct((-F.col(f"score_{f}")).alias("s"), F.lit(i).alias("i"), F.lit(f).alias("f"))) for i, f in enumerate(FACTORS)])
     return rows.withColumns({
-        "factor_scores": F.create_map(*[x for f in names for x in (F.lit(f), F.col(f"score_{f}"))]),
+        "factor_scores": F.create_map(*[x for f in FACTORS for x in (F.lit(f), F.col(f"score_{f}"))]),
         "top_factors": F.transform(F.slice(F.array_sort(F.filter(made, lambda x: x.isNotNull())), 1, best), lambda x: x["f"]),
-        "missing_factors": F.filter(F.array(*[F.when(F.col(f"score_{f}").isNull(), f) for f in names]), lambda x: x.isNotNull()),
+        "missing_factors": F.filter(F.array(*[F.when(F.col(f"score_{f}").isNull(), f) for f in FACTORS]), lambda x: x.isNotNull()),
     })
 
 
-def select_top_n(rows: DataFrame, s: Strategy, cross: list[str]) -> DataFrame:
-    """The ``s.published`` best of each cross-section that are complete enough, with their rank."""
-    if s.published <= 0:
-        raise ValueError("published must be positive")
-    w = Window.partitionBy(*cross).orderBy(F.desc("total_score"), F.desc("turnover"), F.coalesce("volume", F.lit(0)).desc(), "stock_id")
-    return rows.where(F.col("completeness") >= s.least_completeness).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= s.published)
+def complete_enough(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("completeness") >= F.col("strategy.least_completeness"))
 
 
-def one_price(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("one_price", is_one_price(F.col("open"), F.col("high"), F.col("low"), F.col("close"), F.col("limit_price")))
+def select_top_n(rows: DataFrame, cross: list[str] = CROSS) -> DataFrame:
+    """The ``strategy.published`` best of each cross-section that are complete enough, with their rank."""
+    w = Window.partitionBy(*cross).orderBy(F.desc("total_score"), F.desc("turnover"), F.coalesce("volume", F.lit(0)).desc(), "stock_id")
+    return complete_enough(rows).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.col("strategy.published"))

@@ -1,34 +1,71 @@
-"""Deterministic report texts, one for each cross-section."""
+"""Deterministic report texts, one for each strategy and date."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import utf16_length
+from ..functions.ticks import change_percent
+from .ranking import CROSS
 
-LABELS = {"turnover": "Liquidity", "volume_ratio_20d": "Volume", "return_5d": "Momentum", "net_buy_ratio": "Flows", "revenue_yoy": "Revenue", "risk_quality": "Risk"}
+LABELS = {"liquidity": "Liquidity", "volume_price": "Price and volume", "momentum": "Momentum", "institutional": "Institutional flows", "fundamental": "Fundamentals", "risk_quality": "Risk quality"}
+FLAGS = {
+    "ATTENTION_STOCK": "on the attention list", "KY_STOCK": "registered abroad (KY)", "ONE_PRICE_LIMIT_UP": "traded at the limit only, so hard to follow",
+    "EXCESSIVE_CONSECUTIVE_LIMIT_UP": "many limit-up days in a row", "HIGH_FIVE_DAY_RETURN": "steep rise over five sessions",
+}
+REASONS = {
+    "liquidity": "liquidity (no volume or turnover)", "volume_price": "price and volume (history too short)", "momentum": "momentum (no recent return)",
+    "institutional": "institutional flows (incomplete)", "fundamental": "fundamentals (no monthly revenue)", "risk_quality": "risk quality (state of the stock unknown)",
+}
+NO_FLAG = "closed at its limit; opening lower and wide swings are likely"
+CLOSING = "Scores weigh the factors of strategy {} to order the candidates; they forecast no return, probability or target price. For research only; no advice."
+NOBODY = "No candidate is complete enough today."
 #: Longest message in UTF-16 units (fixed value).
 LONGEST = 5000
 
 
-def render_report(spine: DataFrame, ranked: DataFrame, cross: list[str]) -> DataFrame:
-    """spine (cross columns, n_candidates) with report text, its UTF-16 length and whether it is too long.
+def _shown(names: Column, labels: dict[str, str]) -> Column:
+    known = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
+    return F.transform(names, lambda k: F.coalesce(known[k], k))
 
-    Each ranked row becomes a block; lines without data are left out; a cross-section without rows says so. Unknown codes are
-    shown as themselves.
-    """
-    labels = F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])
-    shown = lambda a: F.array_join(F.transform(a, lambda k: F.coalesce(labels[k], k)), ", ")
+
+def orphans(ranked: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Ranked rows that are no candidates of their strategy and date; any row means that a stage before is broken."""
+    return ranked.join(candidates.select(*CROSS, "stock_id"), [*CROSS, "stock_id"], "left_anti")
+
+
+def report_rows(ranked: DataFrame) -> DataFrame:
+    """ranked with the block of text of each row; a blank name is the id, lines without data are left out."""
+    name = F.coalesce(F.nullif(F.trim("stock_name"), F.lit("")), F.col("stock_id"))
+    change = change_percent(F.col("close"), F.col("reference"))
     block = F.concat_ws(
-        "\n", F.concat_ws(" ", F.concat(F.col("rank").cast("string"), F.lit(".")), "stock_id", F.coalesce("stock_name", "stock_id")),
-        F.format_string("score %.2f", "total_score"), F.concat(F.lit("strong in "), shown(F.col("top_factors"))),
-        F.when(F.size("risk_flags") > 0, F.concat(F.lit("note: "), F.array_join("risk_flags", ", "))),
-        F.when(F.size("missing_factors") > 0, F.concat(F.lit("no data: "), shown(F.col("missing_factors")))),
+        "\n", F.format_string("%d. %s (%s)", "rank", name, "stock_id"),
+        F.when(F.col("close").isNotNull(), F.format_string("close %.2f", F.col("close").cast("double"))), F.when(change.isNotNull(), F.format_string("change %+.2f%%", change)),
+        F.format_string("score %.2f", "total_score"), F.format_string("data %.0f%%", F.col("completeness") * 100),
+        F.when(F.size("missing_factors") > 0, F.concat(F.lit("missing: "), F.array_join(_shown(F.col("missing_factors"), REASONS), ", "))),
+        F.when(F.size("top_factors") > 0, F.concat(F.lit("strong in: "), F.array_join(_shown(F.col("top_factors"), LABELS), ", "))),
+        F.when(F.col("one_price"), F.lit("shape: one price all day")),
+        F.concat(F.lit("risk: "), F.when(F.size("risk_flags") > 0, F.array_join(_shown(F.col("risk_flags"), FLAGS), ", ")).otherwise(NO_FLAG)),
+    )
+    return ranked.withColumn("block", block)
+
+
+def render_report(spine: DataFrame, ranked: DataFrame) -> DataFrame:
+    """spine (strategy_version, trading_date, published, n_candidates, n_eligible) with the report, its UTF-16 length and whether it is too long.
+
+    n_candidates counts before the P/E rule. Each row of the spine gets a text, also when nothing is listed. No clock is read, so a rerun gives
+    the same text. A report holds at most ``published`` blocks.
+    """
+    body = report_rows(ranked).groupBy(*CROSS).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", F.col("block").alias("t")))), lambda x: x["t"]), "\n\n").alias("body"))
+    d = spine.join(body, CROSS, "left")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
+    head = F.concat_ws(
+        "\n", F.concat(F.lit("Limit-up list "), F.col("trading_date").cast("string")), F.concat(F.lit("strategy "), F.col("strategy_version")),
+        F.concat(F.lit("candidates "), n("n_candidates"), F.lit(", complete enough "), n("n_eligible"), F.lit(", shown at most "), F.col("published").cast("int").cast("string")),
     )
-    body = ranked.groupBy(*cross).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", block.alias("t")))), lambda x: x["t"]), "\n\n").alias("body"), F.count(F.lit(1)).alias("n_ranked"))
-    d = spine.join(body, cross, "left")
-    head = F.format_string("%s candidates: %d, listed: %d", F.col(cross[-1]).cast("string"), "n_candidates", F.coalesce("n_ranked", F.lit(0)))
-    d = d.withColumn("report", F.concat_ws("\n\n", head, F.coalesce("body", F.lit("No stock qualified."))))
+    before, after = CLOSING.split("{}")
+    closing = F.concat(F.lit(before), F.col("strategy_version"), F.lit(after))
+    d = d.withColumn("report", F.concat_ws("\n\n", head, F.coalesce("body", F.lit(NOBODY)), closing))
     size = utf16_length(F.col("report"))
     return d.select(*spine.columns, "report", size.alias("n_units"), (size > LONGEST).alias("too_long"))

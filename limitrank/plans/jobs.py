@@ -1,31 +1,73 @@
-"""The daily list for every date at once."""
+"""The daily list for every date and strategy at once, from landed payloads to published texts."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import factors, ranking
-
-
-def features(candidates: DataFrame, bars: DataFrame, flows: DataFrame, revenue: DataFrame, risk, s: ranking.Strategy) -> DataFrame:
-    """Candidates with all factors and risk columns; a missing source leaves nulls and never drops a row."""
-    keys = candidates.select("stock_id", "trading_date", F.col("close").cast("double").alias("close"), "volume")
-    p = factors.price_features(keys, bars).drop("close", "volume")
-    f = factors.flow_ratio(keys.select("stock_id", "trading_date"), bars, flows)
-    r = factors.revenue_yoy(keys.select("stock_id", "trading_date"), revenue)
-    on = ["stock_id", "trading_date"]
-    d = candidates.join(p, on, "left").join(f, on, "left").join(r, on, "left")
-    return ranking.assess_risk(risk(ranking.one_price(d)), s)
-
-
-def daily_ranking(prices: DataFrame, master: DataFrame, valuations: DataFrame, bars: DataFrame, flows: DataFrame, revenue: DataFrame, risk, s: ranking.Strategy) -> dict[str, DataFrame]:
-    """All stages by name: candidates (cut before the P/E rule), eligible, featured, scored, ranked."""
-    cross = ["trading_date"]
-    candidates = ranking.build_candidates(prices, master, s)
-    counted = factors.valuation_snapshots(candidates, valuations)
-    eligible = factors.filter_by_pe(candidates, counted, s.most_pe)
-    featured = features(eligible, bars, flows, revenue, risk, s)
-    scored = ranking.score(featured.where(F.col("exclusion").isNull()), s, cross)
-    ranked = ranking.factor_lists(ranking.select_top_n(scored, s, cross), s)
-    return {"candidates": candidates, "eligible": eligible, "featured": featured, "scored": scored, "ranked": ranked.withColumn("strategy_version", F.lit(s.version))}
+from ..operators import factors, monitoring, ranking, reports
+from ..sources import landing, mappers
+from ..sources.strategies import Strategy, for_each_strategy
+from ..sources.work import WorkTables
+
+#: Calendar days of history behind a factor (fixed value).
+LOOKBACK_DAYS = 60
+
+
+def mapped_sources(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Typed tables of all landed payloads.
+
+    ``raw``: prices_twse (CSV) and prices_tpex (JSON array) with target_date; valuations_twse and valuations_tpex (JSON arrays); info, history, flows
+    and revenue ({"data": [...]}); each with a column payload.
+    """
+    twse, tpex = landing.csv_rows(raw["prices_twse"]), landing.json_rows(raw["prices_tpex"])
+    ok = {"TWSE": F.col("payload").isNotNull(), "TPEX": landing.is_json_array(F.col("payload"))}
+    payloads = [raw[f"prices_{m.lower()}"].select("target_date", F.lit(m).alias("market"), c.alias("well_formed")) for m, c in ok.items()]
+    return {
+        "prices": mappers.map_quotes(twse, "TWSE").unionByName(mappers.map_quotes(tpex, "TPEX")),
+        "payloads": payloads[0].unionByName(payloads[1]),
+        "reported": mappers.reported(twse, "TWSE").unionByName(mappers.reported(tpex, "TPEX")),
+        "valuations": mappers.map_valuations(landing.json_rows(raw["valuations_twse"]), "TWSE").unionByName(mappers.map_valuations(landing.json_rows(raw["valuations_tpex"]), "TPEX")),
+        "master": mappers.stock_master(landing.envelope_rows(raw["info"])),
+        "bars": mappers.map_history(landing.envelope_rows(raw["history"])),
+        "flows": factors.institutional_flows(mappers.map_flows(landing.envelope_rows(raw["flows"]))),
+        "revenue": mappers.map_revenue(landing.envelope_rows(raw["revenue"])),
+    }
+
+
+def daily_ranking(raw: dict[str, DataFrame], spine: DataFrame, strategies: Sequence[Strategy], risk: Callable[[DataFrame], DataFrame] = lambda d: d.withColumn("streak", F.lit(None).cast("int")), work: WorkTables | None = None) -> dict[str, DataFrame]:
+    """All stages by name: readiness, mapped, candidates (cut before the P/E rule), eligible, featured, scored, complete, ranked, reports.
+
+    ``spine`` has trading_date and holiday. ``risk`` adds what is known of attention, disposition, managed and streak. Dates that are not READY are
+    left out of all stages after ``readiness``. What several stages read is written once to ``work`` (typed prices, valuations, master, readiness,
+    limit-up rows with their factors, scores); drop it when the results have been used. A candidate without close, volume or turnover cannot occur, as its quality would be bad.
+    """
+    s = mapped_sources(raw)
+    work = work or WorkTables(spine.sparkSession)
+    s |= {k: work.write(s[k], k) for k in ("prices", "valuations", "master")}
+    readiness = work.write(monitoring.source_readiness(spine, s["payloads"], s["reported"], s["valuations"], s["master"]), "readiness")
+    ready = readiness.where("status = 'READY'").select("trading_date")
+    # one row per ready date, so never large
+    mapped = s["prices"].join(F.broadcast(ready), "trading_date", "left_semi")
+    closed = work.write(factors.point_in_time(ranking.limit_up_stocks(mapped, s["master"]), s["bars"], s["flows"], s["revenue"], lookback_days=LOOKBACK_DAYS), "closed")
+    candidates = ranking.cut_candidates(for_each_strategy(closed, strategies))
+    eligible = factors.filter_by_pe(candidates, factors.valuation_snapshots(ready, s["valuations"]), F.col("strategy.most_pe"))
+    featured = monitoring.enrichment_states(ranking.assess_risk(risk(eligible)))
+    scored = work.write(ranking.score(featured.where(F.col("exclusion").isNull())), "scored")
+    complete = ranking.complete_enough(scored)
+    ranked = ranking.factor_lists(ranking.select_top_n(scored))
+    days = for_each_strategy(ready, strategies).select("strategy_version", "trading_date", F.col("strategy.published").cast("int").alias("published"))
+    counts = [df.groupBy(*ranking.CROSS).agg(F.count(F.lit(1)).alias(n)) for n, df in (("n_candidates", candidates), ("n_eligible", complete))]
+    days = days.join(counts[0], ranking.CROSS, "left").join(counts[1], ranking.CROSS, "left").na.fill(0, ["n_candidates", "n_eligible"])
+    return {
+        "readiness": readiness, "mapped": mapped, "candidates": candidates, "eligible": eligible, "featured": featured, "scored": scored,
+        "complete": complete, "ranked": ranked, "reports": reports.render_report(days, ranked),
+    }
+
+
+def messages(texts: DataFrame, target: str, message_version: str = "text-v4") -> DataFrame:
+    """Texts of ``daily_ranking`` as messages for ``publish_once``: key and text, for one receiver."""
+    key = monitoring.delivery_key(F.col("trading_date"), F.col("strategy_version"), F.lit(target), F.lit(message_version))
+    return texts.select("strategy_version", "trading_date", key.alias("key"), F.col("report").alias("text"))

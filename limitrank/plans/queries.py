@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsing, ticks
 from ..operators import asof, factors, monitoring, ranking, reports
-from ..sources import landing
+from ..sources import landing, mappers
+from ..sources.strategies import Strategy, for_each_strategy, load_strategies
 from . import fixtures, jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-STRATEGIES = (ranking.Strategy(), ranking.Strategy(version="v2", candidates=20, published=5, allow_ky=False, most_pe=60.0, least_completeness=0.5))
+#: The published strategy and a wider one; SQL states the values of both for itself.
+STRATEGIES = (*load_strategies(), replace(load_strategies()[0], version="wide", least_turnover=0, candidates=20, published=5, allow_ky=False, most_pe=60, least_completeness=0.5))
 
 
 def query(name: str, sql: str | None = None):
@@ -36,13 +39,13 @@ BARS = """
 ev AS (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k, CAST(ts AS DATE) AS d FROM events),
 bars AS (SELECT lpad(CAST(user_id AS VARCHAR), 4, '0') AS stock_id, CASE WHEN user_id % 2 = 0 THEN 'TWSE' ELSE 'TPEX' END AS market, d AS trading_date,
   first(value ORDER BY ts, event_id) AS open, max(value) AS high, min(value) AS low, last(value ORDER BY ts, event_id) AS close,
-  CAST(sum(k) AS BIGINT) AS volume, round(sum(value * k), 2) AS turnover, user_id FROM ev GROUP BY user_id, d)"""
+  CAST(sum(k) AS BIGINT) AS volume, round(sum(value * k) * 2000) AS turnover, user_id FROM ev GROUP BY user_id, d)"""
 TICK = "CASE WHEN {p} < 100000 THEN 100 WHEN {p} < 500000 THEN 500 WHEN {p} < 1000000 THEN 1000 WHEN {p} < 5000000 THEN 5000 WHEN {p} < 10000000 THEN 10000 ELSE 50000 END"
 QUOTES = BARS + f""",
 q0 AS (SELECT *, CAST(round(lag(close) OVER (PARTITION BY stock_id ORDER BY trading_date) * 10000) AS BIGINT) AS r FROM bars),
 q1 AS (SELECT *, CASE WHEN r > 0 THEN ((r * 11 // 10) // ({TICK.format(p="(r * 11 // 10)")})) * ({TICK.format(p="(r * 11 // 10)")}) END AS lim FROM q0),
-q2 AS (SELECT *, (user_id + day(trading_date)) % 3 = 0 AND lim IS NOT NULL AS hit FROM q1),
-quotes AS (SELECT stock_id, market, trading_date, open, CASE WHEN hit THEN lim / 10000.0 ELSE high END AS high, low, CASE WHEN hit THEN lim / 10000.0 ELSE close END AS close,
+q2 AS (SELECT *, (user_id + day(trading_date)) % 3 = 0 AND lim IS NOT NULL AS hit, (user_id + day(trading_date)) % 15 = 0 AND lim IS NOT NULL AS flat FROM q1),
+quotes AS (SELECT stock_id, market, trading_date, CASE WHEN flat THEN lim / 10000.0 ELSE open END AS open, CASE WHEN hit THEN lim / 10000.0 ELSE high END AS high, CASE WHEN flat THEN lim / 10000.0 ELSE low END AS low, CASE WHEN hit THEN lim / 10000.0 ELSE close END AS close,
   volume, turnover, r / 10000.0 AS reference, lim / 10000.0 AS limit_price, volume > 0 AND turnover > 0 AS quality FROM q2)"""
 HISTORY = """
 h0 AS (SELECT *, count(*) OVER w AS n, avg(turnover) OVER w AS at20, avg(volume) OVER w AS av20, lag(close, 4) OVER o AS c5, lag(close, 19) OVER o AS c20 FROM bars
@@ -61,17 +64,18 @@ rev AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS stock_id, CAST(year
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, year(o_orderdate), month(o_orderdate))"""
 MASTER = """
 master AS (SELECT DISTINCT stock_id, 'Stock ' || stock_id || CASE WHEN CAST(stock_id AS INT) % 7 = 0 THEN '-KY' ELSE '' END AS stock_name, market,
-  CASE WHEN CAST(stock_id AS INT) % 11 = 0 THEN 'ETF' ELSE 'COMMON_STOCK' END AS security_type, CAST(stock_id AS INT) % 13 <> 0 AS is_active FROM bars)"""
+  CASE WHEN CAST(stock_id AS INT) % 11 = 0 THEN 'ETF' ELSE 'COMMON_STOCK' END AS security_type FROM bars)"""
 VALUES_ = """
-vals AS (SELECT market, trading_date AS snapshot_date, stock_id, CASE WHEN CAST(stock_id AS INT) % 10 = 3 THEN NULL WHEN CAST(stock_id AS INT) % 10 = 7 THEN -5.0 ELSE round(close / 5, 2) END AS pe_ratio
+vals AS (SELECT market, trading_date AS snapshot_date, stock_id, CASE WHEN CAST(stock_id AS INT) % 10 = 3 THEN NULL WHEN CAST(stock_id AS INT) % 10 = 7 THEN -5.0 ELSE round(close / 10, 2) END AS pe_ratio
   FROM bars WHERE day(trading_date) IN (5, 6, 14, 23)),
 vd AS (SELECT d.trading_date, m.market, (SELECT max(snapshot_date) FROM vals v WHERE v.market = m.market AND v.snapshot_date <= d.trading_date) AS snapshot_date
   FROM (SELECT DISTINCT trading_date FROM bars) d, (SELECT DISTINCT market FROM vals) m),
 vok AS (SELECT trading_date FROM vd WHERE trading_date - snapshot_date <= 5 GROUP BY 1 HAVING count(*) = 2),
 vnow AS (SELECT vd.trading_date, vd.market, v.stock_id, v.pe_ratio FROM vd JOIN vok USING (trading_date) JOIN vals v ON v.market = vd.market AND v.snapshot_date = vd.snapshot_date)"""
-CANDIDATES = """
+def _candidates_sql(quotes: str, least: int, most: int) -> str:
+    return f"""
 cand AS (SELECT * FROM (SELECT q.*, m.stock_name, row_number() OVER (PARTITION BY trading_date ORDER BY turnover DESC, volume DESC, stock_id) AS place
-  FROM quotes q JOIN master m USING (stock_id) WHERE m.is_active AND m.security_type = 'COMMON_STOCK' AND quality AND close = limit_price AND turnover >= 0) WHERE place <= 50)"""
+  FROM {quotes} q JOIN master m USING (stock_id) WHERE m.security_type = 'COMMON_STOCK' AND quality AND close = limit_price AND turnover >= {least}) WHERE place <= {most})"""
 
 
 @query("daily_bars", f"WITH {BARS} SELECT stock_id, market, trading_date, open, high, low, close, volume, turnover FROM bars")
@@ -108,16 +112,18 @@ def parsed_values(spark, d):
     ))
 
 
-@query("stock_master", """SELECT lpad(CAST(p_partkey AS VARCHAR), 4, '0') AS stock_id, p_name || '-' || 2 AS stock_name,
+@query("stock_master", """SELECT CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') ELSE CAST(p_partkey AS VARCHAR) END AS stock_id, CASE WHEN p_partkey % 5 = 0 THEN (CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') ELSE CAST(p_partkey AS VARCHAR) END) ELSE p_name || '-2' END AS stock_name,
 CASE WHEN p_type = 'ECONOMY' THEN 'ETF' WHEN p_type = 'STANDARD' THEN 'ETN' WHEN p_type = 'PROMO' THEN 'WARRANT' WHEN p_type = 'SMALL' THEN 'DR' WHEN p_partkey < 10000 THEN 'COMMON_STOCK' ELSE 'UNKNOWN' END AS security_type FROM part""")
 def stock_master(spark, d):
+    """Part rows as a provider's list: an older row and rows of other markets or without id are among them."""
     p = fixtures.table(spark, d, "part")
-    word = F.when(F.col("p_type") == "ECONOMY", "domestic etf").when(F.col("p_type") == "STANDARD", "Etn note").when(F.col("p_type") == "PROMO", "call warrant").when(F.col("p_type") == "SMALL", "dr").otherwise("steel")
+    word = F.when(F.col("p_type") == "ECONOMY", "domestic etf").when(F.col("p_type") == "STANDARD", "Etn note").when(F.col("p_type") == "PROMO", "權證 call").when(F.col("p_type") == "SMALL", " dr ").otherwise("call WARRANT")
     sid = F.when(F.col("p_partkey") < 10000, F.lpad(F.col("p_partkey").cast("string"), 4, "0")).otherwise(F.col("p_partkey").cast("string"))
-    rows = p.select(sid.alias("stock_id"), "p_name", word.alias("category"), F.explode(F.array(F.lit(1), F.lit(2))).alias("ordinal"))
-    rows = rows.withColumn("stock_name", F.concat_ws("-", "p_name", F.col("ordinal").cast("string")))
-    last = factors.last_wins(rows, ["stock_id"], F.col("ordinal"))
-    return last.select("stock_id", "stock_name", parsing.classify_security(F.col("stock_id"), F.col("p_name"), F.col("category")).alias("security_type"))
+    row = lambda i, name, kind, at: F.struct(i.alias("stock_id"), name.alias("stock_name"), word.alias("industry_category"), F.lit(kind).alias("type"), F.lit(at).alias("ordinal"))
+    name = F.when(F.col("p_partkey") % 5 == 0, F.lit(" ")).otherwise(F.concat("p_name", F.lit("-2")))
+    r = p.select(F.explode(F.array(row(sid, F.lit("TDR"), "tpex", 1), row(sid, name, " TWSE", 2), row(sid, F.lit("ETF"), "emerging", 3), row(F.lit("  "), name, "twse", 4))).alias("r"))
+    fields = F.create_map(*[x for c in ("stock_id", "stock_name", "industry_category", "type") for x in (F.lit(c), F.col(f"r.{c}"))])
+    return mappers.stock_master(r.select(F.col("r.ordinal").alias("ordinal"), fields.alias("fields"))).select("stock_id", "stock_name", "security_type")
 
 
 @query("limit_up_flags", f"""WITH {QUOTES}, {MASTER.strip()} SELECT q.stock_id, q.trading_date, round(q.reference, 6) AS reference, round(q.limit_price, 6) AS limit_price,
@@ -157,7 +163,6 @@ def flow_ratio(spark, d):
 
 
 @query("revenue_yoy", f"""WITH {REVENUE}, spine AS (SELECT DISTINCT stock_id, CAST(make_date(y, m, 15) AS DATE) AS trading_date FROM rev),
-now_ AS (SELECT s.stock_id, s.trading_date, max((r.y, r.m, r.available_at, r.revenue)) AS b FROM spine s LEFT JOIN rev r ON r.stock_id = s.stock_id AND r.available_at <= s.trading_date GROUP BY 1, 2),
 got AS (SELECT n.stock_id, n.trading_date, r.y, r.m, r.revenue FROM spine n LEFT JOIN LATERAL (SELECT y, m, revenue FROM rev r WHERE r.stock_id = n.stock_id AND r.available_at <= n.trading_date ORDER BY y DESC, m DESC LIMIT 1) r ON true)
 SELECT g.stock_id, g.trading_date, round(g.revenue / CASE WHEN p.revenue > 0 THEN p.revenue END - 1, 6) AS revenue_yoy FROM got g LEFT JOIN rev p ON p.stock_id = g.stock_id AND p.y = g.y - 1 AND p.m = g.m""")
 def revenue_yoy(spark, d):
@@ -166,20 +171,17 @@ def revenue_yoy(spark, d):
     return doubles(factors.revenue_yoy(spine, r))
 
 
-SQL["revenue_yoy"] = SQL["revenue_yoy"].replace("now_ AS (SELECT s.stock_id, s.trading_date, max((r.y, r.m, r.available_at, r.revenue)) AS b FROM spine s LEFT JOIN rev r ON r.stock_id = s.stock_id AND r.available_at <= s.trading_date GROUP BY 1, 2),\n", "")
-
-
-@query("valuation_filter", f"WITH {BARS}, {VALUES_.strip()} SELECT b.stock_id, b.trading_date FROM bars b WHERE EXISTS (SELECT 1 FROM vnow v WHERE v.stock_id = b.stock_id AND v.trading_date = b.trading_date AND pe_ratio > 0 AND pe_ratio <= 30)")
+@query("valuation_filter", f"WITH {BARS}, {VALUES_.strip()} SELECT b.stock_id, b.trading_date FROM bars b WHERE EXISTS (SELECT 1 FROM vnow v WHERE v.stock_id = b.stock_id AND v.trading_date = b.trading_date AND pe_ratio > 0 AND pe_ratio <= 20)")
 def valuation_filter(spark, d):
     b = fixtures.daily_bars(spark, d)
     keys = b.select("stock_id", "trading_date")
-    return factors.filter_by_pe(keys, factors.valuation_snapshots(keys, fixtures.valuations(b)), 30.0).select("stock_id", "trading_date")
+    return factors.filter_by_pe(keys, factors.valuation_snapshots(keys, fixtures.valuations(b)), STRATEGIES[0].most_pe).select("stock_id", "trading_date")
 
 
-@query("candidates", f"WITH {QUOTES}, {MASTER.strip()}, {CANDIDATES.strip()} SELECT stock_id, trading_date, CAST(place AS INTEGER) AS place, turnover, volume FROM cand")
+@query("candidates", f"WITH {QUOTES}, {MASTER.strip()}, {_candidates_sql('quotes', 50000000, 50).strip()} SELECT stock_id, trading_date, CAST(place AS INTEGER) AS place, turnover, volume FROM cand")
 def candidates(spark, d):
     b = fixtures.daily_bars(spark, d)
-    return ranking.build_candidates(fixtures.quotes(b), fixtures.master(b), STRATEGIES[0]).select("stock_id", "trading_date", "place", "turnover", "volume")
+    return ranking.build_candidates(fixtures.quotes(b), fixtures.master(b), STRATEGIES[:1]).select("stock_id", "trading_date", "place", "turnover", "volume")
 
 
 @query("asof_tolerance", """WITH o AS (SELECT DISTINCT o_custkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P'), l AS (SELECT o_orderkey, o_custkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders)
@@ -205,11 +207,11 @@ def _risk_rows(spark, d):
 CASE WHEN c_custkey % 6 <> 5 THEN c_custkey % 6 END AS streak, CASE WHEN c_custkey % 4 <> 3 THEN (c_custkey % 100) / 100 END AS ret, c_custkey % 10 = 0 AS one FROM customer),
 e AS (SELECT *, CASE WHEN dis THEN 'disposition' WHEN man THEN 'managed' WHEN ky THEN 'ky' END AS exclusion FROM r),
 f AS (SELECT *, coalesce(a, false) AS fa, coalesce(streak > 3, false) AS fs, coalesce(ret >= 0.35, false) AS fr FROM e)
-SELECT n AS c_custkey, exclusion, CASE WHEN exclusion IS NOT NULL THEN '' ELSE concat_ws(',', CASE WHEN fa THEN 'attention' END, CASE WHEN ky THEN 'ky' END, CASE WHEN one THEN 'one_price' END, CASE WHEN fs THEN 'streak' END, CASE WHEN fr THEN 'hot_return' END) END AS flags,
-CASE WHEN exclusion IS NOT NULL THEN '' ELSE concat_ws(',', CASE WHEN a IS NULL THEN 'attention' END, CASE WHEN man IS NULL THEN 'managed' END, CASE WHEN streak IS NULL THEN 'streak' END) END AS missing,
-CASE WHEN exclusion IS NOT NULL THEN 1.0 WHEN a IS NULL OR man IS NULL OR streak IS NULL THEN NULL ELSE round(greatest(0, 1 - (fa::INT * 0.30::DOUBLE + one::INT * 0.20 + fs::INT * 0.20 + fr::INT * 0.20)), 6) END AS risk_quality FROM f""")
+SELECT n AS c_custkey, exclusion, CASE WHEN exclusion IS NOT NULL THEN '' ELSE concat_ws(',', CASE WHEN fa THEN 'ATTENTION_STOCK' END, CASE WHEN ky THEN 'KY_STOCK' END, CASE WHEN one THEN 'ONE_PRICE_LIMIT_UP' END, CASE WHEN fs THEN 'EXCESSIVE_CONSECUTIVE_LIMIT_UP' END, CASE WHEN fr THEN 'HIGH_FIVE_DAY_RETURN' END) END AS flags,
+CASE WHEN exclusion IS NOT NULL THEN '' ELSE concat_ws(',', CASE WHEN a IS NULL THEN 'is_attention' END, CASE WHEN man IS NULL THEN 'is_managed' END, CASE WHEN streak IS NULL THEN 'consecutive_limit_up_days' END) END AS missing,
+CASE WHEN exclusion IS NOT NULL THEN 1.0 WHEN a IS NULL OR man IS NULL OR streak IS NULL THEN NULL ELSE round(greatest(0, 1 - (fa::INT * 0.15::DOUBLE + one::INT * 0.20::DOUBLE + fs::INT * 0.30::DOUBLE + fr::INT * 0.25::DOUBLE)), 6) END AS risk_quality FROM f""")
 def risk_rules(spark, d):
-    r = ranking.assess_risk(_risk_rows(spark, d), STRATEGIES[1])
+    r = ranking.assess_risk(for_each_strategy(_risk_rows(spark, d), STRATEGIES[1:]))
     return doubles(r.select("c_custkey", "exclusion", F.array_join("risk_flags", ",").alias("flags"), F.array_join("missing_inputs", ",").alias("missing"), "risk_quality"))
 
 
@@ -230,79 +232,94 @@ feat AS (SELECT lpad(CAST(n AS VARCHAR), 6, '0') AS stock_id, trading_date, CAST
   CASE WHEN q % 5 <> 0 THEN (q % 100) / 200 - 0.1::DOUBLE END AS return_5d, CASE WHEN (n + q) % 4 <> 0 THEN CAST(p % 97 AS DOUBLE) END AS net_buy_ratio, CASE WHEN p % 6 <> 0 THEN CAST(p % 13 AS DOUBLE) END AS revenue_yoy, CASE WHEN n % 3 <> 0 THEN (c % 4) / 4 END AS risk_quality FROM l0)"""
 
 
+#: Factor, its column and its weight, as SQL states them.
+SCORED = (("liquidity", "turnover", "0.25"), ("volume_price", "volume_ratio_20d", "0.20"), ("momentum", "return_5d", "0.15"), ("institutional", "net_buy_ratio", "0.15"), ("fundamental", "revenue_yoy", "0.15"), ("risk_quality", "risk_quality", "0.10"))
+
+
 def _score_sql(rows: str, name: str) -> str:
-    ranked = [f for f in ranking.WEIGHTS if f != "return_5d"]
-    bounds = ", ".join(f"quantile_cont({f}, 0.05) OVER p AS lo_{f}, quantile_cont({f}, 0.95) OVER p AS hi_{f}" for f in ranked)
-    clip = ", ".join(f"CASE WHEN {f} IS NOT NULL THEN greatest(least({f}, hi_{f}), lo_{f}) END AS w_{f}" for f in ranked)
+    ranked = [(f, c) for f, c, _ in SCORED if f != "momentum"]
+    bounds = ", ".join(f"quantile_cont({c}, 0.05) OVER p AS lo_{f}, quantile_cont({c}, 0.95) OVER p AS hi_{f}" for f, c in ranked)
+    clip = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN greatest(least({c}, hi_{f}), lo_{f}) END AS w_{f}" for f, c in ranked)
     pct = ", ".join(
-        f"CASE WHEN w_{f} IS NULL THEN NULL WHEN min(w_{f}) OVER p = max(w_{f}) OVER p THEN 50.0 ELSE (rank() OVER (PARTITION BY trading_date, w_{f} IS NULL ORDER BY w_{f}) + (count(*) OVER (PARTITION BY trading_date, w_{f}) - 1) / 2) / count(w_{f}) OVER p * 100 END AS s_{f}"
-        for f in ranked)
+        f"CASE WHEN {c} IS NULL THEN NULL WHEN min({c}) OVER p = max({c}) OVER p THEN 50.0 ELSE (rank() OVER (PARTITION BY trading_date, w_{f} IS NULL ORDER BY w_{f}) + (count(*) OVER (PARTITION BY trading_date, w_{f}) - 1) / 2) / count(w_{f}) OVER p * 100 END AS s_{f}"
+        for f, c in ranked)
     mom = "CASE WHEN return_5d IS NULL THEN NULL WHEN return_5d <= 0 THEN greatest(0, 50 + 100 * return_5d) WHEN return_5d < 0.03::DOUBLE THEN 50 + return_5d / 0.03::DOUBLE * 25 WHEN return_5d <= 0.15::DOUBLE THEN 100 WHEN return_5d >= 0.40::DOUBLE THEN 20 ELSE 100 - 80 * (return_5d - 0.15::DOUBLE) / 0.25::DOUBLE END"
-    total = " + ".join(f"coalesce(s_{f} * {w}::DOUBLE, 0)" for f, w in ranking.WEIGHTS.items())
-    had = " + ".join(f"CASE WHEN s_{f} IS NOT NULL THEN {w}::DOUBLE ELSE 0 END" for f, w in ranking.WEIGHTS.items())
+    total = " + ".join(f"coalesce(s_{f} * {w}::DOUBLE, 0)" for f, _, w in SCORED)
+    had = " + ".join(f"CASE WHEN s_{f} IS NOT NULL THEN {w}::DOUBLE ELSE 0 END" for f, _, w in SCORED)
     return f"""{name}_b AS (SELECT *, {bounds} FROM {rows} WINDOW p AS (PARTITION BY trading_date)), {name}_c AS (SELECT *, {clip} FROM {name}_b),
-{name}_d AS (SELECT *, {pct}, {mom} AS s_return_5d FROM {name}_c WINDOW p AS (PARTITION BY trading_date)),
+{name}_d AS (SELECT *, {pct}, {mom} AS s_momentum FROM {name}_c WINDOW p AS (PARTITION BY trading_date)),
 {name} AS (SELECT *, round(({total}) / nullif({had}, 0) + 1e-7, 2) AS total_score, round({had}, 4) AS completeness FROM {name}_d WHERE {had} > 0)"""
 
 
-@query("factor_scores", f"WITH {FEATURES}, {_score_sql('feat', 'scored')} SELECT stock_id, trading_date, {', '.join(f'round(s_{f}, 4) AS score_{f}' for f in ranking.WEIGHTS)}, completeness FROM scored")
+@query("factor_scores", f"WITH {FEATURES}, {_score_sql('feat', 'scored')} SELECT stock_id, trading_date, {', '.join(f'round(s_{f}, 4) AS score_{f}' for f, _, _ in SCORED)}, completeness FROM scored")
 def factor_scores(spark, d):
-    s = ranking.score(_feature_rows(spark, d), STRATEGIES[0], ["trading_date"])
-    return s.select("stock_id", "trading_date", *[F.round(f"score_{f}", 4).alias(f"score_{f}") for f in ranking.WEIGHTS], "completeness")
+    s = ranking.score(for_each_strategy(_feature_rows(spark, d), STRATEGIES[:1]))
+    return s.select("stock_id", "trading_date", *[F.round(f"score_{f}", 4).alias(f"score_{f}") for f in ranking.FACTORS], "completeness")
 
 
 @query("top_ranked", f"""WITH {FEATURES}, {_score_sql('feat', 'scored')}, t AS (SELECT *, row_number() OVER (PARTITION BY trading_date ORDER BY total_score DESC, turnover DESC, volume DESC, stock_id) AS rank FROM scored WHERE completeness >= 0.8)
-SELECT trading_date, CAST(rank AS INTEGER) AS rank, stock_id, total_score, completeness, concat_ws(',', {', '.join(f"CASE WHEN s_{f} IS NULL THEN '{f}' END" for f in ranking.WEIGHTS)}) AS missing FROM t WHERE rank <= 10""")
+SELECT trading_date, CAST(rank AS INTEGER) AS rank, stock_id, total_score, completeness, concat_ws(',', {', '.join(f"CASE WHEN s_{f} IS NULL THEN '{f}' END" for f, _, _ in SCORED)}) AS missing, {', '.join(f"round(s_{f}, 4) AS {f}" for f, _, _ in SCORED)} FROM t WHERE rank <= 10""")
 def top_ranked(spark, d):
-    s = ranking.score(_feature_rows(spark, d), STRATEGIES[0], ["trading_date"])
-    t = ranking.factor_lists(ranking.select_top_n(s, STRATEGIES[0], ["trading_date"]), STRATEGIES[0])
-    return t.select("trading_date", "rank", "stock_id", "total_score", "completeness", F.array_join("missing_factors", ",").alias("missing"))
+    s = ranking.score(for_each_strategy(_feature_rows(spark, d), STRATEGIES[:1]))
+    t = ranking.factor_lists(ranking.select_top_n(s))
+    return t.select("trading_date", "rank", "stock_id", "total_score", "completeness", F.array_join("missing_factors", ",").alias("missing"), *[F.round(F.col("factor_scores")[f], 4).alias(f) for f in ranking.FACTORS])
 
 
-@query("merged_sources", f"""WITH {BARS}, e2 AS (SELECT lpad(CAST(user_id AS VARCHAR), 4, '0') AS stock_id, d AS trading_date, event_id % 2 AS side, max(value) AS high, CAST(sum(k) AS BIGINT) AS volume FROM ev GROUP BY ALL)
-SELECT p.stock_id, p.trading_date, coalesce(nullif(p.high, 0), f.high, p.high) AS high, coalesce(nullif(p.volume, 0), f.volume, p.volume) AS volume, p.volume > 0 AND coalesce(f.volume > 0, true) AS quality
+@query("merged_sources", f"""WITH {BARS}, e1 AS (SELECT lpad(CAST(user_id AS VARCHAR), 4, '0') AS stock_id, d AS trading_date, event_id % 2 AS side, event_id % 5 AS ordinal, max(value) AS high, CAST(sum(k) AS BIGINT) AS volume FROM ev GROUP BY ALL),
+e2 AS (SELECT * FROM e1 QUALIFY row_number() OVER (PARTITION BY stock_id, trading_date, side ORDER BY ordinal DESC) = 1)
+SELECT p.stock_id, p.trading_date, coalesce(nullif(p.high, 0), f.high, p.high) AS high, coalesce(nullif(p.volume, 0), f.volume, p.volume) AS volume, p.ordinal <> 2 AS has_price_limit, p.volume > 0 AND coalesce(f.volume > 0, true) AS quality
 FROM e2 p LEFT JOIN e2 f ON f.stock_id = p.stock_id AND f.trading_date = p.trading_date AND f.side = 1 WHERE p.side = 0""")
 def merged_sources(spark, d):
-    e = fixtures.table(spark, d, "events").select(F.lpad(F.col("user_id").cast("string"), 4, "0").alias("stock_id"), F.to_date("ts").alias("trading_date"), (F.col("event_id") % 2).alias("side"), "value", F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"))
-    g = e.groupBy("stock_id", "trading_date", "side").agg(F.max("value").alias("high"), F.sum("k").alias("volume")).withColumn("quality", F.col("volume") > 0)
+    e = fixtures.table(spark, d, "events").select(F.lpad(F.col("user_id").cast("string"), 4, "0").alias("stock_id"), F.to_date("ts").alias("trading_date"), (F.col("event_id") % 2).alias("side"), (F.col("event_id") % 5).alias("ordinal"), "value", F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"))
+    g = e.groupBy("stock_id", "trading_date", "side", "ordinal").agg(F.max("value").alias("high"), F.sum("k").alias("volume")).withColumns({"quality": F.col("volume") > 0, "has_price_limit": F.col("ordinal") != 2})
     return monitoring.merge_sources(g.where("side = 0"), g.where("side = 1"), ["high", "volume"])
 
 
-def _spine(bars):
-    days = bars.select("trading_date").distinct()
-    return days.withColumn("holiday", F.day("trading_date").isin(1, 17))
+#: Status of each date as the gates of the job decide it on the late sources of the fixtures.
+READY = f"""rd AS (SELECT trading_date, count(*) FILTER (market = 'TWSE') AS n_twse, count(*) FILTER (market = 'TPEX' AND day(trading_date) % 9 <> 0 AND day(trading_date) <> 22) AS n_tpex FROM quotes GROUP BY 1),
+readiness AS (SELECT trading_date, n_twse, n_tpex, CASE WHEN isodow(trading_date) > 5 OR day(trading_date) IN (1, 17) THEN 'SKIPPED_NON_TRADING_DAY' WHEN n_twse = 0 THEN 'WAITING_FOR_DATA'
+  WHEN day(trading_date) = 22 THEN 'FAILED' WHEN n_tpex = 0 THEN 'WAITING_FOR_DATA' WHEN NOT EXISTS (SELECT 1 FROM vok v WHERE v.trading_date = rd.trading_date) THEN 'WAITING_FOR_DATA' ELSE 'READY' END AS status FROM rd),
+rq AS (SELECT q.* FROM quotes q JOIN readiness r USING (trading_date) WHERE r.status = 'READY')"""
 
 
-@query("source_readiness", f"""WITH {QUOTES}, {VALUES_.strip()}, n AS (SELECT trading_date, count(*) FILTER (market = 'TWSE') AS n_twse, count(*) FILTER (market = 'TPEX') AS n_tpex, count(*) FILTER (market = 'TWSE' AND quality) AS a, count(*) FILTER (market = 'TPEX' AND quality) AS b FROM quotes WHERE day(trading_date) % 9 <> 0 OR market = 'TWSE' GROUP BY 1)
-SELECT s.trading_date, coalesce(n_twse, 0) AS n_twse, coalesce(n_tpex, 0) AS n_tpex, CASE WHEN isodow(s.trading_date) > 5 OR day(s.trading_date) IN (1, 17) THEN 'SKIPPED_NON_TRADING_DAY' WHEN least(n_twse, n_tpex) = 0 THEN 'WAITING_FOR_DATA'
-WHEN least(a, b) = 0 OR NOT EXISTS (SELECT 1 FROM vok v WHERE v.trading_date = s.trading_date) THEN 'FAILED' ELSE 'READY' END AS status FROM (SELECT DISTINCT trading_date FROM bars) s LEFT JOIN n USING (trading_date)""")
+def _job(spark, d, strategies=STRATEGIES):
+    return jobs.daily_ranking(fixtures.raw_sources(spark, d), fixtures.spine(fixtures.daily_bars(spark, d)), strategies, fixtures.risk_inputs)
+
+
+@query("source_readiness", f"""WITH {QUOTES}, {VALUES_.strip()}, {READY} SELECT trading_date, n_twse, n_tpex, status FROM readiness""")
 def source_readiness(spark, d):
-    b = fixtures.daily_bars(spark, d)
-    prices = fixtures.quotes(b).where((F.day("trading_date") % 9 != 0) | (F.col("market") == "TWSE"))
-    v = fixtures.valuations(b)
-    snaps = v.select("market", "snapshot_date").distinct().withColumn("trading_date", F.col("snapshot_date"))
-    want = _spine(b).select("trading_date").crossJoin(F.broadcast(v.select("market").distinct()))
-    age = asof.asof_join(want, snaps, ["market"], "trading_date").select("trading_date", "market", F.datediff("trading_date", F.col("match")["snapshot_date"]).alias("age"))
-    return monitoring.source_readiness(_spine(b), prices, age)
+    s = jobs.mapped_sources(fixtures.raw_sources(spark, d))
+    return monitoring.source_readiness(fixtures.spine(fixtures.daily_bars(spark, d)), s["payloads"], s["reported"], s["valuations"], s["master"])
 
 
-@query("mapped_quotes", f"WITH {QUOTES} SELECT stock_id, market, trading_date, open, high, low, close, round(reference, 6) AS reference, volume, turnover, quality FROM quotes WHERE reference IS NOT NULL")
+@query("mapped_quotes", f"WITH {QUOTES} SELECT stock_id, market, trading_date, open, high, low, close, round(reference, 6) AS reference, volume, turnover, quality FROM quotes")
 def mapped_quotes(spark, d):
     """Quotes rendered to raw payloads, CSV for one market and JSON for the other, and read again."""
-    q = fixtures.quotes(fixtures.daily_bars(spark, d)).where("reference is not null")
-    names = ["date", "id", "name", "volume", "turnover", "open", "high", "low", "close", "change"]
-    roc = F.concat(F.lpad((F.year("trading_date") - 1911).cast("string"), 3, "0"), F.date_format("trading_date", "MMdd"))
-    num = lambda c: F.coalesce(F.format_number(c, 4), F.lit("--"))
-    cells = [roc, F.col("stock_id"), F.concat(F.lit("Stock "), "stock_id"), F.format_number("volume", 0), num(F.col("turnover")), *[num(F.col(c)) for c in ("open", "high", "low", "close")], num(F.col("close") - F.col("reference"))]
-    line = F.concat_ws(",", *[F.concat(F.lit('"'), c, F.lit('"')) for c in cells])
-    item = F.to_json(F.struct(*[c.alias(n) for c, n in zip(cells, names, strict=True)]))
-    by_day = lambda m, x: q.where(F.col("market") == m).groupBy(F.col("trading_date").alias("target_date")).agg(F.sort_array(F.collect_list(x)).alias("parts"))
-    csv = by_day("TWSE", line).select("target_date", F.concat(F.lit(",".join(names) + "\n"), F.array_join("parts", "\n")).alias("payload"))
-    js = by_day("TPEX", item).select("target_date", F.concat(F.lit("[17,"), F.array_join("parts", ","), F.lit("]")).alias("payload"))
-    both = landing.map_quotes(landing.csv_rows(csv, names), "TWSE").unionByName(landing.map_quotes(landing.json_rows(js), "TPEX"))
+    csv, js = fixtures.price_payloads(fixtures.quotes(fixtures.daily_bars(spark, d)))
+    both = mappers.map_quotes(landing.csv_rows(csv), "TWSE").unionByName(mappers.map_quotes(landing.json_rows(js), "TPEX"))
     return doubles(both.select("stock_id", "market", "trading_date", "open", "high", "low", "close", "reference", "volume", "turnover", "quality"))
 
 
+@query("prev_close_quotes", f"""WITH {BARS}, cal AS (SELECT trading_date, lag(trading_date) OVER (ORDER BY trading_date) AS previous FROM (SELECT DISTINCT trading_date FROM bars))
+SELECT b.stock_id, b.trading_date, b.high, b.close, p.close AS reference, b.volume, b.turnover, b.volume > 0 AND b.turnover > 0 AS quality FROM bars b JOIN cal USING (trading_date) LEFT JOIN bars p ON p.stock_id = b.stock_id AND p.trading_date = cal.previous""")
+def prev_close_quotes(spark, d):
+    """Provider rows as prices whose reference is the close of the session before."""
+    rows = landing.envelope_rows(fixtures.raw_sources(spark, d)["history"])
+    p = mappers.map_prices_prev_close(rows.where("fields['date'] <> '2024-1-1'"), "TWSE", mappers.session_calendar(fixtures.daily_bars(spark, d)))
+    return doubles(p.select("stock_id", "trading_date", "high", "close", "reference", "volume", "turnover", "quality"))
+
+
+@query("mapped_history", f"""WITH {BARS}, {FLOWS.strip()}, {REVENUE.strip()} SELECT 'bar' AS kind, stock_id, CAST(trading_date AS VARCHAR) AS known, close AS a, turnover AS b FROM bars
+UNION ALL SELECT 'flow', stock_id, CAST(trading_date AS VARCHAR), net_shares, NULL FROM flows UNION ALL SELECT 'revenue', stock_id, CAST(available_at AS VARCHAR), y * 100 + m, revenue FROM rev""")
+def mapped_history(spark, d):
+    """Prices, flows and revenue of the provider's envelopes as typed rows."""
+    s = jobs.mapped_sources(fixtures.raw_sources(spark, d))
+    b = s["bars"].select(F.lit("bar").alias("kind"), "stock_id", F.col("trading_date").cast("string").alias("known"), F.col("close").alias("a"), F.col("turnover").alias("b"))
+    f = s["flows"].select(F.lit("flow"), "stock_id", F.col("trading_date").cast("string"), F.col("net_shares").cast("double"), F.lit(None).cast("double"))
+    r = s["revenue"].select(F.lit("revenue"), "stock_id", F.col("available_at").cast("string"), (F.col("revenue_year") * 100 + F.col("revenue_month")).cast("double"), "revenue")
+    return b.union(f).union(r)
+
+
 @query("history_slice", f"WITH {BARS} SELECT stock_id, trading_date, close FROM bars WHERE trading_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-20' AND stock_id IN (SELECT stock_id FROM bars WHERE volume > 150)")
 def history_slice(spark, d):
     import datetime
@@ -315,10 +332,11 @@ def history_slice(spark, d):
 def landed_payloads(spark, d):
     """Payload rows of events that have not landed, hashed, without secrets."""
     e = fixtures.table(spark, d, "events").select(F.col("event_type").alias("run_id"), F.lit("events").alias("source"), F.col("event_id").cast("string").alias("request_key"), F.col("props").alias("payload"), F.create_map(F.lit("token"), F.lit("x"), F.lit("page"), F.col("event_id").cast("string")).alias("parameters"))
+    e = e.unionByName(e.where("cast(request_key as bigint) % 4 = 0"))  # a key twice in one batch lands once
     return landing.new_snapshots(e, e.where("event_id % 3 = 0".replace("event_id", "cast(request_key as bigint)"))).select("run_id", "request_key", "payload_hash", F.map_keys("parameters").alias("parameters"))
 
 
-SQL["landed_payloads"] = "SELECT event_type AS run_id, CAST(event_id AS VARCHAR) AS request_key, sha256(replace(props, ' ', '')) AS payload_hash, ['page'] AS parameters FROM events WHERE event_id % 3 <> 0"
+SQL["landed_payloads"] = "SELECT event_type AS run_id, CAST(event_id AS VARCHAR) AS request_key, sha256(props) AS payload_hash, ['page'] AS parameters FROM events WHERE event_id % 3 <> 0"
 
 
 @query("publication", """WITH m AS (SELECT doc_id, sha256(doc_id || '|' || coalesce(source, '') || '|' || sha256(coalesce(lang, '')) || '|' || '1') AS key, coalesce(text, '') AS text FROM documents)
@@ -336,73 +354,93 @@ def message_units(spark, d):
     return fixtures.table(spark, d, "documents").select("doc_id", parsing.utf16_length(F.coalesce("text", F.lit(""))).alias("n_units"))
 
 
-def _job(spark, d, s):
-    b = fixtures.daily_bars(spark, d)
-    return b, jobs.daily_ranking(fixtures.quotes(b), fixtures.master(b), fixtures.valuations(b), b, factors.institutional_flows(fixtures.flow_rows(spark, d)), factors.monthly_revenue(fixtures.revenue_rows(spark, d)), fixtures.risk_inputs, s)
+def _job_sql(version: str, least: int, most: int, pe: int, ky: bool) -> str:
+    return f"""{QUOTES}, {MASTER.strip()}, {VALUES_.strip()}, {READY}, {_candidates_sql("rq", least, most).strip()}, {HISTORY.strip()}, {FLOWS.strip()}, {REVENUE.strip()},
+elig AS (SELECT c.* FROM cand c WHERE EXISTS (SELECT 1 FROM vnow v WHERE v.stock_id = c.stock_id AND v.trading_date = c.trading_date AND pe_ratio > 0 AND pe_ratio <= {pe})),
+x1 AS (SELECT e.*, h.stock_id IS NOT NULL AS has_history, CASE WHEN h.av20 > 0 THEN e.volume / h.av20 END AS volume_ratio_20d, e.close / h.c5 - 1 AS return_5d, CAST(stock_name LIKE '%-KY%' AS BOOLEAN) AS ky FROM elig e ASOF LEFT JOIN hist h ON e.stock_id = h.stock_id AND e.trading_date > h.trading_date),
+x2 AS (SELECT x.*, s.ratio AS net_buy_ratio, CAST(x.stock_id AS INT) AS n FROM x1 x ASOF LEFT JOIN s5 s ON x.stock_id = s.stock_id AND x.trading_date > s.trading_date),
+x3 AS (SELECT x.*, g.revenue / CASE WHEN p.revenue > 0 THEN p.revenue END - 1 AS revenue_yoy FROM x2 x LEFT JOIN LATERAL (SELECT y, m, revenue FROM rev r WHERE r.stock_id = x.stock_id AND r.available_at <= x.trading_date ORDER BY y DESC, m DESC LIMIT 1) g ON true LEFT JOIN rev p ON p.stock_id = x.stock_id AND p.y = g.y - 1 AND p.m = g.m),
+x4 AS (SELECT *, CASE WHEN n % 3 = 0 THEN true WHEN n % 3 = 1 THEN false END AS att, CASE WHEN n % 19 <> 0 THEN n % 23 = 0 END AS man, CASE WHEN n % 6 <> 5 THEN n % 6 END AS streak,
+  coalesce(open = limit_price AND high = limit_price AND low = limit_price AND close = limit_price, false) AS one FROM x3),
+x5 AS (SELECT *, CASE WHEN n % 17 = 0 THEN 'disposition' WHEN man THEN 'managed' {"" if ky else "WHEN ky THEN 'ky'"} END AS exclusion, coalesce(att, false) AS fa, coalesce(streak > 3, false) AS fs, coalesce(return_5d >= 0.35, false) AS fr FROM x4),
+risk AS (SELECT *, CASE WHEN att IS NULL OR man IS NULL OR streak IS NULL THEN NULL ELSE greatest(0, 1 - (fa::INT * 0.15::DOUBLE + ky::INT * 0.10::DOUBLE + one::INT * 0.20::DOUBLE + fs::INT * 0.30::DOUBLE + fr::INT * 0.25::DOUBLE)) END AS risk_quality FROM x5 WHERE exclusion IS NULL),
+{_score_sql('risk', 'scored')}"""
 
 
-@query("stage_counts")
-def stage_counts(spark, d):
-    b, stages = _job(spark, d, STRATEGIES[0])
-    return monitoring.funnel({"mapped": b, **{k: stages[k] for k in ("candidates", "eligible", "scored", "ranked")}})
+def _both(select: Callable[[str, float, int], str]) -> str:
+    """A statement for either strategy: version, least turnover, candidates, P/E, KY allowed; least completeness, rows listed."""
+    published = f"SELECT * FROM (WITH {_job_sql('rule-v1.1.0', 50000000, 50, 20, True)}, {select('rule-v1.1.0', 0.8, 10)})"
+    return f"{published} UNION ALL SELECT * FROM (WITH {_job_sql('wide', 0, 20, 60, False)}, {select('wide', 0.5, 5)})"
+
 
+RANKED = """t AS (SELECT *, row_number() OVER (PARTITION BY trading_date ORDER BY total_score DESC, turnover DESC, volume DESC, stock_id) AS rank FROM scored WHERE completeness >= {least}), top AS (SELECT * FROM t WHERE rank <= {most})"""
+TOP_FACTORS = f"(SELECT string_agg({{shown}}, '{{sep}}' ORDER BY x DESC, i) FROM (SELECT * FROM (VALUES {', '.join(f'({chr(39)}{f}{chr(39)}, {i}, s_{f})' for i, (f, _, _) in enumerate(SCORED))}) v(f, i, x) WHERE x IS NOT NULL ORDER BY x DESC, i LIMIT 2))"
+FLAGS = (("fa", "ATTENTION_STOCK", "on the attention list"), ("ky", "KY_STOCK", "registered abroad (KY)"), ("one", "ONE_PRICE_LIMIT_UP", "traded at the limit only, so hard to follow"), ("fs", "EXCESSIVE_CONSECUTIVE_LIMIT_UP", "many limit-up days in a row"), ("fr", "HIGH_FIVE_DAY_RETURN", "steep rise over five sessions"))
+COUNTS = {"mapped": "rq", "candidates": "cand", "eligible": "elig", "featured": "risk", "scored": "scored", "complete": "t", "ranked": "top"}
 
 
+@query("stage_counts", _both(lambda v, least, most: f"""{RANKED.format(least=least, most=most)}, tagged AS ({' UNION ALL '.join(f"SELECT trading_date, '{k}' AS s FROM {t}" for k, t in COUNTS.items())})
+SELECT '{v}' AS strategy_version, trading_date, {', '.join(f"count(*) FILTER (s = '{k}') AS {k}" for k in COUNTS)} FROM tagged GROUP BY trading_date"""))
+def stage_counts(spark, d):
+    stages = _job(spark, d)
+    kept = {k: stages[k] for k in COUNTS} | {"mapped": for_each_strategy(stages["mapped"], STRATEGIES), "featured": stages["featured"].where("exclusion is null")}
+    return monitoring.funnel(kept, tuple(ranking.CROSS))
+
 
-@query("coverage")
+@query("coverage", _both(lambda v, least, most: f"""c AS (SELECT *, exclusion IS NOT NULL AS ex, att IS NULL OR man IS NULL OR streak IS NULL AS inc, fa OR ky OR one OR fs OR fr AS fl FROM x5)
+SELECT '{v}' AS strategy_version, trading_date, count(*) FILTER (has_history) AS price_success, count(*) FILTER (NOT has_history) AS price_empty, 0::BIGINT AS price_failed, count(net_buy_ratio) AS flow_success, count(*) - count(net_buy_ratio) AS flow_none, 0::BIGINT AS flow_failed,
+count(revenue_yoy) AS revenue_success, count(*) - count(revenue_yoy) AS revenue_none, 0::BIGINT AS revenue_failed, count(*) FILTER (ex) AS excluded,
+count(*) FILTER (NOT ex AND inc) AS incomplete, count(*) FILTER (NOT ex AND NOT inc AND fl) AS flagged, count(*) FILTER (NOT ex AND NOT inc AND NOT fl) AS clean FROM c GROUP BY trading_date"""))
 def coverage(spark, d):
-    return monitoring.enrichment_coverage(_job(spark, d, STRATEGIES[0])[1]["featured"])
+    return monitoring.enrichment_coverage(_job(spark, d)["featured"], tuple(ranking.CROSS))
 
 
-@query("daily_ranking")
+@query("daily_ranking", _both(lambda v, least, most: f"""{RANKED.format(least=least, most=most)} SELECT '{v}' AS strategy_version, trading_date, CAST(rank AS INTEGER) AS rank, stock_id, total_score, completeness,
+{TOP_FACTORS.format(shown='f', sep=',')} AS top_factors, concat_ws(',', {', '.join(f"CASE WHEN {c} THEN '{f}' END" for c, f, _ in FLAGS)}) AS risk_flags FROM top"""))
 def daily_ranking(spark, d):
-    """The list of each strategy and date."""
-    out = None
-    for s in STRATEGIES:
-        r = _job(spark, d, s)[1]["ranked"].select("strategy_version", "trading_date", "rank", "stock_id", "total_score", "completeness", F.array_join("top_factors", ",").alias("top_factors"), F.array_join("risk_flags", ",").alias("risk_flags"))
-        out = r if out is None else out.unionByName(r)
-    return out
-
-
-def _job_sql(s: ranking.Strategy) -> str:
-    keep = "exclusion IS NULL"
-    return f"""{QUOTES}, {MASTER.strip()}, {CANDIDATES.strip().replace('<= 50', f'<= {s.candidates}')}, {VALUES_.strip()}, {HISTORY.strip()}, {FLOWS.strip()}, {REVENUE.strip()},
-elig AS (SELECT c.* FROM cand c WHERE EXISTS (SELECT 1 FROM vnow v WHERE v.stock_id = c.stock_id AND v.trading_date = c.trading_date AND pe_ratio > 0 AND pe_ratio <= {s.most_pe})),
-x1 AS (SELECT e.*, CASE WHEN h.av20 > 0 THEN e.volume / h.av20 END AS volume_ratio_20d, e.close / h.c5 - 1 AS return_5d, CAST(stock_name LIKE '%-KY%' AS BOOLEAN) AS ky FROM elig e ASOF LEFT JOIN hist h ON e.stock_id = h.stock_id AND e.trading_date > h.trading_date),
-x2 AS (SELECT x.*, s.ratio AS net_buy_ratio, CAST(x.stock_id AS INT) AS n FROM x1 x ASOF LEFT JOIN s5 s ON x.stock_id = s.stock_id AND x.trading_date > s.trading_date),
-x3 AS (SELECT x.*, g.revenue / CASE WHEN p.revenue > 0 THEN p.revenue END - 1 AS revenue_yoy FROM x2 x LEFT JOIN LATERAL (SELECT y, m, revenue FROM rev r WHERE r.stock_id = x.stock_id AND r.available_at <= x.trading_date ORDER BY y DESC, m DESC LIMIT 1) g ON true LEFT JOIN rev p ON p.stock_id = x.stock_id AND p.y = g.y - 1 AND p.m = g.m),
-x4 AS (SELECT *, CASE WHEN n % 3 = 0 THEN true WHEN n % 3 = 1 THEN false END AS att, CASE WHEN n % 19 <> 0 THEN n % 23 = 0 END AS man, CASE WHEN n % 6 <> 5 THEN n % 6 END AS streak,
-  coalesce(open = limit_price AND high = limit_price AND low = limit_price AND close = limit_price, false) AS one FROM x3),
-x5 AS (SELECT *, CASE WHEN n % 17 = 0 THEN 'disposition' WHEN man THEN 'managed' {"" if s.allow_ky else "WHEN ky THEN 'ky'"} END AS exclusion, coalesce(att, false) AS fa, coalesce(streak > 3, false) AS fs, coalesce(return_5d >= 0.35, false) AS fr FROM x4),
-risk AS (SELECT *, CASE WHEN att IS NULL OR man IS NULL OR streak IS NULL THEN NULL ELSE greatest(0, 1 - (fa::INT * 0.30::DOUBLE + ky::INT * 0.10::DOUBLE + one::INT * 0.20::DOUBLE + fs::INT * 0.20::DOUBLE + fr::INT * 0.20::DOUBLE)) END AS risk_quality FROM x5 WHERE {keep}),
-{_score_sql('risk', 'scored')}"""
+    """The list of each strategy and date, from raw payloads."""
+    r = _job(spark, d)["ranked"]
+    return r.select("strategy_version", "trading_date", "rank", "stock_id", "total_score", "completeness", F.array_join("top_factors", ",").alias("top_factors"), F.array_join("risk_flags", ",").alias("risk_flags"))
 
 
-SQL["stage_counts"] = f"""WITH {_job_sql(STRATEGIES[0])}, tagged AS (SELECT trading_date, 1 AS s FROM bars UNION ALL SELECT trading_date, 2 FROM cand UNION ALL SELECT trading_date, 3 FROM elig UNION ALL SELECT trading_date, 4 FROM scored
-UNION ALL SELECT trading_date, 5 FROM (SELECT trading_date, row_number() OVER (PARTITION BY trading_date) AS i FROM scored WHERE completeness >= 0.8) WHERE i <= 10)
-SELECT trading_date, count(*) FILTER (s = 1) AS mapped, count(*) FILTER (s = 2) AS candidates, count(*) FILTER (s = 3) AS eligible, count(*) FILTER (s = 4) AS scored, count(*) FILTER (s = 5) AS ranked FROM tagged GROUP BY 1"""
+LABEL = "CASE f WHEN 'liquidity' THEN 'Liquidity' WHEN 'volume_price' THEN 'Price and volume' WHEN 'momentum' THEN 'Momentum' WHEN 'institutional' THEN 'Institutional flows' WHEN 'fundamental' THEN 'Fundamentals' ELSE 'Risk quality' END"
+LACK = (("liquidity", "liquidity (no volume or turnover)"), ("volume_price", "price and volume (history too short)"), ("momentum", "momentum (no recent return)"), ("institutional", "institutional flows (incomplete)"), ("fundamental", "fundamentals (no monthly revenue)"), ("risk_quality", "risk quality (state of the stock unknown)"))
+NL = "chr(10)"
+BLOCK = f"""concat_ws({NL}, rank || '. ' || stock_name || ' (' || stock_id || ')', 'close ' || printf('%.2f', close::DOUBLE), CASE WHEN reference > 0 THEN 'change ' || printf('%+.2f', (close / reference - 1) * 100) || '%' END, 'score ' || printf('%.2f', total_score), 'data ' || printf('%.0f', completeness * 100) || '%',
+'missing: ' || nullif(concat_ws(', ', {', '.join(f"CASE WHEN s_{f} IS NULL THEN '{t}' END" for f, t in LACK)}), ''), 'strong in: ' || {TOP_FACTORS.format(shown=LABEL, sep=', ')}, CASE WHEN one THEN 'shape: one price all day' END,
+'risk: ' || coalesce(nullif(concat_ws(', ', {', '.join(f"CASE WHEN {c} THEN '{t}' END" for c, _, t in FLAGS)}), ''), 'closed at its limit; opening lower and wide swings are likely'))"""
+REPORTS = _both(lambda v, least, most: f"""{RANKED.format(least=least, most=most)}, body AS (SELECT trading_date, string_agg({BLOCK}, {NL} || {NL} ORDER BY rank) AS body FROM top GROUP BY 1),
+n AS (SELECT r.trading_date, (SELECT count(*) FROM cand c WHERE c.trading_date = r.trading_date) AS c, (SELECT count(*) FROM t WHERE t.trading_date = r.trading_date) AS e FROM readiness r WHERE status = 'READY')
+SELECT '{v}' AS strategy_version, trading_date, c AS n_candidates, e AS n_eligible, 'Limit-up list ' || CAST(trading_date AS VARCHAR) || {NL} || 'strategy {v}' || {NL} || 'candidates ' || c || ', complete enough ' || e || ', shown at most {most}' || {NL} || {NL} ||
+coalesce(body, 'No candidate is complete enough today.') || {NL} || {NL} || 'Scores weigh the factors of strategy {v} to order the candidates; they forecast no return, probability or target price. For research only; no advice.' AS report FROM n LEFT JOIN body USING (trading_date)""")
 
 
-@query("reports")
+@query("reports", f"SELECT *, CAST(length(report) AS BIGINT) AS n_units, length(report) > 5000 AS too_long FROM ({REPORTS})")
 def report_texts(spark, d):
-    _, stages = _job(spark, d, STRATEGIES[0])
-    spine = stages["candidates"].groupBy("trading_date").agg(F.count(F.lit(1)).alias("n_candidates"))
-    return reports.render_report(spine, stages["ranked"], ["trading_date"])
+    """A text for each strategy and ready date, also where nothing is listed."""
+    return _job(spark, d)["reports"].drop("published")
 
 
-@query("master_bars_rank", None)
-def turnover_ranks(spark, d):
-    """Mean-rank percentiles of turnover over all bars of a date."""
-    b = fixtures.daily_bars(spark, d)
-    return b.select("stock_id", "trading_date", F.round(ranking.percentile_score("turnover", ["trading_date"]), 4).alias("pct"), F.row_number().over(Window.partitionBy("trading_date").orderBy(F.desc("turnover"), "stock_id")).alias("place"))
+@query("report_publication", f"""SELECT strategy_version, trading_date, sha256(CAST(trading_date AS VARCHAR) || '|' || strategy_version || '|' || sha256('desk') || '|' || 'text-v4') AS key, CASE day(trading_date) % 4 WHEN 0 THEN 'insert' WHEN 1 THEN 'skip' WHEN 2 THEN 'retry' ELSE 'conflict' END AS action FROM ({REPORTS})""")
+def report_publication(spark, d):
+    """What becomes of each report when some have been sent, some have failed and some differ from what was sent."""
+    m = jobs.messages(_job(spark, d)["reports"], "desk")
+    n = F.day("trading_date") % 4
+    done = m.where(n != 0).select("key", F.sha2(F.when(n == 3, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("hash"), F.when(n == 2, "FAILED").otherwise("SUCCESS").alias("status"))
+    return monitoring.publish_once(m, done).select("strategy_version", "trading_date", "key", "action")
 
 
-SQL["master_bars_rank"] = f"""WITH {BARS} SELECT stock_id, trading_date, round(CASE WHEN min(turnover) OVER p = max(turnover) OVER p THEN 50 ELSE (rank() OVER (PARTITION BY trading_date ORDER BY turnover) + (count(*) OVER (PARTITION BY trading_date, turnover) - 1) / 2) / count(*) OVER p * 100 END, 4) AS pct,
-CAST(row_number() OVER (PARTITION BY trading_date ORDER BY turnover DESC, stock_id) AS INTEGER) AS place FROM bars WINDOW p AS (PARTITION BY trading_date)"""
+@query("master_bars_rank", f"""WITH {BARS}, q AS (SELECT *, greatest(least(turnover, quantile_cont(turnover, 0.95) OVER p), quantile_cont(turnover, 0.05) OVER p) AS w FROM bars WINDOW p AS (PARTITION BY trading_date))
+SELECT stock_id, trading_date, round(CASE WHEN min(turnover) OVER p = max(turnover) OVER p THEN 50 ELSE 100 - (rank() OVER (PARTITION BY trading_date ORDER BY w) + (count(*) OVER (PARTITION BY trading_date, w) - 1) / 2) / count(*) OVER p * 100 END, 4) AS pct FROM q WINDOW p AS (PARTITION BY trading_date)""")
+def turnover_ranks(spark, d):
+    """Percentiles of turnover over all bars of a date, the lower the better."""
+    b = fixtures.daily_bars(spark, d)
+    r = ranking.percentile_scores(b, {"pct": "turnover"}, ["trading_date"], lower_is_better=["pct"])
+    return r.select("stock_id", "trading_date", F.when(F.lit(True), F.round("pct", 4)).alias("pct"))
 
 
 #: Date columns of results other than trading_date; they are shown as text, which all engines write alike.
-DATES = {"parsed_values": ("roc_date", "iso_date"), "asof_tolerance": ("day", "found")}
+DATES = {"mapped_history": (), "parsed_values": ("roc_date", "iso_date"), "asof_tolerance": ("day", "found")}
 
 
 def _as_text(f):
@@ -414,17 +452,6 @@ def _as_text(f):
     return run
 
 
-SQL["daily_ranking"] = " UNION ALL ".join(
-    f"""SELECT * FROM (WITH {_job_sql(s)}, t AS (SELECT *, row_number() OVER (PARTITION BY trading_date ORDER BY total_score DESC, turnover DESC, volume DESC, stock_id) AS rank FROM scored WHERE completeness >= {s.least_completeness})
-SELECT '{s.version}' AS strategy_version, trading_date, CAST(rank AS INTEGER) AS rank, stock_id, total_score, completeness,
-(SELECT string_agg(f, ',' ORDER BY x DESC, i) FROM (SELECT * FROM (VALUES {', '.join(f"('{f}', {i}, s_{f})" for i, f in enumerate(ranking.WEIGHTS))}) v(f, i, x) WHERE x IS NOT NULL ORDER BY x DESC, i LIMIT 2)) AS top_factors,
-concat_ws(',', CASE WHEN fa THEN 'attention' END, CASE WHEN ky THEN 'ky' END, CASE WHEN one THEN 'one_price' END, CASE WHEN fs THEN 'streak' END, CASE WHEN fr THEN 'hot_return' END) AS risk_flags
-FROM t WHERE rank <= {s.published})"""
-    for s in STRATEGIES
-)
-SQL["coverage"] = f"""WITH {_job_sql(STRATEGIES[0])}, c AS (SELECT trading_date, volume_ratio_20d, net_buy_ratio, revenue_yoy, exclusion IS NOT NULL AS ex, att IS NULL OR man IS NULL OR streak IS NULL AS inc, fa OR ky OR one OR fs OR fr AS fl FROM x5)
-SELECT trading_date, count(volume_ratio_20d) AS with_volume_ratio_20d, count(net_buy_ratio) AS with_net_buy_ratio, count(revenue_yoy) AS with_revenue_yoy, count(*) FILTER (ex) AS excluded,
-count(*) FILTER (NOT ex AND inc) AS incomplete, count(*) FILTER (NOT ex AND NOT inc AND fl) AS flagged, count(*) FILTER (NOT ex AND NOT inc AND NOT fl) AS clean FROM c GROUP BY 1"""
 QUERIES.update({k: _as_text(f) for k, f in QUERIES.items()})
 for _name, _sql in SQL.items():
     _dates = DATES.get(_name, ("trading_date",) if "trading_date" in _sql else ())

@@ -5,35 +5,44 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parsing import iso_to_date, parse_decimal, parse_int, roc_to_date
-from ..functions.ticks import data_quality_ok
+KEY = ["run_id", "source", "request_key"]
+#: Request parameters that are never kept (fixed values).
+SECRETS = ("token", "api_key")
 
 
 @F.pandas_udf(T.StringType())
 def canonical_json(payload: pd.Series) -> pd.Series:
-    """Key-sorted compact JSON; text that is no JSON stays as it is."""
+    """Key-sorted JSON with the usual separators ", " and ": "; text that is no JSON becomes a JSON string, as it was sent."""
     def one(x):
         try:
-            return json.dumps(json.loads(x), sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+            value = json.loads(x)
         except (TypeError, ValueError):
-            return x
+            value = x
+        return json.dumps(value, sort_keys=True, ensure_ascii=False)
 
     return payload.map(one, na_action="ignore")
 
 
-def payload_hash(payload):
-    """SHA-256 of the key-sorted JSON."""
+def payload_hash(payload: Column) -> Column:
+    """SHA-256 of the key-sorted JSON; null for a null payload."""
     return F.sha2(canonical_json(payload).cast("binary"), 256)
 
 
 def new_snapshots(payloads: DataFrame, landed: DataFrame) -> DataFrame:
-    """Payloads whose (run_id, source, request_key) has not landed, with their hash and without secret parameters."""
-    p = payloads.join(landed.select("run_id", "source", "request_key"), ["run_id", "source", "request_key"], "left_anti")
-    return p.withColumns({"parameters": F.map_filter("parameters", lambda k, _: ~F.lower(k).isin("token", "api_key")), "payload_hash": payload_hash(F.col("payload"))})
+    """Payloads whose (run_id, source, request_key) has not landed, with their hash and without secret parameters.
+
+    Of several rows of one key in the batch, that with the smallest payload hash lands. Rows with a null in the key never equal
+    a landed one and land each time.
+    """
+    p = payloads.join(landed.select(*KEY), KEY, "left_anti")
+    p = p.withColumns({"parameters": F.map_filter("parameters", lambda k, _: ~F.lower(k).isin(*SECRETS)), "payload_hash": payload_hash(F.col("payload"))})
+    w = Window.partitionBy(*KEY).orderBy(F.col("payload_hash").asc_nulls_last(), F.to_json("parameters"))
+    known = F.col("run_id").isNotNull() & F.col("source").isNotNull() & F.col("request_key").isNotNull()
+    return p.withColumn("__n", F.row_number().over(w)).where((F.col("__n") == 1) | ~known).drop("__n")
 
 
 def append_snapshots(payloads: DataFrame, path: str) -> None:
@@ -45,13 +54,24 @@ def append_snapshots(payloads: DataFrame, path: str) -> None:
     new_snapshots(payloads, keys).write.mode("append").partitionBy("source", "target_date").parquet(path)
 
 
-def write_by_date(df: DataFrame, path: str, keys: tuple[str, ...] = ("strategy_version", "trading_date")) -> None:
-    """Replace the partitions that ``df`` holds and no others."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+def write_by_date(df: DataFrame, path: str, keys: tuple[str, ...] = ("strategy_version", "trading_date"), unique: tuple[str, ...] = ("stock_id",), order: Column | None = None) -> None:
+    """Replace the partitions that ``df`` holds and no others; one row for each (keys, unique) is written, the last in ``order``.
+
+    Without an order the row that compares greatest as a whole is taken, so that reruns agree.
+    """
+    plain = [c for c, t in df.dtypes if not t.startswith("map")]
+    w = Window.partitionBy(*keys, *unique).orderBy((F.struct(*plain) if order is None else order).desc())
+    one = df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    one.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+
+
+def is_json_array(payload: Column) -> Column:
+    """Whether a payload is a JSON array; null: false. A source that should send one and does not has failed."""
+    return F.coalesce(F.ltrim(payload).startswith("[") & F.from_json(payload, "array<string>").isNotNull(), F.lit(False))
 
 
 def json_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per object of a bare JSON array: columns of ``df``, ordinal, fields (map of strings). No array: no rows."""
+    """One row per object of a bare JSON array: columns of ``df``, ordinal, fields (map of strings). No array: no rows (see ``is_json_array``)."""
     items = F.from_json(F.col(payload), "array<string>")
     d = df.select("*", F.posexplode(items).alias("ordinal", "item"))
     return d.withColumn("fields", F.from_json("item", "map<string,string>")).where(F.col("item").startswith("{") & F.col("fields").isNotNull()).drop("item")
@@ -62,35 +82,32 @@ def envelope_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     return json_rows(df.withColumn("__data", F.get_json_object(payload, "$.data")), "__data").drop("__data")
 
 
-def csv_rows(df: DataFrame, columns: list[str], payload: str = "payload") -> DataFrame:
-    """One row per line of a quoted CSV after its header: columns of ``df``, ordinal, fields (map of strings by ``columns``)."""
-    lines = F.filter(F.split(payload, "\r?\n"), lambda x: F.trim(x) != "")
-    d = df.select("*", F.posexplode(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0)))).alias("ordinal", "line"))
-    d = d.withColumn("__r", F.from_csv("line", ", ".join(f"c{i} string" for i in range(len(columns)))))
-    return d.withColumn("fields", F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.col("__r")[f"c{i}"])])).drop("__r", "line")
+def csv_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per record of a CSV after its header: columns of ``df``, ordinal, fields (map of strings by the payload's own header).
 
+    Cells may be quoted and then hold commas, doubled quotes and line breaks. Cells beyond the header are left out, absent ones
+    are null, and of a name that occurs twice the last column counts. Empty lines and a byte-order mark are skipped.
+    """
+    cells = F.lit(r',((?:"[^"]*+")++|[^,]*+)')
 
-def map_quotes(rows: DataFrame, market: str, target: str = "target_date") -> DataFrame:
-    """Typed prices from ``fields`` (date, id, name, volume, turnover, open, high, low, close, change): those of the target date with an id.
+    def split(record: Column) -> Column:
+        raw = F.regexp_extract_all(F.concat(F.lit(","), record), cells, F.lit(1))
+        return F.transform(raw, lambda x: F.when(x.startswith('"'), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
 
-    Zero prices are missing, zero volume and turnover are not; the reference is close less change.
-    """
-    f = F.col("fields")
-    d = rows.where((roc_to_date(f["date"]) == F.col(target)) & (F.trim(f["id"]) != ""))
-    price = {c: parse_decimal(f[c], zero_is_null=True) for c in ("open", "high", "low", "close")}
-    d = d.select(
-        roc_to_date(f["date"]).alias("trading_date"), F.lit(market).alias("market"), F.trim(f["id"]).alias("stock_id"), F.trim(f["name"]).alias("stock_name"),
-        *[c.alias(n) for n, c in price.items()], (price["close"] - parse_decimal(f["change"])).cast("decimal(18,4)").alias("reference"),
-        parse_int(f["volume"]).alias("volume"), parse_decimal(f["turnover"]).alias("turnover"), F.lit(True).alias("has_price_limit"),
-    )
-    return d.withColumn("quality", data_quality_ok(F.col("close"), F.col("high"), F.col("volume"), F.col("turnover")))
+    text = F.regexp_replace(F.col(payload), "\\A\ufeff", "")
+    records = F.filter(F.regexp_extract_all(text, F.lit(r'(?:[^"\r\n]++|"[^"]*+")++'), F.lit(0)), lambda x: F.trim(x) != "")
+    d = df.withColumn("__records", records).withColumn("__head", split(F.get("__records", F.lit(0))))
+    d = d.select("*", F.posexplode(F.slice("__records", 2, F.greatest(F.size("__records") - 1, F.lit(0)))).alias("ordinal", "__record"))
+    d = d.withColumn("__cells", split(F.col("__record")))
+    head, n = F.col("__head"), F.size("__head")
+    pairs = F.transform(head, lambda name, i: F.struct(name.alias("k"), F.get("__cells", i).alias("v")))
+    last = F.filter(pairs, lambda p, i: n - F.array_position(F.reverse(head), p["k"]) == i)
+    return d.withColumn("fields", F.map_from_entries(last)).drop("__records", "__head", "__record", "__cells")
 
 
 def history_slice(rows: DataFrame, ids: DataFrame, start, end, by: str = "trading_date") -> DataFrame:
-    """Rows of the given stocks with ``start`` <= date <= ``end``."""
+    """Rows of the given stocks with ``start`` <= date <= ``end``; blank ids are no stocks."""
     if start > end:
         raise ValueError("start is after end")
-    return rows.where(F.col(by).between(F.lit(start), F.lit(end))).join(ids.select("stock_id").distinct(), "stock_id", "left_semi")
-
-
-__all__ = ["append_snapshots", "canonical_json", "csv_rows", "envelope_rows", "history_slice", "iso_to_date", "json_rows", "map_quotes", "new_snapshots", "payload_hash", "write_by_date"]
+    named = ids.where(F.trim("stock_id") != "").select("stock_id").distinct()
+    return rows.where(F.col(by).between(F.lit(start), F.lit(end))).join(named, "stock_id", "left_semi")

@@ -1,14 +1,17 @@
 """Small cases of single rules."""
 
 import datetime
+import hashlib
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from limitrank.functions import parsing, ticks
-from limitrank.operators import asof, factors, monitoring, ranking
-from limitrank.sources import landing
+from limitrank.operators import asof, factors, monitoring, ranking, reports
+from limitrank.sources import landing, mappers, strategies
+
+STRATEGY = strategies.load_strategies()[0]
 
 
 def one(spark, column):
@@ -67,15 +70,171 @@ def test_future_rows_never_change_the_past(spark):
     assert early[0].return_5d == pytest.approx(35 / 30 - 1)
 
 
+RISK = "attention boolean, disposition boolean, managed boolean, streak int, return_5d double, stock_name string, one_price boolean"
+
+
 def test_unknown_flags_never_exclude(spark):
-    r = spark.createDataFrame([(None, None, None, None, None, "x", None)], "attention boolean, disposition boolean, managed boolean, streak int, return_5d double, stock_name string, one_price boolean")
-    got = ranking.assess_risk(r, ranking.Strategy()).first()
-    assert (got.exclusion, got.risk_flags, got.missing_inputs, got.risk_quality) == (None, [], ["attention", "disposition", "managed", "streak"], None)
+    rows = spark.createDataFrame([(None, None, None, None, None, "x", None), (True, False, False, 4, 0.35, "a-KY", True), (False, False, False, 3, 0.1, "x", False), (True, True, None, 9, 0.9, "x", True)], RISK)
+    got = [(r.exclusion, r.risk_flags, r.missing_inputs, r.risk_quality) for r in ranking.assess_risk(strategies.for_each_strategy(rows, [STRATEGY])).collect()]
+    every = ["ATTENTION_STOCK", "KY_STOCK", "ONE_PRICE_LIMIT_UP", "EXCESSIVE_CONSECUTIVE_LIMIT_UP", "HIGH_FIVE_DAY_RETURN"]
+    assert got[0] == (None, [], ["is_attention", "is_disposition", "is_managed", "consecutive_limit_up_days"], None)
+    assert got[1][:3] == (None, every, []) and got[1][3] == pytest.approx(0)
+    assert got[2:] == [(None, [], [], 1.0), ("disposition", [], [], 1.0)]
+
+
+def test_strategy_values(spark, tmp_path):
+    s = STRATEGY
+    assert (s.version, s.candidates, s.least_turnover, s.published, s.most_pe, s.most_streak, s.hot_return, s.least_completeness) == ("rule-v1.1.0", 50, 50_000_000, 10, 20, 3, 0.35, 0.8)
+    assert s.weights == {"liquidity": 0.25, "volume_price": 0.2, "momentum": 0.15, "institutional": 0.15, "fundamental": 0.15, "risk_quality": 0.1}
+    assert sum(s.penalties.values()) == pytest.approx(1) and s.penalties["ATTENTION_STOCK"] == 0.15
+    two = strategies.DEFAULT.read_text().strip()[1:-1]
+    (tmp_path / "s.json").write_text(f"[{two},{two}]")
+    with pytest.raises(ValueError, match="twice"):
+        strategies.load_strategies(tmp_path / "s.json")
+
+
+def test_equal_before_drawing_in_scores_fifty(spark):
+    rows = [(1, 3.0), (2, None)] + [(3, 5.0)] * 100 + [(3, 9.0)]
+    d = spark.createDataFrame(rows, "d int, x double")
+    got = {(r.d, r.s and round(r.s, 3)) for r in ranking.percentile_scores(d, {"s": "x"}, ["d"]).collect()}
+    # one value apart: all are drawn in to 5, share one rank, and still are no equal values
+    assert got == {(1, 50.0), (2, None), (3, 50.495)}
+
+
+def test_trailing_columns(spark):
+    day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
+    bars = spark.createDataFrame([("1", day(i), 10.0 + i, 0 if i == 22 else 100, 5.0) for i in range(24)] + [("1", day(24), 0.0, 1, 1.0)], "stock_id string, trading_date date, close double, volume long, turnover double")
+    flows = spark.createDataFrame([("1", day(i), 10) for i in range(24) if i != 3] + [("2", day(1), 1), ("2", day(1), 2)], "stock_id string, trading_date date, net_shares long")
+    t = spark.createDataFrame([("1", day(25), 50.0, 200, "a"), ("1", day(25), 25.0, 100, "b"), ("1", day(6), 10.0, 1, "c"), ("9", day(6), 1.0, 1, "d"), ("1", day(99), 50.0, 200, "e")], "stock_id string, trading_date date, close double, volume long, bar string")
+    got = {r.bar: r for r in factors.point_in_time(t, bars, flows, lookback_days=60).collect()}
+    # the session without a close is no history, the one without volume is, but not for flows
+    assert got["a"].volume_ratio_20d == pytest.approx(200 / 95) and got["a"].return_5d == pytest.approx(50 / 29 - 1) and got["b"].return_5d == pytest.approx(25 / 29 - 1)
+    assert got["a"].net_buy_ratio is None and got["c"].net_buy_ratio is None  # day 24 traded, but has no flow; day 3 has none
+    assert got["c"].return_5d == pytest.approx(10 / 11 - 1) and got["c"].average_turnover_20d is None
+    assert (got["d"].has_history, got["d"].return_5d) == (False, None) and got["e"].return_5d is None and got["e"].has_history
+    assert factors.point_in_time(t).count() == 5
+
+
+def test_two_flows_on_a_date_void_the_ratio(spark):
+    day = lambda n: datetime.date(2024, 1, n)
+    bars = spark.createDataFrame([("1", day(i), 1.0, 10, 1.0) for i in range(1, 9)], "stock_id string, trading_date date, close double, volume long, turnover double")
+    flows = spark.createDataFrame([("1", day(i), 5) for i in range(1, 9)] + [("1", day(7), 5)], "stock_id string, trading_date date, net_shares long")
+    t = spark.createDataFrame([("1", day(7)), ("1", day(8))], "stock_id string, trading_date date")
+    assert {r.trading_date.day: r.net_buy_ratio for r in factors.flow_ratio(t, bars, flows).collect()} == {7: 0.5, 8: None}
+
+
+def test_revisions_of_revenue(spark):
+    day = lambda m, n: datetime.date(2024, m, n)
+    rows = [("1", 2024, 1, 300.0, day(2, 10), 0), ("1", 2023, 1, 100.0, day(1, 1), 1), ("1", 2023, 1, 150.0, day(9, 1), 2), ("1", 2023, 1, 200.0, day(9, 1), 3), ("1", 2023, 1, 50.0, None, 4), ("1", 2024, 2, 9.0, None, 5)]
+    r = spark.createDataFrame(rows, "stock_id string, revenue_year int, revenue_month int, revenue double, available_at date, ordinal int")
+    t = spark.createDataFrame([("1", day(2, 9)), ("1", day(2, 10))], "stock_id string, trading_date date")
+    # the year before counts in its latest revision, also one not known yet; of equal ones the first
+    assert {x.trading_date.day: x.revenue_yoy for x in factors.revenue_yoy(t, r).collect()} == {9: None, 10: 1.0}
+
+
+def test_merging_repeated_rows(spark):
+    cols = "trading_date int, stock_id string, high double, volume long, has_price_limit boolean, quality boolean, ordinal int"
+    p = spark.createDataFrame([(1, "a", 0.0, 5, True, True, 1), (1, "a", None, 0, False, True, 2), (1, "b", 1.0, 1, True, True, 1)], cols)
+    f = spark.createDataFrame([(1, "a", 3.0, 7, True, True, 1), (1, "a", 4.0, 8, True, False, 2), (2, "b", 9.0, 9, True, True, 1)], cols)
+    got = sorted(tuple(r) for r in monitoring.merge_sources(p, f, ["high", "volume"]).collect())
+    assert got == [(1, "a", 4.0, 8, False, False), (1, "b", 1.0, 1, True, True)]
+
+
+def test_readiness_gates(spark):
+    day = lambda n: datetime.date(2024, 1, n)
+    spine = spark.createDataFrame([(day(n), n == 3) for n in (2, 3, 4, 5, 6, 8, 9, 10)], "trading_date date, holiday boolean")
+    payloads = spark.createDataFrame([(day(4), "TWSE", True), (day(4), "TPEX", False), (day(5), "TWSE", False)], "target_date date, market string, well_formed boolean")
+    rows = spark.createDataFrame([(day(n), m, 2, 0 if n == 9 and m == "TPEX" else 1) for n in (2, 4, 6, 8, 9, 10) for m in ("TWSE", "TPEX") if (n, m) != (8, "TPEX")], "target_date date, market string, on_date long, mapped long")
+    values = spark.createDataFrame([("TWSE", day(4)), ("TPEX", day(4)), ("TWSE", day(10))], "market string, snapshot_date date")
+    master = spark.range(1)
+    got = {r.trading_date.day: r.status for r in monitoring.source_readiness(spine, payloads, rows, values, master).collect()}
+    assert got == {2: "WAITING_FOR_DATA", 3: "SKIPPED_NON_TRADING_DAY", 4: "FAILED", 5: "FAILED", 6: "SKIPPED_NON_TRADING_DAY", 8: "WAITING_FOR_DATA", 9: "WAITING_FOR_DATA", 10: "WAITING_FOR_DATA"}
+    later = values.unionByName(spark.createDataFrame([("TPEX", day(9))], "market string, snapshot_date date"))
+    ready = {r.trading_date.day: r.status for r in monitoring.source_readiness(spine, payloads, rows, later, master).collect()}
+    assert ready[10] == "READY" and ready[9] == "WAITING_FOR_DATA"
+    assert {r.status for r in monitoring.source_readiness(spine, payloads, rows, later, master.limit(0)).where("day(trading_date) = 10").collect()} == {"FAILED"}
+
+
+def test_report_without_rows_and_orphans(spark):
+    day = datetime.date(2024, 1, 2)
+    days = spark.createDataFrame([("v", day, 10, 3, 0)], "strategy_version string, trading_date date, published int, n_candidates long, n_eligible long")
+    ranked = spark.createDataFrame([("v", day, 1, "2330", " ", 88.125, 0.9, ["momentum", "new"], [], ["KY_STOCK", "NEW"], 11.0, 10.0, True)],
+        "strategy_version string, trading_date date, rank int, stock_id string, stock_name string, total_score double, completeness double, top_factors array<string>, missing_factors array<string>, risk_flags array<string>, close double, reference double, one_price boolean")
+    none = reports.render_report(days, ranked.limit(0)).first()
+    assert reports.NOBODY in none.report and not none.too_long and none.n_units == len(none.report)
+    text = reports.render_report(days, ranked).first().report
+    for line in ("1. 2330 (2330)", "close 11.00", "change +10.00%", "data 90%", "strong in: Momentum, new", "shape: one price all day", "risk: registered abroad (KY), NEW"):
+        assert line in text.split("\n")
+    assert "missing" not in text
+    assert reports.orphans(ranked, ranked).count() == 0 and reports.orphans(ranked, ranked.where("stock_id = '1'")).count() == 1
+
+
+EXCHANGE = (
+    "日期,證券代號,證券名稱,成交股數,成交金額,開盤價,最高價,最低價,收盤價,漲跌價差,成交筆數\n"
+    '"1150807","2330","A ""x"",\nB","24,414,025","57947015347","2390.00","2395.00","2355.00","2370.00","5.0000","64670"\r\n'
+    '\n"1150807","1101","b","18367476","450087960","24.30","24.75","24.30","24.35","0.0000"\n'
+    '"1150807","8101","c","154","1924","0.00","0.00","0.00","0.00","0.0000","2","extra"\n"1150806","9","","","","","","","","",""\n"1150807"," ","","","","","","","","",""'
+)
+
+
+def test_csv_is_keyed_by_its_header(spark):
+    d = spark.createDataFrame([('id,date,id\n"1","2024",",x"\n,,\n5',), ("\ufeffid\n1",), ("id,date",), ("",), (None,)], "payload string")
+    assert [r.fields for r in landing.csv_rows(d).collect()] == [{"date": "2024", "id": ",x"}, {"date": "", "id": ""}, {"date": None, "id": None}, {"id": "1"}]
+
+
+def test_exchange_rows(spark):
+    p = spark.createDataFrame([(datetime.date(2026, 8, 7), EXCHANGE)], "target_date date, payload string")
+    got = {r.stock_id: r for r in mappers.map_quotes(landing.csv_rows(p), "TWSE").collect()}
+    assert set(got) == {"2330", "1101", "8101"}
+    assert (got["2330"].reference, got["2330"].volume, got["2330"].turnover, got["2330"].quality) == (Decimal("2365.0000"), 24414025, Decimal("57947015347.0000"), True)
+    assert got["1101"].reference == Decimal("24.35") and (got["8101"].close, got["8101"].volume, got["8101"].quality) == (None, 154, False)
+    assert {tuple(r) for r in mappers.reported(landing.csv_rows(p), "TWSE").collect()} == {(datetime.date(2026, 8, 7), 4, 3, "TWSE")}
+    js = '[{"Date":"1150812","SecuritiesCompanyCode":"6201 ","Close":"45.21","Change":"+1.41","Open":"44.20","High":"45.26","Low":"44.20","TradingShares":"508551","TransactionAmount":"22841328","NextLimitUp":"49.73"}, 3]'
+    q = spark.createDataFrame([(datetime.date(2026, 8, 12), js)], "target_date date, payload string")
+    r = mappers.map_quotes(landing.json_rows(q), "TPEX").first()
+    assert (r.stock_id, r.reference, r.limit_up_price, r.quality) == ("6201", Decimal("43.80"), None, True)
+    assert [x.ok for x in spark.createDataFrame([("[1]",), (' [{"a":1}]',), ("{}",), ("[",), (None,)], "p string").select(landing.is_json_array(F.col("p")).alias("ok")).collect()] == [True, True, False, False, False]
+
+
+def fields(spark, rows):
+    return spark.createDataFrame([(i, {k: v for k, v in r.items()}) for i, r in enumerate(rows)], "ordinal int, fields map<string,string>")
+
+
+def test_provider_rows(spark):
+    info = fields(spark, [{"stock_id": "1", "type": "twse", "stock_name": "old"}, {"stock_id": " 1 ", "type": " TPEX", "stock_name": "", "industry_category": "存託憑證"}, {"stock_id": "2330", "type": "twse", "industry_category": "warrant"}, {"stock_id": "3", "type": "emerging"}, {"stock_id": " ", "type": "twse"}, {"stock_id": "4", "type": "twse", "stock_name": "權證"}])
+    got = {r.stock_id: (r.stock_name, r.market, r.security_type, r.industry, r.attention) for r in mappers.stock_master(info).collect()}
+    assert got == {"1": ("1", "TPEX", "DR", "存託憑證", None), "2330": ("2330", "TWSE", "COMMON_STOCK", "warrant", None), "4": ("權證", "TWSE", "WARRANT", None, None)}
+    bar = {"stock_id": "1", "date": "2024-01-02", "close": "5", "Trading_Volume": "0", "Trading_money": "1.5"}
+    h = fields(spark, [bar, bar | {"close": "0"}, bar | {"close": "N/A"}, bar | {"date": "2024-1-2"}, bar | {"Trading_Volume": "1.5"}, bar | {"stock_id": ""}, bar | {"close": "1,000"}])
+    assert [(r.close, r.volume, r.turnover) for r in mappers.map_history(h).collect()] == [(5.0, 0.0, 1.5)]
+    row = {"stock_id": "1", "revenue_year": "2024", "revenue_month": "2", "revenue": "7", "create_time": "2024-03-10 09:00:00"}
+    r = fields(spark, [row, row | {"create_time": ""}, row | {"create_time": "soon"}, row | {"revenue_month": "13"}, row | {"revenue": "-1"}, row | {"revenue": "1.5"}, row | {"revenue_year": "0"}])
+    assert [str(x.available_at) for x in mappers.map_revenue(r).orderBy("ordinal").collect()] == ["2024-03-10", "None"]
+    v = fields(spark, [{"Date": "1130105", "Code": "1", "PEratio": "-"}, {"Date": "1130105", "Code": "2", "PEratio": "-5.1"}, {"Date": "x", "Code": "3", "PEratio": "1"}, {"Date": "1130105", "Code": " ", "PEratio": "1"}])
+    assert [(x.stock_id, x.pe_ratio) for x in mappers.map_valuations(v, "TWSE").orderBy("stock_id").collect()] == [("1", None), ("2", Decimal("-5.1000"))]
+
+
+def test_reference_is_the_close_of_the_session_before(spark):
+    row = lambda d, c, s="1": {"stock_id": s, "date": d, "close": c, "max": c, "Trading_Volume": "1", "Trading_money": "1"}
+    rows = fields(spark, [row("2024-01-02", "5"), row("2024-01-03", "6"), row("2024-01-03", "7"), row("2024-01-03", "0"), row("2024-01-05", "8"), row("2024-01-05", "9", "2")])
+    days = mappers.session_calendar(spark.createDataFrame([(datetime.date(2024, 1, n),) for n in (2, 3, 5, 5)], "trading_date date"))
+    got = {(r.stock_id, str(r.trading_date)[-2:], r.close): r.reference for r in mappers.map_prices_prev_close(rows, "TWSE", days).collect()}
+    assert got == {("1", "02", 5): None, ("1", "03", 6): 5, ("1", "03", 7): 5, ("1", "03", None): 5, ("1", "05", 8): 7, ("2", "05", 9): None}
+
+
+def test_snapshots_as_of(spark):
+    day = lambda n: datetime.date(2024, 1, n)
+    v = spark.createDataFrame([("TWSE", day(4), "a", 5.0), ("TWSE", day(5), "b", 6.0), ("TPEX", day(5), "b", 7.0), ("TPEX", day(5), "c", -1.0)], "market string, snapshot_date date, stock_id string, pe_ratio double")
+    dates = spark.createDataFrame([(day(4),), (day(6),), (day(11),)], "trading_date date")
+    got = sorted((r.trading_date.day, r.stock_id, r.pe_ratio) for r in factors.valuation_snapshots(dates, v).collect())
+    assert got == [(6, "b", 7.0), (6, "c", -1.0)]
 
 
-def test_one_value_scores_fifty(spark):
-    d = spark.createDataFrame([(1, 3.0), (2, None)], "d int, x double")
-    assert {r.d: r.s for r in d.select("d", ranking.percentile_score("x", ["d"]).alias("s")).collect()} == {1: 50.0, 2: None}
+def test_rows_are_written_once_per_key(spark, tmp_path):
+    d = spark.createDataFrame([("v", "2024-01-02", "a", 1), ("v", "2024-01-02", "a", 2), ("v", "2024-01-03", "a", 3)], "strategy_version string, trading_date string, stock_id string, x int")
+    landing.write_by_date(d, str(tmp_path / "t"))
+    landing.write_by_date(d.where("x = 3").withColumn("x", F.lit(9)), str(tmp_path / "t"))
+    assert sorted(r.x for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [2, 9]
 
 
 def test_json_rows_drop_what_is_no_object(spark):
@@ -88,9 +247,10 @@ def test_json_rows_drop_what_is_no_object(spark):
 def test_landing_twice_adds_nothing(spark, tmp_path):
     p = spark.createDataFrame([("r", "s", "k", "2024-01-01", '{"b":1,"a":2}', {"token": "x", "q": "1"})], "run_id string, source string, request_key string, target_date string, payload string, parameters map<string,string>")
     for _ in range(2):
-        landing.append_snapshots(p, str(tmp_path / "raw"))
+        landing.append_snapshots(p.unionByName(p), str(tmp_path / "raw"))
     rows = spark.read.parquet(str(tmp_path / "raw")).collect()
     assert len(rows) == 1 and rows[0].parameters == {"q": "1"}
+    assert rows[0].payload_hash == hashlib.sha256(b'{"a": 2, "b": 1}').hexdigest()
 
 
 def test_publication_states(spark):
