@@ -92,7 +92,7 @@ def odd_rows(dims=64):
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
-@pytest.mark.parametrize("leaf", [2048, 16])
+@pytest.mark.parametrize("leaf", [4096, 16])
 def test_embedding_links(spark, leaf):
     v = vectors()
     rows = [(i, [float(x) for x in v[i]], i % 2 if i % 3 else (i + 1) % 2) for i in range(len(v))] + odd_rows()
@@ -112,13 +112,72 @@ def test_embedding_tiles(spark, monkeypatch):
     u /= np.linalg.norm(u, axis=1, keepdims=True)
     assert got == {i: int(n) - 1 for i, n in enumerate((u @ u.T >= 0.98).sum(axis=1))}
     assert embed_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+    few = embed_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), leaf_rows=8)
+    assert {r.vec_id: r.n_links for r in few.collect()} == got
+
+
+def test_vectors_of_other_lengths(spark):
+    """Any one length is taken; several are an error and not silently left out."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=128)
+    rows = [(i, [float(x) for x in v * (i + 1)], 0) for i in range(40)]
+    assert {r.n_links for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()} == {39}
+    assert ann.search(spark.createDataFrame(rows, SCHEMA)).count() == 40
+    odd = spark.createDataFrame([*rows, (99, [1.0, 2.0], 0)], SCHEMA)
+    for f in (embed_dedup.near_duplicates, ann.search):
+        with pytest.raises(ValueError, match="one length"):
+            f(odd)
+
+
+def test_repeated_and_null_ids_of_vectors(spark):
+    a, b, c = [1.0] * 8, [1.0] * 7 + [1.1], [-1.0] + [1.0] * 7
+    rows = [(1, a, 0), (1, a, 0), (2, b, 0), (2, c, 0), (None, a, 0), (3, a, 1), (4, a, None)]
+    got = Counter((r.vec_id, r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    # a repeated row is one vector; both rows of id 1 link with that of id 2 which is near
+    assert got == Counter({(1, 1, 1): 2, (2, 1, 1): 2, (2, 0, 1): 2, (3, 0, 3): 1, (4, 0, 4): 1})
+
+
+def recall_of(spark, rows, **how):
+    x = {i: np.array(e) for i, e, _ in rows}
+    got = defaultdict(set)
+    for r in ann.search(spark.createDataFrame(rows, SCHEMA), **how).collect():
+        got[r.query_id].add(r.vec_id)
+    every = np.array(sorted(x))
+    m = np.stack([x[i] for i in every])
+    hits = []
+    for q in (i for i in every if i % 20 == 0):
+        s = m @ x[q]
+        want = [int(i) for i in every[np.lexsort((every, -s))] if i != q][:20]
+        hits.append(len(got[q] & set(want)) / 20)
+    return float(np.mean(hits))
+
+
+def test_index_prunes_and_recalls(spark):
+    """Clustered vectors: a walk over a small share of the entries finds the neighbours."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 16))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    x = (centres[rng.integers(60, size=6000)] + rng.normal(size=(6000, 16)) * 0.03).astype("float32")
+    rows = [(i, [float(y) for y in v], 0) for i, v in enumerate(x)]
+    assert recall_of(spark, rows) >= 0.9
+    assert recall_of(spark, rows, portion=0.08) >= 0.9
+
+
+def test_copies_use_up_no_walk(spark):
+    """A third of the rows are one vector: recall of the others and exact ties by id."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1600, 16)).astype("float32")
+    rows = [(i, [float(y) for y in (x[0] if i % 3 == 0 else x[i])], 0) for i in range(1600)]
+    assert recall_of(spark, rows) >= 0.9
+    one = ann.search(spark.createDataFrame([(0, [1.0, 0.5], 0)] * 30_000, SCHEMA))
+    assert one.count() == 0
 
 
 def test_nearest_neighbours(spark, data):
     t = spark.read.parquet(f"{data}/embeddings.parquet")
     rows = {r.vec_id: np.array(r.embedding, dtype=float) for r in t.collect()}
     got = defaultdict(list)
-    for r in ann.search(t, least=100).orderBy("query_id", "rank").collect():
+    for r in ann.search(t).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     hits = 0
     for q in (i for i in rows if i % 20 == 0):
@@ -131,7 +190,7 @@ def test_nearest_neighbours(spark, data):
 
 def test_nearest_edge_cases(spark):
     rows = [(0, [1.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [0.0, 1.0], 0), (4, None, 0), (5, [0.0, 0.0], 0), (40, [float("inf"), 1.0], 0), (None, [1.0, 1.0], 0)]
-    got = ann.search(spark.createDataFrame(rows, SCHEMA).withColumn("rank", F.lit("clash")), dims=2, centroids=4).orderBy("rank").collect()
+    got = ann.search(spark.createDataFrame(rows, SCHEMA).withColumn("rank", F.lit("clash")), centroids=4).orderBy("rank").collect()
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in got] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 3, 0.0)]
     assert ann.search(spark.createDataFrame([], SCHEMA)).count() == 0
 
