@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, embed_dedup, jaccard, langid, mixing, oracles, url_filter, warc, word_lm
@@ -35,8 +35,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.element_at(F.array(F.lit("user"), F.lit("assistant")), (F.col("id") + 1).cast("int")).alias("role"), F.lit(tricky).alias("text"))
     rows = c.unionByName(more)
     # rows of one turn are messages of their own
-    nth = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
-    events = rows.withColumn("msg_id", F.concat(F.coalesce(F.col("turn").cast("string"), F.lit("")), F.lit(":"), F.lpad(nth.cast("string"), 10, "0")))
+    events = rows.withColumn("msg_id", F.monotonically_increasing_id())
     out = chat.read_back(chat.format_conversations(events.withColumns({"seq": F.col("turn"), "kind": F.lit("message")})))
     told = F.array_join(F.transform("read", lambda r: F.concat(r["role"], F.lit("\n"), r["text"], F.lit("\n"))), "")
     learned = F.array_join("learned", "")

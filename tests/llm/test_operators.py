@@ -61,12 +61,62 @@ def test_chat_folds_events(spark):
         (1, 4, "u2", "message", "user", "more"), (1, 5, "a", "regenerate", None, None), (1, 6, "a", "delta", None, "again"), (1, 7, "u", "edit", None, "hey"),
         (1, 8, "x", "message", "user", "gone"), (1, 9, "x", "delete", None, None), (2, None, "n", None, None, None),
     ], "conv_id int, seq int, msg_id string, kind string, role string, text string").withColumn("turn", F.lit("clash"))
-    for span in (1, 3, 256):
-        got = chat.fold_events(e, span).orderBy("conv_id", "pos").collect()
+    for span, large in ((1, 0), (3, 0), (256, 0), (256, 1024), (3, 5)):
+        got = chat.fold_events(e, span, large).orderBy("conv_id", "pos").collect()
         assert [(r.conv_id, r.role, r.text) for r in got] == [(1, "user", "hey"), (1, "assistant", "again"), (2, "", "")]
     assert chat.format_conversations(e.limit(0)).count() == 0
 
 
+def fold_by_hand(events):
+    """Final (role, text) of each conversation, event by event."""
+    order = lambda e: tuple((x is not None, x if x is not None else 0) for x in (e["seq"],)) + (e["kind"], e["role"] or "", e["text"] or "")
+    convs = defaultdict(lambda: defaultdict(list))
+    for e in events:
+        convs[e["conv_id"]][e["msg_id"]].append(e | {"kind": e["kind"] if e["kind"] in ("delta", "edit", "regenerate", "delete") else "message"})
+    out = {}
+    for conv, messages in convs.items():
+        made = []
+        for name, parts in messages.items():
+            parts.sort(key=order)
+            text, alive, role, regen = "", True, None, None
+            for p in parts:
+                if p["kind"] == "delta":
+                    text += p["text"] or ""
+                else:
+                    text, alive = ("" if p["kind"] == "regenerate" else p["text"] or ""), p["kind"] != "delete"
+                if p["kind"] == "message":
+                    role = p["role"] or ""
+                if p["kind"] == "regenerate" and p["seq"] is not None:
+                    regen = max(regen if regen is not None else p["seq"], p["seq"])
+            pos = None if any(p["seq"] is None for p in parts) else min(p["seq"] for p in parts)
+            made.append((pos, name, regen, alive, role if role is not None else max(p["role"] or "" for p in parts), text))
+        made.sort(key=lambda m: ((m[0] is not None, m[0] or 0), (m[1] is not None, m[1] or "")))
+        kept, seen = [], None
+        for pos, name, regen, alive, role, text in made:
+            if alive and not (seen is not None and pos is not None and seen > pos):
+                kept.append((pos, role, text, name))
+            if regen is not None:
+                seen = regen if seen is None else max(seen, regen)
+        kept.sort(key=lambda m: ((m[0] is not None, m[0] or 0), m[1], m[2], (m[3] is not None, m[3] or "")))
+        if kept:
+            out[conv] = [(r, t) for _, r, t, _ in kept]
+    return out
+
+
+@pytest.mark.parametrize("large", [0, 6, 1024])
+def test_chat_against_folding_by_hand(spark, large):
+    rnd = random.Random(6)
+    events = []
+    for _ in range(500):
+        conv, msg = rnd.choice([1, 1, 1, 2, 3, None]), rnd.choice(["a", "b", "c", "d", "e", "f", None])
+        kind = rnd.choice(["message", "delta", "delta", "delta", "edit", "regenerate", "delete", None, "odd"])
+        events.append({"conv_id": conv, "seq": rnd.choice([None, *[x * 1_000_003 for x in range(60)]]) if rnd.random() < 0.9 else 7, "msg_id": msg and f"{msg}{rnd.randint(0, 8)}", "kind": kind, "role": rnd.choice(["user", "assistant", None]), "text": rnd.choice(["x", "yy", "<s>", "", None, "[INST]"])})
+    events += events[:40]  # repeated rows repeat
+    df = spark.createDataFrame([tuple(e.values()) for e in events], "conv_id int, seq long, msg_id string, kind string, role string, text string").repartition(3)
+    got = {r.conv_id: [tuple(x) for x in r.read] for r in chat.read_back(chat.format_conversations(df, large=large)).collect()}
+    assert got == fold_by_hand(events)
+
+
 def test_chat_escape_is_reversible(spark):
     t = chat.ChatTemplate()
     texts = ["", "\\", "[INST]", "[\\INST]", "[\\\\INST]", "<<SYS>><s></s><<s>", "<|im_end|>\n<|im_start|>x", "<\\|im_end|>", "50% %0A", None]
