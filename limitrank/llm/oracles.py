@@ -58,11 +58,17 @@ from u
 
 
 def _node(url: str) -> str:
-    """SQL for the one name of all spellings of an address."""
-    host = rf"regexp_replace({_host(url)}, '\Awww\.|:(80|443)\z', '', 'g')"
-    path = rf"regexp_replace({_path(url)}, '(/index)?(\.html)?/*\z', '', 'g')"
-    query = rf"array_to_string(list_sort(list_filter(string_split(coalesce(regexp_extract({url}, '(?s)\A[^?#]*\?([^#]*)', 1), ''), '&'), lambda q: q <> '' and not regexp_matches(q, '\A(utm_[^=]*|ref)(=|\z)'))), '&')"
-    return f"case when {host} <> '' then {host} || {path} || case when {query} <> '' then '?' || {query} else '' end end"
+    """SQL for an address without fragment and default port, scheme and host in lower case."""
+    host = rf"regexp_replace({_host(url)}, ':(80|443)?$', '')"
+    return rf"case when {host} <> '' then lower(coalesce(regexp_extract({url}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1), '')) || '://' || {host} || case when {_path(url)} = '' then '/' else {_path(url)} end || regexp_extract({url}, '(?s)\A[^?#]*(\?[^#]*)', 1) end"
+
+
+def _spelled(url: str) -> str:
+    """SQL for the spelling that servers redirect to."""
+    host = rf"regexp_replace(regexp_replace({_host(url)}, '^www\.', ''), ':(80|443)?$', '')"
+    path = rf"regexp_replace(regexp_replace(regexp_replace({_path(url)}, '/+$', ''), '\.html$', ''), '/index$', '')"
+    query = rf"array_to_string(list_sort(list_filter(string_split(regexp_extract({url}, '(?s)\A[^?#]*\?([^#]*)', 1), '&'), lambda q: q <> '' and split_part(q, '=', 1) <> 'ref' and not starts_with(split_part(q, '=', 1), 'utm_'))), '&')"
+    return f"case when {host} <> '' then 'https://' || {host} || {path} || case when {query} <> '' then '?' || {query} else '' end end"
 
 
 def _host(url: str) -> str:
@@ -74,7 +80,11 @@ def _path(url: str) -> str:
 
 
 def url_verdicts(rules: Sequence[Rule]) -> str:
-    """SQL for the verdicts of all pages under ``rules``: the longest rule, else block for what a blocked address reaches."""
+    """SQL for the verdicts of all pages under ``rules``: the longest rule, else block for what a blocked address reaches.
+
+    Of links in html, all canonical and refresh tags with an address in full or from the root are read; other relative forms are left to the
+    test against a parser.
+    """
     longest = sorted(rules, key=lambda r: (-len(r.name), r.name, r.verdict))
     fits = [f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')" for r in longest]
     name = " ".join(f"{f} then '{r.name}'" for f, r in zip(fits, longest, strict=True))
@@ -85,19 +95,22 @@ with recursive p as (
 ), j as (
   select page_id, host, path, node, case {name} end as rule, case {verdict} end as own from p
 ), tags as (
-  select url, node,
-    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?canonical\b'))[1], '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) as canonical,
-    regexp_extract(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b'))[1], '(?is)\bcontent\s*=\s*["''][^"''>]*?url\s*=\s*([^"''\s>]+)', 1) as refresh
-  from p
+  select url, node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\s[^>]*>')) as tag from p
+), goals as (
+  select url, node, replace(regexp_extract(tag, '(?is)\shref\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') as t from tags
+    where regexp_matches(tag, '(?is)\A<link') and list_contains(string_split(lower(coalesce(nullif(regexp_extract(tag, '(?is)\srel\s*=\s*["'']([^"'']*)', 1), ''), regexp_extract(tag, '(?is)\srel\s*=\s*([^"''\s>]+)', 1))), ' '), 'canonical')
+  union all
+  select url, node, replace(regexp_extract(tag, '(?is)url\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') from tags where regexp_matches(tag, '(?is)\A<meta.*http-equiv\s*=\s*["'']?refresh')
 ), links as (
-  select node as a, case when starts_with(t, '//') then 'https:' || t when starts_with(t, '/') then 'https://' || {_host("url")} || t else t end as goal
-  from (select url, node, canonical as t from tags union all select url, node, refresh from tags) where t <> ''
+  select node as a, case when starts_with(t, '//') then split_part(url, '//', 1) || t when starts_with(t, '/') then split_part(url, '://', 1) || '://' || {_host("url")} || t else t end as goal from goals where t <> ''
 ), named as (
-  select a, {_node("goal")} as b from links
+  select a, {_node("goal")} as b from links union select node, {_node(_spelled("url"))} from p
 ), both_ways as (
   select a, b from named where a <> b union select b, a from named where a <> b
+), named_only as (
+  select a, {_host("a")} as host, {_path("a")} as path from both_ways
 ), reached(node) as (
-  select node from j where own = 'block' and node is not null union select e.b from reached r join both_ways e on e.a = r.node
+  select node from j where own = 'block' and node is not null union select a from named_only where case {verdict} end = 'block' union select e.b from reached r join both_ways e on e.a = r.node
 )
 select page_id, host, path, rule, coalesce(own, case when node in (select node from reached) then 'block' else 'allow' end) as verdict from j
 """

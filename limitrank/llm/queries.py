@@ -82,7 +82,9 @@ def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(_table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
+    """Pages under RULES; their tables come without redirects, so those of one common spelling per address are derived from the urls."""
+    pages = _table(spark, sf_dir, "pages")
+    return url_filter.judge_urls(pages, RULES, url_filter.spelling_redirects(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def languages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,15 +41,40 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)\A.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def url_scheme(url: Column) -> Column:
+    """Scheme before the first ``://`` in lower case; without one: empty."""
+    return F.lower(F.coalesce(F.regexp_extract(url, r"(?s)\A([A-Za-z][A-Za-z0-9+.-]*)://", 1), F.lit("")))
+
+
+def _query(url: Column) -> Column:
+    return F.regexp_extract(url, r"(?s)\A[^?#]*(\?[^#]*)", 1)
+
+
 def url_node(url: Column) -> Column:
-    """One name for the addresses that servers redirect to each other: scheme, ``www.``, fragment, tracking
-    parameters (utm_*, ref), an ending ``.html`` and slash do not count. Without host: null."""
-    host = F.regexp_replace(url_host(url), r"\Awww\.|:(80|443)\z", "")
+    """The address as a node: scheme and host in lower case, default port and fragment away, an empty path as ``/``. Without host: null.
+
+    Only spellings that are one address by definition share a node; all else takes an edge.
+    """
+    host = F.regexp_replace(url_host(url), r":(80|443)?\z", "")
+    path = url_path(url)
+    return F.when(host != "", F.concat(url_scheme(url), F.lit("://"), host, F.when(path == "", F.lit("/")).otherwise(path), _query(url)))
+
+
+def plain_spelling(url: Column) -> Column:
+    """The address to which servers commonly redirect: https, no ``www.``, no index page, ``.html`` or slash at the end, no tracking parameters (utm_*, ref), others in order."""
+    host = F.regexp_replace(url_host(url), r"\Awww\.|:(80|443)?\z", "")
     path = F.regexp_replace(url_path(url), r"(/index)?(\.html)?/*\z", "")
-    query = F.regexp_extract(url, r"(?s)\A[^?#]*\?([^#]*)", 1)
-    kept = F.array_sort(F.filter(F.split(query, "&"), lambda q: ~q.rlike(r"\A(utm_[^=]*|ref)(=|\z)") & (q != "")))
-    query = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
-    return F.when(host != "", F.concat(host, path, query))
+    kept = F.array_sort(F.filter(F.split(F.substring(_query(url), F.lit(2), F.length(url)), "&"), lambda q: ~q.rlike(r"\A(utm_[^=]*|ref)(=|\z)") & (q != "")))
+    return F.when(host != "", F.concat(F.lit("https://"), host, path, F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")))
+
+
+def spelling_redirects(pages: DataFrame) -> DataFrame:
+    """from_url, to_url: the redirects that the urls of ``pages`` would be answered with by servers that keep one spelling (``plain_spelling``).
+
+    For crawls that kept no redirect table; where there is one, use that. Urls without host give no row.
+    """
+    r = pages.select(F.col("url").alias("from_url"), plain_spelling(F.col("url")).alias("to_url"))
+    return r.where(F.col("to_url").isNotNull() & (F.col("from_url") != F.col("to_url")))
 
 
 def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
@@ -69,18 +94,20 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 def absolute_url(target: Column, url: Column) -> Column:
     """A link's target as an address: resolved against the page's ``url`` by scheme, host, path or query, dot segments removed."""
-    root = F.concat(F.lit("https://"), url_host(url))
+    scheme = F.concat(url_scheme(url), F.lit(":"))
+    root = F.concat(scheme, F.lit("//"), url_host(url))
     rest = F.regexp_extract(target, r"(?s)\A[^?#]*(.*)\z", 1)
     own = F.regexp_extract(target, r"(?s)\A([^?#]*)", 1)
     folder = F.regexp_replace(url_path(url), r"[^/]*\z", "")
     joined = F.when(own.startswith("/"), own).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), own))
+    joined = F.regexp_replace(joined, r"(/\.\.?)\z", "$1/")  # a last dot segment names a folder
     steps = F.aggregate(
         F.split(joined, "/"), F.array().cast("array<string>"),
         lambda done, x: F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(x))),
     )
     return (
         F.when(target.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:"), target)
-        .when(target.startswith("//"), F.concat(F.lit("https:"), target))
+        .when(target.startswith("//"), F.concat(scheme, target))
         .when(target.startswith("#"), url)
         .when(target.startswith("?"), F.concat(root, url_path(url), target))
         .otherwise(F.concat(root, F.array_join(steps, "/"), rest))
@@ -98,10 +125,11 @@ def page_links(pages: DataFrame) -> DataFrame:
     def targets_of(tag: str, target: str) -> Column:
         return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, target, 1))
 
-    canonical = targets_of(r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*>", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)")
+    # canonical may be any word of a quoted list
+    canonical = targets_of(r"(?is)<link\b(?=[^>]*\srel\s*=\s*(?:\"[^\">]*(?<=[\"\s])canonical[\"\s]|'[^'>]*(?<=['\s])canonical['\s]|canonical[\s/>]))[^>]*>", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)")
     refresh = targets_of(r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*>", r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?\s*([^\"'\s>]+)")
     targets = pages.select("url", F.explode(F.concat(canonical, refresh)).alias("to")).where((F.col("to") != "") & url.isNotNull())
-    to = F.regexp_replace("to", r"(?i)&amp;", "&")
+    to = F.regexp_replace("to", r"(?i)&(amp|#38|#x26);", "&")
     edges = targets.select(url_node(url).alias("a"), url_node(absolute_url(to, url)).alias("b"))
     return edges.where("a is not null and b is not null and a <> b").distinct()
 
@@ -109,7 +137,7 @@ def page_links(pages: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | None = None, default: str = "allow") -> DataFrame:
     """page_id, url, host, path, rule, verdict, component for every row of ``pages`` (page_id, url, html).
 
-    The longest rule that fits decides. Without one, a page is blocked if an alias of it is blocked by a rule: aliases
+    The longest rule that fits decides. Without one, a page is blocked if an alias of it, crawled or not, is blocked by a rule: aliases
     share a component of url nodes under canonical links, refresh redirects and the ``redirects`` table (from_url,
     to_url). A rule that allows a page is explicit and stands against its blocked aliases; it does not clear them.
     Otherwise ``default``. Null urls and urls without ``://`` have empty host and path, no component and the default.
@@ -120,11 +148,13 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], redirects: DataFrame | N
         more = redirects.select(url_node(F.col("from_url")).alias("a"), url_node(F.col("to_url")).alias("b"))
         edges = edges.unionByName(more.where("a is not null and b is not null and a <> b")).distinct()
     component = connected_components(edges)
+    # edges grow with the pages, so the join is never a broadcast
     p = pages.select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"), url_node(F.col("url")).alias("node"))
     p = p.withColumn("hit", matching_rule(F.col("host"), F.col("path"), rules))
-    p = p.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    # only components with a blocked member, one row each
-    blocked = p.where(F.col("hit.verdict") == "block").select("component").distinct().withColumn("blocked", F.lit(True))
+    p = p.join(component.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # addresses that only links or redirects name count too; only components with a blocked member are kept, one row each
+    named = component.where(matching_rule(url_host(F.col("node")), url_path(F.col("node")), rules)["verdict"] == "block").select("component")
+    blocked = p.where(F.col("hit.verdict") == "block").select("component").unionByName(named).distinct().withColumn("blocked", F.lit(True))
     p = p.join(blocked, "component", "left")
     verdict = F.coalesce(F.col("hit.verdict"), F.when(F.col("blocked"), F.lit("block")), F.lit(default))
     return p.select("page_id", "url", "host", "path", F.col("hit.name").alias("rule"), verdict.alias("verdict"), "component")

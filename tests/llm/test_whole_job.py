@@ -2,6 +2,8 @@
 
 import hashlib
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
+from urllib.parse import urljoin, urlsplit
 
 import corpus_pipeline
 import numpy as np
@@ -9,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from limitrank.llm import langid, queries, url_filter, word_lm
+from limitrank.llm.common import connected_components, stored
 
 
 # 8
@@ -75,18 +78,95 @@ def test_language_made_of_copies(spark):
 
 
 # 9
+class Links(HTMLParser):
+    """Canonical links and refresh targets as a parser sees them."""
+
+    def __init__(self, html):
+        super().__init__()
+        self.found = []
+        self.feed(html)
+
+    def handle_starttag(self, tag, attrs):
+        a = {k: v or "" for k, v in attrs}
+        if tag == "link" and "canonical" in a.get("rel", "").lower().split():
+            self.found.append(a.get("href", "").strip())
+        if tag == "meta" and a.get("http-equiv", "").lower() == "refresh" and "url" in a.get("content", "").lower():
+            self.found.append(a["content"].split("=", 1)[1].strip().strip("'\"").strip())
+
+
+def node_of(url):
+    u = urlsplit(url)
+    host = u.netloc.lower().removesuffix(":80").removesuffix(":443")
+    return host and f"{u.scheme}://{host}{u.path or '/'}{'?' + u.query if u.query else ''}"
+
+
 def test_page_links_of_every_form(spark):
-    base, link, meta = "http://a.org/x/y.html?q=1", '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content={}>'
-    forms = {
-        link.format("http://b.org/1") + link.format("http://b.org/2"): {"b.org/1", "b.org/2"}, link.format("page.html"): {"a.org/x/page"}, link.format("../z"): {"a.org/z"},
-        link.format("../../../z"): {"a.org/z"}, link.format("./w/./v?k=1"): {"a.org/x/w/v?k=1"}, link.format("?p=2"): {"a.org/x/y?p=2"}, link.format("/a/../b"): {"a.org/b"},
-        link.format("//c.org/p"): {"c.org/p"}, link.format("http://a.org/s?b=2&amp;a=1"): {"a.org/s?a=1&b=2"}, link.format("#top"): set(), link.format("mailto:x"): set(),
-        meta.format("\"0; url='http://d.org/q'\""): {"d.org/q"}, meta.format("'0; url=\"http://d.org/q\"'"): {"d.org/q"}, meta.format('"0;URL=n.html"') + meta.format('"1; url=/m"'): {"a.org/x/n", "a.org/m"},
-        meta.format("0;url=/u"): {"a.org/u"}, "": set(),
-    }
-    for html, want in forms.items():
-        got = url_filter.page_links(spark.createDataFrame([(1, base, html), (2, None, html), (3, base, None)], "page_id long, url string, html string")).collect()
-        assert {r.b for r in got} == want and {r.a for r in got} <= {"a.org/x/y?q=1"}, html
+    base = "http://a.org/x/y.html?q=1"
+    targets = ["http://b.org/1", "page.html", "../z", "../../../z", "..", ".", "./w/./v?k=1", "?p=2", "/a/../b", "/a/b/..", "//c.org:80/p", "HTTP://B.org", "http://a.org/s?b=2&amp;a=1", "#top", "mailto:x", "x:y", "", "a#f", "https://a.org/x/y.html?q=1"]
+    forms = [
+        '<link rel="canonical" href="{}">', "<LINK href='{}' REL='shortlink Canonical'/>", "<link rel=canonical href={} >", '<meta http-equiv="refresh" content="0; url=\'{}\'">',
+        "<meta content='0;URL=\"{}\"' http-equiv=Refresh>", '<meta http-equiv="refresh" content="5; url={}">', '<link rel="not-canonical" href="{}">', '<link rel="alternate" href="{}">', '<a href="{}">canonical</a>',
+    ]
+    html = [f.format(t) for f in forms for t in targets] + [forms[0].format(targets[0]) + "text" + forms[2].format("n.html") + forms[3].format("/m"), ""]
+    rows = [(i, base, h) for i, h in enumerate(html)]
+    want = {(i, node_of(urljoin(base, t))) for i, _, h in rows for t in Links(h).found if t}
+    want = {(i, n) for i, n in want if n and n != node_of(base)}
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    # an address of its own for each page, so that edges tell where they come from
+    own = pages.withColumn("url", F.concat(F.lit("http://a.org/x/y.html?q="), F.col("page_id") + 1000))
+    got = {(int(r.a.rsplit("=", 1)[1]) - 1000, r.b) for r in url_filter.page_links(own).collect()}
+    fix = lambda i, n: n.replace("q=1000", "q=1") if n == f"http://a.org/x/y.html?q={i + 1000}" else n
+    assert {(i, fix(i, n)) for i, n in got} == want and len(want) > 60
+    assert url_filter.page_links(spark.createDataFrame([(2, None, html[0]), (3, base, None)], "page_id long, url string, html string")).count() == 0
+
+
+def test_verdicts_against_a_walk(spark):
+    rnd = np.random.default_rng(8)
+    hosts = ["http://a.example.org/es/", "http://example.org/en/1", "http://x.com/fr/", "http://x.com/de/", "http://n.net/", "https://m.net/p"]
+    urls = [f"{rnd.choice(hosts)}{i}" for i in range(120)] + [None, "no address", "http://a.example.org/es/0"]
+    goals = [rnd.choice(urls[:120]) if rnd.random() < 0.5 else None for _ in urls]
+    rows = [(i, u, g and f'<link rel="canonical" href="{g}">') for i, (u, g) in enumerate(zip(urls, goals, strict=True))] + [(7, urls[7], "")]
+    moves = [(str(rnd.choice(urls[:120])), str(rnd.choice(urls[:120]))) for _ in range(25)] + [(None, urls[0]), (urls[0], None), (urls[1], urls[1])]
+    redirects = spark.createDataFrame([*moves, moves[0]], "from_url string, to_url string").withColumn("node", F.lit(1))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("component", F.lit("clash"))
+
+    def rule(u):
+        if not u or "://" not in u:
+            return None
+        host, path = u.split("://")[1].split("/")[0], "/" + u.split("://")[1].split("/", 1)[1]
+        fit = [(len(r.name), r.name, r.verdict) for r in queries.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return max(fit)[1:] if fit else None
+
+    edges = defaultdict(set)
+    for a, b in [*((u, g) for _, u, h in rows if u and "://" in u and h for g in [h.split('"')[3]]), *((a, b) for a, b in moves if a and b)]:
+        edges[a].add(b)
+        edges[b].add(a)
+    reached = {u for u in urls if u and rule(u) and rule(u)[1] == "block"}
+    front = list(reached)
+    while front:
+        for b in edges[front.pop()] - reached:
+            reached.add(b)
+            front.append(b)
+    want = Counter((i, *(rule(u) or (None, "block" if u in reached else "allow"))) for i, u, _ in rows)
+    got = Counter((r.page_id, r.rule, r.verdict) for r in url_filter.judge_urls(pages, queries.RULES, redirects).collect())
+    assert got == want and any(r is None and v == "block" for _, r, v in want)
+    assert url_filter.judge_urls(pages.limit(0), queries.RULES).count() == 0
+
+
+def test_spellings_are_edges_and_not_one_node(spark):
+    rows = [(1, "http://www.n.net/a/index.html?utm_x=1&b=2&a=1&ref=q#f"), (2, "https://n.net/a?a=1&b=2"), (3, "https://n.net"), (4, None), (5, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    got = {(r.from_url, r.to_url) for r in url_filter.spelling_redirects(pages).collect()}
+    assert got == {(rows[0][1], "https://n.net/a?a=1&b=2")}
+    nodes = [r.n for r in pages.select(url_filter.url_node(F.col("url")).alias("n")).collect()]
+    assert nodes == ["http://www.n.net/a/index.html?utm_x=1&b=2&a=1&ref=q", "https://n.net/a?a=1&b=2", "https://n.net/", None, None]
+
+
+def test_components_directly(spark):
+    edges = [(5, 4), (4, 3), (3, 2), (2, 1), (7, 7), (None, 1), (9, 8), (8, 9), (9, 8)] + [(100 + i, 100) for i in range(50)] + [(200 + i, 201 + i) for i in range(40)]
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(1, 6), 1), 8: 8, 9: 8, **dict.fromkeys(range(100, 150), 100), **dict.fromkeys(range(200, 241), 200)}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 # pipeline
@@ -112,11 +192,11 @@ def test_stages_against_brute_force(spark, data):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["language_id", "ngram_jaccard_join", "source_mixing", "bpe_tokens"]
-    known = stages["language_id"](spark, docs, data).localCheckpoint()
+    known, _ = stored(stages["language_id"](spark, docs, data), "stage")
     assert {r.doc_id for r in known.collect()} == set(range(14))
-    unique = stages["ngram_jaccard_join"](spark, known, data).localCheckpoint()
+    unique, _ = stored(stages["ngram_jaccard_join"](spark, known, data), "stage")
     assert sorted(r.doc_id for r in unique.collect()) == list(range(12))
-    mixed = stages["source_mixing"](spark, unique, data).localCheckpoint()
+    mixed, _ = stored(stages["source_mixing"](spark, unique, data), "stage")
     left, sizes = Counter(r.source for r in mixed.collect()), Counter("ab"[i % 2] for i in range(12))
     # all texts are 30 words: 1.5 times the words, 5 to 2, at most twice each
     assert sizes == {"a": 6, "b": 6} and left["a"] == 12 and left["b"] == 6
