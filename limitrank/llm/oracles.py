@@ -57,6 +57,33 @@ from u
 """
 
 
+#: Revisits of the derived records, by an as-of join over plain rows.
+REVISITS = r"""
+with p as (
+  select page_id, 1704067200 + (coalesce(page_id, 0) * 7919) % 2592000 as sec, '"' || left(sha256(coalesce(html, '')), 8) || '"' as tag,
+    regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as bare, url
+  from pages
+), c as (
+  select page_id, sec, tag, case when url is not null then regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), '^www\.', ''), ':(80|443)$', '')
+    || case when regexp_matches(bare, '^[^/?]*/') then '' else '/' end || regexp_extract(bare, '(?s)^[^/?]*(.*)$', 1) end as canonical
+  from p
+), full_ as (
+  select canonical, sec, max(page_id * 4) as original, arg_max(tag, page_id) as tag from c where canonical is not null group by canonical, sec
+), revisits as (
+  select page_id * 4 + 1 as record_id, canonical, sec + 86400 as sec, tag, 'W/' || tag as etag, 'max-age=90' as cache_control from c
+  union all
+  select page_id * 4 + 2, canonical, sec + 172800, case when page_id % 5 = 0 then '"changed"' else tag end, case when page_id % 5 = 0 then '"changed"' else tag end, 'max-age=60' from c
+), j as (
+  select r.*, f.original, f.tag as found from revisits r asof left join full_ f on r.canonical = f.canonical and r.sec > f.sec
+), s as (
+  select *, case when original is null then 'missing' when tag = found then 'resolved' else 'mismatch' end as status from j
+)
+select record_id, canonical, sec::bigint as captured_at, status, case when status = 'resolved' then original end as original_id, case when status = 'resolved' then etag end as etag,
+  case when status = 'resolved' then cache_control end as cache_control, case when status = 'resolved' then 'text/html' end as content_type
+from s
+"""
+
+
 def _node(url: str) -> str:
     """SQL for an address without fragment and default port, scheme and host in lower case."""
     host = rf"regexp_replace({_host(url)}, ':(80|443)?$', '')"

@@ -57,7 +57,7 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.resolve_revisits(warc.page_records(_table(spark, sf_dir, "pages")))
     return found.select(
-        "record_id", "canonical", F.unix_seconds("ts").alias("at"), "status", "original_id",
+        "record_id", "canonical", F.unix_seconds("ts").alias("captured_at"), "status", "original_id",
         F.col("headers")["etag"].alias("etag"), F.col("headers")["cache-control"].alias("cache_control"), F.col("headers")["content-type"].alias("content_type"),
     )
 
@@ -110,4 +110,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": oracles.CHAT, "op6_source_mixing": oracles.MIXING, "op9_url_filters": oracles.url_verdicts(RULES)}
+    return {"op1_chat_formatting": oracles.CHAT, "op4_warc_revisits": oracles.REVISITS, "op6_source_mixing": oracles.MIXING, "op9_url_filters": oracles.url_verdicts(RULES)}

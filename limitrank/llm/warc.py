@@ -28,11 +28,11 @@ def header_map(block: Column) -> Column:
     return F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter(pairs, lambda p: p["k"] == n), -1)["v"]))
 
 
-def resolve_revisits(records: DataFrame, span_seconds: int = 86400) -> DataFrame:
+def resolve_revisits(records: DataFrame, span_seconds: int = 900) -> DataFrame:
     """One row per revisit: record_id, canonical, ts, status, original_id, headers.
 
-    ``records`` has record_id, url, ts (timestamp), type (``response`` or ``revisit``), headers (text block) and digest.
-    The latest full response of the same canonical url with an earlier ts is looked up (at equal ts, none; among
+    ``records`` has record_id, url, ts (timestamp), type (``response`` or ``revisit``), headers (text block), digest and, where it is known, http_status.
+    A response is full if its http_status is 200 or not known; errors, redirects and partial answers never serve. The latest full response of the same canonical url with an earlier ts is looked up (at equal ts, none; among
     responses at one ts, that with the largest record_id). A validator that both sides carry must be equal, entity tags
     without ``W/``; status is ``resolved``, ``mismatch``, ``unverified`` (no common validator) or ``missing`` (no earlier response). Headers:
     those of the response with the permitted ones of the revisit over them (null unless resolved).
@@ -41,8 +41,9 @@ def resolve_revisits(records: DataFrame, span_seconds: int = 86400) -> DataFrame
     span, so that a url captured very often is spread over tasks. Bodies are never moved. Nulls: a null url or ts
     resolves to ``missing`` and a null ts never serves as an original; repeated rows repeat; empty gives empty; extra columns are ignored.
     """
-    r = records.select("record_id", canonical_url(F.col("url")).alias("canonical"), "ts", "type", "digest", header_map(F.col("headers")).alias("h"))
-    r = r.where(F.col("type").isin("response", "revisit"))
+    code = F.col("http_status") if "http_status" in records.columns else F.lit(None)
+    served = (F.col("type") == "revisit") | ((F.col("type") == "response") & (F.coalesce(code.cast("int"), F.lit(200)) == 200))
+    r = records.where(served).select("record_id", canonical_url(F.col("url")).alias("canonical"), "ts", "type", "digest", header_map(F.col("headers")).alias("h"))
     r = r.withColumn("part", F.floor(F.unix_seconds("ts") / span_seconds))
     full = F.col("type") == "response"
     mine = F.when(full & F.col("ts").isNotNull(), F.struct("ts", "record_id", "digest", "h"))
@@ -76,22 +77,28 @@ def resolve_revisits(records: DataFrame, span_seconds: int = 86400) -> DataFrame
 
 
 def page_records(pages: DataFrame) -> DataFrame:
-    """Capture records derived from ``pages``: per page a full response, a revisit a day later, and another two days later.
+    """Capture records derived from ``pages``: per page a full response, an error half a day later, a revisit a day later, and another two days later.
 
-    The second revisit carries another entity tag where page_id is divisible by 5, so that it must not resolve.
+    The second revisit carries another entity tag where page_id is divisible by 5, so that it must not resolve. The error carries
+    the revisits' tag of another page, so that it must not serve.
     """
     day, start = 86400, 1704067200
     at = F.lit(start) + F.pmod(F.coalesce("page_id", F.lit(0)) * 7919, F.lit(30 * day))
-    digest = F.sha1(F.coalesce("html", F.lit("")).cast("binary"))
+    digest = F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256)
     tag = F.concat(F.lit('"'), F.substring(digest, 1, 8), F.lit('"'))
     other = F.when(F.col("page_id") % 5 == 0, F.lit('"changed"')).otherwise(tag)
+
+    def record(k: int, later: int, kind: str, code: int, headers: Column) -> Column:
+        return F.struct(F.lit(k).alias("k"), (at + later).alias("at"), F.lit(kind).alias("type"), F.lit(code).alias("code"), headers.alias("headers"))
+
     kinds = F.array(
-        F.struct(F.lit(0).alias("k"), at.alias("at"), F.lit("response").alias("type"), F.concat(F.lit("Content-Type: text/html\r\nETag: "), tag, F.lit("\r\nCache-Control: max-age=60")).alias("headers")),
-        F.struct(F.lit(1).alias("k"), (at + day).alias("at"), F.lit("revisit").alias("type"), F.concat(F.lit("ETag: W/"), tag, F.lit("\r\nCache-Control: max-age=90\r\nContent-Type: none")).alias("headers")),
-        F.struct(F.lit(2).alias("k"), (at + 2 * day).alias("at"), F.lit("revisit").alias("type"), F.concat(F.lit("ETag: "), other, F.lit("\r\nDate: now")).alias("headers")),
+        record(0, 0, "response", 200, F.concat(F.lit("Content-Type: text/html\r\nETag: "), tag, F.lit("\r\nCache-Control: max-age=60"))),
+        record(1, day, "revisit", 304, F.concat(F.lit("ETag: W/"), tag, F.lit("\r\nCache-Control: max-age=90\r\nContent-Type: none"))),
+        record(2, 2 * day, "revisit", 304, F.concat(F.lit("ETag: "), other, F.lit("\r\nDate: now"))),
+        record(3, day // 2, "response", 404, F.lit('Content-Type: text/plain\r\nETag: "changed"')),
     )
     p = pages.select("page_id", "url", digest.alias("d"), F.explode(kinds).alias("r"))
     return p.select(
-        (F.col("page_id") * 3 + F.col("r.k")).alias("record_id"), "url", F.timestamp_seconds(F.col("r.at")).alias("ts"),
-        F.col("r.type").alias("type"), F.col("r.headers").alias("headers"), F.when(F.col("r.k") == 0, F.col("d")).alias("digest"),
+        (F.col("page_id") * 4 + F.col("r.k")).alias("record_id"), "url", F.timestamp_seconds(F.col("r.at")).alias("ts"),
+        F.col("r.type").alias("type"), F.col("r.code").alias("http_status"), F.col("r.headers").alias("headers"), F.when(F.col("r.k") == 0, F.col("d")).alias("digest"),
     )
