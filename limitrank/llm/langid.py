@@ -6,12 +6,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import values
+from .common import drop_stored, stored, values
 
 #: Buckets of hashed n-grams, longest n-gram in bytes, and training rows per language at most (the fit is on a bounded sample).
 DIMS, LONGEST, ROWS_PER_LANGUAGE = 4096, 3, 600
@@ -87,6 +88,9 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, per_languag
     above a hash bound that keeps about twice as many different texts are left out before they are sorted, so a language may
     hold any share of the table and any number of copies. Every labelled language is learned. ``reject_below`` is ``margin`` times the cosine that all but
     one in a hundred sampled texts of 20 letters or more reach. No usable row: a model that rejects everything.
+
+    Texts are counted, and each language is clustered, in tasks; the driver gets document frequencies of DIMS buckets and a few
+    centroids per language (16 KB each).
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("text").alias("h"))
     sizes = known.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
@@ -97,27 +101,50 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, per_languag
 
     def to_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [counts(x).astype("<u4").tobytes() for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, type=pa.binary())], names=["lang", "counts"])
+            made = [counts(x) for x in values(b.column(2))]
+            at = [np.flatnonzero(c) for c in made]
+            packed = [pa.array([x.astype("<u4").tobytes() for x in y], type=pa.binary()) for y in (at, [c[i] for c, i in zip(made, at, strict=True)])]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *packed], names=["lang", "h", "at", "n"])
+
+    rows, path = stored(top.select("lang", "h", "text").mapInArrow(to_counts, "lang string, h long, at binary, n binary"), "texts")
 
-    rows = top.select("lang", "text").mapInArrow(to_counts, "lang string, counts binary").toArrow()
-    if not rows.num_rows:
+    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n = np.zeros(DIMS + 1, dtype=np.int64), 0
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                df[np.frombuffer(x, "<u4")] += 1
+            n += b.num_rows
+        df[DIMS] = n
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMS + 1)), pa.array(df)], names=["at", "n"])
+
+    sums = rows.select("at").mapInArrow(presence, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    df = np.zeros(DIMS + 1, dtype=np.int64)
+    if sums.num_rows:
+        df[sums.column("at").to_numpy()] = sums.column("n").to_numpy()
+    if not df[DIMS]:
         return LanguageModel([], np.ones(DIMS), np.zeros((0, DIMS)), np.zeros(0, dtype=int), 1.0)
-    langs = np.array(rows.column("lang").to_pylist(), dtype=object)
-    tf = np.stack([np.frombuffer(x, "<u4") for x in rows.column("counts").to_pylist()])
-    order = np.lexsort([*tf.T[:8], tf.sum(axis=1), langs.astype(str)])  # the rows come in any order
-    langs, tf = langs[order], tf[order]
-    idf = np.log((1 + len(tf)) / (1 + (tf > 0).sum(axis=0))) + 1
-    x = np.log1p(tf) * idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    names = sorted(set(langs))
-    parts = [_clusters(x[langs == n], per_language, seed=i) for i, n in enumerate(names)]
-    centroids = np.vstack(parts)
-    owner = np.repeat(np.arange(len(names)), [len(p) for p in parts])
-    nearest = (x @ centroids.T).max(axis=1)
-    long = tf.sum(axis=1) >= 3 * 20
-    usual = float(np.quantile(nearest[long] if long.any() else nearest, 0.01))
-    return LanguageModel(names, idf, centroids, owner, margin * usual)
+    idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS])) + 1
+
+    def centres(group: pd.DataFrame) -> pd.DataFrame:
+        """Centroids of one language, and how near its longer texts (or all, without longer ones) lie to them."""
+        group = group.sort_values("h", kind="stable")
+        x = np.zeros((len(group), DIMS))
+        for i, (at, n) in enumerate(zip(group["at"], group["n"], strict=True)):
+            x[i, np.frombuffer(at, "<u4")] = np.frombuffer(n, "<u4")
+        long = x.sum(axis=1) >= 3 * 20
+        x = np.log1p(x) * idf
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        c = _clusters(x, per_language, seed=0)
+        near = (x @ c.T).max(axis=1)
+        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "centres": [c.astype("<f4").tobytes()], "near": [near[long].tolist()], "short": [near[~long].tolist()]})
+
+    # a group is one language's sample, at most `rows_per_language` texts; a language comes back as its centroids
+    made = rows.groupBy("lang").applyInPandas(centres, "lang string, centres binary, near array<double>, short array<double>").toArrow().sort_by("lang")
+    drop_stored(docs.sparkSession, path)
+    parts = [np.frombuffer(x, "<f4").reshape(-1, DIMS).astype(np.float64) for x in made.column("centres").to_pylist()]
+    near, short = (np.array([y for x in made.column(c).to_pylist() for y in x]) for c in ("near", "short"))
+    usual = float(np.quantile(near if len(near) else short, 0.01))
+    return LanguageModel(made.column("lang").to_pylist(), idf, np.vstack(parts), np.repeat(np.arange(len(parts)), [len(p) for p in parts]), margin * usual)
 
 
 def classify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

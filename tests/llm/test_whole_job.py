@@ -77,6 +77,53 @@ def test_language_made_of_copies(spark):
     assert (model.owner == model.languages.index("en")).sum() > 1
 
 
+def slow_vector(text, idf):
+    """Hashed n-gram vector of a text, one n-gram at a time."""
+    folded = [32 if b < 128 and not chr(b).isalpha() else b | 32 if b < 128 else b for b in f" {text.lower()} ".encode()]
+    total = Counter()
+    for n in (1, 2, 3):
+        for i in range(len(folded) - n + 1):
+            key = 0
+            for k, m in zip(range(n), (2654435761, 2246822519, 3266489917), strict=False):
+                key = (key * 31 + folded[i + k] + 1) * m % 2**32
+            total[key >> 20] += 1
+    v = np.zeros(len(idf))
+    for k, n in total.items():
+        v[k] = np.log1p(n) * idf[k]
+    return v / np.linalg.norm(v)
+
+
+def test_language_against_brute_force(spark):
+    """Frequencies, centroids, predictions and rejection, all recomputed from texts; repeated and null rows, clashing columns."""
+    rnd = np.random.default_rng(2)
+    words = {"en": "the of and to in is that it was for", "de": "der die und in den von zu das mit sich", "fr": "de la le et les des en un du une"}
+    texts = [(" ".join(rnd.choice(words[x].split(), 25)), x) for x in words for _ in range(12)]
+    rows = [(i, t, x) for i, (t, x) in enumerate(texts)] + [(0, *texts[0])] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("lang_pred", F.lit("clash")).repartition(4)
+    model = langid.fit(docs)
+    df = sum((slow_vector(t, np.ones(langid.DIMS)) > 0).astype(int) for t, _ in texts)
+    idf = np.log((1 + len(texts)) / (1 + df)) + 1
+    assert np.allclose(model.idf, idf) and model.languages == sorted(words)
+    x = np.stack([slow_vector(t, idf) for t, _ in texts])
+    for i, name in enumerate(model.languages):
+        mine, c = x[[y == name for _, y in texts]], model.centroids[model.owner == i]
+        # a fixed point of clustering: each centroid is the direction of the mean of the texts nearest to it
+        own = (mine @ c.T).argmax(axis=1)
+        means = np.stack([mine[own == j].mean(axis=0) for j in range(len(c))])
+        assert len(c) == 4 and np.allclose(c, means / np.linalg.norm(means, axis=1, keepdims=True), atol=1e-6)
+    near = (x @ model.centroids.T).max(axis=1)
+    assert model.reject_below == pytest.approx(0.5 * np.quantile(near, 0.01), rel=0.05)
+    probe = [(1, "und die der von"), (2, "кот спит дома и видит сон"), (3, "漢字漢字"), (4, None), (4, None), (5, "the of"), (5, "the of"), (None, "les des une"), (6, "la " * 40_000)]
+    got = Counter((r.doc_id, r.lang_pred, round(r.score, 9), r.rejected) for r in langid.classify(spark.createDataFrame(probe, "doc_id long, text string").withColumn("score", F.lit("clash")), model).collect())
+    want = Counter()
+    for i, t in probe:
+        near = model.centroids @ slow_vector(t, idf) if t else None
+        score = round(float(np.clip(near.max(), 0, 1)), 9) if t else 0.0
+        want[i, model.languages[model.owner[near.argmax()]] if t else "und", score, not t or score < model.reject_below] += 1
+    assert got == want and sum(n for (i, _, _, no), n in got.items() if no and i in (2, 3)) == 2
+    assert langid.classify(docs.limit(0), model).count() == 0
+
+
 # 9
 class Links(HTMLParser):
     """Canonical links and refresh targets as a parser sees them."""
