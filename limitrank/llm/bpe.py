@@ -3,8 +3,10 @@
 The merges are compiled, in order, into an automaton over tokens. Its states are the tokens read last (and a start
 state), and an arc (state, token) exists if the two may stand side by side in an encoded word. Each merge applies one
 gadget: the arc that spells the merged pair is taken away, and the new token gets arcs wherever the pair could be read
-and a state with the arcs of its right half. Words are encoded by following arcs over their bytes; every prefix of a
-word is read in exactly one state, so the run is deterministic. Decoding emits the labels of the arcs.
+and a state with the arcs of its right half. Every prefix of a word is read in exactly one state, so the automaton is determinised
+over bytes: a byte state holds, for every token that may be open, the token before it and its place in the tree of labels, and names the token
+that ends there. Words are encoded by one look-up in a transition table per byte and read back from the last token; no dead end
+is entered. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -30,7 +32,9 @@ PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_{_NUMERALS}]+| ?[\d{_NUMERALS}]+|
 #: Characters but those that every Unicode version of the last decade, and Python, class alike; texts with others are split by the library itself (fixed value).
 COMMON = r"[^\x00-\x1b\x20-\u0557\u2010-\u205e\u3001-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uffbe]"
 #: Encoded words that a worker remembers before the older half makes room; this changes speed only.
-MEMO = 1 << 17
+MEMO = 1 << 18
+#: Byte states that a worker's table holds before it starts anew; this changes speed only.
+STATES = 1 << 16
 
 
 def byte_characters() -> dict[str, int]:
@@ -73,13 +77,8 @@ class TokenAutomaton:
             raise ValueError("two merges make one token")
         self._place(vocabulary, steps)
         self._compile(steps)
-        self.starts: dict[bytes, int] = {}
-        for t in vocabulary.values():
-            b = self.label[t]
-            for k in range(1, len(b)):
-                self.starts.setdefault(b[:k], -1)
-            self.starts[b] = t
         self.closed = _Closed(self.missing)
+        self.table = ByteTable(self, vocabulary)
 
     def _place(self, vocabulary: dict[str, int], steps: list[tuple[int, int, int]]) -> None:
         """Number tokens so that a token and those grown from it on the left, youngest first, are neighbours."""
@@ -118,47 +117,84 @@ class TokenAutomaton:
         return not bisect_right(self.closed[state], self.rank[token]) & 1
 
     def encode_word(self, word: bytes) -> list[int]:
-        """Token ids of one pre-split word.
-
-        Longest arcs are tried first. A place reached twice is reached in the same state, as a prefix has one encoding
-        only, so a place that once led nowhere is not entered again and the run is linear in the word.
-        """
-        rank, closed, n = self.rank, self.closed, len(word)
-        dead: set[int] = set()
-        path: list[int] = []
-        ends, open_ = [0], [self.arcs(word, 0)]
-        bounds: list[int] = []  # every arc leaves the start
-        while True:
-            arcs = open_[-1]
-            while arcs:
-                t, end = arcs.pop()
-                if bisect_right(bounds, rank[t]) & 1 or end in dead:
-                    continue
-                path.append(t)
-                if end == n:
-                    return path
-                ends.append(end)
-                open_.append(self.arcs(word, end))
-                bounds = closed[t]
-                break
-            else:
-                if not path:
-                    raise ValueError("a byte of the word has no token")
-                dead.add(ends.pop())
-                open_.pop()
-                path.pop()
-                bounds = closed[path[-1]] if path else []
-
-    def arcs(self, word: bytes, at: int) -> list[tuple[int, int]]:
-        """Tokens that begin at ``at``, with the places where they end, longest last."""
-        get, out = self.starts.get, []
-        for end in range(at + 1, len(word) + 1):
-            t = get(word[at:end])
-            if t is None:
-                break
-            if t >= 0:
-                out.append((t, end))
-        return out
+        """Token ids of one pre-split word."""
+        return self.table.run(word)
+
+
+class ByteTable:
+    """Transitions of the determinised automaton, from byte state and byte to byte state, made when first taken.
+
+    A byte state is the set of (token before, place in the tree of labels) of the tokens that may be open, as numbers; where a token ends,
+    the pair (that token, root) is among them, as the next token may begin. At most one token ends in a state.
+    """
+
+    def __init__(self, automaton: TokenAutomaton, vocabulary: dict[str, int]):
+        self.automaton = automaton
+        self.size = {t: len(automaton.label[t]) for t in vocabulary.values()}
+        #: The tree: for a place and a byte the next place, and the token whose label ends there.
+        self.tree: list[dict[int, int]] = [{}]
+        self.ending = [-1]
+        for t in vocabulary.values():
+            at = 0
+            for b in automaton.label[t]:
+                after = self.tree[at].get(b)
+                if after is None:
+                    after = self.tree[at][b] = len(self.tree)
+                    self.tree.append({})
+                    self.ending.append(-1)
+                at = after
+            self.ending[at] = t
+        self._begin()
+
+    def _begin(self) -> None:
+        self.open: list[tuple[int, ...]] = [(-len(self.tree),)]  # token -1, before the first, at the root
+        self.names = {self.open[0]: 0}
+        self.ended = [-1]
+        self.rows: list[dict[int, int]] = [{}]
+
+    def step(self, state: int, byte: int) -> int:
+        """The transition, which is added to the table."""
+        tree, ending, rank, closed, width = self.tree, self.ending, self.automaton.rank, self.automaton.closed, len(self.tree)
+        kept, end = [], -1
+        for pair in self.open[state]:
+            before, at = divmod(pair, width)
+            after = tree[at].get(byte)
+            if after is None:
+                continue
+            if tree[after]:
+                kept.append(before * width + after)
+            t = ending[after]
+            if t >= 0 and end < 0 and (before < 0 or not bisect_right(closed[before], rank[t]) & 1):
+                end = t
+        if end >= 0:
+            kept.append(end * width)
+        name = tuple(kept)
+        found = self.names.get(name)
+        if found is None:
+            found = self.names[name] = len(self.open)
+            self.open.append(name)
+            self.ended.append(end)
+            self.rows.append({})
+        self.rows[state][byte] = found
+        return found
+
+    def run(self, word: bytes) -> list[int]:
+        if len(self.open) > STATES:
+            self._begin()
+        rows, ended, size, state, ends = self.rows, self.ended, self.size, 0, []
+        for b in word:
+            after = rows[state].get(b)
+            state = self.step(state, b) if after is None else after
+            ends.append(ended[state])
+        path, at = [], len(word)
+        while at:
+            t = ends[at - 1]
+            if t < 0:
+                raise ValueError("a byte of the word has no token")
+            path.append(t)
+            at -= size[t]
+        path.reverse()
+        return path
 
 
 class _Closed(dict):

@@ -379,6 +379,52 @@ def test_bpe_matches_library(spark, data):
         assert rows[d.doc_id].decoded_sha256 == hashlib.sha256((d.text or "").encode()).hexdigest()
 
 
+def test_bpe_table_is_deterministic(spark, monkeypatch):
+    """At most one token ends in a byte state, also when the table starts anew; words of any bytes."""
+    import public_tokenizers
+    import tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, codec = tokenizers.Tokenizer.from_file(path), bpe.Codec(open(path, "rb").read())
+    rnd, auto = random.Random(9), codec.automaton
+    words = ["".join(rnd.choice("etaoin shrdlu" * 3 + "'éßж漢😀0_-") for _ in range(rnd.randint(1, 30))) for _ in range(2000)]
+    for limit in (1 << 17, 50):
+        monkeypatch.setattr(bpe, "STATES", limit)
+        for w in words:
+            for piece in codec.split(w):
+                assert auto.encode_word(piece.encode()) == tok.encode(piece, add_special_tokens=False).ids
+    table = auto.table
+    for state, row in list(enumerate(table.rows))[:500]:
+        for byte in row:
+            ends = set()
+            for pair in table.open[state]:
+                before, at = divmod(pair, len(table.tree))
+                t = table.ending[table.tree[at][byte]] if byte in table.tree[at] else -1
+                if t >= 0 and (before < 0 or auto.arc(before, t)):
+                    ends.add(t)
+            assert len(ends) <= 1
+
+
+def test_bpe_rows(spark):
+    """Null, empty, repeated and very long texts; clashing and extra columns; no rows."""
+    import public_tokenizers
+    import tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = tokenizers.Tokenizer.from_file(path)
+    rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "\x00 <|endoftext|>"), (4, "word " * 60_000), (5, "x" * 5000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"ids": F.lit("clash"), "decoded": F.lit(7), "more": F.lit(1)})
+    out = bpe.decode(bpe.encode(d, path), path)
+    assert set(out.columns) == {"doc_id", "text", "ids", "decoded", "more"}
+    got = Counter((r.doc_id, r.text, bytes(r.ids), r.decoded, r.more) for r in out.collect())
+    want = Counter()
+    for i, t in rows:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        want[i, t, np.array(ids, "<u4").tobytes(), tok.decode(ids, skip_special_tokens=False), 1] += 1
+    assert got == want and bpe.encode(d.limit(0), path).count() == 0
+    assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids binary"), path).first().decoded == ""
+
+
 # 8
 def test_lm_scores(spark):
     rows = [(1, "abab abab abab"), (2, "xyz xyz xyz xyz"), (3, None), (4, ""), (5, "abab"), (5, "abab")]
