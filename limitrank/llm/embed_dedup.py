@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from .ann import matrix, one_length, packed
 from .common import components_of_matrix, connected_components, group_starts, stored, tile_keys, whole_groups
 
-#: Rows of a tile, and rows of the sample that places the cuts of cells.
-TILE, SAMPLE_ROWS = 2048, 16_384
+#: Rows of a tile of whole vectors, and of one of ids and bytes; rows of the sample that places the cuts of cells.
+TILE, HELD, SAMPLE_ROWS = 2048, 8192, 16_384
 #: Added to squared-distance budgets so that rounding loses no pair; what it lets through is verified.
 SLACK = 1e-5
 
@@ -83,7 +83,7 @@ class _Forest:
 
 def near_duplicates(
     table: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
-    threshold: float = 0.98, blocks: int = 8, leaf_rows: int = 4096,
+    threshold: float = 0.98, blocks: int = 8, leaf_rows: int = 8192,
 ) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of ``table`` with an id.
 
@@ -141,7 +141,7 @@ def near_duplicates(
     cell_keys = ["label", "block", "cell"]
     dealt = classes.select("label", "v", "id").mapInArrow(deal, "label string, id long, code binary, step float, block byte, cell long, probe boolean")
     # counted without the codes
-    hot = tile_keys(dealt.where(~F.col("probe")).groupBy(*cell_keys).agg(F.count(F.lit(1)).alias("n")), cell_keys, TILE) if most > TILE else None
+    hot = tile_keys(dealt.where(~F.col("probe")).groupBy(*cell_keys).agg(F.count(F.lit(1)).alias("n")), cell_keys, HELD) if most > HELD else None
     tiled = dealt.withColumn("n_tiles", F.lit(1)) if hot is None else dealt.join(hot, cell_keys, "left").withColumn("n_tiles", F.coalesce("n_tiles", F.lit(1)))
     own = F.pmod(F.xxhash64("id"), F.col("n_tiles")).cast("int")
     # held rows meet all tiles of their cell, probes pass by each tile once
