@@ -23,8 +23,8 @@ from .common import components_of_matrix, connected_components, drop_stored, gro
 FREQUENT_PART = 2000
 #: N-grams that a counting task holds at most, twice over.
 HELD = 1_000_000
-#: Sets of one tile when a group is too large for one task.
-TILE = 1024
+#: Sets of one tile when a group is too large for one task, and marks that are compared at once there.
+TILE, SLAB = 1024, 4096
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -280,39 +280,50 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, df = common.value
         for b in batches:
-            n, one, two, prefix = [], [], [], []
+            n, one, two, prefix, rare = [], [], [], [], []
             for text in values(b.column(1)):
                 s = shingles(text, words)
                 n.append(len(s))
                 one.append(int(s.sum(dtype=np.uint64)))
                 two.append(int(_spread(s ^ np.uint64(_BASE)).sum(dtype=np.uint64)))
                 prefix.append(in_order(s, frequent, df)[: prefix_length(len(s), percent)].view(np.int64) if len(s) else np.zeros(0, np.int64))
+                rare.append(min(len(prefix[-1]), len(s) - int(np.isin(s, frequent, assume_unique=True).sum())))
             at = np.cumsum([0, *map(len, prefix)])
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int32()), pa.array(np.array(one, dtype=np.uint64).view(np.int64)), pa.array(np.array(two, dtype=np.uint64).view(np.int64)), lists],
-                names=["doc_id", "n", "one", "two", "prefix"],
+                [b.column(0), pa.array(n, pa.int32()), pa.array(np.array(one, dtype=np.uint64).view(np.int64)), pa.array(np.array(two, dtype=np.uint64).view(np.int64)), lists, pa.array(rare, pa.int32())],
+                names=["doc_id", "n", "one", "two", "prefix", "rare"],
             )
 
-    known, _ = stored(docs.mapInArrow(sets, "doc_id long, n int, one long, two long, prefix array<long>"), "sets")
+    known, _ = stored(docs.mapInArrow(sets, "doc_id long, n int, one long, two long, prefix array<long>, rare int"), "sets")
     same = ["n", "one", "two"]
     class_of, _ = stored(known.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
     # every class's prefix comes from the row that names it
     firsts = known.where("n > 0").join(class_of.withColumnRenamed("class_id", "doc_id"), [*same, "doc_id"], "left_semi")
-    posts = firsts.select(F.col("doc_id").alias("id"), "n", F.explode("prefix").alias("gram"))
-    holders = Window.partitionBy("gram")
+    posts = firsts.select(F.col("doc_id").alias("id"), "n", "rare", F.posexplode("prefix").alias("i", "gram")).withColumn("often", F.col("i") >= F.col("rare"))
+    # holders of frequent n-grams are summed in each task first and their totals sent to all, as there is a bound on how many are frequent;
+    # in the window they are spread, so that no n-gram meets in one task whole
+    def holders(over=None) -> dict:
+        made = {"first": F.min("id"), "last": F.max("id"), "n_ids": F.count(F.lit(1)), "all": F.bit_xor(F.xxhash64("id"))}
+        return {k: c.over(over) if over is not None else c for k, c in made.items()}
+
+    common_posts = known.where("n > 0").select(F.col("doc_id").alias("id"), F.explode(F.slice("prefix", F.col("rare") + 1, F.greatest(F.size("prefix") - F.col("rare"), F.lit(0)))).alias("gram"))
+    totals = common_posts.groupBy("gram").agg(*[c.alias(f"t_{k}") for k, c in holders().items()])
+    spread = F.when(F.col("often"), F.pmod(F.xxhash64("id"), F.lit(997))).otherwise(0)
+    held = posts.withColumn("spread", spread).withColumns(holders(Window.partitionBy("gram", "spread")))
+    held = held.join(F.broadcast(totals), F.col("often") & (held.gram == totals.gram), "left")
+    held = held.select("id", "n", *[F.when(F.col("often"), F.col(f"t_{k}")).otherwise(F.col(k)).alias(k) for k in holders()])
     # elements with the same holders bring the same classes together, so they are one mark that counts as many
-    holders = Window.partitionBy("gram")
-    held = posts.withColumns({"first": F.min("id").over(holders), "last": F.max("id").over(holders), "n_ids": F.count(F.lit(1)).over(holders), "all": F.bit_xor(F.xxhash64("id")).over(holders)})
     marks = held.where("first <> last").groupBy("id", "n", F.xxhash64("first", "last", "n_ids", "all").alias("mark")).agg(F.count(F.lit(1)).cast("int").alias("times"))
     marks, _ = stored(marks, "marks")
     first, _ = stored(_likely_pairs(marks, percent), "likely")
     grouped = connected_components(first).withColumnRenamed("node", "id")
     # a mark whose holders are all connected already adds nothing; the others are all looked at
-    over = Window.partitionBy("mark")
-    marks = marks.join(grouped, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    marks = marks.withColumns({"first": F.min("component").over(over), "last": F.max("component").over(over)}).where("first <> last")
-    marks, _ = stored(marks.select("id", "n", "mark", "times"), "marks")
+    marks = marks.join(grouped.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    marks, _ = stored(marks.select("id", "n", "mark", "times", "component"), "marks")
+    # a sum and a join, which adaptive execution can split where a mark is hot
+    apart = marks.groupBy("mark").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first <> last").select("mark")
+    marks, _ = stored(marks.select("id", "n", "mark", "times").join(apart.hint("merge"), "mark", "left_semi"), "marks")
     own = marks.groupBy("id", "n").agg(F.collect_list("mark").alias("marks"), F.collect_list("times").alias("times"))
     entries = own.select("id", "n", "marks", "times", F.explode("marks").alias("mark"))
     hot = tile_keys(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")), ["mark"], TILE)
@@ -383,10 +394,15 @@ def _prefix_forest(percent: int):
                 weight = np.zeros(len(names), dtype=np.float32)
                 np.maximum.at(weight, col, times[of])
                 place = np.cumsum(df > 1) - 1
-                held = np.zeros((m, int(place[-1]) + 1), dtype=np.float32)
-                held[row[both], place[col[both]]] = 1
-                weight = weight[df > 1]
-                shared = (held * weight) @ held.T
+                weight, row, col = weight[df > 1], row[both], place[col[both]]
+                order = np.argsort(col, kind="stable")
+                row, col = row[order], col[order]
+                shared = np.zeros((m, m), dtype=np.float32)
+                for first in range(0, len(weight), SLAB):  # marks a slab at a time, so that memory does not grow with their number
+                    one, two = np.searchsorted(col, [first, first + SLAB])
+                    held = np.zeros((m, min(SLAB, len(weight) - first)), dtype=np.float32)
+                    held[row[one:two], col[one:two] - first] = 1
+                    shared += (held * weight[first : first + SLAB]) @ held.T
                 linked = (shared >= _shared_least(size[:, None], size[None, :], percent)) & (np.minimum.outer(size, size) >= least_overlap(size[:, None], size[None, :], percent))
                 np.fill_diagonal(linked, False)
                 if linked.any():

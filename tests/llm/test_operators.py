@@ -142,7 +142,7 @@ def odd_rows(dims=64):
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
-@pytest.mark.parametrize("leaf", [4096, 16])
+@pytest.mark.parametrize("leaf", [8192, 16])
 def test_embedding_links(spark, leaf):
     v = vectors()
     rows = [(i, [float(x) for x in v[i]], i % 2 if i % 3 else (i + 1) % 2) for i in range(len(v))] + odd_rows()
@@ -155,6 +155,7 @@ def test_embedding_links(spark, leaf):
 
 def test_embedding_tiles(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "TILE", 20)
+    monkeypatch.setattr(embed_dedup, "HELD", 30)
     v = vectors(120, seed=2)
     rows = [(i, [float(x) for x in v[i // 2]], 0) for i in range(120)]
     got = {r.vec_id: r.n_links for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
@@ -263,6 +264,8 @@ def check_jaccard(spark, rows, words, percent):
 @pytest.mark.parametrize(("words", "percent", "tile"), [(4, 85, 1024), (5, 80, 1024), (3, 70, 7)])
 def test_jaccard_join(spark, monkeypatch, words, percent, tile):
     monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "SLAB", 3 if tile < 100 else 4096)
+    monkeypatch.setattr(jaccard, "FREQUENT_PART", 20 if words == 5 else 2000)
     rnd = random.Random(words)
     base = [[rnd.choice(WORDS.split()) + str(rnd.randint(0, 40)) for _ in range(rnd.randint(1, 90))] for _ in range(12)]
     rows = []
@@ -275,6 +278,14 @@ def test_jaccard_join(spark, monkeypatch, words, percent, tile):
     assert check_jaccard(spark, rows, words, percent)
 
 
+def test_jaccard_rows_of_one_id(spark):
+    """A repeated id is one document with the links of all its rows; a null id is left out."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(3, a), (3, b), (1, a + " end"), (2, b), (2, b), (None, a), (5, c), (6, c), (6, None)]
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").withColumn("gram", F.lit("clash")), 4, 85).collect())
+    assert got == Counter({(3, 27, 1): 2, (1, 28, 1): 1, (2, 27, 1): 2, (5, 27, 5): 1, (6, 27, 5): 1, (6, 0, 5): 1})
+
+
 def test_jaccard_empty(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     assert check_jaccard(spark, [(1, None), (2, None)], 4, 85) == []
