@@ -101,10 +101,13 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, per_languag
 
     def to_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [counts(x) for x in values(b.column(2))]
-            at = [np.flatnonzero(c) for c in made]
-            packed = [pa.array([x.astype("<u4").tobytes() for x in y], type=pa.binary()) for y in (at, [c[i] for c, i in zip(made, at, strict=True)])]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *packed], names=["lang", "h", "at", "n"])
+            at, n = [], []
+            for x in values(b.column(2)):  # one text's full vector at a time
+                c = counts(x)
+                used = np.flatnonzero(c)
+                at.append(used.astype("<u4").tobytes())
+                n.append(c[used].astype("<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.binary()), pa.array(n, pa.binary())], names=["lang", "h", "at", "n"])
 
     rows, path = stored(top.select("lang", "h", "text").mapInArrow(to_counts, "lang string, h long, at binary, n binary"), "texts")
 
@@ -128,12 +131,13 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, per_languag
     def centres(group: pd.DataFrame) -> pd.DataFrame:
         """Centroids of one language, and how near its longer texts (or all, without longer ones) lie to them."""
         group = group.sort_values("h", kind="stable")
-        x = np.zeros((len(group), DIMS))
+        x = np.zeros((len(group), DIMS), dtype=np.float32)
         for i, (at, n) in enumerate(zip(group["at"], group["n"], strict=True)):
             x[i, np.frombuffer(at, "<u4")] = np.frombuffer(n, "<u4")
         long = x.sum(axis=1) >= 3 * 20
-        x = np.log1p(x) * idf
-        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        np.log1p(x, out=x)
+        x *= idf.astype(np.float32)
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
         c = _clusters(x, per_language, seed=0)
         near = (x @ c.T).max(axis=1)
         return pd.DataFrame({"lang": [group["lang"].iloc[0]], "centres": [c.astype("<f4").tobytes()], "near": [near[long].tolist()], "short": [near[~long].tolist()]})
