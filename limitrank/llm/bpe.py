@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -144,6 +145,8 @@ class ByteTable:
                     self.ending.append(-1)
                 at = after
             self.ending[at] = t
+        leaf: dict[int, int] = {}
+        self.tree = [x or leaf for x in self.tree]
         self._begin()
 
     def _begin(self) -> None:
@@ -204,7 +207,7 @@ class _Closed(dict):
         super().__init__()
         self.missing = missing
 
-    def __missing__(self, state: int) -> list[int]:
+    def __missing__(self, state: int) -> array:
         ranges, chain = [], self.missing.get(state)
         while chain is not None:
             ranges.append(chain[:2])
@@ -215,8 +218,8 @@ class _Closed(dict):
                 bounds[-1] = max(bounds[-1], stop)
             elif start < stop:
                 bounds += (start, stop)
-        self[state] = bounds
-        return bounds
+        self[state] = found = array("i", bounds)
+        return found
 
 
 class Codec(Decoder):

@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
@@ -128,11 +127,11 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, per_languag
         return LanguageModel([], np.ones(DIMS), np.zeros((0, DIMS)), np.zeros(0, dtype=int), 1.0)
     idf = np.log((1 + df[DIMS]) / (1 + df[:DIMS])) + 1
 
-    def centres(group: pd.DataFrame) -> pd.DataFrame:
+    def centres(group: pa.Table) -> pa.Table:
         """Centroids of one language, and how near its longer texts (or all, without longer ones) lie to them."""
-        group = group.sort_values("h", kind="stable")
-        x = np.zeros((len(group), DIMS), dtype=np.float32)
-        for i, (at, n) in enumerate(zip(group["at"], group["n"], strict=True)):
+        group = group.sort_by("h")
+        x = np.zeros((group.num_rows, DIMS), dtype=np.float32)
+        for i, (at, n) in enumerate(zip(group.column("at").to_pylist(), group.column("n").to_pylist(), strict=True)):
             x[i, np.frombuffer(at, "<u4")] = np.frombuffer(n, "<u4")
         long = x.sum(axis=1) >= 3 * 20
         np.log1p(x, out=x)
@@ -140,10 +139,12 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, per_languag
         x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-12)[:, None]
         c = _clusters(x, per_language, seed=0)
         near = (x @ c.T).max(axis=1)
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "centres": [c.astype("<f4").tobytes()], "near": [near[long].tolist()], "short": [near[~long].tolist()]})
+        kinds = (pa.string(), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()))
+        row = (group.column("lang")[0].as_py(), c.astype("<f4").tobytes(), near[long].tolist(), near[~long].tolist())
+        return pa.Table.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=["lang", "centres", "near", "short"])
 
     # a group is one language's sample, at most `rows_per_language` texts; a language comes back as its centroids
-    made = rows.groupBy("lang").applyInPandas(centres, "lang string, centres binary, near array<double>, short array<double>").toArrow().sort_by("lang")
+    made = rows.groupBy("lang").applyInArrow(centres, "lang string, centres binary, near array<double>, short array<double>").toArrow().sort_by("lang")
     drop_stored(docs.sparkSession, path)
     parts = [np.frombuffer(x, "<f4").reshape(-1, DIMS).astype(np.float64) for x in made.column("centres").to_pylist()]
     near, short = (np.array([y for x in made.column(c).to_pylist() for y in x]) for c in ("near", "short"))
