@@ -42,8 +42,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: doc_id, source, n_tokens, ids (packed, 4 bytes each) and digests of the ids and the
     decoded text."""
-    path = tokenizer_path()
-    out = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), path).select("doc_id", "source", "ids"), path)
+    out = bpe.round_trip(docs.select("doc_id", "source", "text"), tokenizer_path())
     return out.select(
         "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

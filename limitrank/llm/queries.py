@@ -71,9 +71,7 @@ def mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path))
+    return bpe.digests(bpe.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path()))
 
 
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
