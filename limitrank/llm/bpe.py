@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers.pre_tokenizers import ByteLevel
 
-from .common import values
+from .common import map_texts, values
 
 _NUMERALS = "".join(chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) in ("No", "Nl"))
 #: How the byte-level pre-tokenizer splits text before merges (fixed value); letters are word characters that are no digits, numerals or "_".
@@ -302,7 +302,7 @@ def _column(docs: DataFrame, tokenizer_path: str, source: str, name: str, kind:
             kept = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != name]
             yield pa.RecordBatch.from_arrays([*[c for _, c in kept], made], names=[*[n for n, _ in kept], name])
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)
 
 
 def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -339,7 +339,7 @@ def round_trip(docs: DataFrame, tokenizer_path: str, text: str = "text") -> Data
             new = [pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.string())]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in keep], *new], names=[*[b.schema.names[i] for i in keep], *made])
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)
 
 
 def digests(decoded: DataFrame) -> DataFrame:

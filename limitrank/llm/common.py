@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _FALLBACK: dict[str, str] = {}
+#: Rows of one Arrow batch where whole texts travel; this changes memory only.
+BATCH_ROWS = 1000
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -114,6 +118,33 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
         yield pa.concat_tables(held)
 
 
+def map_texts(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for rows with whole texts, in less memory.
+
+    Batches have at most BATCH_ROWS rows (a setting of the session, lowered where it is higher), as both ends hold a batch of each task;
+    and workers, which are used again by later tasks, give back to the system what they no longer need.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for made in run(batches):
+            yield made
+            del made
+            _give_back()
+        _give_back()
+
+    return df.mapInArrow(lean, schema)
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU library has it
+    if trim is not None:
+        trim(0)
+
+
 def values(column: pa.Array, step: int = 256) -> Iterator:
     """Python values of a column, a few at a time, so that a batch of long texts is not held twice."""
     for i in range(0, len(column), step):

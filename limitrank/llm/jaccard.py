@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components_of_matrix, connected_components, drop_stored, group_starts, stored, tile_keys, values, whole_groups
+from .common import components_of_matrix, connected_components, drop_stored, group_starts, map_texts, stored, tile_keys, values, whole_groups
 
 #: An n-gram is frequent if it is in more than one of this many documents. Frequent ones are ordered last; there are at
 #: most FREQUENT_PART times the mean set size of them, whatever the input. Which ones are frequent changes speed only.
@@ -250,7 +250,7 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             names=["gram", "df", "docs"],
         )
 
-    part = docs.select("text").mapInArrow(run, "gram long, df long, docs long")
+    part = map_texts(docs.select("text"), run, "gram long, df long, docs long")
     part, path = stored(part.groupBy("gram").agg(F.sum("df").alias("df"), F.sum("docs").alias("docs")), "grams")
     total = part.agg(F.sum("docs")).first()[0] or 0
     t = part.where(F.col("df") >= max(2, total / FREQUENT_PART)).select("gram", "df").toArrow()
@@ -295,7 +295,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                 names=["doc_id", "n", "one", "two", "prefix", "rare"],
             )
 
-    known, _ = stored(docs.mapInArrow(sets, "doc_id long, n int, one long, two long, prefix array<long>, rare int"), "sets")
+    known, _ = stored(map_texts(docs, sets, "doc_id long, n int, one long, two long, prefix array<long>, rare int"), "sets")
     same = ["n", "one", "two"]
     class_of, _ = stored(known.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
     # every class's prefix comes from the row that names it
@@ -327,13 +327,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     own = marks.groupBy("id", "n").agg(F.collect_list("mark").alias("marks"), F.collect_list("times").alias("times"))
     entries = own.select("id", "n", "marks", "times", F.explode("marks").alias("mark"))
     hot = tile_keys(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")), ["mark"], TILE)
-    pairs = _grouped(entries, hot, "mark").mapInArrow(_prefix_forest(percent), "a long, b long")
+    pairs = map_texts(_grouped(entries, hot, "mark"), _prefix_forest(percent), "a long, b long")
     forest, _ = stored(pairs.unionByName(first).distinct(), "forest")
     groups = connected_components(forest).withColumnRenamed("node", "doc_id")
     # the groups grow with the documents, so they are never broadcast, at any size
     members = docs.join(groups.hint("merge"), "doc_id").select("component", F.col("doc_id").alias("id"), "text")
     large = tile_keys(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), ["component"], TILE)
-    links = _grouped(members, large, "component").mapInArrow(_exact_links(words, percent), "a long, b long")
+    links = map_texts(_grouped(members, large, "component"), _exact_links(words, percent), "a long, b long")
     found, _ = stored(links.distinct(), "links")
     # rows of one id with several sets connect their classes
     ids = known.where("n > 0").join(class_of, same).select("doc_id", "class_id")

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_stored, stored, values
+from .common import drop_stored, map_texts, stored, values
 
 #: Buckets of hashed n-grams, longest n-gram in bytes, and training rows per language at most (the fit is on a bounded sample).
 DIMS, LONGEST, ROWS_PER_LANGUAGE = 4096, 3, 600
@@ -108,7 +108,7 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, per_languag
                 n.append(c[used].astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.binary()), pa.array(n, pa.binary())], names=["lang", "h", "at", "n"])
 
-    rows, path = stored(top.select("lang", "h", "text").mapInArrow(to_counts, "lang string, h long, at binary, n binary"), "texts")
+    rows, path = stored(map_texts(top.select("lang", "h", "text"), to_counts, "lang string, h long, at binary, n binary"), "texts")
 
     def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(DIMS + 1, dtype=np.int64), 0
@@ -174,7 +174,7 @@ def classify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             new = [pa.array([f[i] for f in found], type=t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in keep_at], *new], names=[*kept, *made])
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)
 
 
 def crc_fold(doc_id: Column, folds: int = 4) -> Column:
