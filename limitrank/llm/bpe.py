@@ -33,9 +33,9 @@ PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_{_NUMERALS}]+| ?[\d{_NUMERALS}]+|
 #: Characters but those that every Unicode version of the last decade, and Python, class alike; texts with others are split by the library itself (fixed value).
 COMMON = r"[^\x00-\x1b\x20-\u0557\u2010-\u205e\u3001-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uffbe]"
 #: Encoded words that a worker remembers before the older half makes room; this changes speed only.
-MEMO = 1 << 17
+MEMO = 1 << 18
 #: Byte states that a worker's table holds before it starts anew; this changes speed only.
-STATES = 1 << 14
+STATES = 1 << 17
 
 
 def byte_characters() -> dict[str, int]:
