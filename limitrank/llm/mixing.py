@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import drop_stored, stored
 
 #: Bits that one round of histograms resolves, and rounds; together the 60 bits of a document's hash.
 BITS, ROUNDS = 12, 5
@@ -24,25 +24,40 @@ def document_hash(doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("long")
 
 
+def _sums_before(rows: DataFrame, order: Sequence[Column], sums: dict[str, Column]) -> tuple[DataFrame, str]:
+    """``rows`` with the sum over all rows that come earlier in ``order`` for each item of ``sums``, and where they were written.
+
+    Rows are dealt by ranges of ``order``, so no task holds more than one range; only one total per range (as many as there are
+    partitions, whatever the input) is ordered in one task.
+    """
+    ranged, path = stored(rows.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "mix")
+    inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("__range").agg(*[F.sum(c).alias(k) for k, c in sums.items()])
+    totals = totals.select("__range", *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"__{k}") for k in sums])
+    summed = ranged.withColumns({k: F.coalesce(F.sum(c).over(inside), F.lit(0)) for k, c in sums.items()}).join(F.broadcast(totals), "__range")
+    return summed.withColumns({k: F.col(k) + F.col(f"__{k}") for k in sums}).drop("__range", *[f"__{k}" for k in sums]), path
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, max_repeats: float) -> DataFrame:
     """Adds ``target`` to one row per source (source, source_size): weights repeat over sources in code-point order, null last.
 
     ``share`` of all sizes is dealt by weight; a target stops at ``max_repeats`` times its source's size and the excess
     goes to the others by weight until none is above. With sources in order of max size over weight the capped ones
-    come first; the highest level that no later source is below is the one at which dealing ends. Works on the table of sources only.
+    come first; the highest level that no later source is below is the one at which dealing ends. Works on the table of sources only,
+    by ranges of it, so that sources may be as many as hosts; the driver gets three sums.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
+    by_name = F.col("source").asc_nulls_last()
     deal = F.array(*[F.lit(float(w)) for w in weights])
-    s = sizes.withColumn("weight", F.element_at(deal, ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")))
-    s = s.withColumns({"most": F.lit(float(max_repeats)) * F.col("source_size"), "all_size": F.sum("source_size").over(Window.partitionBy())})
-    s = s.withColumn("ratio", F.col("most") / F.col("weight"))
-    by_ratio = Window.orderBy("ratio", F.col("source").asc_nulls_last())
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_ratio.rowsBetween(0, Window.unboundedFollowing)
-    left = F.lit(float(share)) * F.col("all_size") - F.coalesce(F.sum("most").over(before), F.lit(0.0))
-    s = s.withColumn("level", left / F.sum("weight").over(after))
-    s = s.withColumn("dealt", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(Window.partitionBy()))
-    target = F.when(F.col("dealt").isNull(), F.col("most")).otherwise(F.least(F.col("most"), F.col("dealt") * F.col("weight")))
+    s, named = _sums_before(sizes, [by_name], {"place": F.lit(1)})
+    s = s.withColumn("weight", F.element_at(deal, (F.col("place") % len(weights) + 1).cast("int"))).drop("place")
+    s = s.withColumn("most", F.lit(float(max_repeats)) * F.col("source_size"))
+    s, _ = _sums_before(s.withColumn("ratio", F.col("most") / F.col("weight")), [F.col("ratio"), by_name], {"most_before": F.col("most"), "weight_before": F.col("weight")})
+    drop_stored(sizes.sparkSession, named)
+    words, weight = s.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = (F.lit(float(share) * (words or 0)) - F.col("most_before")) / (F.lit(weight or 0.0) - F.col("weight_before"))
+    dealt = s.select(level.alias("level"), "ratio").where("level <= ratio").agg(F.max("level")).first()[0]
+    target = F.col("most") if dealt is None else F.least(F.col("most"), F.lit(dealt) * F.col("weight"))
     return s.select("source", "source_size", target.alias("target"))
 
 

@@ -368,6 +368,25 @@ def test_mixing_edge_cases(spark):
     assert mixing.mix(d.limit(0)).count() == 0
 
 
+def test_source_targets_of_many_sources(spark):
+    rng = random.Random(6)
+    sizes = {f"host{rng.random():.6f}": rng.choice([0, 1, 5, rng.randrange(1, 10**6)]) for _ in range(500)} | {None: 70}
+    deal = {k: (5, 2, 1)[i % 3] for i, k in enumerate(sorted(sizes, key=lambda k: (k is None, k or "")))}
+    want, free, left = {}, set(sizes), 1.5 * sum(sizes.values())
+    while free:  # share what is left; whoever is above its limit stops there
+        level = left / sum(deal[k] for k in free)
+        over = {k for k in free if 2 * sizes[k] < level * deal[k]}
+        if not over:
+            want |= {k: level * deal[k] for k in free}
+            break
+        want |= {k: 2.0 * sizes[k] for k in over}
+        left -= sum(2 * sizes[k] for k in over)
+        free -= over
+    d = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(7)
+    got = {r.source: r.target for r in mixing.source_targets(d, (5, 2, 1), 1.5, 2.0).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 # 7
 def test_bpe_matches_library(spark, data):
     import public_tokenizers
