@@ -141,3 +141,68 @@ with recursive p as (
 )
 select page_id, host, path, rule, coalesce(own, case when node in (select node from reached) then 'block' else 'allow' end) as verdict from j
 """
+
+
+#: crc32 by its table of 256 entries, made by the eight steps of each.
+RESAMPLING = r"""
+with steps as (
+  select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as crc
+), words as (
+  select 'd' as side, doc_id as id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w from documents
+  union all
+  select 'b', item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) from benchmark
+), named as (
+  select w, hex(encode(w)) as h from (select distinct w from words)
+), hashed as (
+  select w, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2), lambda i: ('0x' || substr(h, i, 2))::bigint)), lambda c, b: xor(c >> 8, crc[xor(c & 255, b) + 1])), 4294967295) % 10000 as bucket
+  from named, steps
+), counts as (
+  select bucket, count(*) filter (side = 'd')::double as s, count(*) filter (side = 'b')::double as t from words join hashed using (w) group by bucket
+), gains as (
+  select bucket, floor(1000 * ln((t + 1) * ((select sum(s) from counts) + 10000) / ((s + 1) * ((select sum(t) from counts) + 10000)))) as gain from counts
+), weights as (
+  select id, count(*) as n, floor(sum(gain) / count(*))::bigint as weight from words join hashed using (w) join gains using (bucket) where side = 'd' group by id
+), scored as (
+  select doc_id, coalesce(n, 0) as n_features, coalesce(weight, 0) as weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from documents left join weights on id = doc_id
+), ranked as (
+  select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as able from scored where n_features >= 20
+)
+select doc_id, n_features::bigint as n_features, weight::bigint as weight, score::bigint as score, case when place <= able * 10 // 100 then place end::bigint as rank
+from scored left join ranked using (doc_id)
+"""
+
+NEGATIVES = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+), positives as (
+  select * from pairs where same qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select p.anchor_id, p.other_id as positive_id, row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id)::int as rank,
+  n.other_id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same and 50 * p.score <= 100 * n.score and 100 * n.score <= 95 * p.score
+qualify row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id) <= 3
+"""
+
+REPEATS = r"""
+with d as (
+  select doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents
+), windows as (
+  select doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) as h from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from d)
+), repeated as (
+  select doc_id, i from windows qualify row_number() over (partition by h order by doc_id, i) > 1
+), gone as (
+  select distinct doc_id, unnest(range(i, i + 20)) as i from repeated
+), words as (
+  select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from d
+), kept as (
+  select doc_id, string_agg(word, ' ' order by i) as kept, count(*) as n from words anti join gone using (doc_id, i) group by doc_id
+)
+select d.doc_id, len(d.w)::bigint as n_words, len(d.w) - coalesce(n, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join kept using (doc_id)
+"""

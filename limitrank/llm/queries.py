@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, embed_dedup, jaccard, langid, mixing, oracles, url_filter, warc, word_lm
+from . import ann, bpe, chat, embed_dedup, hard_negatives, jaccard, langid, mixing, oracles, recompress, resample, url_filter, warc, word_lm
 
 RULES = (
     url_filter.Rule("allow", "org", "/"),
@@ -92,6 +92,21 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors with the contract's labels; anchors are those with an id divisible by 50."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = recompress.remove_repeats(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_chat_formatting": chat_formatting,
@@ -104,8 +119,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_lm_scoring": lm_scores,
         "op9_url_filters": url_verdicts,
         "op10_language_id": languages,
+        "op11_importance_resampling": resampled,
+        "op12_hard_negatives": mined_negatives,
+        "op13_substring_dedup": repeated_passages,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": oracles.CHAT, "op4_warc_revisits": oracles.REVISITS, "op6_source_mixing": oracles.MIXING, "op9_url_filters": oracles.url_verdicts(RULES)}
+    return {"op1_chat_formatting": oracles.CHAT, "op4_warc_revisits": oracles.REVISITS, "op6_source_mixing": oracles.MIXING, "op9_url_filters": oracles.url_verdicts(RULES),
+            "op11_importance_resampling": oracles.RESAMPLING, "op12_hard_negatives": oracles.NEGATIVES, "op13_substring_dedup": oracles.REPEATS}
