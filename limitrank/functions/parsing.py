@@ -7,23 +7,30 @@ from pyspark.sql import functions as F
 
 #: Markers of a missing valuation, in lower case (fixed values).
 MISSING = ("-", "--", "n/a", "na", "null", "none")
+#: White space of Unicode, and the four separators of ASCII (fixed values).
+SPACE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def strip(text: Column) -> Column:
+    """The text without white space of any kind at its ends."""
+    return F.btrim(text, F.lit(SPACE))
 
 
 def roc_to_date(text: Column) -> Column:
     """Seven digits, a year of the Republic (1911 less) with month and day; anything else, or no such day: null."""
-    t = F.trim(text)
+    t = strip(text)
     year = (F.substring(t, 1, 3).try_cast("int") + 1911).cast("string")
-    return F.when(t.rlike("^[0-9]{7}$"), F.to_date(F.try_to_timestamp(F.concat(year, F.substring(t, 4, 4)), F.lit("yyyyMMdd"))))
+    return F.when(t.rlike(r"\A[0-9]{7}\z"), F.to_date(F.try_to_timestamp(F.concat(year, F.substring(t, 4, 4)), F.lit("yyyyMMdd"))))
 
 
 def iso_to_date(text: Column) -> Column:
     """``YYYY-MM-DD`` only; other forms or no such day: null."""
-    return F.when(text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
+    return F.when(text.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), text.try_cast("date"))
 
 
 def parse_decimal(text: Column, commas: bool = True, zero_is_null: bool = False, missing: tuple[str, ...] = (), kind: str = "decimal(18,4)") -> Column:
-    """A trimmed number as ``kind``; empty, unreadable or not finite: null."""
-    t = F.trim(text)
+    """A stripped number as ``kind``; empty, unreadable or not finite: null."""
+    t = strip(text)
     if missing:
         t = F.when(~F.lower(t).isin(*missing), t)
     if commas:
@@ -39,13 +46,13 @@ def parse_int(text: Column, commas: bool = True) -> Column:
 
 
 def market_of(text: Column) -> Column:
-    t = F.upper(F.trim(text))
+    t = F.upper(strip(text))
     return F.when(t.isin("TWSE", "TPEX"), t)
 
 
 def classify_security(stock_id: Column, name: Column, category: Column) -> Column:
     """ETF, ETN, WARRANT, DR, COMMON_STOCK or UNKNOWN; the first that fits, in this order (the words are fixed values)."""
-    c, n = F.upper(F.trim(F.coalesce(category, F.lit("")))), F.upper(F.trim(F.coalesce(name, F.lit(""))))
+    c, n = F.upper(strip(F.coalesce(category, F.lit("")))), F.upper(strip(F.coalesce(name, F.lit(""))))
 
     def named(*words: str) -> Column:
         found = F.lit(False)
@@ -56,7 +63,7 @@ def classify_security(stock_id: Column, name: Column, category: Column) -> Colum
     return (
         F.when(named("ETF"), "ETF").when(named("ETN"), "ETN").when(named("權證"), "WARRANT")
         .when((c == "DR") | named("TDR", "存託憑證"), "DR")
-        .when(stock_id.rlike("^[0-9]{4}$"), "COMMON_STOCK").otherwise("UNKNOWN")
+        .when(stock_id.rlike(r"\A[0-9]{4}\z"), "COMMON_STOCK").otherwise("UNKNOWN")
     )
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .parsing import strip
+
 #: Upper end of each price band, exclusive, and its tick (fixed values).
 BANDS = (("10", "0.01"), ("50", "0.05"), ("100", "0.10"), ("500", "0.50"), ("1000", "1"), ("999999999", "5"))
 PRICE = "decimal(18,4)"
@@ -83,7 +85,7 @@ def is_one_price(o: Column, h: Column, low: Column, c: Column, limit: Column) ->
 
 
 def is_ky(name: Column) -> Column:
-    n = F.upper(F.trim(name))
+    n = F.upper(strip(name))
     return F.coalesce(n.contains("-KY") | n.startswith("F-KY"), F.lit(False))
 
 

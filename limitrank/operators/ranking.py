@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ticks import bounded_momentum_score, evaluate_limit_up, is_ky, is_one_price, resolve_limit_up
 from ..sources.strategies import Strategy, for_each_strategy
+from ..sources.work import WorkTables
 
 #: Factors in declared order and the column that each is scored from (fixed values).
 FACTORS = {"liquidity": "turnover", "volume_price": "volume_ratio_20d", "momentum": "return_5d", "institutional": "net_buy_ratio", "fundamental": "revenue_yoy", "risk_quality": "risk_quality"}
@@ -36,6 +37,16 @@ def cut_candidates(rows: DataFrame) -> DataFrame:
     return d.withColumn("place", F.row_number().over(w)).where(F.col("place") <= F.col("strategy.candidates"))
 
 
+def checked_candidates(rows: DataFrame) -> DataFrame:
+    """``rows``, with a check that stops the job where a candidate lacks close, volume or turnover: its quality cannot have been good.
+
+    The check is part of stock_id, so no plan that tells rows apart can leave it out.
+    """
+    lacks = F.col("close").isNull() | F.col("volume").isNull() | F.col("turnover").isNull()
+    message = F.concat(F.lit("a candidate lacks close, volume or turnover: "), F.coalesce("stock_id", F.lit("?")), F.lit(" on "), F.coalesce(F.col("trading_date").cast("string"), F.lit("?")))
+    return rows.withColumn("stock_id", F.when(lacks, F.raise_error(message)).otherwise(F.col("stock_id")))
+
+
 def build_candidates(prices: DataFrame, master: DataFrame, strategies: Sequence[Strategy]) -> DataFrame:
     return cut_candidates(for_each_strategy(limit_up_stocks(prices, master), strategies))
 
@@ -44,14 +55,16 @@ def assess_risk(rows: DataFrame) -> DataFrame:
     """rows with exclusion (reason or null), risk_flags, missing_inputs and risk_quality.
 
     Needs attention, disposition, managed (true, false or unknown), streak, return_5d, stock_name, one_price and strategy. Unknown never
-    excludes or flags. An excluded row has no flags and no missing inputs. A flag without a penalty costs nothing.
+    excludes or flags. An excluded row has no flags and no missing inputs. A flag without a penalty costs nothing. Where rows have a column
+    ``risk_error`` and it is not null, their risk could not be assessed: they are excluded as ``risk_failed``, before any other reason.
     """
     def yes(c: str | Column) -> Column:
         return (F.col(c) if isinstance(c, str) else c).eqNullSafe(F.lit(True))
 
     s, ky = F.col("strategy"), is_ky(F.col("stock_name"))
+    failed = F.col("risk_error").isNotNull() if "risk_error" in rows.columns else F.lit(False)
     out = (
-        F.when(yes("disposition"), "disposition").when(yes("managed"), "managed").when(~s["allow_attention"] & yes("attention"), "attention")
+        F.when(failed, "risk_failed").when(yes("disposition"), "disposition").when(yes("managed"), "managed").when(~s["allow_attention"] & yes("attention"), "attention")
         .when(~s["allow_ky"] & ky, "ky").when(~s["allow_one_price"] & yes("one_price"), "one_price")
     )
     flags = [
@@ -73,18 +86,14 @@ def percentile_scores(rows: DataFrame, values: dict[str, str], cross: list[str],
     """rows with one column for each item of ``values`` (made name: value column): the percentile rank, 0 to 100, within ``cross``.
 
     Values are first drawn in to the 5th and 95th percentiles (interpolated); ties share their mean rank. If all values of a
-    cross-section are equal before that, they score 50; null stays null. Bounds come from one aggregation, joined back; ranks are one
-    pass per value over rows dealt once by ``cross``.
+    cross-section are equal before that, they score 50; null stays null. Rows are dealt once by ``cross``; a cross-section is one group of
+    one task, which the list of a day's candidates is made for. For whole markets see ``percentile_scores_by_ranges``.
     """
     def double(c: str) -> Column:
         return F.col(c).cast("double")
 
-    at = F.array(F.lit(0.05), F.lit(0.95))
-    bounds = rows.groupBy(*cross).agg(*[
-        F.struct(F.percentile(double(c), at).alias("q"), F.min(double(c)).alias("least"), F.max(double(c)).alias("most"), F.count(c).alias("n")).alias(f"__{k}") for k, c in values.items()
-    ])
-    d = rows.join(bounds, cross)
-    part = Window.partitionBy(*cross)
+    at, part = F.array(F.lit(0.05), F.lit(0.95)), Window.partitionBy(*cross)
+    d = rows.withColumns({f"__{k}": F.struct(F.percentile(double(c), at).over(part).alias("q"), F.min(double(c)).over(part).alias("least"), F.max(double(c)).over(part).alias("most"), F.count(c).over(part).alias("n")) for k, c in values.items()})
     for k, c in values.items():
         b, v = F.col(f"__{k}"), double(c)
         drawn = f"__v_{k}"
@@ -97,9 +106,65 @@ def percentile_scores(rows: DataFrame, values: dict[str, str], cross: list[str],
     return d.drop(*[f"__{k}" for k in values], *[f"__v_{k}" for k in values])
 
 
+def value_ranks(rows: DataFrame, values: dict[str, str], cross: list[str], work: WorkTables) -> DataFrame:
+    """cross, name, value, pct for each distinct value of each item of ``values``: the score of ``percentile_scores``, for cross-sections of any size.
+
+    Equal values are counted first. The counts are dealt by ranges of (cross, name, value), so a cross-section lies in as many tasks as its size asks
+    for; each range counts for itself and starts from the sum of the ranges before it, of which there is one number per range and
+    cross-section. The bounds are the values at two places of that order, and a drawn-in value's rank follows from the counts at the bounds.
+    """
+    items = F.array(*[F.struct(F.lit(k).alias("name"), F.col(c).cast("double").alias("value")) for k, c in values.items()])
+    counts = rows.select(*cross, F.explode(items).alias("x")).select(*cross, "x.*").where("value is not null").groupBy(*cross, "name", "value").agg(F.count(F.lit(1)).alias("n"))
+    group = [*cross, "name"]
+    ranged = work.write(counts.repartitionByRange(*group, "value").withColumn("range", F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy(*group, "range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*group).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(*group, "range").agg(F.sum("n").alias("total")).withColumn("start", F.coalesce(F.sum("total").over(earlier), F.lit(0))).drop("total")
+    placed = ranged.withColumn("here", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, [*group, "range"])
+    placed = work.write(placed.withColumn("before", F.col("here") + F.col("start")).select(*group, "value", "n", "before"), "places")
+
+    whole = placed.groupBy(*group).agg(F.sum("n").alias("size"), F.min("value").alias("least"), F.max("value").alias("most"))
+    spots = {f"{k}_{side}": side_of((F.col("size") - 1) * q).cast("long") for k, q in (("low", 0.05), ("high", 0.95)) for side, side_of in (("floor", F.floor), ("ceil", F.ceil))}
+    at = placed.join(whole, group).withColumns({f"__{k}": F.when((F.col("before") <= v) & (v < F.col("before") + F.col("n")), F.col("value")) for k, v in spots.items()})
+    found = at.groupBy(*group, "size", "least", "most").agg(*[F.max(f"__{k}").alias(k) for k in spots])
+
+    def between(k: str, q: float) -> Column:
+        p = (F.col("size") - 1) * F.lit(q)
+        lo, hi = F.col(f"{k}_floor"), F.col(f"{k}_ceil")
+        return F.when(lo == hi, lo).otherwise((F.ceil(p) - p) * lo + (p - F.floor(p)) * hi)
+
+    bounds = found.select(*group, "size", "least", "most", between("low", 0.05).alias("low"), between("high", 0.95).alias("high"))
+    d = placed.join(bounds, group)
+    # places below the lower and the upper bound, for the ranks of what is drawn in
+    sums = d.groupBy(*group).agg(F.sum(F.when(F.col("value") <= F.col("low"), F.col("n")).otherwise(0)).alias("n_low"), F.sum(F.when(F.col("value") < F.col("high"), F.col("n")).otherwise(0)).alias("n_below"))
+    d = d.join(sums, group)
+    rank = (
+        F.when(F.col("low") == F.col("high"), (F.col("size") + 1) / 2).when(F.col("value") <= F.col("low"), (F.col("n_low") + 1) / 2)
+        .when(F.col("value") >= F.col("high"), F.col("n_below") + (F.col("size") - F.col("n_below") + 1) / 2).otherwise(F.col("before") + (F.col("n") + 1) / 2)
+    )
+    return d.select(*group, "value", F.when(F.col("least") == F.col("most"), F.lit(50.0)).otherwise(rank / F.col("size") * 100).alias("pct"))
+
+
+def percentile_scores_by_ranges(rows: DataFrame, values: dict[str, str], cross: list[str], work: WorkTables, lower_is_better: Sequence[str] = ()) -> DataFrame:
+    """As ``percentile_scores``, for cross-sections that no task could sort: no window runs over one (see ``value_ranks``).
+
+    Scores are joined back by value, which adaptive execution can split where one value is very frequent.
+    """
+    ranks = work.write(value_ranks(rows, values, cross, work), "ranks")
+    out = rows
+    for k, c in values.items():
+        own = ranks.where(F.col("name") == k).select(*[F.col(x).alias(f"__{x}") for x in cross], F.col("value").alias("__value"), F.col("pct").alias("__pct"))
+        same = F.col(c).cast("double") == F.col("__value")
+        for x in cross:
+            same = same & F.col(x).eqNullSafe(F.col(f"__{x}"))
+        pct = F.col("__pct")
+        out = out.join(own, same, "left").withColumn(k, 100 - pct if k in lower_is_better else pct).drop(*[f"__{x}" for x in cross], "__value", "__pct")
+    return out
+
+
 def score(rows: DataFrame, cross: list[str] = CROSS) -> DataFrame:
-    """rows with one ``score_<factor>`` each, total_score (2 digits, halves up, with a ten-millionth added so that sums in any order
-    agree) and completeness (4 digits); rows without any factor are dropped."""
+    """rows with one ``score_<factor>`` each, total_score (2 digits, halves up; to 9 digits first, so that sums in any order agree)
+    and completeness (4 digits); rows without any factor are dropped."""
     d = percentile_scores(rows, {f"score_{f}": c for f, c in FACTORS.items() if f != "momentum"}, cross)
     d = d.withColumn("score_momentum", bounded_momentum_score(F.col(FACTORS["momentum"])))
     w = F.col("strategy.weights")
@@ -109,7 +174,7 @@ def score(rows: DataFrame, cross: list[str] = CROSS) -> DataFrame:
         had = had + F.when(F.col(f"score_{f}").isNotNull(), w[f]).otherwise(0.0)
         whole = whole + w[f]
     d = d.withColumns({"__total": total, "__had": had, "__whole": whole}).where("__had > 0")
-    d = d.withColumns({"total_score": F.round(F.col("__total") / F.col("__had") + 1e-7, 2), "completeness": F.round(F.col("__had") / F.col("__whole"), 4)})
+    d = d.withColumns({"total_score": F.round(F.round(F.col("__total") / F.col("__had"), 9), 2), "completeness": F.round(F.col("__had") / F.col("__whole"), 4)})
     return d.drop("__total", "__had", "__whole")
 
 

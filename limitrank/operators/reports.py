@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsing import utf16_length
+from ..functions.parsing import strip, utf16_length
 from ..functions.ticks import change_percent
 from .ranking import CROSS
 
@@ -35,9 +35,20 @@ def orphans(ranked: DataFrame, candidates: DataFrame) -> DataFrame:
     return ranked.join(candidates.select(*CROSS, "stock_id"), [*CROSS, "stock_id"], "left_anti")
 
 
+def checked(ranked: DataFrame, candidates: DataFrame) -> DataFrame:
+    """``ranked``, with a check that stops the job at a row that is no candidate of its strategy and date (see ``orphans``).
+
+    The check is part of stock_id, so no plan that lists stocks can leave it out.
+    """
+    known = candidates.select(*CROSS, "stock_id").distinct().withColumn("__known", F.lit(True))
+    message = F.concat(F.lit("a ranked row is no candidate: "), F.coalesce("stock_id", F.lit("?")))
+    d = ranked.join(known, [*CROSS, "stock_id"], "left").withColumn("stock_id", F.when(F.col("__known").isNull(), F.raise_error(message)).otherwise(F.col("stock_id")))
+    return d.select(*ranked.columns)
+
+
 def report_rows(ranked: DataFrame) -> DataFrame:
     """ranked with the block of text of each row; a blank name is the id, lines without data are left out."""
-    name = F.coalesce(F.nullif(F.trim("stock_name"), F.lit("")), F.col("stock_id"))
+    name = F.coalesce(F.nullif(strip(F.col("stock_name")), F.lit("")), F.col("stock_id"))
     change = change_percent(F.col("close"), F.col("reference"))
     block = F.concat_ws(
         "\n", F.format_string("%d. %s (%s)", "rank", name, "stock_id"),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.ticks import limit_up_price
+from ..sources import landing
+from ..sources.work import WorkTables
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,11 +58,16 @@ def flow_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("stock_id", "trading_date", "event_type", F.when(~F.col("bad"), F.col("buy")).alias("buy"), "sell")
 
 
+#: Orders are older than events by so many years; revenue is moved, so that it is known when events happen.
+YEARS = 22
+
+
 def revenue_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    g = o.groupBy(F.lpad(F.col("c_nationkey").cast("string"), 4, "0").alias("stock_id"), F.year("o_orderdate").alias("revenue_year"), F.month("o_orderdate").alias("revenue_month"), "c_nationkey").agg(F.round(F.sum("o_totalprice"), 0).alias("revenue"))
+    g = o.groupBy(F.lpad(F.col("c_nationkey").cast("string"), 4, "0").alias("stock_id"), (F.year("o_orderdate") + YEARS).alias("revenue_year"), F.month("o_orderdate").alias("revenue_month"), "c_nationkey").agg(F.round(F.sum("o_totalprice"), 0).alias("revenue"))
     at = F.date_add(F.add_months(F.make_date("revenue_year", "revenue_month", F.lit(10)), 1), F.col("c_nationkey") % 7)
-    return g.select("stock_id", "revenue_year", "revenue_month", "revenue", F.when(F.col("revenue_year") >= 1997, at).alias("available_at"))
+    row_date = F.add_months(F.make_date("revenue_year", "revenue_month", F.lit(1)), 1)
+    return g.select("stock_id", "revenue_year", "revenue_month", "revenue", F.when(F.col("revenue_year") >= 1997 + YEARS, at).alias("available_at"), row_date.alias("row_date"))
 
 
 def master(bars: DataFrame) -> DataFrame:
@@ -78,10 +87,10 @@ def valuations(bars: DataFrame) -> DataFrame:
 
 
 def risk_inputs(rows: DataFrame) -> DataFrame:
-    """Three-state flags that the id decides."""
+    """Three-state flags that the id decides, and an error for every 29th."""
     n = F.col("stock_id").cast("int")
     tri = lambda k: F.when(n % k == 0, True).when(n % k == 1, False)
-    return rows.withColumns({"attention": tri(3), "disposition": n % 17 == 0, "managed": F.when(n % 19 != 0, n % 23 == 0), "streak": F.when(n % 6 != 5, n % 6)})
+    return rows.withColumns({"attention": tri(3), "disposition": n % 17 == 0, "managed": F.when(n % 19 != 0, n % 23 == 0), "streak": F.when(n % 6 != 5, n % 6), "risk_error": F.when(n % 29 == 0, "no answer")})
 
 
 #: Rows of one rendered payload: stocks of one page.
@@ -124,13 +133,17 @@ def price_payloads(q: DataFrame) -> tuple[DataFrame, DataFrame]:
     return csv, js
 
 
-def raw_sources(spark: SparkSession, sf_dir: str, late: bool = True) -> dict[str, DataFrame]:
-    """Every landed payload of ``jobs.daily_ranking``. With ``late``, one market does not report on days divisible by 9 and sends no JSON array on the 22nd."""
-    b = daily_bars(spark, sf_dir)
+def raw_sources(spark: SparkSession, sf_dir: str, late: bool = True, bars: DataFrame | None = None) -> DataFrame:
+    """Payloads of every source: source, target_date, request_key, payload.
+
+    With ``late``, one market does not report on days divisible by 9 and sends no JSON array on the 22nd; on the 25th the other sends no array of valuations.
+    """
+    b = daily_bars(spark, sf_dir) if bars is None else bars
     q = quotes(b)
     csv, js = price_payloads(q if not late else q.where((F.day("trading_date") % 9 != 0) | (F.col("market") == "TWSE")))
+    down = F.lit('{"error":"down"}')
     if late:
-        js = js.withColumn("payload", F.when(F.day("target_date") == 22, F.lit('{"error":"down"}')).otherwise(F.col("payload")))
+        js = js.withColumn("payload", F.when(F.day("target_date") == 22, down).otherwise(F.col("payload")))
     pe = F.when(F.col("pe_ratio").isNull(), F.lit("N/A")).otherwise(F.format_number("pe_ratio", 2))
     v = valuations(b)
     value = lambda code, name: F.to_json(F.struct(_roc("snapshot_date").alias("Date"), F.col("stock_id").alias(code), pe.alias(name)))
@@ -141,17 +154,48 @@ def raw_sources(spark: SparkSession, sf_dir: str, late: bool = True) -> dict[str
     h = F.to_json(F.struct(F.col("trading_date").cast("string").alias("date"), "stock_id", "open", F.col("high").alias("max"), F.col("low").alias("min"), "close", F.col("volume").alias("Trading_Volume"), F.col("turnover").cast("decimal(24,2)").alias("Trading_money")))
     f = F.to_json(F.struct(F.col("trading_date").cast("string").alias("date"), "stock_id", F.col("event_type").alias("name"), F.coalesce(F.col("buy").cast("string"), F.lit("bad")).alias("buy"), "sell"))
     told = F.concat(F.col("available_at").cast("string"), F.lit(" 09:15:00"))
-    r = F.to_json(F.struct("stock_id", "revenue_year", "revenue_month", F.col("revenue").cast("bigint").alias("revenue"), F.coalesce(told, F.lit("")).alias("create_time")))
-    month = F.col("revenue_month").alias("part")
-    return {
-        "prices_twse": csv, "prices_tpex": js,
-        "valuations_twse": _paged(v.where("market = 'TWSE'"), ["snapshot_date"], value("Code", "PEratio"), "[", ",", "]"),
-        "valuations_tpex": _paged(v.where("market = 'TPEX'"), ["snapshot_date"], value("SecuritiesCompanyCode", "PriceEarningRatio"), "[", ",", "]"),
-        "info": _paged(m, [], F.concat_ws(",", old, info), '{"data":[{"stock_id":" ","type":"twse"},{"stock_id":"7777","type":"emerging"},', ",", "]}"),
-        "history": _paged(b, ["trading_date"], h, '{"data":[{"date":"2024-1-1","stock_id":"0001","close":1,"Trading_Volume":1,"Trading_money":1},', ",", "]}"),
-        "flows": _paged(flow_rows(spark, sf_dir), ["trading_date"], f, '{"data":[', ",", "]}"),
-        "revenue": _paged(revenue_rows(spark, sf_dir).select("*", month), ["revenue_year", "part"], r, '{"data":[{"stock_id":"0001","revenue_year":1999,"revenue_month":13,"revenue":1},', ",", "]}"),
+    # every other month comes without a date of its own
+    dated = F.when(F.col("revenue_month") % 2 == 0, F.col("row_date").cast("string"))
+    r = F.to_json(F.struct("stock_id", "revenue_year", "revenue_month", F.col("revenue").cast("bigint").alias("revenue"), F.coalesce(told, F.lit("")).alias("create_time"), dated.alias("date")))
+    made = {
+        "prices_twse": (csv, "target_date"), "prices_tpex": (js, "target_date"),
+        "valuations_twse": (_paged(v.where("market = 'TWSE'"), ["snapshot_date"], value("Code", "PEratio"), "[", ",", "]"), "snapshot_date"),
+        "valuations_tpex": (_paged(v.where("market = 'TPEX'"), ["snapshot_date"], value("SecuritiesCompanyCode", "PriceEarningRatio"), "[", ",", "]"), "snapshot_date"),
+        "info": (_paged(m, [], F.concat_ws(",", old, info), '{"data":[{"stock_id":" ","type":"twse"},{"stock_id":"7777","type":"emerging"},', ",", "]}").withColumn("day", F.lit(datetime.date(2024, 1, 30))), "day"),
+        "history": (_paged(b, ["trading_date"], h, '{"data":[{"date":"2024-1-1","stock_id":"0001","close":1,"Trading_Volume":1,"Trading_money":1},', ",", "]}"), "trading_date"),
+        "flows": (_paged(flow_rows(spark, sf_dir), ["trading_date"], f, '{"data":[', ",", "]}"), "trading_date"),
+        "revenue": (_paged(revenue_rows(spark, sf_dir), ["row_date"], r, '{"data":[{"stock_id":"0001","revenue_year":1999,"revenue_month":13,"revenue":1},', ",", "]}"), "row_date"),
     }
+    out = None
+    for source, (df, day) in made.items():
+        part = df.groupBy(day).agg(F.collect_list("payload").alias("p")).select(F.lit(source).alias("source"), F.col(day).alias("target_date"), F.posexplode("p").alias("n", "payload"))
+        out = part if out is None else out.unionByName(part)
+    if late:
+        bad = b.where(F.day("trading_date") == 25).select("trading_date").distinct().select(F.lit("valuations_twse").alias("source"), F.col("trading_date").alias("target_date"), F.lit(0).alias("n"), down.alias("payload"))
+        out = out.unionByName(bad)
+    return out.select("source", "target_date", F.concat_ws("|", "source", "n").alias("request_key"), "payload")
+
+
+def landed(spark: SparkSession, sf_dir: str, work: WorkTables, late: bool = True, three: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``raw_sources`` as landed by one run a day and the runs; with ``three``, by three runs a day that together give the same.
+
+    The first run ends early and has most payloads wrong, the second has those that the first had wrong and ends later, the third has all wrong and
+    fails last.
+    """
+    raw = raw_sources(spark, sf_dir, late, work.write(daily_bars(spark, sf_dir), "bars"))
+    name = lambda x: F.concat_ws("-", F.col("target_date").cast("string"), F.lit(x))
+    wrong, fifth = F.regexp_replace("payload", "1", "2"), F.crc32(F.concat("request_key", F.col("target_date").cast("string"))) % 5 == 0
+    sent = [F.struct(name("b").alias("run_id"), F.col("payload"))]
+    if three:
+        sent = [F.struct(name("a").alias("run_id"), F.when(fifth, F.col("payload")).otherwise(wrong).alias("payload")), F.when(~fifth, sent[0]), F.struct(name("c").alias("run_id"), wrong.alias("payload"))]
+    rows = raw.select("source", "target_date", "request_key", F.explode(F.array_compact(F.array(*sent))).alias("s")).select("s.run_id", "source", "request_key", "target_date", "s.payload")
+    path = f"{work.folder}/landed"
+    landing.append_snapshots(rows.withColumn("parameters", F.create_map(F.lit("token"), F.lit("x"))), path)
+    kept = spark.read.parquet(path)
+    at = F.col("target_date").cast("timestamp")
+    run = lambda x, minutes, status: F.struct(name(x).alias("run_id"), (at + F.expr(f"interval {minutes} minutes")).alias("finished_at"), F.lit(status).alias("status"))
+    runs = kept.select("target_date").distinct().select(F.explode(F.array(run("a", 977, "SUCCESS"), run("b", 1007, "SUCCESS"), run("c", 1037, "FAILED"))).alias("r")).select("r.*")
+    return kept, runs
 
 
 def spine(bars: DataFrame) -> DataFrame:

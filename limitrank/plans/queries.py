@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import parsing, ticks
-from ..operators import asof, factors, monitoring, ranking, reports
+from ..operators import asof, delivery, factors, monitoring, ranking, reports
 from ..sources import landing, mappers
 from ..sources.strategies import Strategy, for_each_strategy, load_strategies
+from ..sources.work import WorkTables
 from . import fixtures, jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,8 +60,9 @@ flows AS (SELECT stock_id, trading_date, CAST(sum(buy - sell) AS BIGINT) AS net_
 s5 AS (SELECT b.stock_id, b.trading_date, CASE WHEN count(f.net_shares) OVER w = 5 THEN sum(f.net_shares) OVER w / sum(b.volume) OVER w END AS ratio
   FROM bars b LEFT JOIN flows f USING (stock_id, trading_date) WHERE b.volume > 0 WINDOW w AS (PARTITION BY b.stock_id ORDER BY b.trading_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))"""
 REVENUE = """
-rev AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS stock_id, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, round(sum(o_totalprice), 0) AS revenue,
-  CASE WHEN year(o_orderdate) >= 1997 THEN CAST(make_date(year(o_orderdate), month(o_orderdate), 10) + INTERVAL 1 MONTH AS DATE) + CAST(c_nationkey % 7 AS INTEGER) END AS available_at
+rev AS (SELECT lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS stock_id, CAST(year(o_orderdate) + 22 AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m, round(sum(o_totalprice), 0) AS revenue,
+  CASE WHEN year(o_orderdate) >= 1997 THEN CAST(make_date(year(o_orderdate) + 22, month(o_orderdate), 10) + INTERVAL 1 MONTH AS DATE) + CAST(c_nationkey % 7 AS INTEGER) END AS available_at,
+  CAST(make_date(year(o_orderdate) + 22, month(o_orderdate), 1) + INTERVAL 1 MONTH AS DATE) AS row_date
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, year(o_orderdate), month(o_orderdate))"""
 MASTER = """
 master AS (SELECT DISTINCT stock_id, 'Stock ' || stock_id || CASE WHEN CAST(stock_id AS INT) % 7 = 0 THEN '-KY' ELSE '' END AS stock_name, market,
@@ -96,23 +98,28 @@ def tick_limits(spark, d):
 
 @query("parsed_values", """SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS roc_date,
 CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE round(o_totalprice, 2) END AS amount, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS whole,
-CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS iso_date, CASE WHEN o_orderkey % 3 = 0 THEN 'TWSE' WHEN o_orderkey % 3 = 1 THEN 'TPEX' END AS market FROM orders""")
+CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS iso_date, CASE WHEN o_orderkey % 3 = 0 THEN 'TWSE' WHEN o_orderkey % 3 = 1 THEN 'TPEX' END AS market,
+CASE WHEN o_orderkey % 4 < 2 THEN 'DR' ELSE 'COMMON_STOCK' END AS security FROM orders""")
 def parsed_values(spark, d):
+    """Texts with white space of every kind at their ends."""
     n, day = F.col("o_orderkey"), F.to_date("o_orderdate")
     roc = F.concat(F.lpad((F.year(day) - 1911).cast("string"), 3, "0"), F.date_format(day, "MMdd"))
+    space = F.element_at(F.array(F.lit(""), F.lit(" "), F.lit("\t"), F.lit("\n"), F.lit("\u3000"), F.lit("\u00a0\u2009")), (n % 6 + 1).cast("int"))
+    around = lambda c: F.concat(space, c, space)
     text = fixtures.table(spark, d, "orders").select(
-        n, F.when(n % 9 == 0, F.lit("0870231")).otherwise(roc).alias("roc"), F.when(n % 7 == 0, F.lit("--")).otherwise(F.format_number("o_totalprice", 2)).alias("amount"),
-        F.when(n % 5 == 0, F.lit("1.5")).otherwise(F.concat(F.lit(" "), F.col("o_custkey").cast("string"))).alias("whole"),
+        n, around(F.when(n % 9 == 0, F.lit("0870231")).otherwise(roc)).alias("roc"), around(F.when(n % 7 == 0, F.lit("--")).otherwise(F.format_number("o_totalprice", 2))).alias("amount"),
+        around(F.when(n % 5 == 0, F.lit("1.5")).otherwise(F.col("o_custkey").cast("string"))).alias("whole"),
         F.when(n % 4 == 0, F.date_format(day, "yyyyMMdd")).otherwise(F.date_format(day, "yyyy-MM-dd")).alias("iso"),
-        F.when(n % 3 == 0, " twse").when(n % 3 == 1, "Tpex").otherwise("emerging").alias("market"),
+        around(F.when(n % 3 == 0, "twse").when(n % 3 == 1, "Tpex").otherwise("emerging")).alias("market"), around(F.when(n % 4 == 0, "DR").when(n % 4 == 1, "dr").otherwise("steel")).alias("category"),
     )
     return doubles(text.select(
         "o_orderkey", parsing.roc_to_date(F.col("roc")).alias("roc_date"), parsing.parse_decimal(F.col("amount"), missing=parsing.MISSING).alias("amount"),
         parsing.parse_int(F.col("whole")).cast("string").alias("whole"), parsing.iso_to_date(F.col("iso")).alias("iso_date"), parsing.market_of(F.col("market")).alias("market"),
+        parsing.classify_security(F.lit("1234"), F.lit("x"), F.col("category")).alias("security"),
     ))
 
 
-@query("stock_master", """SELECT CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') ELSE CAST(p_partkey AS VARCHAR) END AS stock_id, CASE WHEN p_partkey % 5 = 0 THEN (CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') ELSE CAST(p_partkey AS VARCHAR) END) ELSE p_name || '-2' END AS stock_name,
+@query("stock_master", """SELECT CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') ELSE CAST(p_partkey AS VARCHAR) END AS stock_id, CASE WHEN p_partkey % 5 = 0 THEN '' WHEN p_partkey % 5 = 1 THEN (CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') ELSE CAST(p_partkey AS VARCHAR) END) ELSE p_name || '-2' END AS stock_name,
 CASE WHEN p_type = 'ECONOMY' THEN 'ETF' WHEN p_type = 'STANDARD' THEN 'ETN' WHEN p_type = 'PROMO' THEN 'WARRANT' WHEN p_type = 'SMALL' THEN 'DR' WHEN p_partkey < 10000 THEN 'COMMON_STOCK' ELSE 'UNKNOWN' END AS security_type FROM part""")
 def stock_master(spark, d):
     """Part rows as a provider's list: an older row and rows of other markets or without id are among them."""
@@ -120,7 +127,7 @@ def stock_master(spark, d):
     word = F.when(F.col("p_type") == "ECONOMY", "domestic etf").when(F.col("p_type") == "STANDARD", "Etn note").when(F.col("p_type") == "PROMO", "權證 call").when(F.col("p_type") == "SMALL", " dr ").otherwise("call WARRANT")
     sid = F.when(F.col("p_partkey") < 10000, F.lpad(F.col("p_partkey").cast("string"), 4, "0")).otherwise(F.col("p_partkey").cast("string"))
     row = lambda i, name, kind, at: F.struct(i.alias("stock_id"), name.alias("stock_name"), word.alias("industry_category"), F.lit(kind).alias("type"), F.lit(at).alias("ordinal"))
-    name = F.when(F.col("p_partkey") % 5 == 0, F.lit(" ")).otherwise(F.concat("p_name", F.lit("-2")))
+    name = F.when(F.col("p_partkey") % 5 == 0, F.lit(" \t")).when(F.col("p_partkey") % 5 == 1, F.lit("")).otherwise(F.concat("p_name", F.lit("-2")))
     r = p.select(F.explode(F.array(row(sid, F.lit("TDR"), "tpex", 1), row(sid, name, " TWSE", 2), row(sid, F.lit("ETF"), "emerging", 3), row(F.lit("  "), name, "twse", 4))).alias("r"))
     fields = F.create_map(*[x for c in ("stock_id", "stock_name", "industry_category", "type") for x in (F.lit(c), F.col(f"r.{c}"))])
     return mappers.stock_master(r.select(F.col("r.ordinal").alias("ordinal"), fields.alias("fields"))).select("stock_id", "stock_name", "security_type")
@@ -171,6 +178,19 @@ def revenue_yoy(spark, d):
     return doubles(factors.revenue_yoy(spine, r))
 
 
+@query("revenue_as_known", f"""WITH {REVENUE}, spine AS (SELECT DISTINCT stock_id, CAST(make_date(y, m, 15) + INTERVAL 2 YEAR AS DATE) AS trading_date FROM rev UNION SELECT DISTINCT stock_id, CAST(make_date(y, m, 15) AS DATE) FROM rev),
+cut AS (SELECT * FROM rev WHERE (CAST(stock_id AS INT) + y * 12 + m) % 7 <> 0),
+got AS (SELECT n.stock_id, n.trading_date, r.y, r.m, r.revenue FROM spine n LEFT JOIN LATERAL (SELECT y, m, revenue FROM cut r WHERE r.stock_id = n.stock_id AND r.available_at <= n.trading_date AND r.row_date BETWEEN n.trading_date - 550 AND n.trading_date - 1 ORDER BY y DESC, m DESC LIMIT 1) r ON true)
+SELECT g.stock_id, g.trading_date, round(g.revenue / CASE WHEN p.revenue > 0 THEN p.revenue END - 1, 6) AS revenue_yoy FROM got g
+LEFT JOIN cut p ON p.stock_id = g.stock_id AND p.y = g.y - 1 AND p.m = g.m AND p.row_date BETWEEN g.trading_date - 550 AND g.trading_date - 1""")
+def revenue_as_known(spark, d):
+    """Growth from rows that are known and at most 550 days old, also at dates by which all rows are too old; some months are absent."""
+    r = fixtures.revenue_rows(spark, d)
+    spine = [r.select("stock_id", F.add_months(F.make_date("revenue_year", "revenue_month", F.lit(15)), n).alias("trading_date")) for n in (0, 24)]
+    cut = r.where((F.col("stock_id").cast("int") + F.col("revenue_year") * 12 + F.col("revenue_month")) % 7 != 0)
+    return doubles(factors.revenue_yoy(spine[0].union(spine[1]).distinct(), cut, jobs.REVENUE_DAYS))
+
+
 @query("valuation_filter", f"WITH {BARS}, {VALUES_.strip()} SELECT b.stock_id, b.trading_date FROM bars b WHERE EXISTS (SELECT 1 FROM vnow v WHERE v.stock_id = b.stock_id AND v.trading_date = b.trading_date AND pe_ratio > 0 AND pe_ratio <= 20)")
 def valuation_filter(spark, d):
     b = fixtures.daily_bars(spark, d)
@@ -193,6 +213,16 @@ def asof_tolerance(spark, d):
     return j.select("o_orderkey", F.col("d").alias("day"), F.col("match")["d"].alias("found"))
 
 
+@query("asof_two_level", f"""WITH {BARS}, r AS (SELECT market, trading_date AS d, max(turnover) AS most FROM bars WHERE day(trading_date) % 6 = 2 GROUP BY ALL)
+SELECT b.stock_id, b.trading_date, CASE WHEN b.trading_date - r.d <= 5 THEN r.d END AS found, CASE WHEN b.trading_date - r.d <= 5 THEN r.most END AS most FROM bars b ASOF LEFT JOIN r ON b.market = r.market AND b.trading_date > r.d""")
+def asof_two_level(spark, d):
+    """As-of on two keys only, dealt by spans of four days."""
+    b = fixtures.daily_bars(spark, d)
+    r = b.where(F.day("trading_date") % 6 == 2).groupBy("market", "trading_date").agg(F.max("turnover").alias("most"))
+    j = asof.asof_join(b.select("stock_id", "market", "trading_date"), r, ["market"], "trading_date", strict=True, tolerance_days=5, bucket_days=4)
+    return j.select("stock_id", "trading_date", F.col("match.trading_date").alias("found"), F.col("match.most").alias("most"))
+
+
 def _risk_rows(spark, d):
     c = fixtures.table(spark, d, "customer")
     n = F.col("c_custkey")
@@ -248,7 +278,7 @@ def _score_sql(rows: str, name: str) -> str:
     had = " + ".join(f"CASE WHEN s_{f} IS NOT NULL THEN {w}::DOUBLE ELSE 0 END" for f, _, w in SCORED)
     return f"""{name}_b AS (SELECT *, {bounds} FROM {rows} WINDOW p AS (PARTITION BY trading_date)), {name}_c AS (SELECT *, {clip} FROM {name}_b),
 {name}_d AS (SELECT *, {pct}, {mom} AS s_momentum FROM {name}_c WINDOW p AS (PARTITION BY trading_date)),
-{name} AS (SELECT *, round(({total}) / nullif({had}, 0) + 1e-7, 2) AS total_score, round({had}, 4) AS completeness FROM {name}_d WHERE {had} > 0)"""
+{name} AS (SELECT *, round(round(({total}) / nullif({had}, 0), 9), 2) AS total_score, round({had}, 4) AS completeness FROM {name}_d WHERE {had} > 0)"""
 
 
 @query("factor_scores", f"WITH {FEATURES}, {_score_sql('feat', 'scored')} SELECT stock_id, trading_date, {', '.join(f'round(s_{f}, 4) AS score_{f}' for f, _, _ in SCORED)}, completeness FROM scored")
@@ -266,30 +296,44 @@ def top_ranked(spark, d):
 
 
 @query("merged_sources", f"""WITH {BARS}, e1 AS (SELECT lpad(CAST(user_id AS VARCHAR), 4, '0') AS stock_id, d AS trading_date, event_id % 2 AS side, event_id % 5 AS ordinal, max(value) AS high, CAST(sum(k) AS BIGINT) AS volume FROM ev GROUP BY ALL),
-e2 AS (SELECT * FROM e1 QUALIFY row_number() OVER (PARTITION BY stock_id, trading_date, side ORDER BY ordinal DESC) = 1)
-SELECT p.stock_id, p.trading_date, coalesce(nullif(p.high, 0), f.high, p.high) AS high, coalesce(nullif(p.volume, 0), f.volume, p.volume) AS volume, p.ordinal <> 2 AS has_price_limit, p.volume > 0 AND coalesce(f.volume > 0, true) AS quality
-FROM e2 p LEFT JOIN e2 f ON f.stock_id = p.stock_id AND f.trading_date = p.trading_date AND f.side = 1 WHERE p.side = 0""")
+e2 AS (SELECT * REPLACE (CASE WHEN volume % 3 = 0 THEN 0 ELSE volume END AS volume, CASE WHEN side = 1 AND volume % 4 = 0 THEN NULL ELSE high END AS high) FROM e1 QUALIFY row_number() OVER (PARTITION BY stock_id, trading_date, side ORDER BY ordinal DESC) = 1),
+e3 AS (SELECT * REPLACE (CASE WHEN side = 1 AND ordinal = 3 THEN NULL ELSE volume END AS volume, CASE WHEN side = 0 AND volume = 0 THEN 0 ELSE high END AS high), coalesce(volume > 0, false) AS quality FROM e2)
+SELECT p.stock_id, p.trading_date, CASE WHEN f.side IS NULL OR p.high <> 0 THEN p.high ELSE f.high END AS high, CASE WHEN f.side IS NULL OR p.volume <> 0 THEN p.volume ELSE f.volume END AS volume,
+p.ordinal <> 2 AS has_price_limit, p.quality AND coalesce(f.quality, true) AS quality
+FROM e3 p LEFT JOIN e3 f ON f.stock_id = p.stock_id AND f.trading_date = p.trading_date AND f.side = 1 WHERE p.side = 0""")
 def merged_sources(spark, d):
+    """Two sources in which either side's fields may be null or 0."""
     e = fixtures.table(spark, d, "events").select(F.lpad(F.col("user_id").cast("string"), 4, "0").alias("stock_id"), F.to_date("ts").alias("trading_date"), (F.col("event_id") % 2).alias("side"), (F.col("event_id") % 5).alias("ordinal"), "value", F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"))
-    g = e.groupBy("stock_id", "trading_date", "side", "ordinal").agg(F.max("value").alias("high"), F.sum("k").alias("volume")).withColumns({"quality": F.col("volume") > 0, "has_price_limit": F.col("ordinal") != 2})
+    g = e.groupBy("stock_id", "trading_date", "side", "ordinal").agg(F.max("value").alias("high"), F.sum("k").alias("sum"))
+    g = g.withColumn("volume", F.when(F.col("sum") % 3 == 0, 0).otherwise(F.col("sum")))
+    g = g.withColumns({"high": F.when((F.col("side") == 1) & (F.col("sum") % 4 == 0), None).when((F.col("side") == 0) & (F.col("volume") == 0), 0.0).otherwise(F.col("high")), "quality": F.col("volume") > 0, "has_price_limit": F.col("ordinal") != 2})
+    g = g.withColumn("volume", F.when((F.col("side") == 1) & (F.col("ordinal") == 3), None).otherwise(F.col("volume")))
     return monitoring.merge_sources(g.where("side = 0"), g.where("side = 1"), ["high", "volume"])
 
 
 #: Status of each date as the gates of the job decide it on the late sources of the fixtures.
 READY = f"""rd AS (SELECT trading_date, count(*) FILTER (market = 'TWSE') AS n_twse, count(*) FILTER (market = 'TPEX' AND day(trading_date) % 9 <> 0 AND day(trading_date) <> 22) AS n_tpex FROM quotes GROUP BY 1),
 readiness AS (SELECT trading_date, n_twse, n_tpex, CASE WHEN isodow(trading_date) > 5 OR day(trading_date) IN (1, 17) THEN 'SKIPPED_NON_TRADING_DAY' WHEN n_twse = 0 THEN 'WAITING_FOR_DATA'
-  WHEN day(trading_date) = 22 THEN 'FAILED' WHEN n_tpex = 0 THEN 'WAITING_FOR_DATA' WHEN NOT EXISTS (SELECT 1 FROM vok v WHERE v.trading_date = rd.trading_date) THEN 'WAITING_FOR_DATA' ELSE 'READY' END AS status FROM rd),
+  WHEN day(trading_date) = 22 THEN 'FAILED' WHEN n_tpex = 0 THEN 'WAITING_FOR_DATA' WHEN day(trading_date) = 25 THEN 'FAILED' WHEN NOT EXISTS (SELECT 1 FROM vok v WHERE v.trading_date = rd.trading_date) THEN 'WAITING_FOR_DATA' ELSE 'READY' END AS status FROM rd),
 rq AS (SELECT q.* FROM quotes q JOIN readiness r USING (trading_date) WHERE r.status = 'READY')"""
 
 
-def _job(spark, d, strategies=STRATEGIES):
-    return jobs.daily_ranking(fixtures.raw_sources(spark, d), fixtures.spine(fixtures.daily_bars(spark, d)), strategies, fixtures.risk_inputs)
+def _job(spark, d, three=False, strategies=STRATEGIES):
+    work = WorkTables(spark)
+    landed, runs = fixtures.landed(spark, d, work, three=three)
+    return jobs.daily_ranking(landed, runs, fixtures.spine(work.read("bars")), strategies, work, fixtures.risk_inputs)
+
+
+def _sources(spark, d):
+    work = WorkTables(spark)
+    landed, runs = fixtures.landed(spark, d, work)
+    return jobs.mapped_sources(landing.current_payloads(landed, runs, work), work), work
 
 
 @query("source_readiness", f"""WITH {QUOTES}, {VALUES_.strip()}, {READY} SELECT trading_date, n_twse, n_tpex, status FROM readiness""")
 def source_readiness(spark, d):
-    s = jobs.mapped_sources(fixtures.raw_sources(spark, d))
-    return monitoring.source_readiness(fixtures.spine(fixtures.daily_bars(spark, d)), s["payloads"], s["reported"], s["valuations"], s["master"])
+    s, work = _sources(spark, d)
+    return monitoring.source_readiness(fixtures.spine(work.read("bars")), s["payloads"], s["reported"], s["valuations"], s["master"], s["info"])
 
 
 @query("mapped_quotes", f"WITH {QUOTES} SELECT stock_id, market, trading_date, open, high, low, close, round(reference, 6) AS reference, volume, turnover, quality FROM quotes")
@@ -304,7 +348,7 @@ def mapped_quotes(spark, d):
 SELECT b.stock_id, b.trading_date, b.high, b.close, p.close AS reference, b.volume, b.turnover, b.volume > 0 AND b.turnover > 0 AS quality FROM bars b JOIN cal USING (trading_date) LEFT JOIN bars p ON p.stock_id = b.stock_id AND p.trading_date = cal.previous""")
 def prev_close_quotes(spark, d):
     """Provider rows as prices whose reference is the close of the session before."""
-    rows = landing.envelope_rows(fixtures.raw_sources(spark, d)["history"])
+    rows = landing.envelope_rows(fixtures.raw_sources(spark, d).where("source = 'history'"))
     p = mappers.map_prices_prev_close(rows.where("fields['date'] <> '2024-1-1'"), "TWSE", mappers.session_calendar(fixtures.daily_bars(spark, d)))
     return doubles(p.select("stock_id", "trading_date", "high", "close", "reference", "volume", "turnover", "quality"))
 
@@ -313,7 +357,7 @@ def prev_close_quotes(spark, d):
 UNION ALL SELECT 'flow', stock_id, CAST(trading_date AS VARCHAR), net_shares, NULL FROM flows UNION ALL SELECT 'revenue', stock_id, CAST(available_at AS VARCHAR), y * 100 + m, revenue FROM rev""")
 def mapped_history(spark, d):
     """Prices, flows and revenue of the provider's envelopes as typed rows."""
-    s = jobs.mapped_sources(fixtures.raw_sources(spark, d))
+    s, _ = _sources(spark, d)
     b = s["bars"].select(F.lit("bar").alias("kind"), "stock_id", F.col("trading_date").cast("string").alias("known"), F.col("close").alias("a"), F.col("turnover").alias("b"))
     f = s["flows"].select(F.lit("flow"), "stock_id", F.col("trading_date").cast("string"), F.col("net_shares").cast("double"), F.lit(None).cast("double"))
     r = s["revenue"].select(F.lit("revenue"), "stock_id", F.col("available_at").cast("string"), (F.col("revenue_year") * 100 + F.col("revenue_month")).cast("double"), "revenue")
@@ -328,6 +372,51 @@ def history_slice(spark, d):
     return landing.history_slice(b, b.where("volume > 150"), datetime.date(2024, 1, 8), datetime.date(2024, 1, 20)).select("stock_id", "trading_date", "close")
 
 
+#: Requests of events by five runs a day, of which some fail, some do not end and some end together.
+RUNS = """ev AS (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k, CAST(ts AS DATE) AS d FROM events),
+landed AS (SELECT DISTINCT event_type AS source, d AS target_date, CAST(user_id % 20 AS VARCHAR) AS request_key, CAST(d AS VARCHAR) || '-' || (event_id % 5) AS run_id FROM ev),
+runs AS (SELECT DISTINCT d AS day, CAST(d AS VARCHAR) || '-' || r AS run_id, CASE WHEN r = 4 AND day(d) % 2 = 0 THEN NULL ELSE CAST(d AS TIMESTAMP) + INTERVAL 1 HOUR * (CASE WHEN r = 3 THEN 2 ELSE r END) END AS finished_at,
+  CASE WHEN (day(d) + r) % 4 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status FROM ev, (SELECT unnest(range(5)) AS r))"""
+
+
+def _runs(spark, d):
+    """The table of RUNS as landing writes it, and its runs."""
+    e = fixtures.table(spark, d, "events").select("event_id", "user_id", "event_type", F.to_date("ts").alias("target_date"))
+    run = lambda r: F.concat_ws("-", F.col("target_date").cast("string"), r.cast("string"))
+    rows = e.select(run(F.col("event_id") % 5).alias("run_id"), F.col("event_type").alias("source"), (F.col("user_id") % 20).cast("string").alias("request_key"), "target_date", F.concat(F.lit("payload "), run(F.col("event_id") % 5)).alias("payload")).distinct()
+    work = WorkTables(spark)
+    path = f"{work.folder}/raw"
+    rows.repartition("source", "target_date").write.partitionBy(*landing.FOLDERS).parquet(path)
+    r, day = F.col("r"), F.day("target_date")
+    at = F.col("target_date").cast("timestamp") + F.make_interval(hours=F.when(r == 3, 2).otherwise(r).cast("int"))
+    runs = e.select("target_date", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("r")).distinct().select(run(r).alias("run_id"), F.when((r != 4) | (day % 2 != 0), at).alias("finished_at"), F.when((day + r) % 4 == 0, "FAILED").otherwise("SUCCESS").alias("status"))
+    return spark.read.parquet(path), runs, work
+
+
+@query("chosen_payloads", f"""WITH {RUNS} SELECT source, target_date, request_key, run_id, 'payload ' || run_id AS payload FROM landed JOIN runs USING (run_id) WHERE status = 'SUCCESS' AND finished_at IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY source, target_date, request_key ORDER BY finished_at DESC, run_id DESC) = 1""")
+def chosen_payloads(spark, d):
+    """For each request the payload of the latest run that ended well."""
+    raw, runs, work = _runs(spark, d)
+    return landing.current_payloads(raw, runs, work).select("source", "target_date", "request_key", "run_id", "payload")
+
+
+@query("chosen_payloads_as_of", f"""WITH {RUNS} SELECT source, target_date, request_key, run_id FROM landed JOIN runs USING (run_id) WHERE status = 'SUCCESS' AND finished_at <= TIMESTAMP '2024-01-15 01:30:00'
+QUALIFY row_number() OVER (PARTITION BY source, target_date, request_key ORDER BY finished_at DESC, run_id DESC) = 1""")
+def chosen_payloads_as_of(spark, d):
+    """The same as it was known at a moment, joined by shuffle as if there were too many requests to send around."""
+    raw, runs, work = _runs(spark, d)
+    return landing.current_payloads(raw, runs, work, F.lit("2024-01-15 01:30:00").cast("timestamp"), most_keys=0).select("source", "target_date", "request_key", "run_id")
+
+
+@query("history_panel", f"""WITH {BARS}, t AS (SELECT stock_id, trading_date AS day FROM bars WHERE volume % 5 = 0)
+SELECT stock_id, trading_date, close FROM bars b WHERE EXISTS (SELECT 1 FROM t WHERE t.stock_id = b.stock_id AND b.trading_date BETWEEN t.day - 3 AND t.day - 1)""")
+def history_panel(spark, d):
+    """Bars within three days before any target of their stock."""
+    b = fixtures.daily_bars(spark, d)
+    return landing.history_panel(b, b.where("volume % 5 = 0"), 3).select("stock_id", "trading_date", "close")
+
+
 @query("landed_payloads")
 def landed_payloads(spark, d):
     """Payload rows of events that have not landed, hashed, without secrets."""
@@ -343,10 +432,47 @@ SQL["landed_payloads"] = "SELECT event_type AS run_id, CAST(event_id AS VARCHAR)
 SELECT doc_id, key, CASE WHEN doc_id % 4 = 0 THEN 'insert' WHEN doc_id % 4 = 1 THEN 'skip' WHEN doc_id % 4 = 2 THEN 'retry' ELSE 'conflict' END AS action FROM m""")
 def publication(spark, d):
     t = fixtures.table(spark, d, "documents")
-    m = t.select("doc_id", monitoring.delivery_key(F.col("doc_id"), F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.lit("1")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    m = t.select("doc_id", delivery.delivery_key(F.col("doc_id"), F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")), F.lit("1")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
     n = F.col("doc_id") % 4
     done = m.where(n != 0).select("key", F.sha2(F.when(n == 3, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("hash"), F.when(n == 2, "PENDING").otherwise("SUCCESS").alias("status"))
-    return monitoring.publish_once(m, done).select("doc_id", "key", "action")
+    return delivery.publish_once(m, done).select("doc_id", "key", "action")
+
+
+#: What happened to messages about events: reservations, failures and successes, some of them late, twice or without a reservation.
+LEDGER = """l AS (SELECT sha256(CAST(user_id AS VARCHAR)) AS key, CASE WHEN event_type IN ('view', 'signup') THEN 'RESERVED' WHEN event_type = 'purchase' THEN 'SUCCESS' ELSE 'FAILED' END AS kind,
+  sha256(CAST(event_id % 2 AS VARCHAR)) AS hash, date_trunc('day', ts) AS w, event_id AS seq, event_type FROM events WHERE event_id % 7 < 2),
+r AS (SELECT key, min(row(w, seq)) AS t, arg_min(hash, row(w, seq)) AS hash, arg_min(w, row(w, seq)) AS since FROM l WHERE kind = 'RESERVED' GROUP BY key),
+s AS (SELECT key, min(row(w, seq)) AS t, arg_min(w, row(w, seq)) AS sent_at FROM l WHERE kind = 'SUCCESS' GROUP BY key),
+st AS (SELECT r.key, r.hash, r.since, CASE WHEN s.t >= r.t THEN s.sent_at END AS sent_at, (SELECT count(*) FROM l WHERE l.key = r.key AND l.kind = 'FAILED' AND row(l.w, l.seq) >= r.t AND (s.t IS NULL OR row(l.w, l.seq) < s.t)) AS attempts,
+  (SELECT arg_max(event_type || seq, row(w, seq)) FROM l WHERE l.key = r.key AND l.kind = 'FAILED' AND row(l.w, l.seq) >= r.t AND (s.t IS NULL OR row(l.w, l.seq) < s.t)) AS error FROM r LEFT JOIN s USING (key)),
+state AS (SELECT key, hash, CASE WHEN sent_at IS NOT NULL THEN 'SUCCESS' WHEN attempts > 0 THEN 'FAILED' ELSE 'PENDING' END AS status, attempts, since, sent_at, CASE WHEN sent_at IS NULL THEN error END AS error FROM st)"""
+
+
+def _ledger(spark, d):
+    e = fixtures.table(spark, d, "events").where("event_id % 7 < 2")
+    kind = F.when(F.col("event_type").isin("view", "signup"), "RESERVED").when(F.col("event_type") == "purchase", "SUCCESS").otherwise("FAILED")
+    rows = e.select(
+        F.sha2(F.col("user_id").cast("string"), 256).alias("key"), F.sha2((F.col("event_id") % 2).cast("string"), 256).alias("hash"), kind.alias("kind"), F.date_trunc("day", "ts").alias("at"), F.col("event_id").alias("seq"),
+        F.lit(None).cast("string").alias("request_id"), F.concat("event_type", F.col("event_id").cast("string")).alias("error"))
+    return rows.unionByName(rows.where("seq % 3 = 0"))  # a row that was appended twice counts once
+
+
+@query("delivery_ledger", f"WITH {LEDGER} SELECT key, hash, status, attempts, CAST(since AS VARCHAR) AS since, CAST(sent_at AS VARCHAR) AS sent_at, error FROM state")
+def delivery_ledger(spark, d):
+    """The state of each key that a ledger of what happened amounts to."""
+    s = delivery.ledger_state(_ledger(spark, d))
+    return s.select("key", "hash", "status", F.col("attempts").cast("long").alias("attempts"), F.col("since").cast("string").alias("since"), F.col("sent_at").cast("string").alias("sent_at"), "error")
+
+
+@query("delivery_decisions", f"""WITH {LEDGER}, m AS (SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE sha256(CAST(doc_id % 200 AS VARCHAR)) END AS key, CAST(doc_id // 200 % 2 AS VARCHAR) AS text FROM documents),
+h AS (SELECT doc_id, key, sha256(text) AS hash, row_number() OVER (PARTITION BY key, text ORDER BY doc_id) AS n, first_value(sha256(text)) OVER (PARTITION BY key ORDER BY doc_id) AS head FROM m)
+SELECT doc_id, h.key, CASE WHEN h.key IS NULL THEN 'invalid' WHEN s.hash <> h.hash OR (s.hash IS NULL AND h.hash <> head) THEN 'conflict' WHEN s.status = 'SUCCESS' THEN 'skip' WHEN n > 1 THEN 'repeat' WHEN s.hash IS NULL THEN 'insert' ELSE 'retry' END AS action
+FROM h LEFT JOIN state s ON s.key = h.key""")
+def delivery_decisions(spark, d):
+    """A batch of messages, with keys that occur again, against that ledger."""
+    n = F.col("doc_id")
+    m = fixtures.table(spark, d, "documents").select("doc_id", F.when(n % 11 != 0, F.sha2((n % 200).cast("string"), 256)).alias("key"), (F.floor(n / 200) % 2).cast("string").alias("text"), n.alias("ordinal"))
+    return delivery.publish_once(m, delivery.ledger_state(_ledger(spark, d))).select("doc_id", "key", "action")
 
 
 @query("message_units", "SELECT doc_id, CAST(length(coalesce(text, '')) + length(regexp_replace(coalesce(text, ''), '[\\x{0}-\\x{FFFF}]', '', 'g')) AS BIGINT) AS n_units FROM documents")
@@ -359,10 +485,11 @@ def _job_sql(version: str, least: int, most: int, pe: int, ky: bool) -> str:
 elig AS (SELECT c.* FROM cand c WHERE EXISTS (SELECT 1 FROM vnow v WHERE v.stock_id = c.stock_id AND v.trading_date = c.trading_date AND pe_ratio > 0 AND pe_ratio <= {pe})),
 x1 AS (SELECT e.*, h.stock_id IS NOT NULL AS has_history, CASE WHEN h.av20 > 0 THEN e.volume / h.av20 END AS volume_ratio_20d, e.close / h.c5 - 1 AS return_5d, CAST(stock_name LIKE '%-KY%' AS BOOLEAN) AS ky FROM elig e ASOF LEFT JOIN hist h ON e.stock_id = h.stock_id AND e.trading_date > h.trading_date),
 x2 AS (SELECT x.*, s.ratio AS net_buy_ratio, CAST(x.stock_id AS INT) AS n FROM x1 x ASOF LEFT JOIN s5 s ON x.stock_id = s.stock_id AND x.trading_date > s.trading_date),
-x3 AS (SELECT x.*, g.revenue / CASE WHEN p.revenue > 0 THEN p.revenue END - 1 AS revenue_yoy FROM x2 x LEFT JOIN LATERAL (SELECT y, m, revenue FROM rev r WHERE r.stock_id = x.stock_id AND r.available_at <= x.trading_date ORDER BY y DESC, m DESC LIMIT 1) g ON true LEFT JOIN rev p ON p.stock_id = x.stock_id AND p.y = g.y - 1 AND p.m = g.m),
+x3 AS (SELECT x.*, g.revenue / CASE WHEN p.revenue > 0 THEN p.revenue END - 1 AS revenue_yoy FROM x2 x LEFT JOIN LATERAL (SELECT y, m, revenue FROM rev r WHERE r.stock_id = x.stock_id AND r.available_at <= x.trading_date AND r.row_date BETWEEN x.trading_date - 550 AND x.trading_date - 1 ORDER BY y DESC, m DESC LIMIT 1) g ON true
+  LEFT JOIN rev p ON p.stock_id = x.stock_id AND p.y = g.y - 1 AND p.m = g.m AND p.row_date BETWEEN x.trading_date - 550 AND x.trading_date - 1),
 x4 AS (SELECT *, CASE WHEN n % 3 = 0 THEN true WHEN n % 3 = 1 THEN false END AS att, CASE WHEN n % 19 <> 0 THEN n % 23 = 0 END AS man, CASE WHEN n % 6 <> 5 THEN n % 6 END AS streak,
   coalesce(open = limit_price AND high = limit_price AND low = limit_price AND close = limit_price, false) AS one FROM x3),
-x5 AS (SELECT *, CASE WHEN n % 17 = 0 THEN 'disposition' WHEN man THEN 'managed' {"" if ky else "WHEN ky THEN 'ky'"} END AS exclusion, coalesce(att, false) AS fa, coalesce(streak > 3, false) AS fs, coalesce(return_5d >= 0.35, false) AS fr FROM x4),
+x5 AS (SELECT *, CASE WHEN n % 29 = 0 THEN 'risk_failed' WHEN n % 17 = 0 THEN 'disposition' WHEN man THEN 'managed' {"" if ky else "WHEN ky THEN 'ky'"} END AS exclusion, coalesce(att, false) AS fa, coalesce(streak > 3, false) AS fs, coalesce(return_5d >= 0.35, false) AS fr FROM x4),
 risk AS (SELECT *, CASE WHEN att IS NULL OR man IS NULL OR streak IS NULL THEN NULL ELSE greatest(0, 1 - (fa::INT * 0.15::DOUBLE + ky::INT * 0.10::DOUBLE + one::INT * 0.20::DOUBLE + fs::INT * 0.30::DOUBLE + fr::INT * 0.25::DOUBLE)) END AS risk_quality FROM x5 WHERE exclusion IS NULL),
 {_score_sql('risk', 'scored')}"""
 
@@ -387,10 +514,10 @@ def stage_counts(spark, d):
     return monitoring.funnel(kept, tuple(ranking.CROSS))
 
 
-@query("coverage", _both(lambda v, least, most: f"""c AS (SELECT *, exclusion IS NOT NULL AS ex, att IS NULL OR man IS NULL OR streak IS NULL AS inc, fa OR ky OR one OR fs OR fr AS fl FROM x5)
+@query("coverage", _both(lambda v, least, most: f"""c AS (SELECT *, exclusion IS NOT NULL AND exclusion <> 'risk_failed' AS ex, coalesce(exclusion = 'risk_failed', false) AS rf, att IS NULL OR man IS NULL OR streak IS NULL AS inc, fa OR ky OR one OR fs OR fr AS fl FROM x5)
 SELECT '{v}' AS strategy_version, trading_date, count(*) FILTER (has_history) AS price_success, count(*) FILTER (NOT has_history) AS price_empty, 0::BIGINT AS price_failed, count(net_buy_ratio) AS flow_success, count(*) - count(net_buy_ratio) AS flow_none, 0::BIGINT AS flow_failed,
 count(revenue_yoy) AS revenue_success, count(*) - count(revenue_yoy) AS revenue_none, 0::BIGINT AS revenue_failed, count(*) FILTER (ex) AS excluded,
-count(*) FILTER (NOT ex AND inc) AS incomplete, count(*) FILTER (NOT ex AND NOT inc AND fl) AS flagged, count(*) FILTER (NOT ex AND NOT inc AND NOT fl) AS clean FROM c GROUP BY trading_date"""))
+count(*) FILTER (NOT rf AND NOT ex AND inc) AS incomplete, count(*) FILTER (NOT rf AND NOT ex AND NOT inc AND fl) AS flagged, count(*) FILTER (NOT rf AND NOT ex AND NOT inc AND NOT fl) AS clean, count(*) FILTER (rf) AS risk_failed FROM c GROUP BY trading_date"""))
 def coverage(spark, d):
     return monitoring.enrichment_coverage(_job(spark, d)["featured"], tuple(ranking.CROSS))
 
@@ -403,6 +530,13 @@ def daily_ranking(spark, d):
     return r.select("strategy_version", "trading_date", "rank", "stock_id", "total_score", "completeness", F.array_join("top_factors", ",").alias("top_factors"), F.array_join("risk_flags", ",").alias("risk_flags"))
 
 
+@query("ranking_of_runs", SQL["daily_ranking"])
+def ranking_of_runs(spark, d):
+    """The same list from three runs a day: one mostly wrong and early, one that mends it, and one that is wrong and fails."""
+    r = _job(spark, d, three=True)["ranked"]
+    return r.select("strategy_version", "trading_date", "rank", "stock_id", "total_score", "completeness", F.array_join("top_factors", ",").alias("top_factors"), F.array_join("risk_flags", ",").alias("risk_flags"))
+
+
 LABEL = "CASE f WHEN 'liquidity' THEN 'Liquidity' WHEN 'volume_price' THEN 'Price and volume' WHEN 'momentum' THEN 'Momentum' WHEN 'institutional' THEN 'Institutional flows' WHEN 'fundamental' THEN 'Fundamentals' ELSE 'Risk quality' END"
 LACK = (("liquidity", "liquidity (no volume or turnover)"), ("volume_price", "price and volume (history too short)"), ("momentum", "momentum (no recent return)"), ("institutional", "institutional flows (incomplete)"), ("fundamental", "fundamentals (no monthly revenue)"), ("risk_quality", "risk quality (state of the stock unknown)"))
 NL = "chr(10)"
@@ -427,7 +561,7 @@ def report_publication(spark, d):
     m = jobs.messages(_job(spark, d)["reports"], "desk")
     n = F.day("trading_date") % 4
     done = m.where(n != 0).select("key", F.sha2(F.when(n == 3, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("hash"), F.when(n == 2, "FAILED").otherwise("SUCCESS").alias("status"))
-    return monitoring.publish_once(m, done).select("strategy_version", "trading_date", "key", "action")
+    return delivery.publish_once(m, done).select("strategy_version", "trading_date", "key", "action")
 
 
 @query("master_bars_rank", f"""WITH {BARS}, q AS (SELECT *, greatest(least(turnover, quantile_cont(turnover, 0.95) OVER p), quantile_cont(turnover, 0.05) OVER p) AS w FROM bars WINDOW p AS (PARTITION BY trading_date))
@@ -439,8 +573,36 @@ def turnover_ranks(spark, d):
     return r.select("stock_id", "trading_date", F.when(F.lit(True), F.round("pct", 4)).alias("pct"))
 
 
+HOT = f"""{BARS}, hot AS (SELECT stock_id, CASE WHEN day(trading_date) % 3 = 0 THEN DATE '2024-01-02' ELSE trading_date END AS day, trading_date, CASE WHEN volume % 4 = 0 THEN 1.0 ELSE turnover END AS a, CASE WHEN volume % 5 <> 0 THEN close END AS b FROM bars),
+q AS (SELECT *, greatest(least(a, quantile_cont(a, 0.95) OVER p), quantile_cont(a, 0.05) OVER p) AS wa, CASE WHEN b IS NOT NULL THEN greatest(least(b, quantile_cont(b, 0.95) OVER p), quantile_cont(b, 0.05) OVER p) END AS wb FROM hot WINDOW p AS (PARTITION BY day))"""
+
+
+@query("ranks_by_ranges", f"""WITH {HOT} SELECT stock_id, trading_date, round(CASE WHEN min(a) OVER p = max(a) OVER p THEN 50 ELSE 100 - (rank() OVER (PARTITION BY day ORDER BY wa) + (count(*) OVER (PARTITION BY day, wa) - 1) / 2) / count(*) OVER p * 100 END, 4) AS pct_a,
+round(CASE WHEN b IS NULL THEN NULL WHEN min(b) OVER p = max(b) OVER p THEN 50 ELSE (rank() OVER (PARTITION BY day, wb IS NULL ORDER BY wb) + (count(*) OVER (PARTITION BY day, wb) - 1) / 2) / count(b) OVER p * 100 END, 4) AS pct_b FROM q WINDOW p AS (PARTITION BY day)""")
+def ranks_by_ranges(spark, d):
+    """Percentiles of two columns where one date holds a third of all rows and one value a quarter of them, without a window over a date."""
+    b = fixtures.daily_bars(spark, d)
+    day = F.when(F.day("trading_date") % 3 == 0, F.lit("2024-01-02").cast("date")).otherwise(F.col("trading_date"))
+    hot = b.select("stock_id", "trading_date", day.alias("day"), F.when(F.col("volume") % 4 == 0, 1.0).otherwise(F.col("turnover")).alias("a"), F.when(F.col("volume") % 5 != 0, F.col("close")).alias("b"))
+    r = ranking.percentile_scores_by_ranges(hot, {"pct_a": "a", "pct_b": "b"}, ["day"], WorkTables(spark), lower_is_better=["pct_a"])
+    return r.select("stock_id", "trading_date", F.round("pct_a", 4).alias("pct_a"), F.round("pct_b", 4).alias("pct_b"))
+
+
+@query("stored_rankings", SQL["daily_ranking"].replace("SELECT 'rule-v1.1.0'", "SELECT 'rule-v1.1.0'"))
+def stored_rankings(spark, d):
+    """The list as a table laid out by strategy and date: written for half of the dates, then only for those that it lacks, and read back."""
+    work = WorkTables(spark)
+    landed, runs = fixtures.landed(spark, d, work)
+    spine, path = fixtures.spine(work.read("bars")), f"{work.folder}/rankings"
+    for days in (spine.where(F.day("trading_date") % 2 == 0), spine):
+        new = jobs.missing_dates(days, path)
+        jobs.publish_rankings(jobs.daily_ranking(landed, runs, new, STRATEGIES, WorkTables(spark), fixtures.risk_inputs)["ranked"], path)
+    r = spark.read.parquet(path).withColumn("trading_date", F.col("trading_date").cast("date"))
+    return r.select("strategy_version", "trading_date", "rank", "stock_id", "total_score", "completeness", F.array_join("top_factors", ",").alias("top_factors"), F.array_join("risk_flags", ",").alias("risk_flags"))
+
+
 #: Date columns of results other than trading_date; they are shown as text, which all engines write alike.
-DATES = {"mapped_history": (), "parsed_values": ("roc_date", "iso_date"), "asof_tolerance": ("day", "found")}
+DATES = {"mapped_history": (), "parsed_values": ("roc_date", "iso_date"), "asof_tolerance": ("day", "found"), "asof_two_level": ("trading_date", "found"), "chosen_payloads": ("target_date",), "chosen_payloads_as_of": ("target_date",)}
 
 
 def _as_text(f):

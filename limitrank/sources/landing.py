@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.parsing import strip
+from .work import WorkTables
+
 KEY = ["run_id", "source", "request_key"]
+#: Folders of the landed table, so that a choice of runs is a choice of folders.
+FOLDERS = ["source", "target_date", "run_id"]
+#: Folders and overruled requests of them that are sent to every task at most; more are joined by shuffle.
+MOST_KEYS = 500_000
 #: Request parameters that are never kept (fixed values).
 SECRETS = ("token", "api_key")
 
@@ -51,7 +58,49 @@ def append_snapshots(payloads: DataFrame, path: str) -> None:
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     exists = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
     keys = spark.read.parquet(path) if exists else payloads.limit(0)
-    new_snapshots(payloads, keys).write.mode("append").partitionBy("source", "target_date").parquet(path)
+    new_snapshots(payloads, keys).write.mode("append").partitionBy(*FOLDERS).parquet(path)
+
+
+def chosen_requests(landed: DataFrame, runs: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """source, target_date, request_key, run_id, finished_at: for each request the latest run that holds it and finished well.
+
+    ``runs`` has run_id, finished_at and status; runs that are still at work or did not end in SUCCESS never count, nor, with ``as_of``, those that
+    finished after it. Of runs that finished together the greater run_id is later. A request without a key is one of an empty key. Of ``landed``
+    only the folders and the key are read.
+    """
+    done = (F.col("status") == "SUCCESS") & F.col("finished_at").isNotNull()
+    if as_of is not None:
+        done = done & (F.col("finished_at") <= as_of)
+    keys = landed.select(*FOLDERS, F.coalesce("request_key", F.lit("")).alias("request_key"))
+    last = F.max(F.struct("finished_at", "run_id")).alias("r")
+    found = keys.join(runs.where(done).select("run_id", "finished_at"), "run_id").groupBy("source", "target_date", "request_key").agg(last)
+    return found.select("source", "target_date", "request_key", "r.run_id", "r.finished_at")
+
+
+def current_payloads(landed: DataFrame, runs: DataFrame, work: WorkTables, as_of: Column | None = None, most_keys: int = MOST_KEYS) -> DataFrame:
+    """Rows of ``landed`` that ``chosen_requests`` chooses, with ``landed``: a struct that orders payloads by the end of their run.
+
+    The choice is made on keys and comes down to folders: those of which nothing is chosen are never read, and of those that a later run
+    overrules in part the overruled keys are listed. While folders and listed keys are at most ``most_keys`` they are sent to every task, so that
+    payloads are filtered where they lie and never shuffled; beyond that they are joined by shuffle. A request that one run landed
+    twice stays twice.
+    """
+    chosen = work.write(chosen_requests(landed, runs, as_of), "chosen")
+    keys = landed.select(*FOLDERS, F.coalesce("request_key", F.lit("")).alias("request_key")).distinct()
+    there = keys.groupBy(*FOLDERS).agg(F.count(F.lit(1)).alias("n"))
+    kept = chosen.groupBy(*FOLDERS).agg(F.count(F.lit(1)).alias("n_kept"), F.first("finished_at").alias("finished_at"))
+    folders = kept.join(there, FOLDERS)
+    partly = folders.where("n_kept < n").select(*FOLDERS)
+    lost = keys.join(partly, FOLDERS, "left_semi").join(chosen, [*FOLDERS, "request_key"], "left_anti").groupBy(*FOLDERS).agg(F.collect_list("request_key").alias("lost"))
+    folders = work.write(folders.join(lost, FOLDERS, "left").select(*FOLDERS, "finished_at", "n_kept", "lost"), "folders")
+    n = folders.agg(F.sum(1 + F.coalesce(F.array_size("lost"), F.lit(0)))).first()[0] or 0
+    key = F.coalesce("request_key", F.lit(""))
+    if n <= most_keys:
+        # a comparison on the small side lets Spark prune folders while it reads
+        out = landed.join(F.broadcast(folders.where("n_kept > 0")), FOLDERS).where(~F.coalesce(F.array_contains("lost", key), F.lit(False))).drop("lost", "n_kept")
+    else:
+        out = landed.withColumn("request_key", key).join(chosen.hint("merge"), [*FOLDERS, "request_key"])
+    return out.withColumn("landed", F.struct("finished_at", "target_date", "run_id", key.alias("request_key"))).drop("finished_at")
 
 
 def write_by_date(df: DataFrame, path: str, keys: tuple[str, ...] = ("strategy_version", "trading_date"), unique: tuple[str, ...] = ("stock_id",), order: Column | None = None) -> None:
@@ -109,5 +158,34 @@ def history_slice(rows: DataFrame, ids: DataFrame, start, end, by: str = "tradin
     """Rows of the given stocks with ``start`` <= date <= ``end``; blank ids are no stocks."""
     if start > end:
         raise ValueError("start is after end")
-    named = ids.where(F.trim("stock_id") != "").select("stock_id").distinct()
+    named = ids.where(strip(F.col("stock_id")) != "").select("stock_id").distinct()
     return rows.where(F.col(by).between(F.lit(start), F.lit(end))).join(named, "stock_id", "left_semi")
+
+
+def history_ranges(targets: DataFrame, days: int) -> DataFrame:
+    """stock_id, first, last: the days that lie at most ``days`` before a target (stock_id, trading_date), as ranges that do not meet.
+
+    Ranges of a stock that overlap or follow on each other are one. A target without an id stops the job when its row is read.
+    """
+    if days < 1:
+        raise ValueError("a history has one day at least")
+    sid = F.when(F.coalesce(strip(F.col("stock_id")), F.lit("")) == "", F.raise_error(F.lit("a target has no stock_id"))).otherwise(F.col("stock_id"))
+    w = Window.partitionBy("stock_id").orderBy("trading_date")
+    d = targets.where(F.col("trading_date").isNotNull()).select(sid.alias("stock_id"), "trading_date").distinct()
+    # all ranges are of one length, so they meet where targets are no further apart than that
+    apart = F.coalesce(F.datediff("trading_date", F.lag("trading_date").over(w)) > days, F.lit(False))
+    d = d.withColumn("part", F.sum(apart.cast("int")).over(w))
+    return d.groupBy("stock_id", "part").agg(F.date_sub(F.min("trading_date"), days).alias("first"), F.date_sub(F.max("trading_date"), 1).alias("last")).drop("part")
+
+
+def history_panel(rows: DataFrame, targets: DataFrame, days: int, by: str = "trading_date", month: str | None = None) -> DataFrame:
+    """Rows of ``rows`` (stock_id and the date ``by``) within ``days`` before any target of their stock, each once.
+
+    Ranges are cut by month, so rows and ranges meet on (stock, month) and a long history of one stock is dealt over many tasks. ``month`` names a
+    column of ``rows`` that holds the first day of each row's month; if the table is laid out by it, months without a target's history are not read.
+    """
+    ranges = history_ranges(targets, days)
+    months = F.sequence(F.trunc("first", "MM"), F.trunc("last", "MM"), F.expr("interval 1 month"))
+    cut = ranges.select(F.col("stock_id").alias("__id"), "first", "last", F.explode(months).alias("__month"))
+    at = F.col(month) if month else F.trunc(by, "MM")
+    return rows.join(cut, (F.col("stock_id") == F.col("__id")) & (at == F.col("__month")) & F.col(by).between(F.col("first"), F.col("last")), "left_semi")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,15 @@ class WorkTables:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def read(self, name: str) -> DataFrame:
+        """A table that was written before."""
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+    def write_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Tables that do not depend on each other, written side by side."""
+        with ThreadPool(max(1, len(tables))) as pool:
+            return dict(pool.map(lambda x: (x[0], self.write(x[1], x[0])), tables.items()))
+
     def drop(self) -> None:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
