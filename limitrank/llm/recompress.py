@@ -6,8 +6,9 @@ except near their ends, and for each symbol it is known how much text around it
 symbols: it counts them over the whole corpus, those that occur again keep their name, and those that occur once are left and pair no more, as no
 repeated passage holds them. A window of words that holds such a symbol, with the text that decided it, is unlike any other window.
 
-The last rounds compare words: the text that decides a symbol, then stretches of windows between symbols, then the single windows that are
-left, the latter two by 128 bits. A window counts as repeated only if all its words are equal, so the names decide what is compared, never what is removed.
+The last rounds compare words: the text that decides a symbol, then stretches of windows between some of the symbols, then, of stretches that
+are not equal to an earlier one, the symbols that other such stretches hold too, and the single windows around those. Stretches and windows
+are compared by 128 bits: a window counts as repeated only if all its words are equal, so names decide what is compared, never what is removed.
 
 Texts are cut into chunks once; chunks stay where they are (a bucketed table) and only names that are asked for, packed and cut into
 ranges of their hashes, travel, with a bit each for the answers.
@@ -32,6 +33,8 @@ from .word_lm import _packed, _unpacked
 CHUNK, RANGE = 500_000, 2_000_000
 #: Pairings in each of the rounds after which names are given.
 ROUNDS = (2, 2)
+#: One of so many symbols ends a stretch.
+STRETCH = 8
 
 _FAR = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
@@ -183,14 +186,24 @@ class _Parse:
         return np.flatnonzero((at + self.window <= self.end) & (np.cumsum(self.dead)[:n] == 0))
 
     def stretches(self) -> tuple[np.ndarray, np.ndarray]:
-        """First and last window of each stretch of neighbouring live windows that begin between the same two symbols."""
+        """First and last window of each stretch of neighbouring live windows that begin between the same two of the symbols that end stretches."""
         at = self.live()
-        group = np.searchsorted(self.start, at)
+        group = np.searchsorted(self.start[_spread(self.name) % np.uint64(STRETCH) == 0], at)
         new = np.ones(len(at), dtype=bool)
         new[1:] = (np.diff(at) != 1) | (np.diff(group) != 0) | (self.begin[at[1:]] != self.begin[at[:-1]])
         first = np.flatnonzero(new)
         return at[first], at[np.append(first[1:], len(at)) - 1] if len(at) else at
 
+    def around(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols that lie, with the text that decided them, in any of ``windows``, and the names of that text."""
+        at = np.flatnonzero(self._whole())
+        lo, hi = self.start[at] - self.left[at], self.start[at] + self.size[at] + self.right[at]
+        held = np.zeros(len(self.words) + 1, dtype=np.int64)
+        held[windows + 1] = 1
+        held = np.cumsum(held)
+        some = held[lo + 1] - held[np.maximum(hi - self.window, 0)] > 0
+        return at[some], self.stretch(lo[some], hi[some], 0)
+
     def firsts(self, a: np.ndarray, b: np.ndarray) -> "_Firsts":
         return _Firsts(self, a, b)
 
@@ -229,6 +242,17 @@ def _cuts(keys: np.ndarray, bits: int) -> np.ndarray:
     return np.searchsorted(keys >> np.uint64(64 - bits), np.arange(2**bits + 1)) if bits else np.array([0, len(keys)])
 
 
+def _given(row: dict, r: int, names: np.ndarray, bits: int) -> np.ndarray:
+    """Whether each of ``names`` occurs elsewhere, by the answers of round ``r``."""
+    keys, inverse = np.unique(names, return_inverse=True)
+    cuts, again = _cuts(keys, bits), np.zeros(len(keys), dtype=bool)
+    for x in row["told"] or []:
+        if x["round"] == r:
+            lo, hi = cuts[x["bucket"]], cuts[x["bucket"] + 1]
+            again[lo:hi] = _flags(x["bits"], hi - lo)
+    return again[inverse]
+
+
 def _replayed(row: dict, window: int, rounds: int, bits: int) -> _Parse:
     """A chunk after ``rounds`` rounds of answers (``told``: round, range, bits)."""
     parse, step = _Parse(row, window), 0
@@ -239,13 +263,7 @@ def _replayed(row: dict, window: int, rounds: int, bits: int) -> _Parse:
                 parse.pair(step)
                 step += 1
         at, names = parse.asked(last)
-        keys, inverse = np.unique(names, return_inverse=True)
-        cuts, again = _cuts(keys, bits), np.zeros(len(keys), dtype=bool)
-        for x in row["told"] or []:
-            if x["round"] == r:
-                lo, hi = cuts[x["bucket"]], cuts[x["bucket"] + 1]
-                again[lo:hi] = _flags(x["bits"], hi - lo)
-        parse.told(at, again[inverse], last)
+        parse.told(at, _given(row, r, names, bits), last)
     if rounds < len(ROUNDS):
         for _ in range(ROUNDS[rounds]):
             parse.pair(step)
@@ -258,7 +276,11 @@ def _ask(window: int, r: int, bits: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            keys, n = np.unique(_replayed(row, window, r, bits).asked(r == len(ROUNDS))[1], return_counts=True)
+            if r <= len(ROUNDS):
+                names = _replayed(row, window, r, bits).asked(r == len(ROUNDS))[1]
+            else:
+                names = _Settled(row, window, bits).asked()[1]
+            keys, n = np.unique(names, return_counts=True)
             cuts = _cuts(keys, bits)
             used = np.flatnonzero(np.diff(cuts))
             ranges = [slice(cuts[j], cuts[j + 1]) for j in used]
@@ -294,15 +316,28 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield b.slice(i, 1).to_pylist()[0]
 
 
-def _settled(row: dict, window: int, bits: int) -> tuple[_Parse, _Firsts, np.ndarray, _Firsts, np.ndarray]:
-    """The parse after all rounds; stretches and whether each is later; the windows of those that are not."""
-    parse = _replayed(row, window, len(ROUNDS) + 1, bits)
-    a, b = parse.stretches()
-    whole = parse.firsts(a, b + window)
-    later = whole.later(row["later"] or []) if "later" in row else np.zeros(len(a), dtype=bool)
-    rest = [np.arange(x, y + 1) for x, y in zip(a[~later].tolist(), b[~later].tolist(), strict=True)]
-    at = np.concatenate(rest) if rest else np.zeros(0, dtype=np.int64)
-    return parse, whole, later, parse.firsts(at, at + window), at
+class _Settled:
+    """A chunk after all rounds of names: its stretches, which of them are equal to an earlier one, and the windows of the others."""
+
+    def __init__(self, row: dict, window: int, bits: int):
+        self.row, self.bits, self.window = row, bits, window
+        self.parse = parse = _replayed(row, window, len(ROUNDS) + 1, bits)
+        self.a, self.b = parse.stretches()
+        self.whole = parse.firsts(self.a, self.b + window)
+        self.later = self.whole.later(row.get("later") or []) if "later" in row else np.zeros(len(self.a), dtype=bool)
+        rest = [np.arange(x, y + 1) for x, y in zip(self.a[~self.later].tolist(), self.b[~self.later].tolist(), strict=True)]
+        self.open = np.concatenate(rest) if rest else np.zeros(0, dtype=np.int64)
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.parse.around(self.open)
+
+    def windows(self) -> tuple[np.ndarray, _Firsts]:
+        """Open windows all of whose symbols occur in other open windows too; the others are the first of their kind."""
+        at, names = self.asked()
+        self.parse.dead[:] = 0
+        self.parse.told(at, _given(self.row, len(ROUNDS) + 1, names, self.bits), True)
+        found = self.open[np.cumsum(self.parse.dead)[self.open] == 0]
+        return found, self.parse.firsts(found, found + self.window)
 
 
 def _records(window: int, bits: int, single: bool) -> Callable:
@@ -310,11 +345,11 @@ def _records(window: int, bits: int, single: bool) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            parse, whole, _, windows, _ = _settled(row, window, bits)
-            f = windows if single else whole
+            s = _Settled(row, window, bits)
+            f = s.windows()[1] if single else s.whole
             h = f.heads
-            ids, digests = (np.array([k[i] for k in parse.keys], dtype=np.int64) for i in (1, 2))
-            no_id = np.array([k[0] for k in parse.keys], dtype=bool)
+            ids, digests = (np.array([k[i] for k in s.parse.keys], dtype=np.int64) for i in (1, 2))
+            no_id = np.array([k[0] for k in s.parse.keys], dtype=bool)
             d = f.doc[h]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x) for x in (f.k1[h].view(np.int64), f.k2[h].view(np.int64), no_id[d], ids[d], digests[d], f.pos[h].astype(np.int32), np.full(len(h), row["chunk"], np.int64), h.astype(np.int32))],
@@ -328,11 +363,12 @@ def _kept(window: int, bits: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            parse, whole, later, windows, at = _settled(row, window, bits)
-            a, b = parse.stretches()
+            s = _Settled(row, window, bits)
+            parse = s.parse
             cover = np.zeros(len(parse.words) + 1, dtype=np.int64)
-            np.add.at(cover, a[later], 1)
-            np.add.at(cover, b[later] + window, -1)
+            np.add.at(cover, s.a[s.later], 1)
+            np.add.at(cover, s.b[s.later] + window, -1)
+            at, windows = s.windows()
             found = at[windows.later(row["found"] or [])]
             np.add.at(cover, found, 1)
             np.add.at(cover, found + window, -1)
@@ -393,10 +429,13 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
             out = out.join(slots.groupBy("chunk").agg(F.collect_list("slot").alias(name)).hint("merge"), "chunk", "left")
         return out
 
-    for r in range(len(ROUNDS) + 1):
-        asked = told().mapInArrow(_ask(window, r, bits), "bucket int, chunk long, keys binary, twice binary")
+    def named(r: int, more: dict[str, DataFrame]) -> DataFrame:
+        asked = told(more).mapInArrow(_ask(window, r, bits), "bucket int, chunk long, keys binary, twice binary")
         given = asked.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(_answer(r), "chunk long, round int, bucket int, bits binary")
-        answers = answers.unionByName(stored(given, "names")[0])
+        return answers.unionByName(stored(given, "names")[0])
+
+    for r in range(len(ROUNDS) + 1):
+        answers = named(r, {})
 
     def compared(single: bool, more: dict[str, DataFrame]) -> DataFrame:
         """Slots of the stretches or windows whose words start earlier elsewhere."""
@@ -407,6 +446,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
         return stored(found.join(first.hint("merge"), ["k1", "k2"]).where(at != F.col("first")).select("chunk", "slot"), "later")[0]
 
     later = {"later": compared(False, {})}
+    answers = named(len(ROUNDS) + 1, later)
     more = later | {"found": compared(True, later)}
     whole = told(more, content)
     return whole.mapInArrow(_kept(window, bits), "doc_id long, n_words long, n_removed long, removed array<struct<first:int,last:int>>, kept string")
