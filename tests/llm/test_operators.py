@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from limitrank.llm import ann, bpe, chat, embed_dedup, jaccard, langid, lm_score, mixing, queries, url_filter, warc
+from limitrank.llm import ann, bpe, chat, embed_dedup, jaccard, langid, mixing, queries, url_filter, warc
 
 WORDS = "ein the of und para les con was nicht pour every small"
 
@@ -455,37 +455,6 @@ def test_bpe_rows(spark):
     assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids binary"), path).first().decoded == ""
 
 
-# 8
-def test_lm_scores(spark):
-    rows = [(1, "abab abab abab"), (2, "xyz xyz xyz xyz"), (3, None), (4, ""), (5, "abab"), (5, "abab")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
-    got = defaultdict(list)
-    for r in lm_score.cross_entropy_difference(docs, docs.where("doc_id = 1").select("doc_id")).collect():
-        got[r.doc_id].append((r.n_tokens, r.score))
-    counts = np.zeros((2, lm_score.CELLS), dtype=np.int64)
-    for i, t in rows:
-        for c in lm_score.cells(t) if t else ():
-            counts[1][c] += 1
-            counts[0][c] += i == 1
-
-    def loss(table, c):
-        p = 1 / lm_score.SYMBOLS
-        for k in range(1, lm_score.ORDER + 1):
-            span, low = lm_score.SYMBOLS ** k, c % lm_score.SYMBOLS ** k
-            same = table.reshape(-1, span).sum(axis=0)
-            ctx = same[low - low % lm_score.SYMBOLS : low - low % lm_score.SYMBOLS + lm_score.SYMBOLS]
-            if ctx.sum():
-                p = max(same[low] - 0.75, 0) / ctx.sum() + 0.75 * (ctx > 0).sum() / ctx.sum() * p
-        return -np.log(p)
-
-    for i, t in rows:
-        if t:
-            want = np.mean([loss(counts[0], c) - loss(counts[1], c) for c in lm_score.cells(t)])
-            assert all(n == len(t) and s == pytest.approx(want, abs=1e-5) for n, s in got[i])
-    assert got[3] == got[4] == [(0, None)] and len(got[5]) == 2 and got[1][0][1] < 0 < got[2][0][1]
-    assert lm_score.cross_entropy_difference(docs.limit(0), docs.select("doc_id")).count() == 0
-
-
 # 9
 def test_url_verdicts(spark):
     link = '<link rel="canonical" href="{}">'

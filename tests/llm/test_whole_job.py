@@ -29,38 +29,55 @@ def test_word_model_against_brute_force(spark, monkeypatch, chunk):
         got[r.doc_id].append((r.n_tokens, r.score))
     cut = {"The cat sat!": ["The", "cat", "sat", "!"], "漢字 and 1 2": ["漢", "字", "and", "1", "2"]}
     lists = [(i, cut.get(t, (t or "").split())) for i, t in rows]
-    tables = []
-    for chosen in (good, None):
+    n_target = sum(len(x) for i, x in lists if i in good)
+    share = min(1.0, n_target / (sum(len(x) for _, x in lists) - n_target))
+    drawn = lambda i: i not in good and word_lm._name(repr(i).encode()) % 2**64 < share * 2.0**64
+
+    def tables(chosen):
         one, before, two = Counter(), Counter(), Counter()
-        for i, x in lists:
-            if x and (chosen is None or i in chosen):
+        for x in chosen:
+            if x:
                 one.update([*x, "</>"])
                 before.update(["<>", *x])
                 two.update(zip(["<>", *x], [*x, "</>"], strict=True))
-        tables.append((one, before, two))
+        return one, before, two
+
+    every = tables([x for _, x in lists])[0]
+    models = [tables([x for i, x in lists if chosen(i)]) for chosen in (lambda i: i in good, drawn)]
 
-    def loss(table, a, b):
-        one, before, two = table
-        p = (one[b] + 1000 * tables[1][0][b] / tables[1][0].total()) / (one.total() + 1000)
-        return -np.log((two[a, b] + 4 * p) / (before[a] + 4))
+    def loss(model, own, a, b):
+        one, before, two = ({k: v - o[k] for k, v in c.items()} for c, o in zip(model, own, strict=True))
+        p = (one.get(b, 0) + 1000 * every[b] / every.total()) / (sum(one.values()) + 1000)
+        return -np.log((two.get((a, b), 0) + 4 * p) / (before.get(a, 0) + 4))
 
     want = defaultdict(list)
     for i, x in lists:
         steps = list(zip(["<>", *x], [*x, "</>"], strict=True))
-        want[i].append((len(x), np.mean([loss(tables[0], *s) - loss(tables[1], *s) for s in steps]) if x else None))
+        own = [tables([x] if learns else []) for learns in (i in good, drawn(i))]
+        want[i].append((len(x), np.mean([loss(models[0], own[0], *s) - loss(models[1], own[1], *s) for s in steps]) if x else None))
+    assert 0 < sum(drawn(i) for i, _ in lists) < len(lists) - len(good)
     assert set(got) == set(want)
     for i, w in want.items():
         assert [n for n, _ in got[i]] == [n for n, _ in w] and all(a == b if b is None else a == pytest.approx(b) for (_, a), (_, b) in zip(got[i], w, strict=True))
-    assert got[0][0][1] < got[1][0][1] and got[2][0][1] < got[3][0][1]
     assert word_lm.cross_entropy_difference(docs.limit(0), targets).count() == 0
 
 
 def test_query_scores_words(spark, tmp_path):
     """Texts that byte classes cannot tell apart: the query must."""
-    spark.createDataFrame([(1, "дом 12 a"), (2, "дол 13 A"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "дом 12 a"), (2, "дол 13 A"), (3, None), (4, "дом 12 a b"), (5, "дол 13 A b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r.doc_id: r.score for r in queries.lm_scores(spark, str(tmp_path)).collect()}
-    assert got[1] < 0 < got[2] and got[3] is None
+    assert got[4] < got[5] and got[3] is None
+
+
+def test_documents_out_of_the_list_score_like_those_in_it(spark, data):
+    """Models of half of the good documents: the other half scores as the first does, and bad ones far above both."""
+    docs, labels = (spark.read.parquet(f"{data.replace('sf0.001', 'sf0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    half = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    scored = word_lm.cross_entropy_difference(docs, labels.where((F.col("quality") == 1) & half)).join(labels, "doc_id")
+    mean = {(r.quality, r.half): r.mean for r in scored.groupBy("quality", half.alias("half")).agg(F.avg("score").alias("mean")).collect()}
+    bad = min(mean[0, True], mean[0, False])
+    assert max(mean[1, True], mean[1, False]) + 1 < bad and abs(mean[1, True] - mean[1, False]) < (bad - mean[1, False]) / 2
 
 
 # 10
