@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from .common import group_starts, map_texts, scratch_dir, stored, values, whole_
 from .word_lm import _packed, _unpacked
 
 #: Words after which a chunk ends (with a whole document), and names that are counted in a range of hashes, about.
-CHUNK, RANGE = 500_000, 2_000_000
+CHUNK, RANGE = 350_000, 2_000_000
 #: Pairings in each of the rounds after which names are given.
 ROUNDS = (2, 2)
 #: One of so many symbols ends a stretch.
@@ -49,6 +50,12 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(maxsize=4)
+def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of a base and of its inverse."""
+    return tuple(np.multiply.accumulate(np.append(np.uint64(1), np.full(n - 1, x, dtype=np.uint64))) for x in _BASES[which])
+
+
 def _digest(b: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little", signed=True)
 
@@ -95,21 +102,28 @@ class _Parse:
         n, ends = len(self.words), np.cumsum(self.sizes)
         self.begin, self.end = np.repeat(ends - self.sizes, self.sizes), np.repeat(ends, self.sizes)
         # texts equal in id and words are one text
-        keys = [(i is None, i or 0, d) for i, d in zip(row["ids"], row["digests"], strict=True)]
-        places = {k: j for j, k in enumerate(sorted(set(keys)))}
-        self.place, self.keys = np.array([places[k] for k in keys], dtype=np.int64), keys
-        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.keys = [(i is None, i or 0, d) for i, d in zip(row["ids"], row["digests"], strict=True)]
         self.dead = np.zeros(n + window + 2, dtype=np.int64)
-        self.sums = []
-        for base, inverse in _BASES:
-            up = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, base, dtype=np.uint64)))
-            down = np.multiply.accumulate(np.append(np.uint64(1), np.full(n, inverse, dtype=np.uint64)))
-            self.sums.append((np.append(np.uint64(0), np.cumsum(self.words * up[:n], dtype=np.uint64)), down))
+        self.sums: dict[int, np.ndarray] = {}
         self._runs()
 
+    @cached_property
+    def doc(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    @cached_property
+    def place(self) -> np.ndarray:
+        """Place of each text among the chunk's."""
+        places = {k: j for j, k in enumerate(sorted(set(self.keys)))}
+        return np.array([places[k] for k in self.keys], dtype=np.int64)
+
     def stretch(self, a: np.ndarray, b: np.ndarray, which: int) -> np.ndarray:
         """64 bits of the words from ``a`` to before ``b``."""
-        total, down = self.sums[which]
+        n = len(self.words)
+        up, down = _powers(which, 1 << max(10, n.bit_length()))
+        if which not in self.sums:
+            self.sums[which] = np.append(np.uint64(0), np.cumsum(self.words * up[:n], dtype=np.uint64))
+        total = self.sums[which]
         return _spread((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(_ODD))
 
     def _runs(self, most: int = 4) -> None:
