@@ -109,8 +109,8 @@ def _path(url: str) -> str:
 def url_verdicts(rules: Sequence[Rule]) -> str:
     """SQL for the verdicts of all pages under ``rules``: the longest rule, else block for what a blocked address reaches.
 
-    Of links in html, all canonical and refresh tags with an address in full or from the root are read; other relative forms are left to the
-    test against a parser.
+    Of links in html, all canonical and refresh tags outside comments and scripts with an address in full or from the root are read; other
+    relative forms are left to the test against a parser.
     """
     longest = sorted(rules, key=lambda r: (-len(r.name), r.name, r.verdict))
     fits = [f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')" for r in longest]
@@ -121,15 +121,21 @@ with recursive p as (
   select page_id, url, html, {_host("url")} as host, {_path("url")} as path, {_node("url")} as node from pages
 ), j as (
   select page_id, host, path, node, case {name} end as rule, case {verdict} end as own from p
+), shown as (
+  select url, node, regexp_replace(regexp_replace(html, '(?s)<!--.*?(-->|\z)', '', 'g'), '(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)', '', 'g') as html from p
 ), tags as (
-  select url, node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\s[^>]*>')) as tag from p
+  select url, node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\s(?:"[^"]*"|''[^'']*''|[^''">])*>')) as tag,
+    nullif(regexp_extract(html, '(?is)<base\s(?:[^>]*?\s)?href\s*=\s*["'']?\s*([^"''\s>]+)', 1), '') as base from shown
+), valued as (
+  select *, regexp_extract(tag, '(?is)\shref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^"''\s>]+))', ['q', 's', 'n']) as h,
+    regexp_extract(tag, '(?is)\srel\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^"''\s>]+))', ['q', 's', 'n']) as r from tags
 ), goals as (
-  select url, node, replace(regexp_extract(tag, '(?is)\shref\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') as t from tags
-    where regexp_matches(tag, '(?is)\A<link') and list_contains(string_split(lower(coalesce(nullif(regexp_extract(tag, '(?is)\srel\s*=\s*["'']([^"'']*)', 1), ''), regexp_extract(tag, '(?is)\srel\s*=\s*([^"''\s>]+)', 1))), ' '), 'canonical')
+  select url, coalesce(base, url) as base, node, replace(trim(replace(h.q || h.s || h.n, '&amp;', '&')), ' ', '%20') as t from valued
+    where regexp_matches(tag, '(?is)\A<link') and list_contains(string_split(lower(r.q || r.s || r.n), ' '), 'canonical')
   union all
-  select url, node, replace(regexp_extract(tag, '(?is)url\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') from tags where regexp_matches(tag, '(?is)\A<meta.*http-equiv\s*=\s*["'']?refresh')
+  select url, coalesce(base, url), node, replace(regexp_extract(tag, '(?is)url\s*=\s*["'']?\s*([^"''\s>]+)', 1), '&amp;', '&') from tags where regexp_matches(tag, '(?is)\A<meta.*\shttp-equiv\s*=\s*["'']?refresh')
 ), links as (
-  select node as a, case when starts_with(t, '//') then split_part(url, '//', 1) || t when starts_with(t, '/') then split_part(url, '://', 1) || '://' || {_host("url")} || t else t end as goal from goals where t <> ''
+  select node as a, case when starts_with(t, '//') then split_part(base, '//', 1) || t when starts_with(t, '/') then split_part(base, '://', 1) || '://' || {_host("base")} || t else t end as goal from goals where t <> ''
 ), named as (
   select a, {_node("goal")} as b from links union select node, {_node(_spelled("url"))} from p
 ), both_ways as (

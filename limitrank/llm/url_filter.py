@@ -114,23 +114,48 @@ def absolute_url(target: Column, url: Column) -> Column:
     )
 
 
+#: A tag's name and what follows it; quoted values may hold ">".
+_BODY = r"""(?:"[^"]*+"|'[^']*+'|[^'">]++)*+>"""
+#: What a page is made of as far as tags matter: comments, elements whose content is text, and tags.
+_MARKUP = rf"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|xmp|iframe|noembed|noframes)\b{_BODY}.*?(?:</\1|\z)|</?[a-z]{_BODY}"
+_ATTRIBUTE = r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?"""
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's first attribute of that name, without quotes and with ``&amp;`` read as ``&``; null where there is none."""
+    names, values = (F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(i)) for i in (1, 2))
+    at = F.array_position(F.transform(names, lambda x: F.lower(x)), name)
+    value = F.regexp_replace(F.get(values, at.cast("int") - 1), r"(?s)\A([\"'])(.*)\1\z", "$2")
+    return F.when(at > 0, F.regexp_replace(value, r"(?i)&(amp|#38|#x26);", "&"))
+
+
+def _address(text: Column) -> Column:
+    """An address as browsers read it from markup: no white space around it, no line breaks in it, spaces as ``%20``."""
+    return F.replace(F.regexp_replace(F.regexp_replace(text, r"\A[\x00-\x20]+|[\x00-\x20]+\z", ""), r"[\t\r\n]", ""), F.lit(" "), F.lit("%20"))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """Edges (a, b) between url nodes: all canonical links and refresh redirects in the whole html of pages.
 
-    Relative targets are resolved against the page's address and ``&amp;`` is read as ``&``. Null url or html, and links to nowhere,
+    Html is cut into tags first: quoted values are whole, and what stands in comments, scripts and other elements of mere text is none.
+    Relative targets are resolved against the page's address, or its first ``<base href>``. Null url or html, and links to nowhere,
     give no edge.
     """
-    url, html = F.col("url"), F.col("html")
-
-    def targets_of(tag: str, target: str) -> Column:
-        return F.transform(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda x: F.regexp_extract(x, target, 1))
-
-    # canonical may be any word of a quoted list
-    canonical = targets_of(r"(?is)<link\b(?=[^>]*\srel\s*=\s*(?:\"[^\">]*(?<=[\"\s])canonical[\"\s]|'[^'>]*(?<=['\s])canonical['\s]|canonical[\s/>]))[^>]*>", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)")
-    refresh = targets_of(r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*>", r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*[\"']?\s*([^\"'\s>]+)")
-    targets = pages.select("url", F.explode(F.concat(canonical, refresh)).alias("to")).where((F.col("to") != "") & url.isNotNull())
-    to = F.regexp_replace("to", r"(?i)&(amp|#38|#x26);", "&")
-    edges = targets.select(url_node(url).alias("a"), url_node(absolute_url(to, url)).alias("b"))
+    url = F.col("url")
+    # neither word, no such link: most pages are not cut up at all
+    d = pages.where(url.isNotNull() & F.col("html").rlike(r"(?i)canonical|refresh")).select("url", F.regexp_extract_all("html", F.lit(_MARKUP), F.lit(0)).alias("markup"))
+    named = lambda x, word: F.lower(F.substring(x, 1, len(word) + 2)).rlike(rf"\A<{word}[\s/>]")
+    bases = F.filter(F.transform(F.filter("markup", lambda x: named(x, "base")), lambda x: _address(_attribute(x, "href"))), lambda x: x.isNotNull())
+    d = d.select("url", F.coalesce(absolute_url(F.get(bases, F.lit(0)), url), url).alias("base"), F.explode(F.filter("markup", lambda x: named(x, "link") | named(x, "meta"))).alias("tag"))
+    tag = F.col("tag")
+    # canonical may be any word of a list
+    canonical = named(tag, "link") & F.array_contains(F.split(F.lower(_attribute(tag, "rel")), r"[\t\n\f\r ]+"), "canonical")
+    refresh = named(tag, "meta") & (F.lower(F.trim(_attribute(tag, "http-equiv"))) == "refresh")
+    told = F.regexp_extract(_attribute(tag, "content"), r"(?is)\burl\s*=\s*(.*)\z", 1)
+    told = F.regexp_replace(told, r"(?s)\A([\"'])([^\"']*).*\z", "$2")
+    d = d.select("url", "base", F.when(canonical, _attribute(tag, "href")).when(refresh, told).alias("to"))
+    d = d.withColumn("to", _address(F.col("to"))).where(F.col("to") != "")
+    edges = d.select(url_node(url).alias("a"), url_node(absolute_url(F.col("to"), F.col("base"))).alias("b"))
     return edges.where("a is not null and b is not null and a <> b").distinct()
 
 
