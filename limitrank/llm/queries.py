@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, embed_dedup, hard_negatives, jaccard, langid, mixing, oracles, recompress, resample, url_filter, warc, word_lm
@@ -28,15 +28,44 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def _event_log(rows: DataFrame) -> DataFrame:
+    """The log that a service would have kept of ``rows`` (conv_id, turn, role, text), out of order: folding it must give the rows back.
+
+    By its content a row was sent whole; or streamed in three parts; or drafted, edited and streamed on; or drafted, generated anew at once and
+    streamed, beside a message that was opened and deleted. Rows without a turn were sent whole. Conversation -1 was also generated anew late, which
+    drops a message that was opened meanwhile. Texts are cut, not copied.
+    """
+    at, text, n = F.col("turn") * 8, F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
+    kind = F.when(F.col("turn").isNull(), 0).when(F.col("conv_id") == -1, 4).otherwise(F.pmod(F.xxhash64("conv_id", "turn", "text"), F.lit(4)))
+    third = F.floor(n / 3).cast("int")
+    part = lambda i: F.substring(text, i * third + 1, n if i == 2 else third)
+    own, other = F.col("id"), -1 - F.col("id")
+
+    def event(step: int, name: str, words: Column, msg: Column = own) -> Column:
+        return F.struct((at + step).alias("seq"), msg.alias("msg_id"), F.lit(name).alias("kind"), F.when(F.lit(name == "message"), F.col("role")).alias("role"), words.alias("text"))
+
+    draft, none = F.lit("draft"), F.lit(None).cast("string")
+    aside = [event(1, "message", draft, other), event(2, "delta", draft, other)]
+    logs = [
+        [event(0, "message", text)],
+        [event(0, "message", part(0)), event(1, "delta", part(1)), event(2, "delta", part(2))],
+        [event(0, "message", draft), event(1, "delta", draft), event(2, "edit", part(0)), event(3, "delta", part(1)), event(4, "delta", part(2))],
+        [event(0, "message", draft), event(0, "regenerate", none), event(1, "delta", part(0)), event(2, "delta", part(1)), event(3, "delta", part(2)), *aside, event(3, "delete", none, other)],
+        [event(0, "message", draft), *aside, event(4, "regenerate", none), event(5, "delta", part(0)), event(6, "delta", part(1)), event(7, "delta", part(2))],
+    ]
+    log = F.when(kind == 0, F.array(*logs[0]))
+    for i, events in enumerate(logs[1:], 1):
+        log = log.when(kind == i, F.array(*events))
+    return rows.withColumn("id", F.monotonically_increasing_id()).select("conv_id", F.explode(F.reverse(log)).alias("e")).select("conv_id", "e.*")
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of conversations as ``message`` events, with the contract's conversation -1, read back from the output."""
+    """The event log of conversations, with the contract's conversation -1, folded, formatted and read back from the output."""
     c = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.element_at(F.array(F.lit("user"), F.lit("assistant")), (F.col("id") + 1).cast("int")).alias("role"), F.lit(tricky).alias("text"))
-    rows = c.unionByName(more)
-    # rows of one turn are messages of their own
-    events = rows.withColumn("msg_id", F.monotonically_increasing_id())
-    out = chat.read_back(chat.format_conversations(events.withColumns({"seq": F.col("turn"), "kind": F.lit("message")})))
+    events = _event_log(c.unionByName(more))
+    out = chat.read_back(chat.format_conversations(events))
     told = F.array_join(F.transform("read", lambda r: F.concat(r["role"], F.lit("\n"), r["text"], F.lit("\n"))), "")
     learned = F.array_join("learned", "")
     return out.select(

@@ -10,10 +10,21 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from limitrank.llm import langid, queries, url_filter, word_lm
+from limitrank.llm import chat, langid, queries, url_filter, word_lm
 from limitrank.llm.common import connected_components, stored
 
 
+# 1
+def test_the_log_of_the_query_has_to_be_folded(spark, data):
+    """Every kind of event is in it, most rows are several events, and no order of arrival gives the rows back."""
+    rows = spark.read.parquet(f"{data}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame([(-1, 0, "user", "abc"), (5, None, "user", None), (6, 1, None, "é" * 7), (6, 1, None, "é" * 7)], "conv_id long, turn long, role string, text string"))
+    events = queries._event_log(rows)
+    kinds = {r.kind: r.n for r in events.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert set(kinds) == {"message", "delta", "edit", "regenerate", "delete"} and kinds["delta"] > rows.count()
+    folded = Counter((r.conv_id, r.role, r.text) for r in chat.fold_events(events).collect())
+    assert folded == Counter((r.conv_id, r.role or "", r.text or "") for r in rows.collect())
+
+
 # 8
 @pytest.mark.parametrize("chunk", [20, 1_000_000])
 def test_word_model_against_brute_force(spark, monkeypatch, chunk):
