@@ -15,33 +15,50 @@ from limitrank.llm.queries import tokenizer_path
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that language identification does not reject; the model is learned from their own labels."""
+    """Documents that language identification does not reject; the model is learned from their own labels.
+
+    Texts that are null or have no letter are rejected. Rows are judged one by one, so repeated rows stay or go together; without a labelled
+    row nothing is known and all go; no rows give no rows. Columns named as the classifier's results pass through like all others.
+    """
     model = langid.fit(docs)
-    return langid.classify(docs, model).where(~F.col("rejected")).select(*docs.columns)
+    aside = {c: f"__own_{c}" for c in ("lang_pred", "score", "rejected") if c in docs.columns}
+    kept = langid.classify(docs.withColumnsRenamed(aside), model).where(~F.col("rejected"))
+    return kept.select(*[F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates (five words, 0.8): that with the smallest id, null ids last.
 
     Rows are compared as rows, each under a key of its own, whatever their ids: of repeated rows one stays, rows of one id with
-    different texts stand for themselves, and rows with a null id take part. A row without a word is its own group and stays.
+    different texts stand for themselves, and rows with a null id take part. A row without a word is its own group and stays. No rows give
+    no rows, and columns of any name pass through.
     """
-    keyed, _ = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = jaccard.near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "component_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
+    row = "_row"
+    while row in docs.columns:
+        row = f"_{row}"
+    keyed, _ = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = jaccard.near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row))
     # the groups grow with the documents, so they are never broadcast
-    keep = keyed.select("_row", "doc_id").join(groups.hint("merge"), "_row").groupBy("component_id").agg(first["_row"].alias("_row"))
-    return keyed.join(keep.select("_row").hint("merge"), "_row", "left_semi").select(*docs.columns)
+    keep = keyed.select(row, "doc_id").join(groups.hint("merge"), row).groupBy("component_id").agg(first[row].alias(row))
+    return keyed.join(keep.select(row).hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.
+
+    Null texts have no words and are never taken. A null source is a source of its own; rows equal in id and text are taken alike, null ids told
+    apart by their texts; no rows give no rows.
+    """
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: doc_id, source, n_tokens, ids (packed, 4 bytes each) and digests of the ids and the
-    decoded text."""
+    decoded text.
+
+    A null text is an empty one; every row has its result, repeated ones too; no rows give no rows; other columns are left out.
+    """
     out = bpe.round_trip(docs.select("doc_id", "source", "text"), tokenizer_path())
     return out.select(
         "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
