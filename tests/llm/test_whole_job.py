@@ -310,3 +310,31 @@ def test_stages_against_brute_force(spark, data):
         ids = np.array(tok.encode(texts[r.doc_id], add_special_tokens=False).ids, "<u4").tobytes()
         assert (r.n_tokens, bytes(r.ids), r.ids_sha256) == (len(ids) // 4, ids, hashlib.sha256(ids).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_stages_of_odd_tables(spark, data):
+    """Empty tables, nulls in every column, and columns named like those that stages make."""
+    clash = ("lang_pred", "score", "rejected", "_row", "__row", "component_id", "taken", "hash", "ids")
+    text = "the of and to in a house river stone light " * 3
+    rows = [(i, f"{text} {i * 7919}", "en", "s") for i in range(8)] + [(None, None, None, None), (9, None, "en", "s"), (None, text + "more words here", None, None), (3, rows_text := f"{text} 23757", "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumns({c: F.lit(f"own {c}") for c in clash})
+    for given in (docs, docs.limit(0), docs.where("lang is null")):
+        at = given
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            at, _ = stored(stage(spark, at, data), "stage")
+            assert at.columns == docs.columns and at.where(" or ".join(f"{c} <> 'own {c}'" for c in clash)).count() == 0, name
+        out = corpus_pipeline.STAGES[-1][1](spark, at, data)
+        assert out.count() == at.count() and (given is not docs) == (out.count() == 0)
+    assert rows_text in {r.text for r in docs.collect()}
+
+
+def test_the_registered_pipeline(spark, data, tmp_path):
+    """The query over tables on disk gives what its stages give one by one."""
+    spark.read.parquet(f"{data}/documents.parquet").where("doc_id < 60").write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter((r.doc_id, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    at = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    texts = {r.doc_id: r.text for r in at.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        at, _ = stored(stage(spark, at, str(tmp_path)), "stage")
+    assert Counter(i for i, _, _ in got.elements()) == Counter(r.doc_id for r in at.collect()) and len(got) > 20
+    assert all(d == hashlib.sha256(texts[i].encode()).hexdigest() for i, _, d in got)
