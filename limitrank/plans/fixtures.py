@@ -157,14 +157,15 @@ def raw_sources(spark: SparkSession, sf_dir: str, late: bool = True, bars: DataF
     # every other month comes without a date of its own
     dated = F.when(F.col("revenue_month") % 2 == 0, F.col("row_date").cast("string"))
     r = F.to_json(F.struct("stock_id", "revenue_year", "revenue_month", F.col("revenue").cast("bigint").alias("revenue"), F.coalesce(told, F.lit("")).alias("create_time"), dated.alias("date")))
+    one_day = lambda df: (df.withColumn("day", F.lit(datetime.date(2024, 1, 30))), "day")  # noqa: E731  asked for once, for all days
     made = {
         "prices_twse": (csv, "target_date"), "prices_tpex": (js, "target_date"),
         "valuations_twse": (_paged(v.where("market = 'TWSE'"), ["snapshot_date"], value("Code", "PEratio"), "[", ",", "]"), "snapshot_date"),
         "valuations_tpex": (_paged(v.where("market = 'TPEX'"), ["snapshot_date"], value("SecuritiesCompanyCode", "PriceEarningRatio"), "[", ",", "]"), "snapshot_date"),
-        "info": (_paged(m, [], F.concat_ws(",", old, info), '{"data":[{"stock_id":" ","type":"twse"},{"stock_id":"7777","type":"emerging"},', ",", "]}").withColumn("day", F.lit(datetime.date(2024, 1, 30))), "day"),
-        "history": (_paged(b, ["trading_date"], h, '{"data":[{"date":"2024-1-1","stock_id":"0001","close":1,"Trading_Volume":1,"Trading_money":1},', ",", "]}"), "trading_date"),
-        "flows": (_paged(flow_rows(spark, sf_dir), ["trading_date"], f, '{"data":[', ",", "]}"), "trading_date"),
-        "revenue": (_paged(revenue_rows(spark, sf_dir), ["row_date"], r, '{"data":[{"stock_id":"0001","revenue_year":1999,"revenue_month":13,"revenue":1},', ",", "]}"), "row_date"),
+        "info": one_day(_paged(m, [], F.concat_ws(",", old, info), '{"data":[{"stock_id":" ","type":"twse"},{"stock_id":"7777","type":"emerging"},', ",", "]}")),
+        "history": one_day(_paged(b, ["trading_date"], h, '{"data":[{"date":"2024-1-1","stock_id":"0001","close":1,"Trading_Volume":1,"Trading_money":1},', ",", "]}")),
+        "flows": one_day(_paged(flow_rows(spark, sf_dir), ["trading_date"], f, '{"data":[', ",", "]}")),
+        "revenue": one_day(_paged(revenue_rows(spark, sf_dir), ["row_date"], r, '{"data":[{"stock_id":"0001","revenue_year":1999,"revenue_month":13,"revenue":1},', ",", "]}")),
     }
     out = None
     for source, (df, day) in made.items():

@@ -6,7 +6,8 @@ import tempfile
 import uuid
 from multiprocessing.pool import ThreadPool
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -24,16 +25,20 @@ def work_dir(spark: SparkSession) -> str:
 class WorkTables:
     """Writes tables once and reads them back, so that later stages start from a file and not from the whole plan before.
 
-    A lost executor costs no earlier stage. ``drop`` removes what was written, when nothing reads it any more.
+    A lost executor costs no earlier stage. ``drop`` removes what was written, when nothing reads it any more. ``counts`` has the rows of each
+    table, which are counted while it is written and not by reading it again.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.folder = f"{work_dir(spark)}/job-{uuid.uuid4().hex}"
+        self.counts: dict[str, int] = {}
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        df.write.parquet(path)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        self.counts[name] = seen.get["n"]
         return self.spark.read.schema(df.schema).parquet(path)
 
     def read(self, name: str) -> DataFrame:
