@@ -23,8 +23,8 @@ from .common import stored
 
 #: Split points of a node, leaves of the tree, and rows of the sample that it is fitted on, at most.
 FAN, MOST_LEAVES, SAMPLE = 16, 4096, 20_000
-#: Rows that a task holds of a leaf, and anchors whose best rows it holds, at most.
-SLICE, HELD = 512, 20_000
+#: Rows that a task holds of a leaf: as many as a leaf aims at, within these bounds. Anchors whose best rows it holds, and scores at once, at most.
+SLICE, HELD, SCORES = (512, 65_536), 20_000, 4_000_000
 #: A leaf aims at this many times the root of the number of rows, so that leaves and anchors' ways grow alike.
 LEAF_ROOTS = 2.0
 
@@ -210,8 +210,9 @@ class Index:
             node = tree.nodes[r.node]
             node.near.ravel()[r.pair], node.far.ravel()[r.pair] = r.near, r.far
         self.slices = np.zeros(tree.n_leaves, dtype=np.int64)
+        size = int(min(SLICE[1], max(SLICE[0], LEAF_ROOTS * n**0.5)))
         for r in self.rows.groupBy("leaf").count().collect():
-            self.slices[r.leaf] = -(-r["count"] // SLICE)
+            self.slices[r.leaf] = -(-r["count"] // size)
 
     def best(self, anchors: DataFrame, k: int, same_label: bool) -> DataFrame:
         """anchors (c, label, v, norm2, least, most: lists of scores) with the first ``k`` rows of each window: c, w, place, score, vec_id, twin.
@@ -299,27 +300,32 @@ class _Tile:
         self.x = _matrix(rows.column("v").combine_chunks(), d)
 
     def look(self, anchors: pa.Table, best: dict, k: int, same_label: bool, d: int) -> None:
+        step = max(1, SCORES // len(self.ids))
+        for i in range(0, anchors.num_rows, step):
+            self._look(anchors.slice(i, step), best, k, same_label, d)
+
+    def _look(self, anchors: pa.Table, best: dict, k: int, same_label: bool, d: int) -> None:
         q, norms, labels = _matrix(anchors.column("v").combine_chunks(), d), anchors.column("norm2").to_numpy(), anchors.column("label").to_numpy()
         if float(norms.max()) ** 0.5 * float(self.norms.max()) ** 0.5 < 2.0**53:
             s = (q @ self.x.T).astype(np.int64)  # every partial sum is a whole number that doubles hold
         else:
             s = q.astype(np.int64) @ self.x.astype(np.int64).T
-        s = np.where((labels[:, None] == self.labels[None, :]) == same_label, s, _NEVER - 1)
-        order = np.argsort(-s, axis=1, kind="stable")
-        down = -np.take_along_axis(s, order, 1)
+        s[(labels[:, None] == self.labels[None, :]) != same_label] = _NEVER - 1
         for i, (c, least, most) in enumerate(zip(anchors.column("id").to_pylist(), anchors.column("least").to_pylist(), anchors.column("most").to_pylist(), strict=True)):
+            had = [best.get((c, w), []) for w in range(len(least))]
+            least = [max(lo, -h[-1][0]) if len(h) == k else lo for lo, h in zip(least, had, strict=True)]
+            asked = [lo for lo, hi in zip(least, most, strict=True) if lo <= hi]
+            if not asked:
+                continue
+            # few rows pass what has been found so far; ties stay in the order of ids
+            rows = np.flatnonzero(s[i] >= min(asked))
+            rows = rows[np.argsort(-s[i, rows], kind="stable")]
+            down = -s[i, rows]
             for w, (lo, hi) in enumerate(zip(least, most, strict=True)):
-                had = best.get((c, w), [])
-                lo = max(lo, -had[-1][0]) if len(had) == k else lo
-                first = int(np.searchsorted(down[i], -hi))
-                new = []
-                for j in range(first, min(first + k, len(self.ids))):
-                    if -down[i, j] < lo:
-                        break
-                    r = order[i, j]
-                    new.append((int(down[i, j]), int(self.ids[r]), bool(-down[i, j] == norms[i] == self.norms[r])))
+                first = int(np.searchsorted(down, -hi))
+                new = [(int(x), int(self.ids[r]), bool(-x == norms[i] == self.norms[r])) for x, r in zip(down[first : first + k], rows[first : first + k], strict=True) if -x >= lo]
                 if new:
-                    best[c, w] = sorted(had + new)[:k]
+                    best[c, w] = sorted(had[w] + new)[:k]
 
 
 def _rows(best: dict) -> pa.RecordBatch:

@@ -100,10 +100,11 @@ def vectors(spark, rows):
     return spark.createDataFrame([(i, y, e, a) for i, y, e, a in rows], "vec_id long, label int, embedding array<float>, wanted boolean").withColumns({"c": F.lit(1), "leaf": F.lit("x"), "score": F.lit(0)})
 
 
-@pytest.mark.parametrize(("shape", "slice_", "held"), [("sphere", 512, 20_000), ("sphere", 7, 3), ("clusters", 16, 20_000), ("hot", 16, 50)])
+@pytest.mark.parametrize(("shape", "slice_", "held"), [("sphere", (512, 65_536), 20_000), ("sphere", (7, 9), 3), ("clusters", (16, 16), 20_000), ("hot", (16, 40), 50)])
 def test_negatives_against_brute_force(spark, monkeypatch, shape, slice_, held):
     monkeypatch.setattr(hard_negatives, "SLICE", slice_)
     monkeypatch.setattr(hard_negatives, "HELD", held)
+    monkeypatch.setattr(hard_negatives, "SCORES", held)
     chance = np.random.default_rng(5)
     n = 400
     x = chance.normal(size=(n, 6))
