@@ -101,7 +101,7 @@ def _paged(df: DataFrame, keys: list[str], item: Column, first: str, sep: str, l
     """Payloads of up to about PAGE stocks each: ``first``, the rows' texts in order, ``last``."""
     page = F.floor(F.col("stock_id").cast("int") / PAGE).alias("page")
     g = df.select(*keys, page, F.struct("stock_id", item.alias("t")).alias("r")).groupBy(*keys, "page").agg(F.sort_array(F.collect_list("r")).alias("r"))
-    return g.select(*keys, F.concat(F.lit(first), F.array_join(F.col("r.t"), sep), F.lit(last)).alias("payload"))
+    return g.select(*keys, "page", F.concat(F.lit(first), F.array_join(F.col("r.t"), sep), F.lit(last)).alias("payload"))
 
 
 def _roc(day: str) -> Column:
@@ -169,12 +169,13 @@ def raw_sources(spark: SparkSession, sf_dir: str, late: bool = True, bars: DataF
     }
     out = None
     for source, (df, day) in made.items():
-        part = df.groupBy(day).agg(F.collect_list("payload").alias("p")).select(F.lit(source).alias("source"), F.col(day).alias("target_date"), F.posexplode("p").alias("n", "payload"))
+        key = F.concat_ws("|", F.lit(source), *[F.col(c).cast("string") for c in df.columns if c not in ("payload", day)])
+        part = df.select(F.lit(source).alias("source"), F.col(day).alias("target_date"), key.alias("request_key"), "payload")
         out = part if out is None else out.unionByName(part)
     if late:
-        bad = b.where(F.day("trading_date") == 25).select("trading_date").distinct().select(F.lit("valuations_twse").alias("source"), F.col("trading_date").alias("target_date"), F.lit(0).alias("n"), down.alias("payload"))
+        bad = b.where(F.day("trading_date") == 25).select("trading_date").distinct().select(F.lit("valuations_twse").alias("source"), F.col("trading_date").alias("target_date"), F.lit("valuations_twse|0").alias("request_key"), down.alias("payload"))
         out = out.unionByName(bad)
-    return out.select("source", "target_date", F.concat_ws("|", "source", "n").alias("request_key"), "payload")
+    return out
 
 
 def landed(spark: SparkSession, sf_dir: str, work: WorkTables, late: bool = True, three: bool = False) -> tuple[DataFrame, DataFrame]:
