@@ -36,6 +36,15 @@ def stored(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written in buckets of ``key`` to the shared folder, so that joins on it move the other side only."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).option("path", f"{scratch_dir(spark)}/{name}").format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
 def drop_stored(spark: SparkSession, *paths: str) -> None:
     """Remove tables that ``stored`` wrote and that no later plan reads."""
     for path in paths:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_starts, stored, whole_groups
+from .common import bucketed, group_starts, stored, whole_groups
 
 #: Tokens after which a chunk ends (with a whole document), and n-grams asked for in a range of hashes, about.
 CHUNK, RANGE = 600_000, 2_000_000
@@ -218,7 +218,8 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, prior: float =
     field = docs.schema["doc_id"].dataType
     kind = docs.select("doc_id").limit(0).toArrow().schema.field(0).type
     plan = f"chunk long, ids array<{field.simpleString()}>, sizes array<int>, words array<long>, tokens binary"
-    content, _ = stored(docs.select("doc_id", "text").mapInArrow(lambda batches: _chunks(batches, kind), plan), "chunks")
+    # chunks stay where they are: joins on them move counts only
+    content = bucketed(docs.select("doc_id", "text").mapInArrow(lambda batches: _chunks(batches, kind), plan), "chunk")
     tokens = content.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = int(np.ceil(np.log2(max(1.0, tokens / RANGE))))
     places = content.select("chunk", F.posexplode(F.arrays_zip("ids", "sizes")).alias("pos", "d")).select("chunk", "pos", F.col("d.ids").alias("doc_id"), F.col("d.sizes").alias("size"))
@@ -227,7 +228,6 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, prior: float =
     hits, _ = stored(found.groupBy("chunk").agg(F.collect_list("pos").alias("pos"), F.sum("size").alias("size")), "targets")
     learned = hits.agg(F.sum("size")).first()[0] or 0
     share = min(1.0, learned / max(1, tokens - learned))
-    # both joins deal the same columns of the chunks by the same key, so that they are shuffled once and used twice
     known = content.join(hits.select("chunk", "pos").hint("merge"), "chunk", "left")
     columns = ", ".join(f"{x} binary" for x in _COUNTED)
     asked = known.mapInArrow(_ask(bits, share), f"bucket int, chunk long, keys binary, {columns}")
