@@ -16,24 +16,25 @@ ranges of their hashes, travel, with a bit each for the answers.
 
 from __future__ import annotations
 
-import hashlib
-import uuid
+from array import array
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import group_starts, map_texts, scratch_dir, stored, values, whole_groups
+from .common import bucketed, group_starts, map_texts, stored, values, whole_groups
 from .word_lm import _packed, _unpacked
 
 #: Words after which a chunk ends (with a whole document), and names that are counted in a range of hashes, about.
 CHUNK, RANGE = 350_000, 2_000_000
 #: Pairings in each of the rounds after which names are given.
-ROUNDS = (2, 2)
+ROUNDS = (2, 1)
 #: One of so many symbols ends a stretch.
 STRETCH = 8
 
@@ -57,22 +58,28 @@ def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _digest(b: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(b, digest_size=8).digest(), "little", signed=True)
+    return int(np.uint64(xxhash.xxh64_intdigest(b)).astype(np.int64))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of (doc_id, text) as chunks: ids, digests and sizes of texts, digests of distinct words, the number of each word's, and the words."""
     part, made = TaskContext.get().partitionId(), 0
-    ids, digests, sizes, tokens, lines, index = [], [], [], [], [], {}
+
+    def fresh() -> tuple:
+        index = defaultdict(int)
+        index.default_factory = index.__len__  # a new word gets the next number
+        return [], [], [], array("q"), [], index
 
     def row() -> pa.RecordBatch:
-        lists = [pa.array([x], pa.list_(t)) for x, t in ((ids, pa.int64()), (digests, pa.int64()), (sizes, pa.int32()), ([_digest(w) for w in index], pa.int64()))]
+        named = np.array([xxhash.xxh64_intdigest(w) for w in index], dtype=np.uint64).view(np.int64)
+        lists = [pa.array([x], pa.list_(t)) for x, t in ((ids, pa.int64()), (digests, pa.int64()), (sizes, pa.int32()), (named, pa.int64()))]
         content = b"\n".join(lines)
-        packed = [_packed(np.array(tokens, dtype=np.int64)), pa.compress(content, codec="zstd", asbytes=True)]
+        packed = [_packed(np.frombuffer(tokens, dtype=np.int64)), pa.compress(content, codec="zstd", asbytes=True)]
         return pa.RecordBatch.from_arrays(
             [pa.array([(part << 32) + made], pa.int64()), *lists, *[pa.array([x], pa.binary()) for x in packed], pa.array([len(content)], pa.int64())],
             names=["chunk", "ids", "digests", "sizes", "words", "tokens", "content", "bytes"])
 
+    ids, digests, sizes, tokens, lines, index = fresh()
     for b in batches:
         for doc_id, text in zip(values(b.column(0), 64), values(b.column(1), 64), strict=True):
             words = (text or "").encode("utf-8", "replace").split()  # at bytes 9 to 13 and 32
@@ -81,31 +88,26 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(_digest(line))
             sizes.append(len(words))
             lines.append(line)
-            tokens += [index.setdefault(w, len(index)) for w in words]
+            tokens.extend(map(index.__getitem__, words))
             if len(tokens) >= CHUNK or len(ids) >= CHUNK // 4:
                 yield row()
-                ids, digests, sizes, tokens, lines, index, made = [], [], [], [], [], {}, made + 1
+                ids, digests, sizes, tokens, lines, index = fresh()
+                made += 1
     if ids:
         yield row()
 
 
-class _Parse:
-    """A chunk's words and their symbols.
-
-    ``start``, ``size`` and ``name`` of each symbol; ``left`` and ``right``: how many words beside it decided its form (_FAR: what is not in
-    the text); ``named``: whether it may occur elsewhere; ``fresh``: whether that has not been asked. ``dead`` sums up which windows are unique.
-    """
+class _Words:
+    """A chunk's words as digests; ``begin`` and ``end`` of the text of each."""
 
     def __init__(self, row: dict, window: int):
-        self.window, self.sizes = window, np.array(row["sizes"], dtype=np.int64)
-        self.words = np.array(row["words"], dtype=np.int64).view(np.uint64)[_unpacked(row["tokens"]).astype(np.int64)]
-        n, ends = len(self.words), np.cumsum(self.sizes)
+        self.window, self.sizes = window, row["sizes"].astype(np.int64)
+        self.words = row["words"].view(np.uint64)[_unpacked(row["tokens"]).view(np.int64)]
+        ends = np.cumsum(self.sizes)
         self.begin, self.end = np.repeat(ends - self.sizes, self.sizes), np.repeat(ends, self.sizes)
         # texts equal in id and words are one text
-        self.keys = [(i is None, i or 0, d) for i, d in zip(row["ids"], row["digests"], strict=True)]
-        self.dead = np.zeros(n + window + 2, dtype=np.int64)
+        self.keys = [(i is None, i or 0, d) for i, d in zip(row["ids"], row["digests"].tolist(), strict=True)]
         self.sums: dict[int, np.ndarray] = {}
-        self._runs()
 
     @cached_property
     def doc(self) -> np.ndarray:
@@ -126,50 +128,76 @@ class _Parse:
         total = self.sums[which]
         return _spread((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(_ODD))
 
+
+def _unique_windows(lo: np.ndarray, hi: np.ndarray, window: int, n: int) -> np.ndarray:
+    """How many of the stretches from ``lo`` to before ``hi`` the window at each word holds."""
+    sums = np.zeros(n + window + 2, dtype=np.int32)
+    np.add.at(sums, np.maximum(hi - window, 0), 1)
+    np.add.at(sums, lo + 1, -1)
+    return np.cumsum(sums)[:n]
+
+
+class _Parse(_Words):
+    """A chunk's words and their symbols.
+
+    ``start``, ``size`` and ``name`` of each symbol; ``left`` and ``right``: how many words beside it decided its form (_FAR: what is not in
+    the text); ``opens``: whether a text begins with it; ``named``: whether it may occur elsewhere; ``fresh``: whether that has not been asked.
+    ``dead`` counts for each window the symbols that make it unique.
+    """
+
+    def __init__(self, row: dict, window: int):
+        super().__init__(row, window)
+        self.dead = np.zeros(len(self.words), dtype=np.int32)
+        self._runs()
+
     def _runs(self, most: int = 4) -> None:
         """Runs of two to ``most`` equal words become symbols; in longer ones words stay, and count as never decided."""
         n = len(self.words)
-        new = np.ones(n, dtype=bool)
-        new[1:] = (self.words[1:] != self.words[:-1]) | (self.begin[1:] == np.arange(1, n))
+        first_word = self.begin == np.arange(n)
+        new = first_word.copy()
+        new[1:] |= self.words[1:] != self.words[:-1]
         group = np.cumsum(new) - 1
         first = np.flatnonzero(new)
-        size = np.diff(np.append(first, n))
+        size = np.diff(np.append(first, n)).astype(np.int32)
         kept = new | (size[group] > most)
         self.start = np.flatnonzero(kept)
         k = size[group[self.start]]
         run = (k > 1) & (k <= most)
-        self.size = np.where(run, k, 1)
+        self.size = np.where(run, k, 1).astype(np.int32)
         self.name = np.where(run, _spread(self.words[self.start] + k.astype(np.uint64) * np.uint64(_ODD)), self.words[self.start])
-        long = k > most
-        self.left = np.where((self.start == self.begin[self.start]) | long, _FAR, 1)
-        self.right = np.where((self.start + self.size == self.end[self.start]) | long, _FAR, 1)
+        self.opens = first_word[self.start]
+        closes = np.append(self.opens[1:], True)[: len(self.start)]
+        self.left = np.where(self.opens | (k > most), _FAR, 1).astype(np.int32)
+        self.right = np.where(closes | (k > most), _FAR, 1).astype(np.int32)
         self.named, self.fresh = np.ones(len(self.start), dtype=bool), np.ones(len(self.start), dtype=bool)
 
     def pair(self, step: int) -> None:
         """Neighbours whose coins fall left and right become one symbol, of at most half a window."""
-        if not len(self.start):
+        n = len(self.start)
+        if not n:
             return
-        coin = (_spread(self.name + np.uint64((step + 1) * _ODD % 2**64)) >> np.uint64(63)).astype(bool)
-        stop = self.start + self.size
-        joined = np.append(stop[:-1] == self.start[1:], False) & np.append(self.begin[self.start[:-1]] == self.begin[self.start[1:]], False)
-        right = coin & self.named
-        left = ~coin & self.named
-        two = joined & left & np.append(right[1:], False)
-        two &= self.size + np.append(self.size[1:], 0) <= self.window // 2
-        taken = np.append(False, two[:-1])
+        size, named = self.size, self.named
+        coin = _spread(self.name + np.uint64((step + 1) * _ODD % 2**64)).view(np.int64) < 0
+        joined = ~self.opens[1:]
+        two = np.zeros(n, dtype=bool)
+        two[:-1] = joined & ~coin[:-1] & coin[1:] & named[:-1] & named[1:] & (size[:-1] + size[1:] <= self.window // 2)
         # a symbol alone has to know the neighbour that it did not pair with
-        after = np.where(joined, np.append(self.size[1:] + self.right[1:], 0), _FAR)
-        before = np.where(np.append(False, joined[:-1]), np.append(0, self.size[:-1] + self.left[:-1]), _FAR)
-        new_right = np.where(left & ~two, np.maximum(self.right, after), self.right)
-        new_left = np.where(right & ~taken, np.maximum(self.left, before), self.left)
+        after, before = np.full(n, _FAR, dtype=np.int32), np.full(n, _FAR, dtype=np.int32)
+        after[:-1] = np.where(joined, size[1:] + self.right[1:], _FAR)
+        before[1:] = np.where(joined, size[:-1] + self.left[:-1], _FAR)
+        taken = np.append(False, two[:-1])
+        right = np.where(named & ~coin & ~two, np.maximum(self.right, after), self.right)
+        left = np.where(named & coin & ~taken, np.maximum(self.left, before), self.left)
         keep = np.flatnonzero(~taken)
         both = two[keep]
-        other = np.minimum(keep + 1, len(self.start) - 1)
-        name = np.where(both, _spread(_spread(self.name[keep]) * np.uint64(3) + self.name[other]), self.name[keep])
-        self.size = self.size[keep] + np.where(both, self.size[other], 0)
-        self.right = np.minimum(np.where(both, new_right[other], new_right[keep]), _FAR)
-        self.left = np.minimum(new_left[keep], _FAR)
-        self.start, self.name, self.named, self.fresh = self.start[keep], name, self.named[keep], self.fresh[keep] | both
+        pairs = keep[both]
+        name, size, right = self.name[keep], size[keep], right[keep]
+        name[both] = _spread(_spread(self.name[pairs]) * np.uint64(3) + self.name[pairs + 1])
+        size[both] += self.size[pairs + 1]
+        right[both] = self.right[pairs + 1]
+        self.start, self.name, self.size, self.opens = self.start[keep], name, size, self.opens[keep]
+        self.left, self.right = np.minimum(left[keep], _FAR), np.minimum(right, _FAR)
+        self.named, self.fresh = named[keep], self.fresh[keep] | both
 
     def _whole(self) -> np.ndarray:
         """Symbols that a window can hold with all that decided them."""
@@ -187,17 +215,14 @@ class _Parse:
         """``again``: whether each symbol of ``at`` occurs elsewhere. Windows around those that do not are unique."""
         gone = at[~again]
         gone = gone[self._whole()[gone]]
-        np.add.at(self.dead, np.maximum(self.start[gone] + self.size[gone] + self.right[gone] - self.window, 0), 1)
-        np.add.at(self.dead, self.start[gone] - self.left[gone] + 1, -1)
+        self.dead += _unique_windows(self.start[gone] - self.left[gone], self.start[gone] + self.size[gone] + self.right[gone], self.window, len(self.words))
         if not last:
             self.named[at] = again
             self.fresh[:] = False
 
     def live(self) -> np.ndarray:
         """First words of the windows that may be repeated."""
-        n = len(self.words)
-        at = np.arange(n)
-        return np.flatnonzero((at + self.window <= self.end) & (np.cumsum(self.dead)[:n] == 0))
+        return np.flatnonzero((np.arange(self.window, len(self.words) + self.window) <= self.end) & (self.dead == 0))
 
     def stretches(self) -> tuple[np.ndarray, np.ndarray]:
         """First and last window of each stretch of neighbouring live windows that begin between the same two of the symbols that end stretches."""
@@ -208,24 +233,26 @@ class _Parse:
         first = np.flatnonzero(new)
         return at[first], at[np.append(first[1:], len(at)) - 1] if len(at) else at
 
-    def around(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols that lie, with the text that decided them, in any of ``windows``, and the names of that text."""
+    def decided(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First word, and the one after the last, of each symbol with the text that decided it, where any of ``windows`` holds that."""
         at = np.flatnonzero(self._whole())
         lo, hi = self.start[at] - self.left[at], self.start[at] + self.size[at] + self.right[at]
-        held = np.zeros(len(self.words) + 1, dtype=np.int64)
-        held[windows + 1] = 1
-        held = np.cumsum(held)
-        some = held[lo + 1] - held[np.maximum(hi - self.window, 0)] > 0
-        return at[some], self.stretch(lo[some], hi[some], 0)
+        some = _held(windows, lo, hi, self.window, len(self.words))
+        return lo[some], hi[some]
 
-    def firsts(self, a: np.ndarray, b: np.ndarray) -> "_Firsts":
-        return _Firsts(self, a, b)
+
+def _held(windows: np.ndarray, lo: np.ndarray, hi: np.ndarray, window: int, n: int) -> np.ndarray:
+    """Whether each stretch from ``lo`` to before ``hi`` lies in any of ``windows``."""
+    sums = np.zeros(n + 2, dtype=np.int32)
+    sums[windows + 1] = 1
+    sums = np.cumsum(sums)
+    return sums[lo + 1] - sums[np.maximum(hi - window, 0)] > 0
 
 
 class _Firsts:
     """Stretches of words from ``a`` to before ``b`` by content: which is the first of each in the chunk, and which come later."""
 
-    def __init__(self, parse: _Parse, a: np.ndarray, b: np.ndarray):
+    def __init__(self, parse: _Words, a: np.ndarray, b: np.ndarray):
         self.k1, self.k2 = (parse.stretch(a, b, i) for i in (0, 1))
         self.place, self.pos = parse.place[parse.doc[a]], a - parse.begin[a]
         order = np.lexsort((self.pos, self.place, self.k2, self.k1))
@@ -237,7 +264,7 @@ class _Firsts:
         self.heads, self.doc = np.sort(head), parse.doc[a]
         self.same = (self.place == self.place[self.head]) & (self.pos == self.pos[self.head])
 
-    def later(self, told: list[int]) -> np.ndarray:
+    def later(self, told: np.ndarray) -> np.ndarray:
         """Whether each is equal to one that starts earlier; ``told``: those of ``heads`` of which that is known from elsewhere."""
         known = np.zeros(len(self.k1), dtype=bool)
         known[told] = True
@@ -260,7 +287,7 @@ def _given(row: dict, r: int, names: np.ndarray, bits: int) -> np.ndarray:
     """Whether each of ``names`` occurs elsewhere, by the answers of round ``r``."""
     keys, inverse = np.unique(names, return_inverse=True)
     cuts, again = _cuts(keys, bits), np.zeros(len(keys), dtype=bool)
-    for x in row["told"] or []:
+    for x in row["told"]:
         if x["round"] == r:
             lo, hi = cuts[x["bucket"]], cuts[x["bucket"] + 1]
             again[lo:hi] = _flags(x["bits"], hi - lo)
@@ -270,6 +297,7 @@ def _given(row: dict, r: int, names: np.ndarray, bits: int) -> np.ndarray:
 def _replayed(row: dict, window: int, rounds: int, bits: int) -> _Parse:
     """A chunk after ``rounds`` rounds of answers (``told``: round, range, bits)."""
     parse, step = _Parse(row, window), 0
+    row = row | {"told": row["told"] or []}
     for r in range(rounds):
         last = r == len(ROUNDS)
         if not last:
@@ -293,7 +321,7 @@ def _ask(window: int, r: int, bits: int) -> Callable:
             if r <= len(ROUNDS):
                 names = _replayed(row, window, r, bits).asked(r == len(ROUNDS))[1]
             else:
-                names = _Settled(row, window, bits).asked()[1]
+                names = _Settled(row | {"told": row["told"] or []}, window, bits).asked()[2]
             keys, n = np.unique(names, return_counts=True)
             cuts = _cuts(keys, bits)
             used = np.flatnonzero(np.diff(cuts))
@@ -325,49 +353,84 @@ def _answer(r: int) -> Callable:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows as Python values, but lists of numbers without nulls as arrays."""
     for b in batches:
         for i in range(b.num_rows):
-            yield b.slice(i, 1).to_pylist()[0]
+            row = {}
+            for name, column in zip(b.schema.names, b.columns, strict=True):
+                x = column[i]
+                plain = pa.types.is_list(column.type) and pa.types.is_integer(column.type.value_type) and name != "ids"
+                row[name] = x.values.to_numpy(zero_copy_only=False) if plain and x.is_valid else np.zeros(0, dtype=np.int64) if plain else x.as_py()
+            yield row
+
+
+_FOUND = "k1 long, k2 long, no_id boolean, id long, digest long, pos int, slot int"
+
+
+def _found(words: _Words, f: "_Firsts") -> list[pa.Array]:
+    """The first of each content in a chunk, in the columns of _FOUND."""
+    h = f.heads
+    d = f.doc[h]
+    ids, digests = (np.array([k[i] for k in words.keys], dtype=np.int64) for i in (1, 2))
+    no_id = np.array([k[0] for k in words.keys], dtype=bool)
+    return [pa.array(x) for x in (f.k1[h].view(np.int64), f.k2[h].view(np.int64), no_id[d], ids[d], digests[d], f.pos[h].astype(np.int32), h.astype(np.int32))]
+
+
+def _stretches(window: int, bits: int) -> Callable:
+    """What later rounds need of each chunk: its stretches, the symbols in their windows, and the first stretch of each content."""
+    names = [x.split()[0] for x in _FOUND.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            parse = _replayed(row, window, len(ROUNDS) + 1, bits)
+            a, b = parse.stretches()
+            lo, hi = parse.decided(parse.live())
+            found = pa.StructArray.from_arrays(_found(parse, _Firsts(parse, a, b + window)), names)
+            packed = [_packed(np.append(a[:1], np.diff(a))), _packed(b - a), _packed(np.append(lo[:1], np.diff(lo)) + _FAR), _packed(hi - lo)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["chunk"]], pa.int64()), *[pa.array([x], pa.binary()) for x in packed], pa.ListArray.from_arrays(pa.array([0, len(found)], pa.int32()), found)], names=["chunk", "a", "b", "lo", "hi", "found"])
+
+    return run
 
 
 class _Settled:
-    """A chunk after all rounds of names: its stretches, which of them are equal to an earlier one, and the windows of the others."""
+    """A chunk after the stretches: which of them are equal to an earlier one, and the windows of the others."""
 
     def __init__(self, row: dict, window: int, bits: int):
         self.row, self.bits, self.window = row, bits, window
-        self.parse = parse = _replayed(row, window, len(ROUNDS) + 1, bits)
-        self.a, self.b = parse.stretches()
-        self.whole = parse.firsts(self.a, self.b + window)
-        self.later = self.whole.later(row.get("later") or []) if "later" in row else np.zeros(len(self.a), dtype=bool)
+        self.words = _Words(row, window)
+        a, b, lo, hi = (_unpacked(row[k]).astype(np.int64) for k in ("a", "b", "lo", "hi"))
+        self.a = np.cumsum(a)
+        self.b = self.a + b
+        self.lo = np.cumsum(lo - _FAR)
+        self.hi = self.lo + hi
+        self.later = _Firsts(self.words, self.a, self.b + window).later(row["later"])
         rest = [np.arange(x, y + 1) for x, y in zip(self.a[~self.later].tolist(), self.b[~self.later].tolist(), strict=True)]
         self.open = np.concatenate(rest) if rest else np.zeros(0, dtype=np.int64)
 
-    def asked(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.parse.around(self.open)
+    def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols in open windows with the text that decided them: first word, the one after the last, name."""
+        some = _held(self.open, self.lo, self.hi, self.window, len(self.words.words))
+        lo, hi = self.lo[some], self.hi[some]
+        return lo, hi, self.words.stretch(lo, hi, 0)
 
-    def windows(self) -> tuple[np.ndarray, _Firsts]:
+    def windows(self) -> tuple[np.ndarray, "_Firsts"]:
         """Open windows all of whose symbols occur in other open windows too; the others are the first of their kind."""
-        at, names = self.asked()
-        self.parse.dead[:] = 0
-        self.parse.told(at, _given(self.row, len(ROUNDS) + 1, names, self.bits), True)
-        found = self.open[np.cumsum(self.parse.dead)[self.open] == 0]
-        return found, self.parse.firsts(found, found + self.window)
+        lo, hi, names = self.asked()
+        single = ~_given(self.row, len(ROUNDS) + 1, names, self.bits)
+        unique = _unique_windows(lo[single], hi[single], self.window, len(self.words.words))
+        found = self.open[unique[self.open] == 0]
+        return found, _Firsts(self.words, found, found + self.window)
 
 
-def _records(window: int, bits: int, single: bool) -> Callable:
-    """The first of each stretch (or ``single``: window) in a chunk."""
+def _windows(window: int, bits: int) -> Callable:
+    """The first window of each content in a chunk, of those that are left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            s = _Settled(row, window, bits)
-            f = s.windows()[1] if single else s.whole
-            h = f.heads
-            ids, digests = (np.array([k[i] for k in s.parse.keys], dtype=np.int64) for i in (1, 2))
-            no_id = np.array([k[0] for k in s.parse.keys], dtype=bool)
-            d = f.doc[h]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (f.k1[h].view(np.int64), f.k2[h].view(np.int64), no_id[d], ids[d], digests[d], f.pos[h].astype(np.int32), np.full(len(h), row["chunk"], np.int64), h.astype(np.int32))],
-                names=["k1", "k2", "no_id", "id", "digest", "pos", "chunk", "slot"])
+            s = _Settled(row | {"told": row["told"] or []}, window, bits)
+            found = _found(s.words, s.windows()[1])
+            yield pa.RecordBatch.from_arrays([*found, pa.array(np.full(len(found[0]), row["chunk"], np.int64))], names=[*[x.split()[0] for x in _FOUND.split(", ")], "chunk"])
 
     return run
 
@@ -377,13 +440,13 @@ def _kept(window: int, bits: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            s = _Settled(row, window, bits)
-            parse = s.parse
+            s = _Settled(row | {"told": row["told"] or []}, window, bits)
+            parse = s.words
             cover = np.zeros(len(parse.words) + 1, dtype=np.int64)
             np.add.at(cover, s.a[s.later], 1)
             np.add.at(cover, s.b[s.later] + window, -1)
             at, windows = s.windows()
-            found = at[windows.later(row["found"] or [])]
+            found = at[windows.later(row["gone"])]
             np.add.at(cover, found, 1)
             np.add.at(cover, found + window, -1)
             gone = np.cumsum(cover)[:-1] > 0
@@ -405,15 +468,6 @@ def _kept(window: int, bits: int) -> Callable:
     return run
 
 
-def _bucketed(df: DataFrame, key: str) -> DataFrame:
-    """``df`` written in buckets of ``key``, so that joins on it move the other side only."""
-    spark = df.sparkSession
-    name = f"recompress_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(n, key).option("path", f"{scratch_dir(spark)}/{name}").format("parquet").saveAsTable(name)
-    return spark.table(name)
-
-
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """doc_id, n_words, n_removed, removed (first and last word of each stretch), kept (words joined by one space) for each row of ``docs``
     (doc_id, text).
@@ -430,37 +484,38 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     plan = "chunk long, ids array<long>, digests array<long>, sizes array<int>, words array<long>, tokens binary, content binary, bytes long"
-    content = _bucketed(map_texts(rows, _chunks, plan), "chunk")
+    content = bucketed(map_texts(rows, _chunks, plan), "chunk")
     n_words = content.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = int(np.ceil(np.log2(max(1.0, n_words / RANGE))))
     seen = content.select("chunk", "ids", "digests", "sizes", "words", "tokens")
     answers = spark.createDataFrame([], "chunk long, round int, bucket int, bits binary")
 
-    def told(more: dict[str, DataFrame] = {}, whole: DataFrame = seen) -> DataFrame:  # noqa: B006
+    def known(whole: DataFrame, *more: DataFrame) -> DataFrame:
         d = answers.groupBy("chunk").agg(F.collect_list(F.struct("round", "bucket", "bits")).alias("told"))
-        out = whole.join(d.hint("merge"), "chunk", "left")
-        for name, slots in more.items():
-            out = out.join(slots.groupBy("chunk").agg(F.collect_list("slot").alias(name)).hint("merge"), "chunk", "left")
-        return out
+        for other in (d, *more):
+            whole = whole.join(other.hint("merge"), "chunk", "left")
+        return whole
 
-    def named(r: int, more: dict[str, DataFrame]) -> DataFrame:
-        asked = told(more).mapInArrow(_ask(window, r, bits), "bucket int, chunk long, keys binary, twice binary")
+    def named(r: int, whole: DataFrame) -> DataFrame:
+        asked = map_texts(whole, _ask(window, r, bits), "bucket int, chunk long, keys binary, twice binary")
         given = asked.repartition("bucket").sortWithinPartitions("bucket", "chunk").mapInArrow(_answer(r), "chunk long, round int, bucket int, bits binary")
         return answers.unionByName(stored(given, "names")[0])
 
-    for r in range(len(ROUNDS) + 1):
-        answers = named(r, {})
-
-    def compared(single: bool, more: dict[str, DataFrame]) -> DataFrame:
-        """Slots of the stretches or windows whose words start earlier elsewhere."""
-        kind = "k1 long, k2 long, no_id boolean, id long, digest long, pos int, chunk long, slot int"
-        found, _ = stored(told(more).mapInArrow(_records(window, bits, single), kind), "stretches")
+    def earlier(found: DataFrame, name: str) -> DataFrame:
+        """Slots of what starts earlier elsewhere, by chunk."""
         at = F.struct("no_id", "id", "digest", "pos")
         first = found.groupBy("k1", "k2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        return stored(found.join(first.hint("merge"), ["k1", "k2"]).where(at != F.col("first")).select("chunk", "slot"), "later")[0]
+        slots = found.join(first.hint("merge"), ["k1", "k2"]).where(at != F.col("first"))
+        return stored(slots.groupBy("chunk").agg(F.collect_list("slot").alias(name)), "later")[0]
 
-    later = {"later": compared(False, {})}
-    answers = named(len(ROUNDS) + 1, later)
-    more = later | {"found": compared(True, later)}
-    whole = told(more, content)
-    return whole.mapInArrow(_kept(window, bits), "doc_id long, n_words long, n_removed long, removed array<struct<first:int,last:int>>, kept string")
+    for r in range(len(ROUNDS) + 1):
+        answers = named(r, known(seen))
+    state, _ = stored(map_texts(known(seen), _stretches(window, bits), f"chunk long, a binary, b binary, lo binary, hi binary, found array<struct<{', '.join(x.replace(' ', ':') for x in _FOUND.split(', '))}>>"), "stretches")
+    later = earlier(state.select("chunk", F.explode("found").alias("f")).select("chunk", "f.*"), "later")
+    answers = spark.createDataFrame([], answers.schema)  # of the rounds before only the stretches matter from now on
+    state = state.drop("found")
+    answers = named(len(ROUNDS) + 1, known(seen, state, later))
+    windows, _ = stored(map_texts(known(seen, state, later), _windows(window, bits), f"{_FOUND}, chunk long"), "windows")
+    gone = earlier(windows, "gone")
+    out = "doc_id long, n_words long, n_removed long, removed array<struct<first:int,last:int>>, kept string"
+    return map_texts(known(content, state, later, gone), _kept(window, bits), out)

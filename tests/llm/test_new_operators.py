@@ -210,7 +210,7 @@ def test_equal_passages_hold_equal_symbols():
     texts = [[f"a{i}" for i in range(30)] + passage + ["end"] * 7, ["go"] * 9 + passage + [f"b{i}" for i in range(30)]]
     index = {}
     tokens = [index.setdefault(w, len(index)) for t in texts for w in t]
-    row = {"sizes": [len(t) for t in texts], "ids": [1, 2], "digests": [1, 2], "words": [recompress._digest(w.encode()) for w in index], "tokens": recompress._packed(np.array(tokens)), "told": None}
+    row = {"sizes": np.array([len(t) for t in texts]), "ids": [1, 2], "digests": np.array([1, 2]), "words": np.array([recompress._digest(w.encode()) for w in index]), "tokens": recompress._packed(np.array(tokens)), "told": None}
     p = recompress._Parse(row, 20)
     for step in range(4):
         p.pair(step)
