@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, embed_dedup, hard_negatives, jaccard, langid, mixing, oracles, recompress, resample, url_filter, warc, word_lm
+from .common import stored
 
 RULES = (
     url_filter.Rule("allow", "org", "/"),
@@ -64,7 +65,7 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
     more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.element_at(F.array(F.lit("user"), F.lit("assistant")), (F.col("id") + 1).cast("int")).alias("role"), F.lit(tricky).alias("text"))
-    events = _event_log(c.unionByName(more))
+    events, _ = stored(_event_log(c.unionByName(more)), "log")
     out = chat.read_back(chat.format_conversations(events))
     told = F.array_join(F.transform("read", lambda r: F.concat(r["role"], F.lit("\n"), r["text"], F.lit("\n"))), "")
     learned = F.array_join("learned", "")
