@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components_of_matrix, connected_components, drop_stored, group_starts, map_texts, stored, tile_keys, values, whole_groups
+from .common import components_of_matrix, connected_components, drop_stored, group_starts, map_texts, possible, stored, tile_keys, values, whole_groups
 
 #: An n-gram is frequent if it is in more than one of this many documents. Frequent ones are ordered last; there are at
 #: most FREQUENT_PART times the mean set size of them, whatever the input. Which ones are frequent changes speed only.
@@ -271,7 +271,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Equal sets are joined to one class first. A prefix element held by one class is dropped; those
     with the same holders are counted as one mark. Marks bring classes together (``_likely_pairs`` connects the plain cases before), and of each such group only a forest of the pairs that share enough of their prefixes is kept (a pair
     that is similar shares at least that many). Classes connected that way are read once more, whole, and joined in
-    prefix trees. Groups above ``TILE`` are cut into tiles that meet pairwise. Work tables are written to the shared folder.
+    prefix trees. Groups above ``TILE`` are cut into tiles that meet pairwise. Work tables are written to the shared folder, and removed once
+    no later step reads them; prefixes are the largest. Of the texts only those of connected classes are dealt again (``possible``).
     """
     spark = docs.sparkSession
     docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -295,11 +296,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                 names=["doc_id", "n", "one", "two", "prefix", "rare"],
             )
 
-    known, _ = stored(map_texts(docs, sets, "doc_id long, n int, one long, two long, prefix array<long>, rare int"), "sets")
+    prefixes, prefixes_at = stored(map_texts(docs, sets, "doc_id long, n int, one long, two long, prefix array<long>, rare int"), "sets")
+    known, _ = stored(prefixes.drop("prefix", "rare"), "known")
     same = ["n", "one", "two"]
     class_of, _ = stored(known.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("class_id")), "classes")
     # every class's prefix comes from the row that names it
-    firsts = known.where("n > 0").join(class_of.withColumnRenamed("class_id", "doc_id"), [*same, "doc_id"], "left_semi")
+    firsts = prefixes.where("n > 0").join(class_of.withColumnRenamed("class_id", "doc_id"), [*same, "doc_id"], "left_semi")
     posts = firsts.select(F.col("doc_id").alias("id"), "n", "rare", F.posexplode("prefix").alias("i", "gram")).withColumn("often", F.col("i") >= F.col("rare"))
     # holders of frequent n-grams are summed in each task first and their totals sent to all, as there is a bound on how many are frequent;
     # in the window they are spread, so that no n-gram meets in one task whole
@@ -307,31 +309,35 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         made = {"first": F.min("id"), "last": F.max("id"), "n_ids": F.count(F.lit(1)), "all": F.bit_xor(F.xxhash64("id"))}
         return {k: c.over(over) if over is not None else c for k, c in made.items()}
 
-    common_posts = known.where("n > 0").select(F.col("doc_id").alias("id"), F.explode(F.slice("prefix", F.col("rare") + 1, F.greatest(F.size("prefix") - F.col("rare"), F.lit(0)))).alias("gram"))
+    common_posts = prefixes.where("n > 0").select(F.col("doc_id").alias("id"), F.explode(F.slice("prefix", F.col("rare") + 1, F.greatest(F.size("prefix") - F.col("rare"), F.lit(0)))).alias("gram"))
     totals = common_posts.groupBy("gram").agg(*[c.alias(f"t_{k}") for k, c in holders().items()])
     spread = F.when(F.col("often"), F.pmod(F.xxhash64("id"), F.lit(997))).otherwise(0)
     held = posts.withColumn("spread", spread).withColumns(holders(Window.partitionBy("gram", "spread")))
     held = held.join(F.broadcast(totals), F.col("often") & (held.gram == totals.gram), "left")
     held = held.select("id", "n", *[F.when(F.col("often"), F.col(f"t_{k}")).otherwise(F.col(k)).alias(k) for k in holders()])
-    # elements with the same holders bring the same classes together, so they are one mark that counts as many
-    marks = held.where("first <> last").groupBy("id", "n", F.xxhash64("first", "last", "n_ids", "all").alias("mark")).agg(F.count(F.lit(1)).cast("int").alias("times"))
-    marks, _ = stored(marks, "marks")
-    first, _ = stored(_likely_pairs(marks, percent), "likely")
+    # elements with the same holders bring the same classes together, so they are one mark that counts as many; marks are 32 bits, as lists
+    # of them travel once per mark: where two agree by chance, their classes meet once more and no pair is lost
+    marks = held.where("first <> last").groupBy("id", "n", F.hash("first", "last", "n_ids", "all").alias("mark")).agg(F.count(F.lit(1)).cast("int").alias("times"))
+    marks, made_at = stored(marks, "marks")
+    drop_stored(spark, prefixes_at)
+    first, first_at = stored(_likely_pairs(marks, percent), "likely")
     grouped = connected_components(first).withColumnRenamed("node", "id")
     # a mark whose holders are all connected already adds nothing; the others are all looked at
     marks = marks.join(grouped.hint("merge"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    marks, _ = stored(marks.select("id", "n", "mark", "times", "component"), "marks")
+    marks, grouped_at = stored(marks.select("id", "n", "mark", "times", "component"), "marks")
     # a sum and a join, which adaptive execution can split where a mark is hot
     apart = marks.groupBy("mark").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first <> last").select("mark")
-    marks, _ = stored(marks.select("id", "n", "mark", "times").join(apart.hint("merge"), "mark", "left_semi"), "marks")
+    marks, marks_at = stored(marks.select("id", "n", "mark", "times").join(apart.hint("merge"), "mark", "left_semi"), "marks")
+    drop_stored(spark, made_at, grouped_at)
     own = marks.groupBy("id", "n").agg(F.collect_list("mark").alias("marks"), F.collect_list("times").alias("times"))
     entries = own.select("id", "n", "marks", "times", F.explode("marks").alias("mark"))
     hot = tile_keys(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")), ["mark"], TILE)
     pairs = map_texts(_grouped(entries, hot, "mark"), _prefix_forest(percent), "a long, b long")
-    forest, _ = stored(pairs.unionByName(first).distinct(), "forest")
+    forest, forest_at = stored(pairs.unionByName(first).distinct(), "forest")
     groups = connected_components(forest).withColumnRenamed("node", "doc_id")
+    drop_stored(spark, marks_at, first_at, forest_at)
     # the groups grow with the documents, so they are never broadcast, at any size
-    members = docs.join(groups.hint("merge"), "doc_id").select("component", F.col("doc_id").alias("id"), "text")
+    members = possible(docs, "doc_id", groups).join(groups.hint("merge"), "doc_id").select("component", F.col("doc_id").alias("id"), "text")
     large = tile_keys(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), ["component"], TILE)
     links = map_texts(_grouped(members, large, "component"), _exact_links(words, percent), "a long, b long")
     found, _ = stored(links.distinct(), "links")
