@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from limitrank.llm import common, jaccard
+from limitrank.llm import common, jaccard, url_filter
 
 
 def test_possible_keeps_every_match(spark, monkeypatch):
@@ -28,3 +28,10 @@ def test_jaccard_removes_prefixes_and_moves_few_texts(spark, tmp_path, monkeypat
     assert got == {i: i for i in range(200)} | {1000 + i: i for i in range(20)}
     assert not [x for x in os.listdir(tmp_path) if x.startswith(("sets-", "marks-", "forest-", "likely-"))]
     assert 40 <= given[0].count() < 80
+
+
+def test_link_expressions_stay_small(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x/", '<link rel="canonical" href="../y?q=1#z">')], "page_id long, url string, html string")
+    edges = url_filter.page_links(pages)
+    assert [tuple(r) for r in edges.collect()] == [("http://a.org/x/", "http://a.org/y?q=1")]
+    assert len(edges._jdf.queryExecution().optimizedPlan().toString()) < 200_000
