@@ -187,25 +187,32 @@ def snapshot_ages(dates: DataFrame, valuations: DataFrame) -> DataFrame:
     return j.withColumn("age", F.datediff("trading_date", "snapshot_date"))
 
 
-def valuation_snapshots(dates: DataFrame, valuations: DataFrame, max_age_days: int = 5) -> DataFrame:
-    """Valuation rows that count on each date: all rows of a market's newest snapshot on or before it.
+def newest_snapshots(dates: DataFrame, valuations: DataFrame, max_age_days: int = 5) -> DataFrame:
+    """trading_date and the valuation rows that count on it: all rows of a market's newest snapshot on or before the date.
 
-    A date counts only if both markets have a snapshot no older than ``max_age_days``. Of one stock in both, TPEX stands, and of
-    several rows in one the last (``mappers.place``).
+    A date counts only if both markets have a snapshot no older than ``max_age_days``.
     """
     near = snapshot_ages(dates, valuations).where(F.col("age") <= max_age_days)
     both = Window.partitionBy("trading_date")
     near = near.withColumn("n", F.count(F.lit(1)).over(both)).where(F.col("n") == len(MARKETS)).select("trading_date", "market", "snapshot_date")
+    return near.join(valuations, ["market", "snapshot_date"])
+
+
+def valuation_snapshots(dates: DataFrame, valuations: DataFrame, max_age_days: int = 5) -> DataFrame:
+    """One row of ``newest_snapshots`` for each date and stock.
+
+    Of one stock in both markets, TPEX stands, and of several rows in one the last (``mappers.place``).
+    """
     order = F.struct((F.col("market") == "TPEX").alias("second"), *place(valuations), "pe_ratio")
-    rows = near.join(valuations, ["market", "snapshot_date"])
+    rows = newest_snapshots(dates, valuations, max_age_days)
     return rows.groupBy("trading_date", "stock_id").agg(F.max_by(F.struct("market", "snapshot_date", "pe_ratio"), order).alias("r")).select("trading_date", "stock_id", "r.*")
 
 
 def filter_by_pe(rows: DataFrame, valuations: DataFrame, most: float | Column) -> DataFrame:
-    """Rows whose stock has 0 < P/E <= ``most`` on the date; no record or no P/E: out."""
+    """Rows whose stock has a record with 0 < P/E <= ``most`` on the date; no record or no P/E: out. Several records repeat no row."""
     if not isinstance(most, Column):
         if most <= 0:
             raise ValueError("the largest P/E must be positive")
         most = F.lit(float(most))
-    ok = valuations.where(F.col("pe_ratio") > 0).select("trading_date", "stock_id", F.col("pe_ratio").cast("double").alias("__pe"))
-    return rows.join(ok, ["trading_date", "stock_id"]).where(F.col("__pe") <= most).drop("__pe")
+    ok = valuations.where(F.col("pe_ratio") > 0).select(F.col("trading_date").alias("__date"), F.col("stock_id").alias("__stock"), F.col("pe_ratio").cast("double").alias("__pe"))
+    return rows.join(ok, (F.col("trading_date") == F.col("__date")) & (F.col("stock_id") == F.col("__stock")) & (F.col("__pe") <= most), "left_semi")
