@@ -3,8 +3,9 @@
 import datetime
 
 import duckdb
+from pyspark.sql import functions as F
 
-from limitrank.plans import queries
+from limitrank.plans import fixtures, queries
 
 
 def _events(spark, path):
@@ -29,3 +30,9 @@ def test_any_valuation_of_a_shared_id_counts(spark, tmp_path):
     got = sorted(tuple(r) for r in queries.QUERIES["valuation_filter"](spark, path).select("stock_id", "trading_date").collect())
     want = _sql(path, "valuation_filter")
     assert got == want and len({r[0] for r in want}) > 1
+
+
+def test_quotes_of_a_shared_id_do_not_depend_on_the_order_of_bars(spark, tmp_path):
+    bars = fixtures.daily_bars(spark, _events(spark, tmp_path))
+    got = [sorted(map(tuple, fixtures.quotes(bars.orderBy(order).coalesce(1)).drop("has_price_limit").select("stock_id", "trading_date", "volume", "turnover", "reference", "close").collect()), key=str) for order in (F.asc("user_id"), F.desc("user_id"))]
+    assert got[0] == got[1] and len(got[0]) == 63
