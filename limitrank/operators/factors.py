@@ -90,11 +90,12 @@ def point_in_time(
     """targets (stock_id, trading_date, close, volume, ...) with average_turnover_20d, volume_ratio_20d, return_5d, return_20d,
     net_buy_ratio, revenue_yoy and has_history.
 
-    Prices: the last 20 sessions with close > 0, volume >= 0 and turnover >= 0 strictly before the date; fewer give null. Flows: net
-    shares over volume of the last ``sessions`` sessions with volume, strictly before; null if a flow is absent, or if the stock has two
+    Prices: the last 20 sessions with close > 0, volume >= 0 and turnover >= 0 strictly before the date; fewer give null. Several bars on one
+    date are a session each, in their order (``mappers.place``), but only those of the date's last payload. Flows: net shares over volume of
+    the last ``sessions`` dates with volume, strictly before, where a date's volume is that of its last bar; null if a flow is absent, or if the stock has two
     flows on any earlier date. Revenue: growth as known on the date itself, of rows at most ``revenue_days`` old (see ``revenue_growth``).
     ``lookback_days`` is how far back history counts (None: always): older sessions make a factor null, older bars are no history, and a
-    date with two flows before that voids nothing. Of several bars on one date the last counts (``mappers.place``). A source that is None or
+    date with two flows before that voids nothing. A source that is None or
     lacks a stock leaves nulls and never drops a target; repeated targets repeat.
 
     All sources are merged into one stream per stock and dealt once, by stock_id; every window and look-up runs in that order.
@@ -118,12 +119,16 @@ def point_in_time(
     if revenue is not None:
         all_ = all_.unionByName(part(revenue_growth(revenue, revenue_days), rev=F.struct("yoy")))
     d = all_.repartition("stock_id").groupBy("stock_id", "trading_date").agg(
-        F.collect_list("target").alias("targets"), F.max("bar").alias("bar"), F.sum("net").alias("net"), F.count("net").alias("n_net"), F.first("rev", ignorenulls=True).alias("rev"))
-    b, day = F.col("bar"), F.col("trading_date")
+        F.collect_list("target").alias("targets"), F.sort_array(F.collect_list("bar")).alias("bars"), F.sum("net").alias("net"), F.count("net").alias("n_net"), F.first("rev", ignorenulls=True).alias("rev"))
+    if bars is not None and "landed" in bars.columns:
+        d = d.withColumn("bars", F.filter("bars", lambda x: x["o"]["landed"].eqNullSafe(F.element_at("bars", -1)["o"]["landed"])))
+    # a row per bar; what a date has once is looked up in its first row, before which there are earlier dates only
+    d = d.select("*", F.posexplode_outer("bars").alias("at", "bar")).withColumn("at", F.coalesce("at", F.lit(0)))
+    b, day, last = F.col("bar"), F.col("trading_date"), F.col("at") >= F.size("bars") - 1
     usable = F.coalesce((b["close"] > 0) & (b["volume"] >= 0) & (b["turnover"] >= 0), F.lit(False))
-    traded = F.coalesce(b["volume"] > 0, F.lit(False))
+    traded = F.coalesce(last & (b["volume"] > 0), F.lit(False))
     d = d.withColumns({"usable": usable, "traded": traded})
-    order = Window.partitionBy("stock_id", "usable").orderBy("trading_date")
+    order = Window.partitionBy("stock_id", "usable").orderBy("trading_date", "at")
     w20, w5 = order.rowsBetween(-19, 0), Window.partitionBy("stock_id", "traded").orderBy("trading_date").rowsBetween(1 - sessions, 0)
     full = F.count(F.lit(1)).over(w20) == 20
     flow = F.when(F.count("net").over(w5) == sessions, F.sum("net").over(w5) / F.sum("bar.volume").over(w5))
@@ -135,12 +140,12 @@ def point_in_time(
         )),
         "f": F.when(F.col("traded"), F.struct(flow.alias("ratio"), F.min("trading_date").over(w5).alias("since"))),
     })
-    before = Window.partitionBy("stock_id").orderBy("trading_date").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("stock_id").orderBy("trading_date").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("stock_id").orderBy("trading_date", "at").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("stock_id").orderBy("trading_date", "at").rowsBetween(Window.unboundedPreceding, 0)
     d = d.select(
-        "trading_date", "targets", F.last("p", ignorenulls=True).over(before).alias("p"), F.last("f", ignorenulls=True).over(before).alias("f"),
+        "trading_date", "targets", "at", F.last("p", ignorenulls=True).over(before).alias("p"), F.last("f", ignorenulls=True).over(before).alias("f"),
         F.last("rev", ignorenulls=True).over(upto)["yoy"].alias("yoy"), F.max(F.when(F.col("n_net") > 1, day)).over(before).alias("twice"), F.max(F.when(b.isNotNull(), day)).over(before).alias("bar_on"),
-    ).where(F.size("targets") > 0).withColumn("target", F.explode("targets"))
+    ).where((F.size("targets") > 0) & (F.col("at") == 0)).withColumn("target", F.explode("targets"))
 
     def recent(since: Column) -> Column:
         return since.isNotNull() if lookback_days is None else F.coalesce(F.datediff(day, since) <= lookback_days, F.lit(False))
