@@ -1,4 +1,4 @@
-"""Several bars of a stock on one date, which users of five digits lead to: sessions of prices and volumes of flows."""
+"""Several bars of a stock on one date, which users of five digits lead to: sessions of prices, volumes of flows, and rounding."""
 
 import datetime
 
@@ -40,9 +40,11 @@ def test_a_target_with_several_bars_is_one_row_and_flows_take_the_last_volume(sp
 
 #: Bars in the order of users; the SQL leaves it open and takes any of those on one date.
 PRICES = queries.HISTORY.strip().replace("ORDER BY trading_date", "ORDER BY trading_date, user_id").replace("FROM h0)", "FROM h0 QUALIFY row_number() OVER (PARTITION BY stock_id, trading_date ORDER BY user_id DESC) = 1)")
+#: The reference keeps one volume of a date, that of the last bar.
+RATIOS = queries.FLOWS.strip().replace("FROM bars b LEFT", "FROM (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY stock_id, trading_date ORDER BY user_id DESC) = 1) b LEFT")
 
 
-@pytest.mark.parametrize("name,old,new", [("price_features", queries.HISTORY.strip(), PRICES)])
+@pytest.mark.parametrize("name,old,new", [("price_features", queries.HISTORY.strip(), PRICES), ("flow_ratio", queries.FLOWS.strip(), RATIOS)])
 def test_shared_ids_match_sql_with_its_ties_closed(spark, tmp_path, name, old, new):
     path = _events(spark, tmp_path)
     got = queries.QUERIES[name](spark, path)
@@ -51,3 +53,8 @@ def test_shared_ids_match_sql_with_its_ties_closed(spark, tmp_path, name, old, n
     assert old != new and old in queries.SQL[name]
     want = con.execute(f"select {', '.join(got.columns)} from ({queries.SQL[name].replace(old, new)})").fetchall()
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and any(r[2] is not None for r in want)
+
+
+def test_shown_numbers_are_rounded_as_sql_rounds_them(spark):
+    d = spark.createDataFrame([(1297 / 640,), (0.1296875,), (None,)], "x double")
+    assert [r.x for r in queries.doubles(d).collect()] == [duckdb.execute("select round(?::double, 6)", [v]).fetchone()[0] for v in (1297 / 640, 0.1296875, None)] == [2.026562, 0.129688, None]
