@@ -1,13 +1,14 @@
-"""Several bars of a stock on one date, which users of five digits lead to: sessions of prices, volumes of flows, and rounding."""
+"""Several bars of a stock on one date, which users of five digits lead to: sessions of prices, volumes of flows, payloads and rounding."""
 
 import datetime
+import shutil
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from limitrank.operators import factors
-from limitrank.plans import queries
+from limitrank.plans import fixtures, queries
 from test_cut_ids import _events
 
 DAY = [datetime.date(2024, 1, n) for n in range(1, 32)]
@@ -55,6 +56,15 @@ def test_shared_ids_match_sql_with_its_ties_closed(spark, tmp_path, name, old, n
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and any(r[2] is not None for r in want)
 
 
+def test_history_payloads_hold_bars_of_a_shared_id_by_user(spark, data, tmp_path):
+    path = _events(spark, tmp_path)
+    for name in ("orders", "customer"):
+        shutil.copy(f"{data}/{name}.parquet", path)
+    rows = fixtures.landing.envelope_rows(fixtures.raw_sources(spark, path).where("source = 'history'")).where("fields['stock_id'] = '1000' and fields['date'] = '2024-01-03'")
+    want = fixtures.daily_bars(spark, path).where("stock_id = '1000' and trading_date = '2024-01-03'").orderBy("user_id")
+    assert [float(r.c) for r in rows.orderBy("ordinal").select(F.expr("fields['close']").alias("c")).collect()] == [r.close for r in want.collect()]
+
+
 def test_shown_numbers_are_rounded_as_sql_rounds_them(spark):
     d = spark.createDataFrame([(1297 / 640,), (0.1296875,), (None,)], "x double")
     assert [r.x for r in queries.doubles(d).collect()] == [duckdb.execute("select round(?::double, 6)", [v]).fetchone()[0] for v in (1297 / 640, 0.1296875, None)] == [2.026562, 0.129688, None]
