@@ -23,8 +23,10 @@ from .common import components_of_matrix, connected_components, drop_stored, gro
 FREQUENT_PART = 2000
 #: N-grams that a counting task holds at most, twice over.
 HELD = 1_000_000
-#: Sets of one tile when a group is too large for one task, and marks that are compared at once there.
-TILE, SLAB = 1024, 4096
+#: Sets of one tile when a group is too large for one task, marks that are compared at once there, and pairs that are looked at together.
+TILE, SLAB, PAIRS = 1024, 4096, 1 << 20
+#: Elements by which prefixes are longer than they need be to share one, so that similar sets share as many more.
+MORE = 4
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -89,6 +91,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def kept_length(n: np.ndarray | int, percent: int):
+    """Elements of the prefix that is kept of a set of ``n``: ``prefix_length`` and MORE, or all there are."""
+    return np.minimum(n, n + (-percent * n) // 100 + 1 + MORE)
+
+
 def in_order(s: np.ndarray, frequent: np.ndarray, df: np.ndarray) -> np.ndarray:
     """``s`` in the global order: those that are not frequent by hash, then frequent ones, rarest first."""
     if not len(frequent) or not len(s):
@@ -270,8 +277,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     Equal sets are joined to one class first. A prefix element held by one class is dropped; those
     with the same holders are counted as one mark. Marks bring classes together (``_likely_pairs`` connects the plain cases before), and of each such group only a forest of the pairs that share enough of their prefixes is kept (a pair
-    that is similar shares at least that many). Classes connected that way are read once more, whole, and joined in
-    prefix trees. Groups above ``TILE`` are cut into tiles that meet pairwise. Work tables are written to the shared folder, and removed once
+    that is similar shares at least that many). What meets by chance alone is left out first (``_with_partners``), and most marks send out pairs, not
+    lists (``_meetings``). Classes connected that way are read once more, whole, and joined in prefix trees. Groups above ``TILE`` are cut into tiles that meet pairwise. Work tables are written to the shared folder, and removed once
     no later step reads them; prefixes are the largest. Of the texts only those of connected classes are dealt again (``possible``).
     """
     spark = docs.sparkSession
@@ -287,7 +294,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                 n.append(len(s))
                 one.append(int(s.sum(dtype=np.uint64)))
                 two.append(int(_spread(s ^ np.uint64(_BASE)).sum(dtype=np.uint64)))
-                prefix.append(in_order(s, frequent, df)[: prefix_length(len(s), percent)].view(np.int64) if len(s) else np.zeros(0, np.int64))
+                prefix.append(in_order(s, frequent, df)[: kept_length(len(s), percent)].view(np.int64) if len(s) else np.zeros(0, np.int64))
                 rare.append(min(len(prefix[-1]), len(s) - int(np.isin(s, frequent, assume_unique=True).sum())))
             at = np.cumsum([0, *map(len, prefix)])
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
@@ -327,15 +334,21 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     marks, grouped_at = stored(marks.select("id", "n", "mark", "times", "component"), "marks")
     # a sum and a join, which adaptive execution can split where a mark is hot
     apart = marks.groupBy("mark").agg(F.min("component").alias("first"), F.max("component").alias("last")).where("first <> last").select("mark")
-    marks, marks_at = stored(marks.select("id", "n", "mark", "times").join(apart.hint("merge"), "mark", "left_semi"), "marks")
+    marks, marks_at = stored(marks.join(apart.hint("merge"), "mark", "left_semi").select("id", "n", "mark", "times", "component"), "marks")
     drop_stored(spark, made_at, grouped_at)
-    own = marks.groupBy("id", "n").agg(F.collect_list("mark").alias("marks"), F.collect_list("times").alias("times"))
-    entries = own.select("id", "n", "marks", "times", F.explode("marks").alias("mark"))
-    hot = tile_keys(marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")), ["mark"], TILE)
-    pairs = map_texts(_grouped(entries, hot, "mark"), _prefix_forest(percent), "a long, b long")
+    # what is left by chance goes before anything travels by mark
+    hot = lambda d: tile_keys(d.groupBy("mark").agg(F.count(F.lit(1)).alias("n")), ["mark"], TILE)
+    fewer, fewer_at = stored(_with_partners(marks, hot(marks), percent), "marks")
+    drop_stored(spark, marks_at)
+    met, met_at = stored(_meetings(fewer, hot(fewer), percent), "met")
+    shared = met.where("other is not null").groupBy("id", "other", "least").agg(F.sum("times").alias("shared")).where("shared >= least")
+    own = fewer.groupBy("id", "n").agg(F.collect_list("mark").alias("marks"), F.collect_list("times").alias("times"))
+    entries = own.join(met.where("other is null").select("id", "mark"), "id")
+    pairs = map_texts(_grouped(entries, hot(fewer), "mark"), _prefix_forest(percent), "a long, b long")
+    pairs = pairs.unionByName(shared.select(F.col("id").alias("a"), F.col("other").alias("b")))
     forest, forest_at = stored(pairs.unionByName(first).distinct(), "forest")
     groups = connected_components(forest).withColumnRenamed("node", "doc_id")
-    drop_stored(spark, marks_at, first_at, forest_at)
+    drop_stored(spark, fewer_at, met_at, first_at, forest_at)
     # the groups grow with the documents, so they are never broadcast, at any size
     members = possible(docs, "doc_id", groups).join(groups.hint("merge"), "doc_id").select("component", F.col("doc_id").alias("id"), "text")
     large = tile_keys(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), ["component"], TILE)
@@ -351,7 +364,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def _likely_pairs(marks: DataFrame, percent: int, sketch: int = 8) -> DataFrame:
     """Pairs (a, b) that are worth connecting before any pair is compared: each class with the smallest one that shares half of a
-    sketch of its marks. Only classes take part that share enough of their prefixes for similarity to one of their own size.
+    sketch of its marks and, of all its marks, as many as similar sets do. Only classes take part that share enough of their prefixes for
+    similarity to one of their own size.
 
     This spares later work in large families of copies. It decides nothing: all pairs that it leaves apart are still
     compared, and what it connects is verified with the rest.
@@ -362,7 +376,91 @@ def _likely_pairs(marks: DataFrame, percent: int, sketch: int = 8) -> DataFrame:
     some = some.withColumn("k", F.count(F.lit(1)).over(by_id)).select("id", "mark", "k")
     hubs = some.groupBy("mark").agg(F.min("id").alias("hub"))
     met = some.join(hubs, "mark").where("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("n"), F.first("k").alias("k"))
-    return met.where("2 * n >= k").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    met = met.where("2 * n >= k").select("id", "hub")
+    # whole marks of both, as large groups that only chance connects would be read whole
+    hub = marks.select(F.col("id").alias("hub"), F.col("n").alias("m"), "mark", F.col("times").alias("t"))
+    both = met.join(marks.select("id", "n", "mark", "times"), "id").join(hub, ["hub", "mark"]).groupBy("id", "hub", "n", "m").agg(F.sum(F.greatest("times", "t")).alias("shared"))
+    need, left = (lambda x: F.ceil(F.lit(percent) * x / F.lit(100 + percent))), (lambda x: F.greatest(F.lit(0), F.ceil(x * percent / 100) - 1 - MORE))
+    n, m = F.col("n"), F.col("m")
+    both = both.where((F.least(n, m) >= need(n + m)) & (F.col("shared") >= need(n + m) - F.greatest(left(n), left(m))))
+    return both.select(F.col("id").alias("a"), F.col("hub").alias("b"))
+
+
+def _may_be_similar(t: pa.Table, keys: list[str], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row numbers a, b of rows in one group of ``t`` (n, w, component) and how many prefix elements they share if they are similar.
+
+    Two classes are similar only if neither is too small for the other and both have marks enough (w) for what such sets share; those of one
+    component need not meet. PAIRS at a time.
+    """
+    starts = group_starts(t, keys)
+    n, w, component = (t.column(k).to_numpy() for k in ("n", "w", "component"))
+    first, size = (np.repeat(x, np.diff(starts)) for x in (starts[:-1], np.diff(starts)))
+    upto, lo = np.cumsum(size), 0
+    while lo < t.num_rows:  # some rows at a time, each with all of its group
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] - size[lo] + PAIRS, side="right")))
+        a = np.repeat(np.arange(lo, hi), size[lo:hi])
+        b = np.arange(len(a)) - np.repeat(upto[lo:hi] - size[lo:hi] - upto[lo] + size[lo] - first[lo:hi], size[lo:hi])
+        apart = component[a] != component[b]
+        a, b = a[apart], b[apart]
+        n_a, n_b = n[a].astype(np.int64), n[b].astype(np.int64)
+        least = _shared_least(n_a, n_b, percent)
+        ok = (np.minimum(n_a, n_b) >= least_overlap(n_a, n_b, percent)) & (np.minimum(w[a], w[b]) >= least)
+        yield a[ok], b[ok], least[ok]
+        lo = hi
+
+
+def _with_partners(marks: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``marks`` (id, n, mark, times, component) that another class holding the mark may need (``_may_be_similar``).
+
+    A similar pair that is apart passes at each mark that it shares, so none is lost and its marks stay whole.
+    """
+    names = ["id", "n", "mark", "times", "component"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, KEYS):
+            met = np.zeros(t.num_rows, dtype=bool)
+            for a, _, _ in _may_be_similar(t, KEYS, percent):
+                met[a] = True
+            if met.any():
+                yield from t.select(["id", "n", "key", "times", "component"]).filter(pa.array(met)).rename_columns(names).to_batches()
+
+    d = marks.withColumn("w", F.sum("times").over(Window.partitionBy("id")))
+    # a row of a hot mark is in several pairs of tiles
+    return map_texts(_grouped(d, hot, "mark"), run, "id long, n int, mark int, times int, component long").dropDuplicates(["id", "n", "mark"])
+
+
+def _meetings(marks: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
+    """How the classes of each mark meet: as pairs (id, other, mark, times, least), or as rows (id, mark) without other to which lists of marks travel.
+
+    A mark's pairs are written out where they are smaller than the lists of its classes, which is so for all but marks of many. Hot marks are never written
+    out. A pair that meets in rows anywhere is counted there by whole lists, and any other meets in pairs at each mark that it shares.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_groups(batches, ["mark"]):
+            a, b, least = (np.concatenate(x) for x in zip(*_may_be_similar(t, ["mark"], percent), strict=True))
+            ids, mark, times = (t.column(k).to_numpy() for k in ("id", "mark", "times"))
+            group = np.repeat(np.arange(len(s := group_starts(t, ["mark"])) - 1), np.diff(s))
+            lists = np.bincount(group, weights=t.column("k").to_numpy())
+            # a pair is three numbers of 64 bits, as both directions are here; an element of a list is one
+            in_rows = 1.5 * np.bincount(group[a], minlength=len(lists)) > lists
+            met = np.zeros(t.num_rows, dtype=bool)
+            met[a] = True
+            row = np.flatnonzero(met & in_rows[group])
+            pair = (a < b) & ~in_rows[group[a]]
+            a, b, least, none = a[pair], b[pair], least[pair], np.zeros(len(row), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([ids[a], ids[row]])), pa.array(np.concatenate([ids[b], none]), mask=np.arange(len(a) + len(row)) >= len(a)), pa.array(np.concatenate([mark[a], mark[row]])),
+                 pa.array(np.concatenate([np.maximum(times[a], times[b]), times[row]])), pa.array(np.concatenate([least, none]).astype(np.int32))],
+                names=["id", "other", "mark", "times", "least"],
+            )
+
+    of = Window.partitionBy("id")
+    d = marks.withColumns({"w": F.sum("times").over(of), "k": F.count(F.lit(1)).over(of)}).join(hot, "mark", "left_anti")
+    d = d.select("id", "n", "mark", "times", "component", "w", "k").repartition("mark").sortWithinPartitions("mark", "id")
+    met = map_texts(d, run, "id long, other long, mark int, times int, least int")
+    always = marks.join(hot, "mark", "left_semi").select("id", F.lit(None).cast("long").alias("other"), "mark", "times", F.lit(0).alias("least"))
+    return met.unionByName(always)
 
 
 def _grouped(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
@@ -429,8 +527,7 @@ def _shared_least(n, m, percent: int):
     other's prefix too; which of the two ends first is not known here, so the weaker bound holds.
     """
     need = least_overlap(n, m, percent)
-    one, two = 1 - -(-percent * n // 100), 1 - -(-percent * m // 100)
-    return np.maximum(1, need + np.minimum(one, two))
+    return np.maximum(1, need - np.maximum(n - kept_length(n, percent), m - kept_length(m, percent)))
 
 
 def _exact_links(words: int, percent: int):
