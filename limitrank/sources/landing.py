@@ -17,6 +17,8 @@ KEY = ["run_id", "source", "request_key"]
 FOLDERS = ["source", "target_date", "run_id"]
 #: Folders and overruled requests of them that are sent to every task at most; more are joined by shuffle.
 MOST_KEYS = 500_000
+#: Bytes of payloads that a worker hashes at once; a longer payload comes alone. This changes memory only.
+HASHED_BYTES = 4 << 20
 #: Request parameters that are never kept (fixed values).
 SECRETS = ("token", "api_key")
 
@@ -53,12 +55,21 @@ def new_snapshots(payloads: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def append_snapshots(payloads: DataFrame, path: str) -> None:
-    """Append payloads that have not landed to the table at ``path``; a rerun adds nothing."""
+    """Append payloads that have not landed to the table at ``path``; a rerun adds nothing.
+
+    Workers get payloads in batches of HASHED_BYTES (a setting of the session, restored afterwards), as they hold a batch several times over.
+    """
     spark = payloads.sparkSession
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     exists = jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
     keys = spark.read.parquet(path) if exists else payloads.limit(0)
-    new_snapshots(payloads, keys).write.mode("append").partitionBy(*FOLDERS).parquet(path)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(HASHED_BYTES))
+    try:
+        new_snapshots(payloads, keys).write.mode("append").partitionBy(*FOLDERS).parquet(path)
+    finally:
+        spark.conf.set(name, before)
 
 
 def chosen_requests(landed: DataFrame, runs: DataFrame, as_of: Column | None = None) -> DataFrame:
