@@ -24,7 +24,7 @@ FREQUENT_PART = 2000
 #: N-grams that a counting task holds at most, twice over.
 HELD = 1_000_000
 #: Sets of one tile when a group is too large for one task, marks that are compared at once there, and pairs that are looked at together.
-TILE, SLAB, PAIRS = 1024, 4096, 1 << 20
+TILE, SLAB, PAIRS = 1024, 4096, 1 << 17
 #: Elements by which prefixes are longer than they need be to share one, so that similar sets share as many more.
 MORE = 4
 
